@@ -18,7 +18,9 @@ from larder.workspace import stage
 # Files above this size are not left to a single task.
 SPLIT_ABOVE_BYTES = 256 * 1024 * 1024
 # Lines numbered together by one task.
-CHUNK_LINES = 200_000
+CHUNK_LINES = 50_000
+# A quoted field over this size is taken for a quote that never closes.
+OPEN_FIELD_BYTES = 64 * 1024 * 1024
 
 CSV_OPTIONS = {"header": "true", "escape": '"'}
 
@@ -28,7 +30,7 @@ ROW_INDEX = "row_idx"
 
 # A whole record by RFC 4180: quoted fields with doubled quotes, or fields without quotes.
 # Possessive, so that long fields are matched in a loop and not by recursion.
-_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",\n]*+)'
+_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",\r\n]*+)'
 RFC4180_RECORD = rf"\A{_FIELD}(?:,{_FIELD})*+\z"
 
 
@@ -36,9 +38,10 @@ def _name_first(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed(UNNAMED_FIRST, ROW_INDEX)
 
 
-def scan_csv(spark: SparkSession, path: str) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Every column as text under its header name; one task per file."""
-    return _name_first(spark.read.options(**CSV_OPTIONS, multiLine=True).csv(path))
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=True).options(**options)
+    return _name_first(reader.csv(path))
 
 
 def _numbered_lines(spark: SparkSession, path: str, chunk_lines: int) -> DataFrame:
@@ -66,35 +69,45 @@ def _numbered_lines(spark: SparkSession, path: str, chunk_lines: int) -> DataFra
     )
 
 
-def _chunk_carry(lines: DataFrame) -> DataFrame:
-    """Per chunk: odd-quote lines before it in its file, and the file's first line.
+def _chunks(lines: DataFrame) -> DataFrame:
+    """Per chunk: its odd-quote lines and those before it in its file; and of the file, which line
+    is first and whether it ends in a carriage return.
 
     One row per chunk, so the window over a file's chunks is short.
     """
     chunks = lines.groupBy("file", "block", "chunk").agg(
-        F.sum("odd").alias("n_odd"), F.min("seq").alias("from_seq")
+        F.sum("odd").alias("n_odd"),
+        F.sum(F.octet_length("line").cast("long")).alias("bytes"),
+        F.min(F.struct("seq", F.endswith("line", F.lit("\r")).alias("crlf"))).alias("head"),
     )
     in_file = Window.partitionBy("file")
     before = in_file.orderBy("block", "chunk").rowsBetween(Window.unboundedPreceding, -1)
-    return chunks.select(
-        "file",
-        "block",
-        "chunk",
+    carried = chunks.select(
+        *chunks.columns,
         F.coalesce(F.sum("n_odd").over(before), F.lit(0)).alias("odd_before"),
-        F.min(F.when(F.col("block") == 0, F.col("from_seq"))).over(in_file).alias("first_seq"),
+        F.min(F.when(F.col("block") == 0, F.col("head"))).over(in_file).alias("first"),
     )
+    return stage(carried.drop("head"), "csv-chunks")
 
 
-def split_records(
-    spark: SparkSession, path: str, chunk_lines: int = CHUNK_LINES
-) -> DataFrame:
+def _has_open_field(chunks: DataFrame, most_bytes: int) -> bool:
+    """Whether some record covers more than ``most_bytes`` of whole chunks.
+
+    Such a record would be put together by one task. It comes from a stray quote, so the file is
+    not RFC 4180, and this shows on the chunks before anything is grouped.
+    """
+    inside = chunks.filter((F.col("n_odd") == 0) & (F.col("odd_before") % 2 == 1))
+    sizes = inside.groupBy("file", "odd_before").agg(F.sum("bytes").alias("bytes"))
+    return not sizes.filter(F.col("bytes") > most_bytes).isEmpty()
+
+
+def _records(lines: DataFrame, chunks: DataFrame) -> DataFrame:
     """(record, is_header): the text of each CSV record, found by many tasks per file.
 
     A line lies inside a quoted field if an odd number of the lines before it in the file have an
     odd number of quotes. Lines that are records by themselves pass straight through; only the
     lines of multi-line records are grouped.
     """
-    lines = _numbered_lines(spark, path, chunk_lines)
     chunk = ["file", "block", "chunk"]
     so_far = (
         Window.partitionBy(*chunk).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
@@ -102,40 +115,64 @@ def split_records(
     # The running sum and the join share one shuffle by chunk.
     placed = (
         lines.withColumn("odd_so_far", F.sum("odd").over(so_far))
-        .join(_chunk_carry(lines), chunk)
+        .join(chunks.select(*chunk, "odd_before", "first"), chunk)
         .withColumn("odds", F.col("odd_before") + F.col("odd_so_far"))
         .withColumn(
-            "is_header", (F.col("block") == 0) & (F.col("seq") == F.col("first_seq"))
+            "is_header", (F.col("block") == 0) & (F.col("seq") == F.col("first.seq"))
         )
+        .withColumn("crlf", F.col("first.crlf"))
     )
     is_whole = ((F.col("odds") - F.col("odd")) % 2 == 0) & (F.col("odd") == 0)
-    whole = placed.filter(is_whole).select(F.col("line").alias("record"), "is_header")
+    whole = placed.filter(is_whole).select("line", "is_header", "crlf")
     in_order = F.sort_array(F.collect_list(F.struct("block", "seq", "line")))
     joined = (
         placed.filter(~is_whole)
         .groupBy("file", F.expr("(odds + 1) div 2").alias("record_no"))
-        .agg(in_order.alias("lines"), F.bool_or("is_header").alias("is_header"))
-        .select(F.concat_ws("\n", F.col("lines.line")).alias("record"), "is_header")
+        .agg(
+            in_order.alias("lines"),
+            F.bool_or("is_header").alias("is_header"),
+            F.bool_or("crlf").alias("crlf"),
+        )
+        .select(F.concat_ws("\n", F.col("lines.line")).alias("line"), "is_header", "crlf")
     )
-    records = whole.unionByName(joined)
-    text = F.when(F.endswith("record", F.lit("\r")), F.expr("left(record, length(record) - 1)"))
-    return records.select(F.coalesce(text, F.col("record")).alias("record"), "is_header")
+    # The multi-line scan turns the line ends of a CRLF file into \n, inside quotes as well.
+    unix = F.regexp_replace("line", r"\r(\n|\z)", "$1")
+    record = F.when(F.col("crlf"), unix).otherwise(F.col("line"))
+    return whole.unionByName(joined).select(record.alias("record"), "is_header")
+
 
+def _is_strict() -> Column:
+    """Whether a record follows RFC 4180; if all do, they are the records a full scan would find.
 
-def _is_strict(record: Column | str) -> Column:
-    return F.rlike(record, F.lit(RFC4180_RECORD))
+    A bare carriage return in the header could be what the scan takes for the line end.
+    """
+    stray_return = F.col("is_header") & F.contains("record", F.lit("\r"))
+    return F.rlike("record", F.lit(RFC4180_RECORD)) & ~stray_return
 
 
 def _parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """Data records under the header's names, plus whether each follows RFC 4180."""
+    """Data records under the header's names."""
     return (
         records.filter(~F.col("is_header") & (F.length("record") > 0))
-        .select(
-            F.from_csv("record", schema.toDDL(), {"escape": '"'}).alias("row"),
-            _is_strict("record").alias("_strict"),
-        )
-        .select("row.*", "_strict")
+        .select(F.from_csv("record", schema.toDDL(), {"escape": '"'}).alias("row"))
+        .select("row.*")
+    )
+
+
+def _land_split(
+    spark: SparkSession, path: str, out: str, schema: T.StructType, chunk_lines: int
+) -> bool:
+    """Land by tasks that share files; False if a file does not follow RFC 4180."""
+    lines = _numbered_lines(spark, path, chunk_lines)
+    chunks = _chunks(lines)
+    if _has_open_field(chunks, OPEN_FIELD_BYTES):
+        return False
+    seen = Observation()
+    records = _records(lines, chunks).observe(
+        seen, F.count_if(~_is_strict()).alias("loose")
     )
+    _parsed(records, schema).write.mode("overwrite").parquet(out)
+    return seen.get["loose"] == 0
 
 
 def land_csv(
@@ -149,15 +186,7 @@ def land_csv(
     scanned = scan_csv(spark, path)
     schema = all_strings(*scanned.columns)
     largest = list_files(spark, path).agg(F.max("bytes")).collect()[0][0] or 0
-    strict = False
-    if largest > split_above:
-        seen = Observation()
-        records = split_records(spark, path, chunk_lines)
-        parsed = _parsed(records, schema).observe(
-            seen, F.count_if(~F.col("_strict")).alias("loose")
-        )
-        parsed.drop("_strict").write.mode("overwrite").parquet(out)
-        strict = seen.get["loose"] == 0
-    if not strict:
+    split = largest > split_above and _land_split(spark, path, out, schema, chunk_lines)
+    if not split:
         scanned.write.mode("overwrite").parquet(out)
     return spark.read.schema(schema).parquet(out)

@@ -15,6 +15,8 @@ CSV_SINK_OPTIONS = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+# With the default null value, "", the reader takes a quoted empty field for NULL too.
+NOT_IN_TEXT = "\u0000"
 # A table this small may be asked for as one file.
 SINGLE_FILE_MAX_ROWS = 5_000_000
 
@@ -31,8 +33,12 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV columns under their declared types, matched by name; blank or malformed gives NULL."""
-    text = scan_csv(spark, path)
+    """CSV columns under their declared types, matched by name; blank or malformed gives NULL.
+
+    In text columns an empty field is NULL and a quoted empty field is an empty string, which is
+    how ``write_csv`` writes the two.
+    """
+    text = scan_csv(spark, path, nullValue=NOT_IN_TEXT)
     return text.select(
         *[typed_from_text(f.name, f.dataType).alias(f.name) for f in schema.fields]
     )
