@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # What counts as punctuation, and as a run of blanks.
 PUNCTUATION = r"[^a-z0-9\s]"
@@ -21,15 +21,32 @@ def normalize(text: Column | str) -> Column:
     return F.trim(F.regexp_replace(words, BLANKS, " "))
 
 
+def quoted_items(text: Column | str) -> Column:
+    """Items of a list literal with their quotes, NULL for NULL."""
+    return F.regexp_extract_all(text, F.lit(QUOTED_ITEM), F.lit(0))
+
+
+def unquote(item: Column | str) -> Column:
+    return F.substring(item, F.lit(2), F.length(item) - 2)
+
+
 def parse_list(text: Column | str) -> Column:
     """Items of a list literal such as ``['a', "b"]`` as ``array<string>``.
 
     Escapes are kept as written, empty items are kept, NULL gives an empty array, and an item whose
     quote never closes is left out.
     """
-    items = F.regexp_extract_all(text, F.lit(QUOTED_ITEM), F.lit(0))
-    inner = F.transform(items, lambda q: F.substring(q, F.lit(2), F.length(q) - 2))
-    return F.coalesce(inner, F.array().cast("array<string>"))
+    return F.coalesce(F.transform(quoted_items(text), unquote), F.array().cast("array<string>"))
+
+
+def explode_list(df: DataFrame, text: str, item: str) -> DataFrame:
+    """One row per item of the list literal in ``text``, which ``item`` replaces.
+
+    Explodes before unquoting: ``transform`` would take the scan's stage out of generated code.
+    """
+    others = [c for c in df.columns if c != text]
+    quoted = df.select(*others, F.explode(quoted_items(text)).alias("_quoted"))
+    return quoted.select(*others, unquote("_quoted").alias(item))
 
 
 def normalize_terms(spark: SparkSession, terms: list[str]) -> list[str]:

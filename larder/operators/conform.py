@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larder.functions.casting import to_date, to_type, typed_null
-from larder.functions.text import parse_list
+from larder.functions.text import explode_list
 from larder.operators.dedup import dedup_by_key
 from larder.schema import RECIPENLG_ID_OFFSET, SOURCE_FOODCOM, SOURCE_RECIPENLG
 
@@ -52,9 +52,9 @@ def conform_recipes(foodcom: DataFrame, recipenlg: DataFrame) -> DataFrame:
 
 
 def _exploded(raw: DataFrame, recipe_id: Column, items: str) -> DataFrame:
-    return raw.select(
-        recipe_id.alias("recipe_id"), F.explode(parse_list(items)).alias("ingredient_name_raw")
-    ).filter(F.col("recipe_id").isNotNull())
+    lists = raw.select(recipe_id.alias("recipe_id"), F.col(items).alias("items"))
+    known = lists.filter(F.col("recipe_id").isNotNull())
+    return explode_list(known, "items", "ingredient_name_raw")
 
 
 def conform_items(foodcom: DataFrame, recipenlg: DataFrame) -> DataFrame:

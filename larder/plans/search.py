@@ -85,11 +85,18 @@ def multi_ingredient(
     terms: list[str],
     limit: int | None = DISPLAY_LIMIT,
 ) -> DataFrame:
-    """Recipes containing every term, as semi-joins of narrow id lists (Q4)."""
+    """Recipes containing every term, as semi-joins of narrow id lists (Q4).
+
+    Each list is made distinct first; that shuffles by recipe once, after combining on the map
+    side, and the semi-joins use the same partitioning.
+    """
     names = normalize_terms(recipes.sparkSession, terms)
-    hits = _with_ingredient(ingredients, recipe_ingredients, list(dict.fromkeys(names)))
-    both = reduce(lambda left, right: left.join(right, "recipe_id", "left_semi"), hits)
-    return _titled(recipes, both.distinct(), limit).select("recipe_id", "title", _echo(names))
+    hits = [
+        hit.distinct()
+        for hit in _with_ingredient(ingredients, recipe_ingredients, list(dict.fromkeys(names)))
+    ]
+    every = reduce(lambda left, right: left.join(right, "recipe_id", "left_semi"), hits)
+    return _titled(recipes, every, limit).select("recipe_id", "title", _echo(names))
 
 
 def multi_ingredient_k(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder import standins
 from larder.functions.casting import blank_to_null, to_date, to_type
-from larder.functions.text import normalize, parse_list
+from larder.functions.text import explode_list, normalize, parse_list
 from larder.operators import audits, layout
 from larder.operators.conform import conform_recipes
 from larder.operators.dedup import dedup_by_key
@@ -194,11 +194,10 @@ def parse_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = standins.word_lists(spark, sf_dir).select(
-        F.col("doc_id").alias("recipe_id"),
-        F.explode(parse_list("ingredients")).alias("ingredient_name_raw"),
+    lists = standins.word_lists(spark, sf_dir).select(
+        F.col("doc_id").alias("recipe_id"), "ingredients"
     )
-    return normalized_items(raw)
+    return normalized_items(explode_list(lists, "ingredients", "ingredient_name_raw"))
 
 
 def ingredient_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
