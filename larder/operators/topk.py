@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Candidates looked at beyond k before giving up on the short way. A fixed, small row count: it
-# bounds what the driver sees and how long the pushed-down key list gets.
+# Candidates looked at beyond k before giving up on the short way.
 SLACK = 200
+# Above this k the leaders are not brought to the driver.
+MAX_LEADERS = 10_000
 
 
 def top_k_existing(
@@ -16,23 +18,26 @@ def top_k_existing(
 ) -> DataFrame:
     """First ``k`` rows of ``candidates`` by ``order`` whose key is in ``lookup``, joined to it.
 
-    ``key`` is unique in ``lookup``, and ``order`` is total over ``candidates`` up to equal rows.
+    ``key`` is a number, unique in ``lookup``; ``order`` is total over ``candidates`` up to equal
+    rows.
 
     The join drops orphans, so limiting before it could come out short. Here the first k + SLACK
-    candidates are taken without a shuffle, looked up by a pushed-down key list, and kept if at
-    least k survive or there were no more: whatever was left out sorts behind them. Otherwise the
-    full join runs.
+    candidates are taken without a shuffle and looked up in the range of keys they span, which
+    the scan can skip by. If there were no more candidates, or at least k are found, that is the
+    answer: whatever was left out sorts behind. Otherwise the full join runs.
     """
     spark = candidates.sparkSession
+    everything = candidates.join(lookup, key).orderBy(*order).limit(k)
+    if k > MAX_LEADERS:
+        return everything
     reach = k + SLACK
-    head = candidates.orderBy(*order).limit(reach + 1).collect()
-    first = head[:reach]
-    keys = sorted({row[key] for row in first if row[key] is not None})
-    found = F.broadcast(spark.createDataFrame(first, candidates.schema)).join(
-        lookup.filter(F.col(key).isin(keys)), key
-    )
-    if len(head) > reach and len(found.limit(k).collect()) < k:
-        found = candidates.join(lookup, key)
+    leaders = candidates.orderBy(*order).limit(reach + 1).toArrow()
+    span = pc.min_max(leaders[key].slice(0, reach))
+    first = spark.createDataFrame(leaders.slice(0, reach), schema=candidates.schema)
+    near = lookup.filter(F.col(key).between(span["min"].as_py(), span["max"].as_py()))
+    found = near.join(F.broadcast(first), key)
+    if leaders.num_rows > reach and len(found.select(key).take(k)) < k:
+        return everything
     return found.orderBy(*order).limit(k)
 
 

@@ -32,6 +32,11 @@ def resolve_ids(ingredients: DataFrame, names: list[str]) -> dict[str, list[int]
     return ids
 
 
+def _has_id(ids: list[int]) -> Column:
+    # As SQL text: hundreds of literals are one call instead of hundreds.
+    return F.expr(f"ingredient_id IN ({', '.join(map(str, ids))})") if ids else F.lit(False)
+
+
 def _with_ingredient(
     ingredients: DataFrame, recipe_ingredients: DataFrame, names: list[str]
 ) -> list[DataFrame]:
@@ -47,7 +52,7 @@ def _with_ingredient(
             named = ingredients.filter(F.col("ingredient_name_norm") == name)
             hit = recipe_ingredients.join(named.select("ingredient_id"), "ingredient_id")
         else:
-            hit = recipe_ingredients.filter(F.col("ingredient_id").isin(ids[name]))
+            hit = recipe_ingredients.filter(_has_id(ids[name]))
         hits.append(hit.select("recipe_id"))
     return hits
 
@@ -116,8 +121,8 @@ def multi_ingredient_k(
         flags = [F.col("ingredient_name_norm") == name for name in wanted]
     else:
         every_id = sorted(i for some in ids.values() for i in some)
-        hits = recipe_ingredients.filter(F.col("ingredient_id").isin(every_id))
-        flags = [F.col("ingredient_id").isin(ids[name]) for name in wanted]
+        hits = recipe_ingredients.filter(_has_id(every_id))
+        flags = [_has_id(ids[name]) for name in wanted]
     has_all = reduce(lambda a, b: a & b, [F.bool_or(flag) for flag in flags])
     complete = (
         hits.groupBy("recipe_id")

@@ -9,21 +9,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_dir(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="larder-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared scratch folder of this session."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     # One JVM on one machine: a local folder is shared by definition.
-    local = tempfile.mkdtemp(prefix="larder-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return _local_dir(context.applicationId)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
