@@ -35,10 +35,10 @@ def top_k_existing(
     span = pc.min_max(leaders[key].slice(0, reach))
     first = spark.createDataFrame(leaders.slice(0, reach), schema=candidates.schema)
     near = lookup.filter(F.col(key).between(span["min"].as_py(), span["max"].as_py()))
-    found = near.join(F.broadcast(first), key)
-    if leaders.num_rows > reach and len(found.select(key).take(k)) < k:
+    found = near.join(F.broadcast(first), key).orderBy(*order).limit(k)
+    if leaders.num_rows > reach and len(found.collect()) < k:
         return everything
-    return found.orderBy(*order).limit(k)
+    return found
 
 
 def lowest_k(df: DataFrame, column: str, tiebreak: str, k: int) -> DataFrame:

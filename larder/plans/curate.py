@@ -25,7 +25,7 @@ from larder.schema import (
 )
 from larder.sources.raw_csv import land_csv
 from larder.sources.tables import replace_table, write_csv
-from larder.workspace import stage
+from larder.workspace import scratch_scope, stage
 
 
 @dataclass(frozen=True)
@@ -69,26 +69,26 @@ def curate(spark: SparkSession, raw: RawPaths, out: str) -> CuratedTables:
 
     Every table that is used twice is written before its second use.
     """
-    foodcom, ratings, recipenlg = land_raw(spark, raw, out)
     curated = f"{out}/curated"
-
-    recipes = replace_table(conform_recipes(foodcom, recipenlg), f"{curated}/recipes", RECIPES)
-
-    items = stage(normalized_items(conform_items(foodcom, recipenlg)), "items")
-    ingredients = replace_table(
-        ingredient_dimension(items), f"{curated}/ingredients", INGREDIENTS
-    )
-    junction = replace_table(
-        recipe_ingredients(items, ingredients),
-        f"{curated}/recipe_ingredients",
-        RECIPE_INGREDIENTS,
-    )
-
-    known = keep_referenced(conform_interactions(ratings), recipes, "recipe_id")
-    numbered = row_ids(
-        known, ["recipe_id", "user_id", "interaction_date", "rating"], "interaction_id"
-    )
-    interactions = replace_table(numbered, f"{curated}/interactions", INTERACTIONS)
+    with scratch_scope(spark):
+        foodcom, ratings, recipenlg = land_raw(spark, raw, out)
+        recipes = replace_table(
+            conform_recipes(foodcom, recipenlg), f"{curated}/recipes", RECIPES
+        )
+        items = stage(normalized_items(conform_items(foodcom, recipenlg)), "items")
+        ingredients = replace_table(
+            ingredient_dimension(items), f"{curated}/ingredients", INGREDIENTS
+        )
+        junction = replace_table(
+            recipe_ingredients(items, ingredients),
+            f"{curated}/recipe_ingredients",
+            RECIPE_INGREDIENTS,
+        )
+        known = keep_referenced(conform_interactions(ratings), recipes, "recipe_id")
+        numbered = row_ids(
+            known, ["recipe_id", "user_id", "interaction_date", "rating"], "interaction_id"
+        )
+        interactions = replace_table(numbered, f"{curated}/interactions", INTERACTIONS)
     return CuratedTables(recipes, ingredients, junction, interactions)
 
 

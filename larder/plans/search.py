@@ -21,6 +21,7 @@ def resolve_ids(ingredients: DataFrame, names: list[str]) -> dict[str, list[int]
     rows = (
         ingredients.filter(F.col("ingredient_name_norm").isin(names))
         .select("ingredient_name_norm", "ingredient_id")
+        .orderBy("ingredient_id")  # one pass; a bare limit would try a few partitions at a time
         .limit(MAX_LITERAL_IDS + 1)
         .collect()
     )

@@ -5,11 +5,13 @@ import datetime
 
 import pytest
 
+from larder.__main__ import main
 from larder.operators.audits import audit
 from larder.plans.curate import RawPaths, curate, export_csv
 from larder.plans.ranking import quick_recipes, top_rated, top_rated_agg_first
 from larder.plans.search import ingredient_search, multi_ingredient, multi_ingredient_k
 from larder.schema import RULES
+from larder.sizing import scan_bytes, shuffle_partitions
 from larder.sources.tables import in_schema, load_csv, replace_catalog_table
 
 LONG = "z" * 5_000
@@ -258,3 +260,24 @@ def test_columns_go_by_name_not_position(spark):
     ).selectExpr("*", "cast(4 as tinyint) rating", "cast(null as date) interaction_date")
     row = in_schema(shuffled, RULES["interactions"].schema).collect()[0]
     assert tuple(row) == (1, 3, 7, 4, None)
+
+
+def test_command_line(spark, out, done, tmp_path, capsys):
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    main(
+        [
+            "--foodcom-recipes", str(out / "RAW_recipes.csv"),
+            "--foodcom-interactions", str(out / "RAW_interactions.csv"),
+            "--recipenlg", str(out / "RecipeNLG_dataset.csv"),
+            "--out", str(tmp_path), "--csv", "--single-file",
+        ]
+    )
+    printed = capsys.readouterr().out
+    assert "recipe_ingredients|15" in printed.replace(" ", "")
+    assert len(list((tmp_path / "csv/recipes").glob("part-*.csv"))) == 1
+    assert spark.conf.get("spark.sql.shuffle.partitions") == width
+
+
+def test_widths_grow_with_the_data():
+    assert [shuffle_partitions(n, 200) for n in (10, 10**12, 10**14)] == [200, 3_726, 20_000]
+    assert [scan_bytes(n) // 2**20 for n in (10, 10**12, 10**14)] == [128, 128, 953]

@@ -1,6 +1,8 @@
+import os
+
 import pytest
 
-from larder.workspace import scratch_dir, scratch_path
+from larder.workspace import scratch_dir, scratch_path, scratch_scope, stage
 
 
 class FakeSession:
@@ -35,3 +37,13 @@ def test_local_master_has_one_of_its_own():
 def test_paths_are_unique(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
     assert scratch_path(spark, "a").startswith(scratch_dir(spark))
+
+
+def test_scope_deletes_only_its_own(spark):
+    kept = stage(spark.range(3), "kept")
+    with scratch_scope(spark):
+        dropped = stage(spark.range(4), "dropped")
+        path = os.path.dirname(dropped.inputFiles()[0].removeprefix("file://"))
+        assert os.path.exists(path) and dropped.count() == 4
+    assert not os.path.exists(path)
+    assert kept.count() == 3
