@@ -20,6 +20,7 @@ def resolve_ids(ingredients: DataFrame, names: list[str]) -> dict[str, list[int]
     """Ids of each (normalised) name, or None if there are too many to be literals."""
     rows = (
         ingredients.filter(F.col("ingredient_name_norm").isin(names))
+        .filter(F.col("ingredient_id").isNotNull())
         .select("ingredient_name_norm", "ingredient_id")
         .orderBy("ingredient_id")  # one pass; a bare limit would try a few partitions at a time
         .limit(MAX_LITERAL_IDS + 1)

@@ -16,7 +16,7 @@ from larder.sources.inventory import list_files
 from larder.workspace import stage
 
 # Files above this size are not left to a single task.
-SPLIT_ABOVE_BYTES = 256 * 1024 * 1024
+SPLIT_ABOVE_BYTES = 1024 * 1024 * 1024
 # Lines numbered together by one task.
 CHUNK_LINES = 50_000
 # A quoted field over this size is taken for a quote that never closes.

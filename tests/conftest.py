@@ -12,7 +12,7 @@ TESTDATA = "/root/testdata"
 
 @pytest.fixture(scope="session")
 def spark():
-    root = tempfile.mkdtemp(prefix="larder-tests-")
+    warehouse = tempfile.mkdtemp(prefix="larder-tests-")
     session = (
         SparkSession.builder.master("local[8]")
         .appName("larder-tests")
@@ -21,8 +21,7 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", f"{root}/scratch")
-        .config("spark.sql.warehouse.dir", f"{root}/warehouse")
+        .config("spark.sql.warehouse.dir", warehouse)
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
