@@ -13,6 +13,13 @@ SLACK = 200
 MAX_LEADERS = 10_000
 
 
+def _will_be_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's size estimate of ``df`` is below its limit for broadcasting."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def top_k_existing(
     candidates: DataFrame, lookup: DataFrame, key: str, order: Sequence[Column], k: int
 ) -> DataFrame:
@@ -21,14 +28,15 @@ def top_k_existing(
     ``key`` is a number, unique in ``lookup``; ``order`` is total over ``candidates`` up to equal
     rows.
 
-    The join drops orphans, so limiting before it could come out short. Here the first k + SLACK
-    candidates are taken without a shuffle and looked up in the range of keys they span, which
-    the scan can skip by. If there were no more candidates, or at least k are found, that is the
-    answer: whatever was left out sorts behind. Otherwise the full join runs.
+    A small ``lookup`` is simply joined. A big one would have to be shuffled, and as the join
+    drops orphans, a limit before it could come out short. So the first k + SLACK candidates are
+    taken without a shuffle and looked up in the range of keys they span, which the scan can skip
+    by. If there were no more candidates, or at least k are found, that is the answer: whatever
+    was left out sorts behind. Otherwise the full join runs.
     """
     spark = candidates.sparkSession
     everything = candidates.join(lookup, key).orderBy(*order).limit(k)
-    if k > MAX_LEADERS:
+    if k > MAX_LEADERS or _will_be_broadcast(lookup):
         return everything
     reach = k + SLACK
     leaders = candidates.orderBy(*order).limit(reach + 1).toArrow()

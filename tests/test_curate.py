@@ -166,8 +166,14 @@ def test_audit_finds_nothing_on_clean_tables(spark, done):
     assert audit(tables).filter("violations > 0").count() == 0
 
 
+@pytest.fixture(params=["10MB", "-1"])
+def broadcast_limit(request, conf):
+    """Small tables joined directly, and the way big ones take."""
+    conf("spark.sql.autoBroadcastJoinThreshold", request.param)
+
+
 @pytest.mark.parametrize("query", [top_rated, top_rated_agg_first])
-def test_top_rated(done, query):
+def test_top_rated(done, query, broadcast_limit):
     rows = [tuple(r) for r in query(done.recipes, done.interactions).collect()]
     # Recipes 4 and 7 tie at 4.0 and go by id; NULL ratings count, and all NULL comes last.
     assert rows == [
@@ -194,7 +200,7 @@ def search_args(done):
     return done.recipes, done.ingredients, done.recipe_ingredients
 
 
-def test_ingredient_search(done):
+def test_ingredient_search(done, broadcast_limit):
     rows = [tuple(r) for r in ingredient_search(*search_args(done), " GARLIC! ").collect()]
     assert [r[0] for r in rows] == [1, 3, 4, 7, 10_000_000]
     assert {r[2] for r in rows} == {"garlic"}
@@ -207,7 +213,7 @@ def test_ingredient_search(done):
 
 
 @pytest.mark.parametrize("query", [multi_ingredient, multi_ingredient_k])
-def test_multi_ingredient(done, query):
+def test_multi_ingredient(done, query, broadcast_limit):
     both = query(*search_args(done), ["Garlic", "chicken"], limit=20).collect()
     assert [(r.recipe_id, r.matched_ingredients) for r in both] == [
         (4, "garlic, chicken"), (10_000_000, "garlic, chicken"),

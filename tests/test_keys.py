@@ -96,8 +96,15 @@ def test_key_summary(spark):
     }
 
 
+@pytest.fixture(params=["small lookup", "big lookup"])
+def lookup_size(request, conf):
+    """Whether the lookup counts as small enough to broadcast."""
+    if request.param == "big lookup":
+        conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+
 @pytest.mark.parametrize("orphan_share", [0.0, 0.5, 0.99, 1.0])
-def test_top_k_existing(spark, orphan_share):
+def test_top_k_existing(spark, lookup_size, orphan_share):
     """Same as join then limit, however many of the leaders are orphans."""
     rng = random.Random(int(orphan_share * 100))
     n = 4 * SLACK
@@ -112,7 +119,7 @@ def test_top_k_existing(spark, orphan_share):
     assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
 
 
-def test_top_k_leaders_all_orphans(spark):
+def test_top_k_leaders_all_orphans(spark, lookup_size):
     candidates = spark.range(1000).select(F.col("id").alias("k"))
     lookup = spark.range(990, 1000).select(F.col("id").alias("k"))
     got = top_k_existing(candidates, lookup, "k", [F.col("k").asc()], 5)

@@ -31,5 +31,17 @@ def test_matches_sql(spark, duck, name):
     assert got or name == "duplicate_keys"
 
 
+@pytest.mark.parametrize(
+    "name",
+    [n for n in entry_module.queries() if n.startswith(("top_", "ingredient_s", "multi_"))],
+)
+def test_matches_sql_with_nothing_small(spark, conf, duck, name):
+    """The way tables too big to broadcast take."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    got, _ = spark_result(entry_module.queries()[name](spark, SF_DIR))
+    want, _ = duck_result(duck, entry_module.oracle_sql()[name])
+    assert got == want
+
+
 def test_entry(spark):
     assert len(entry_module.entry(spark).collect()) == 20
