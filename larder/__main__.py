@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from larder.plans.curate import RawPaths, curate, export_csv
+from larder.plans.lay_out import lay_out
 from larder.sizing import size_session
 
 
@@ -18,6 +19,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", default="./out")
     parser.add_argument("--csv", action="store_true", help="also write the tables as CSV")
     parser.add_argument("--single-file", action="store_true", help="small tables as one file")
+    parser.add_argument(
+        "--layout-buckets", type=int, help="also write the query layouts, with this many buckets"
+    )
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("larder").getOrCreate()
@@ -26,6 +30,8 @@ def main(argv: list[str] | None = None) -> None:
     done = curate(spark, raw, args.out)
     if args.csv:
         export_csv(done, f"{args.out}/csv", args.single_file)
+    if args.layout_buckets:
+        lay_out(done, args.out, "larder", args.layout_buckets)
     done.row_counts().show(truncate=False)
     done.audit().filter("violations > 0").show(truncate=False)
 

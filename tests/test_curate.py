@@ -8,6 +8,7 @@ import pytest
 from larder.__main__ import main
 from larder.operators.audits import audit
 from larder.plans.curate import RawPaths, curate, export_csv
+from larder.plans.lay_out import lay_out
 from larder.plans.ranking import quick_recipes, top_rated, top_rated_agg_first
 from larder.plans.search import ingredient_search, multi_ingredient, multi_ingredient_k
 from larder.schema import RULES
@@ -232,6 +233,23 @@ def test_search_without_literal_ids(done, query, monkeypatch):
     assert [r.recipe_id for r in both] == [4, 10_000_000]
 
 
+def test_layouts_change_no_answer(spark, done, out, broadcast_limit):
+    args = search_args(done)
+    for _ in range(2):
+        tables = lay_out(done, str(out), "larder_golden", buckets=4)
+        assert tables.top_rated(19).collect() == top_rated(
+            done.recipes, done.interactions, 19
+        ).collect()
+        assert tables.quick_recipes().collect() == quick_recipes(done.recipes).collect()
+        for term in ("garlic", "chicken", "unheard of"):
+            want = ingredient_search(*args, term).collect()
+            assert tables.ingredient_search(term).collect() == want
+        both = multi_ingredient(*args, ["garlic", "chicken"]).collect()
+        assert tables.multi_ingredient(["garlic", "chicken"]).collect() == both
+    spark.sql("DROP TABLE larder_golden_interactions")
+    spark.sql("DROP TABLE larder_golden_recipes")
+
+
 def test_csv_export_loads_back(spark, done, out):
     export_csv(done, str(out / "export"), single_file=True)
     for name, df in done.by_name().items():
@@ -275,13 +293,16 @@ def test_command_line(spark, out, done, tmp_path, capsys):
             "--foodcom-recipes", str(out / "RAW_recipes.csv"),
             "--foodcom-interactions", str(out / "RAW_interactions.csv"),
             "--recipenlg", str(out / "RecipeNLG_dataset.csv"),
-            "--out", str(tmp_path), "--csv", "--single-file",
+            "--out", str(tmp_path), "--csv", "--single-file", "--layout-buckets", "2",
         ]
     )
     printed = capsys.readouterr().out
     assert "recipe_ingredients|15" in printed.replace(" ", "")
     assert len(list((tmp_path / "csv/recipes").glob("part-*.csv"))) == 1
+    assert (tmp_path / "layouts/junction").exists()
     assert spark.conf.get("spark.sql.shuffle.partitions") == width
+    spark.sql("DROP TABLE larder_interactions")
+    spark.sql("DROP TABLE larder_recipes")
 
 
 def test_widths_grow_with_the_data():
