@@ -27,9 +27,13 @@ def typed_null(data_type: T.DataType | str) -> Column:
     return F.lit(None).cast(data_type)
 
 
-def typed_from_text(c: Column | str, data_type: T.DataType) -> Column:
-    """A text column as its declared type, blank or malformed giving NULL."""
+def lenient(c: Column | str, data_type: T.DataType) -> Column:
+    """A text column as ``data_type``: text as it is, anything else NULL where malformed."""
     if isinstance(data_type, T.StringType):
         return _col(c)
-    text = blank_to_null(c)
-    return to_date(text) if isinstance(data_type, T.DateType) else to_type(text, data_type)
+    return to_date(c) if isinstance(data_type, T.DateType) else to_type(c, data_type)
+
+
+def typed_from_text(c: Column | str, data_type: T.DataType) -> Column:
+    """``lenient``, with blank giving NULL in anything but text."""
+    return lenient(c if isinstance(data_type, T.StringType) else blank_to_null(c), data_type)

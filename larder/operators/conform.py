@@ -1,74 +1,105 @@
-"""Raw source columns to the curated shapes."""
+"""Raw source columns to the curated shapes.
+
+A source is described by which raw column feeds which field; types come from the schema.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from larder.functions.casting import to_date, to_type, typed_null
+from larder.functions.casting import lenient, typed_null
 from larder.functions.text import explode_list
 from larder.operators.dedup import dedup_by_key
-from larder.schema import RECIPENLG_ID_OFFSET, SOURCE_FOODCOM, SOURCE_RECIPENLG
-
-
-def foodcom_recipes(raw: DataFrame) -> DataFrame:
-    """Recipes of the first source; a missing title is kept and left to the audit."""
-    return raw.select(
-        to_type("id", "long").alias("recipe_id"),
-        F.col("name").alias("title"),
-        to_type("minutes", "int").alias("minutes"),
-        to_type("n_steps", "int").alias("n_steps"),
-        to_type("n_ingredients", "int").alias("n_ingredients"),
-        to_date("submitted").alias("submitted"),
-        F.lit(SOURCE_FOODCOM).alias("source"),
-    ).filter(F.col("recipe_id").isNotNull())
-
-
-def recipenlg_id(row_idx: Column | str) -> Column:
-    """Ids of the second source are row numbers, moved clear of the first source's ids."""
-    return to_type(row_idx, "long") + F.lit(RECIPENLG_ID_OFFSET)
+from larder.schema import (
+    INTERACTIONS,
+    RECIPENLG_ID_OFFSET,
+    RECIPES,
+    SOURCE_FOODCOM,
+    SOURCE_RECIPENLG,
+)
+from larder.sources.raw_csv import ROW_INDEX
+
+# Field to raw column, per source.
+FOODCOM_RECIPE = {
+    "recipe_id": "id",
+    "title": "name",
+    "minutes": "minutes",
+    "n_steps": "n_steps",
+    "n_ingredients": "n_ingredients",
+    "submitted": "submitted",
+}
+FOODCOM_LIST = {"recipe_id": "id", "items": "ingredients"}
+RECIPENLG_RECIPE = {"recipe_id": ROW_INDEX, "title": "title"}
+RECIPENLG_LIST = {"recipe_id": ROW_INDEX, "items": "NER"}
+RATING = {
+    "user_id": "user_id",
+    "recipe_id": "recipe_id",
+    "rating": "rating",
+    "interaction_date": "date",
+}
+
+ITEM_LIST = T.StructType(
+    [T.StructField("recipe_id", T.LongType()), T.StructField("items", T.StringType())]
+)
+# The id is generated once unknown recipes are gone.
+RAW_INTERACTIONS = T.StructType([f for f in INTERACTIONS if f.name != "interaction_id"])
+
+
+def conform(
+    raw: DataFrame,
+    schema: T.StructType,
+    columns: Mapping[str, str],
+    id_offset: int = 0,
+    **constants: str,
+) -> DataFrame:
+    """``raw`` under ``schema``; fields with neither column nor constant are NULL.
+
+    ``id_offset`` moves a source's recipe ids clear of the other's. Rows whose ids do not parse
+    are dropped.
+    """
 
+    def field(f: T.StructField):
+        if f.name in constants:
+            return F.lit(constants[f.name])
+        if f.name not in columns:
+            return typed_null(f.dataType)
+        value = lenient(columns[f.name], f.dataType)
+        if f.name == "recipe_id" and id_offset:
+            return F.try_add(value, F.lit(id_offset))  # an id too big to move is malformed too
+        return value
 
-def recipenlg_recipes(raw: DataFrame) -> DataFrame:
-    """Recipes of the second source, which has ids and titles only."""
-    return raw.select(
-        recipenlg_id("row_idx").alias("recipe_id"),
-        "title",
-        typed_null("int").alias("minutes"),
-        typed_null("int").alias("n_steps"),
-        typed_null("int").alias("n_ingredients"),
-        typed_null("date").alias("submitted"),
-        F.lit(SOURCE_RECIPENLG).alias("source"),
-    ).filter(F.col("recipe_id").isNotNull() & F.col("title").isNotNull())
+    shaped = raw.select(*[field(f).alias(f.name) for f in schema])
+    ids = [f.name for f in schema if f.name.endswith("_id")]
+    return shaped.dropna(subset=ids)
 
 
 def conform_recipes(foodcom: DataFrame, recipenlg: DataFrame) -> DataFrame:
     """Both sources under one schema, one row per id.
 
-    De-duplicated once, after the union: the key set is the same as with one pass per source.
+    The second source has row numbers for ids and only titles besides; rows without one are
+    dropped. In the first a missing title is kept and left to the audit. De-duplicated once, after
+    the union: the key set is the same as with one pass per source.
     """
-    both = foodcom_recipes(foodcom).unionByName(recipenlg_recipes(recipenlg))
+    first = conform(foodcom, RECIPES, FOODCOM_RECIPE, source=SOURCE_FOODCOM)
+    second = conform(
+        recipenlg, RECIPES, RECIPENLG_RECIPE, RECIPENLG_ID_OFFSET, source=SOURCE_RECIPENLG
+    ).filter(F.col("title").isNotNull())
     # The first title in order wins over a missing one.
-    return dedup_by_key(both, ["recipe_id"], [F.col("title").asc_nulls_last()])
-
-
-def _exploded(raw: DataFrame, recipe_id: Column, items: str) -> DataFrame:
-    lists = raw.select(recipe_id.alias("recipe_id"), F.col(items).alias("items"))
-    known = lists.filter(F.col("recipe_id").isNotNull())
-    return explode_list(known, "items", "ingredient_name_raw")
+    return dedup_by_key(
+        first.unionByName(second), ["recipe_id"], [F.col("title").asc_nulls_last()]
+    )
 
 
 def conform_items(foodcom: DataFrame, recipenlg: DataFrame) -> DataFrame:
     """(recipe_id, ingredient_name_raw) of both sources, duplicates kept."""
-    return _exploded(foodcom, to_type("id", "long"), "ingredients").unionByName(
-        _exploded(recipenlg, recipenlg_id("row_idx"), "NER")
+    lists = conform(foodcom, ITEM_LIST, FOODCOM_LIST).unionByName(
+        conform(recipenlg, ITEM_LIST, RECIPENLG_LIST, RECIPENLG_ID_OFFSET)
     )
+    return explode_list(lists, "items", "ingredient_name_raw")
 
 
 def conform_interactions(raw: DataFrame) -> DataFrame:
     """Ratings with both ids present; a bad rating or date becomes NULL."""
-    return raw.select(
-        to_type("user_id", "long").alias("user_id"),
-        to_type("recipe_id", "long").alias("recipe_id"),
-        to_type("rating", "tinyint").alias("rating"),
-        to_date("date").alias("interaction_date"),
-    ).filter(F.col("user_id").isNotNull() & F.col("recipe_id").isNotNull())
+    return conform(raw, RAW_INTERACTIONS, RATING)

@@ -56,6 +56,19 @@ def test_split_equals_multiline_scan(spark, tmp_path, tiny_splits, seed, end):
     assert rows_of(spark.read.parquet(out)) == want
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_ragged_rows(spark, tmp_path, tiny_splits, seed):
+    rng = random.Random(seed)
+    rows = [r[: rng.randrange(1, 5)] + ["more"] * rng.randrange(3) for r in random_table(rng, 80)]
+    rows += [["  "], ["\t", ""], ["", "", "", ""], ["", "x"]]
+    python_csv(tmp_path / "a.csv", rows, ["id", "p", "q", "r"])
+    out = str(tmp_path / "out")
+    want = rows_of(scan_csv(spark, str(tmp_path / "a.csv")))
+    schema = all_strings("id", "p", "q", "r")
+    assert raw_csv._land_split(spark, str(tmp_path / "a.csv"), out, schema, chunk_lines=4)
+    assert rows_of(spark.read.parquet(out)) == want
+
+
 def test_split_over_many_files(spark, tmp_path, tiny_splits):
     rng = random.Random(5)
     (tmp_path / "in").mkdir()

@@ -34,6 +34,7 @@ RECIPENLG = [
     ["0", "Garlic Chicken, \"best\"", "[]", "link", '["garlic", "chicken"]'],
     ["1", "", "[]", "link", '["orphan item"]'],
     ["x", "bad row", "[]", "link", '["lost"]'],
+    ["9223372036854775807", "id too big", "[]", "link", '["lost"]'],
     ["1000", "Chicken", "[]", "link", '["CHICKEN"]'],
 ]
 INTERACTIONS = (
@@ -65,18 +66,18 @@ def out(tmp_path_factory):
 def done(spark, out):
     raw = RawPaths(
         foodcom_recipes=_write(
-            out / "RAW_recipes.csv",
+            out / "recipes.csv",
             "name id minutes contributor_id submitted tags n_steps description ingredients "
             "n_ingredients".split(),
             FOODCOM,
         ),
         foodcom_interactions=_write(
-            out / "RAW_interactions.csv",
+            out / "interactions.csv",
             "user_id recipe_id date rating review".split(),
             INTERACTIONS,
         ),
         recipenlg=_write(
-            out / "RecipeNLG_dataset.csv", ["", "title", "directions", "link", "NER"], RECIPENLG
+            out / "second.csv", ["", "title", "directions", "link", "NER"], RECIPENLG
         ),
     )
     return curate(spark, raw, str(out))
@@ -268,9 +269,9 @@ def test_catalog_table(spark, done):
 
 def test_rerun_replaces(spark, done, out):
     raw = RawPaths(
-        str(out / "RAW_recipes.csv"),
-        str(out / "RAW_interactions.csv"),
-        str(out / "RecipeNLG_dataset.csv"),
+        str(out / "recipes.csv"),
+        str(out / "interactions.csv"),
+        str(out / "second.csv"),
     )
     before = sorted(map(tuple, done.ingredients.collect()))
     again = curate(spark, raw, str(out))
@@ -290,9 +291,9 @@ def test_command_line(spark, out, done, tmp_path, capsys):
     width = spark.conf.get("spark.sql.shuffle.partitions")
     main(
         [
-            "--foodcom-recipes", str(out / "RAW_recipes.csv"),
-            "--foodcom-interactions", str(out / "RAW_interactions.csv"),
-            "--recipenlg", str(out / "RecipeNLG_dataset.csv"),
+            "--foodcom-recipes", str(out / "recipes.csv"),
+            "--foodcom-interactions", str(out / "interactions.csv"),
+            "--recipenlg", str(out / "second.csv"),
             "--out", str(tmp_path), "--csv", "--single-file", "--layout-buckets", "2",
         ]
     )
