@@ -54,7 +54,7 @@ def _numbered_lines(spark: SparkSession, path: str, chunk_lines: int) -> DataFra
         spark.read.option("lineSep", "\n")
         .text(path)
         .select(
-            F.xxhash64("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("seq"),
             F.col("value").alias("line"),
@@ -62,7 +62,7 @@ def _numbered_lines(spark: SparkSession, path: str, chunk_lines: int) -> DataFra
     )
     quotes = F.length("line") - F.length(F.replace("line", F.lit('"')))
     return stage(
-        lines.withColumn("chunk", F.floor(F.col("seq") / chunk_lines)).withColumn(
+        lines.withColumn("chunk", F.expr(f"seq div {chunk_lines}")).withColumn(
             "odd", (quotes % 2).cast("long")
         ),
         "csv-lines",
