@@ -94,7 +94,7 @@ def laid_out(spark: SparkSession) -> dict:
         "q1_ingredient_search_laid_out": lambda: search.ingredient_search(
             *tables, registry.TERM
         ),
-        "q2_top_rated_laid_out": lambda: ranking.top_rated_laid_out(ratings),
+        "q2_top_rated_laid_out": lambda: ranking.top_rated_laid_out(ratings, ratings.recipes),
         "q3_quick_recipes_laid_out": lambda: ranking.quick_recipes(by_minutes),
         "q4_multi_ingredient_laid_out": lambda: search.multi_ingredient(*tables, terms),
     }

@@ -30,6 +30,11 @@ def junction_by_ingredient(
     return range_sorted(recipe_ingredients, path, ["ingredient_id", "recipe_id"], files)
 
 
+def recipes_by_id(recipes: DataFrame, path: str, files: int | None = None) -> DataFrame:
+    """Serves title lookups: key order, as a primary key gives."""
+    return range_sorted(recipes, path, ["recipe_id"], files)
+
+
 def recipes_by_minutes(recipes: DataFrame, path: str, files: int | None = None) -> DataFrame:
     """Serves quick recipes: rows of like cooking time lie together (L3)."""
     return range_sorted(recipes, path, ["minutes", "recipe_id"], files)

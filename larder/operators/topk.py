@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Candidates looked at beyond k before giving up on the short way.
 SLACK = 200
 # Above this k the leaders are not brought to the driver.
-MAX_LEADERS = 10_000
+MAX_LEADERS = 1_000
 
 
 def _will_be_broadcast(df: DataFrame) -> bool:
@@ -20,6 +20,19 @@ def _will_be_broadcast(df: DataFrame) -> bool:
     return int(str(size)) <= limit
 
 
+def any_of(column: str, values: Sequence[int]) -> Column:
+    """``column`` is one of ``values``, so that a Parquet scan skips what holds none of them.
+
+    The reader tests a list against a row group by its ends only, but a chain of equalities one
+    by one. The list comes first as it is the cheap test for a row. Written as SQL text, which is
+    one call for hundreds of literals.
+    """
+    if not values:
+        return F.lit(False)
+    one_by_one = " OR ".join(f"{column} = {v}" for v in values)
+    return F.expr(f"{column} IN ({', '.join(map(str, values))}) AND ({one_by_one})")
+
+
 def top_k_existing(
     candidates: DataFrame, lookup: DataFrame, key: str, order: Sequence[Column], k: int
 ) -> DataFrame:
@@ -30,9 +43,9 @@ def top_k_existing(
 
     A small ``lookup`` is simply joined. A big one would have to be shuffled, and as the join
     drops orphans, a limit before it could come out short. So the first k + SLACK candidates are
-    taken without a shuffle and looked up in the range of keys they span, which the scan can skip
-    by. If there were no more candidates, or at least k are found, that is the answer: whatever
-    was left out sorts behind. Otherwise the full join runs.
+    taken without a shuffle and looked up by a pushed-down key filter. If there were no more
+    candidates, or at least k are found, that is the answer: whatever was left out sorts behind.
+    Otherwise the full join runs.
     """
     spark = candidates.sparkSession
     everything = candidates.join(lookup, key).orderBy(*order).limit(k)
@@ -40,10 +53,10 @@ def top_k_existing(
         return everything
     reach = k + SLACK
     leaders = candidates.orderBy(*order).limit(reach + 1).toArrow()
-    span = pc.min_max(leaders[key].slice(0, reach))
-    first = spark.createDataFrame(leaders.slice(0, reach), schema=candidates.schema)
-    near = lookup.filter(F.col(key).between(span["min"].as_py(), span["max"].as_py()))
-    found = near.join(F.broadcast(first), key).orderBy(*order).limit(k)
+    first = leaders.slice(0, reach)
+    keys = pc.unique(first[key].drop_null()).to_pylist()
+    leading = F.broadcast(spark.createDataFrame(first, schema=candidates.schema))
+    found = lookup.filter(any_of(key, keys)).join(leading, key).orderBy(*order).limit(k)
     if leaders.num_rows > reach and len(found.collect()) < k:
         return everything
     return found

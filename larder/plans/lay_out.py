@@ -15,36 +15,39 @@ from larder.plans.curate import CuratedTables
 class LaidOutTables:
     """Copies of the curated tables, each in the order its query wants."""
 
-    tables: CuratedTables
+    ingredients: DataFrame
     junction: DataFrame
-    recipes: DataFrame
+    recipes_by_id: DataFrame
+    recipes_by_minutes: DataFrame
     ratings: layout.RatingsLayout
 
     def ingredient_search(self, term: str, limit: int | None = search.DISPLAY_LIMIT) -> DataFrame:
         return search.ingredient_search(
-            self.tables.recipes, self.tables.ingredients, self.junction, term, limit
+            self.recipes_by_id, self.ingredients, self.junction, term, limit
         )
 
     def multi_ingredient(
         self, terms: list[str], limit: int | None = search.DISPLAY_LIMIT
     ) -> DataFrame:
         return search.multi_ingredient(
-            self.tables.recipes, self.tables.ingredients, self.junction, terms, limit
+            self.recipes_by_id, self.ingredients, self.junction, terms, limit
         )
 
     def top_rated(
         self, min_ratings: int = ranking.MIN_RATINGS, limit: int = ranking.DISPLAY_LIMIT
     ) -> DataFrame:
-        return ranking.top_rated_laid_out(self.ratings, min_ratings, limit)
+        return ranking.top_rated_laid_out(
+            self.ratings, self.recipes_by_id, min_ratings, limit
+        )
 
     def quick_recipes(
         self, under_minutes: int = ranking.QUICK_MINUTES, limit: int = ranking.DISPLAY_LIMIT
     ) -> DataFrame:
-        return ranking.quick_recipes(self.recipes, under_minutes, limit)
+        return ranking.quick_recipes(self.recipes_by_minutes, under_minutes, limit)
 
 
 def lay_out(tables: CuratedTables, out: str, name: str, buckets: int) -> LaidOutTables:
-    """Write the three layouts under ``out/layouts/``; ``name`` prefixes the bucketed tables.
+    """Write the layouts under ``out/layouts/``; ``name`` prefixes the bucketed tables.
 
     The curated tables stay as they are, so going back means using them.
     """
@@ -52,8 +55,11 @@ def lay_out(tables: CuratedTables, out: str, name: str, buckets: int) -> LaidOut
     ratings = tables.interactions.select("recipe_id", "rating")
     titles = tables.recipes.select("recipe_id", "title")
     return LaidOutTables(
-        tables,
+        ingredients=tables.ingredients,
         junction=layout.junction_by_ingredient(tables.recipe_ingredients, f"{root}/junction"),
-        recipes=layout.recipes_by_minutes(tables.recipes, f"{root}/recipes"),
+        recipes_by_id=layout.recipes_by_id(tables.recipes, f"{root}/recipes_by_id"),
+        recipes_by_minutes=layout.recipes_by_minutes(
+            tables.recipes, f"{root}/recipes_by_minutes"
+        ),
         ratings=layout.ratings_by_recipe(ratings, titles, name, f"{root}/ratings", buckets),
     )

@@ -92,15 +92,18 @@ def top_rated_agg_first(
 
 
 def top_rated_laid_out(
-    laid_out: RatingsLayout, min_ratings: int = MIN_RATINGS, limit: int = DISPLAY_LIMIT
+    laid_out: RatingsLayout,
+    recipes: DataFrame,
+    min_ratings: int = MIN_RATINGS,
+    limit: int = DISPLAY_LIMIT,
 ) -> DataFrame:
-    """``top_rated_agg_first`` on the layout made for it.
+    """``top_rated_agg_first`` on the layout made for it; ``recipes`` best in key order.
 
     Buckets hold whole recipes and are aggregated where they are read. The few recipes kept
     outside the buckets are disjoint from them, so the two sets of sums need no merging.
     """
     stats = rating_stats(laid_out.bucketed).unionByName(rating_stats(laid_out.hot))
-    return _best_of(stats, laid_out.recipes, min_ratings, limit)
+    return _best_of(stats, recipes, min_ratings, limit)
 
 
 def quick_recipes(

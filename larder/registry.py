@@ -348,7 +348,8 @@ def ratings_layout(spark: SparkSession, sf_dir: str, buckets: int = 8) -> layout
 
 def layout_top_rated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L2: Q2 over tables bucketed by recipe."""
-    return ranking.top_rated_laid_out(ratings_layout(spark, sf_dir))
+    laid_out = ratings_layout(spark, sf_dir)
+    return ranking.top_rated_laid_out(laid_out, laid_out.recipes)
 
 
 def layout_quick(spark: SparkSession, sf_dir: str) -> DataFrame:
