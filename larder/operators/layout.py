@@ -11,15 +11,20 @@ from pyspark.sql import DataFrame, functions as F
 def range_sorted(
     df: DataFrame, path: str, order: Sequence[str], files: int | None = None
 ) -> DataFrame:
-    """``df`` as Parquet in ranges of ``order``, so a filter on its head skips row groups.
+    """``df``, a written table, as Parquet in ranges of ``order``: a filter on its head skips files.
 
-    Give a unique ``order``: ranges then split within a common value instead of one file
-    holding all of it.
+    Ranges never split equal keys, so rows get a spread-out tiebreak, and a common value or many
+    copies of one row span files. It depends on row order, which a scan repeats on a retry.
     """
+    spread = df.withColumn("_spread", F.xxhash64(F.monotonically_increasing_id()))
+    ranges = [*order, "_spread"]
     ranged = (
-        df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+        spread.repartitionByRange(files, *ranges)
+        if files
+        else spread.repartitionByRange(*ranges)
     )
-    ranged.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    in_order = ranged.sortWithinPartitions(*order).drop("_spread")
+    in_order.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -175,7 +175,8 @@ ORACLES = {
     "curated_load": """
 SELECT o_orderkey AS recipe_id, o_orderpriority AS title,
        CAST(CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS INTEGER) AS "minutes",
-       CAST(NULL AS INTEGER) AS n_steps, try_cast(o_orderstatus AS INTEGER) AS n_ingredients,
+       CAST(nullif(length(o_orderpriority), 8) AS INTEGER) AS n_steps,
+       try_cast(replace(o_orderpriority, '-LOW', '') AS INTEGER) AS n_ingredients,
        CAST(o_orderdate AS DATE) AS submitted, 'orders' AS source
 FROM orders
 """,
@@ -184,7 +185,7 @@ SELECT doc_id, nullif(replace(lang, 'en', ''), '') AS foreign_lang, nullif(sourc
 FROM documents
 """,
     "cast_lenient": f"""
-SELECT event_id, try_cast(props AS BIGINT) AS props_long,
+SELECT event_id, try_cast(replace(props, '{{"k": 9}}', '9') AS BIGINT) AS nine,
        try_cast({_DIGITS} AS INTEGER) AS k,
        try_cast({_DIGITS} || {_DIGITS} AS TINYINT) AS k_twice,
        CAST(ts AS DATE) AS "day",
@@ -193,7 +194,7 @@ FROM events
 """,
     "conform_union": """
 SELECT o_orderkey AS recipe_id, o_orderpriority AS title, CAST(o_custkey AS INTEGER) AS "minutes",
-       try_cast(o_orderstatus AS INTEGER) AS n_steps,
+       try_cast(replace(o_orderpriority, '-LOW', '') AS INTEGER) AS n_steps,
        CAST(length(o_orderpriority) AS INTEGER) AS n_ingredients,
        CAST(o_orderdate AS DATE) AS submitted, 'foodcom' AS source
 FROM orders

@@ -84,7 +84,9 @@ def curate(spark: SparkSession, raw: RawPaths, out: str) -> CuratedTables:
             f"{curated}/recipe_ingredients",
             RECIPE_INGREDIENTS,
         )
-        known = keep_referenced(conform_interactions(ratings), recipes, "recipe_id")
+        known = keep_referenced(
+            conform_interactions(ratings), recipes, "recipe_id", unique_parent=True
+        )
         numbered = row_ids(
             known, ["recipe_id", "user_id", "interaction_date", "rating"], "interaction_id"
         )

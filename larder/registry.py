@@ -117,8 +117,8 @@ def curated_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("orders").alias("source"),
         F.col("o_orderdate").cast("date").alias("submitted"),
         blank_if_low.alias("minutes"),
-        F.lit(None).cast("string").alias("n_steps"),
-        F.col("o_orderstatus").alias("n_ingredients"),
+        F.nullif(F.length("o_orderpriority"), F.lit(8)).alias("n_steps"),
+        F.replace("o_orderpriority", F.lit("-LOW"), F.lit("")).alias("n_ingredients"),
         F.col("o_orderpriority").alias("title"),
         F.col("o_orderkey").alias("recipe_id"),
     )
@@ -145,7 +145,7 @@ def cast_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     some_day = F.concat(F.date_format(day, "yyyy-MM-"), F.lpad(digits, 2, "0"))
     return table(spark, sf_dir, "events").select(
         "event_id",
-        to_type("props", "long").alias("props_long"),
+        to_type(F.replace("props", F.lit('{"k": 9}'), F.lit("9")), "long").alias("nine"),
         to_type(digits, "int").alias("k"),
         to_type(F.concat(digits, digits), "tinyint").alias("k_twice"),
         day.alias("day"),
@@ -159,7 +159,7 @@ def conform_union(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("id"),
         F.col("o_orderpriority").alias("name"),
         F.col("o_custkey").cast("string").alias("minutes"),
-        F.col("o_orderstatus").alias("n_steps"),
+        F.replace("o_orderpriority", F.lit("-LOW"), F.lit("")).alias("n_steps"),
         F.length("o_orderpriority").cast("string").alias("n_ingredients"),
         F.col("o_orderdate").cast("date").cast("string").alias("submitted"),
     )

@@ -9,7 +9,7 @@ from larder import registry, standins
 from larder.functions.text import explode_list
 from larder.operators import layout
 from larder.operators.dimension import normalized_items, recipe_ingredients
-from larder.operators.references import keep_referenced
+from larder.operators.references import keep_referenced, orphans
 from larder.operators.topk import any_of
 from larder.plans import ranking, search
 from larder.workspace import scratch_path, stage
@@ -153,9 +153,10 @@ def test_hot_recipe_is_split_in_the_reference_filter(spark, small_skew_limits):
         "ratings",
     )
     recipes = stage(spark.range(60_000).withColumnRenamed("id", "recipe_id"), "recipes")
-    kept = keep_referenced(ratings, recipes, "recipe_id")
-    assert "skew=true" in final_plan_of(kept)
-    assert kept.count() == 60_000
+    for unique_parent in (True, False):
+        kept = keep_referenced(ratings, recipes, "recipe_id", unique_parent)
+        assert "skew=true" in final_plan_of(kept)
+        assert kept.count() == 60_000
 
 
 def test_bucketed_layout_needs_no_exchange(spark, no_broadcast):
@@ -246,6 +247,32 @@ def test_hot_ingredient_spans_files(spark):
     assert per_file < 30_000 / 6
 
 
+def test_copies_of_one_row_span_files(spark):
+    """A third of the rows are the same pair."""
+    rows = stage(
+        spark.range(30_000).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("recipe_id"),
+            F.lit(1).alias("ingredient_id"),
+        ),
+        "copies",
+    )
+    laid_out = layout.junction_by_ingredient(rows, scratch_path(spark, "copies"), files=12)
+    per_file = laid_out.groupBy(F.input_file_name()).count()
+    assert per_file.agg(F.max("count")).collect()[0][0] < 30_000 / 6
+    assert laid_out.exceptAll(rows).count() == 0 and laid_out.count() == 30_000
+
+
+def test_common_keys_collapse_before_the_orphan_join(spark, no_broadcast):
+    child = stage(spark.range(1_000).select((F.col("id") % 5).alias("k")), "child")
+    parent = stage(spark.range(1_000).select((F.col("id") % 3).alias("k")), "parent")
+    lost = orphans(child, "k", parent)
+    plan = plan_of(lost)
+    assert sorted(map(tuple, lost.collect())) == [(3, 200), (4, 200)]
+    assert plan.count("Exchange") == 2
+    # Each side is combined on both sides of its one shuffle.
+    assert plan.count("HashAggregate") == 4
+
+
 def test_plain_layout_is_idempotent(spark):
     recipes = standins.ranked_recipes(spark, SF_DIR)
     path = scratch_path(spark, "l4")
