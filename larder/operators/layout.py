@@ -47,7 +47,7 @@ def recipes_by_minutes(recipes: DataFrame, path: str, files: int | None = None)
 
 def plain(df: DataFrame, path: str) -> DataFrame:
     """Back to no particular layout (L4); repeating it changes nothing."""
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -92,7 +92,8 @@ def ratings_by_recipe(
     """
     spark = interactions.sparkSession
     hot_ids = hot_values(interactions, "recipe_id", buckets)
-    is_hot = F.coalesce(F.col("recipe_id").isin(hot_ids), F.lit(False))
+    # Rows without a recipe would all hash to one bucket.
+    is_hot = F.col("recipe_id").isNull() | F.col("recipe_id").isin(hot_ids)
     hot_path = f"{path}/interactions_hot"
     interactions.filter(is_hot).write.mode("overwrite").parquet(hot_path)
     cold = interactions.filter(~is_hot)
