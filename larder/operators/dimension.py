@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from larder.functions.text import normalize
 from larder.operators.ids import dense_ids
 
+# Largest name-to-id map that is broadcast, and what a row costs besides its name.
+BROADCAST_BYTES = 256 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 64
+
 
 def normalized_items(raw_items: DataFrame) -> DataFrame:
     """Distinct (recipe_id, ingredient_name_norm) of (recipe_id, ingredient_name_raw).
@@ -34,13 +38,22 @@ def ingredient_dimension(items: DataFrame) -> DataFrame:
     )
 
 
+def _fits_every_executor(ingredients: DataFrame) -> bool:
+    """Whether the name-to-id map is small enough to copy everywhere, measured on the table."""
+    row = F.octet_length("ingredient_name_norm") + F.lit(ROW_OVERHEAD_BYTES)
+    size = ingredients.agg(F.sum(row.cast("long"))).collect()[0][0] or 0
+    return size <= BROADCAST_BYTES
+
+
 def recipe_ingredients(items: DataFrame, ingredients: DataFrame) -> DataFrame:
     """(recipe_id, ingredient_id) pairs of de-duplicated items.
 
-    The dimension is a written table, so Spark knows its size and broadcasts it only below
-    ``spark.sql.autoBroadcastJoinThreshold``. Above that it is a sort-merge join on the name with
-    nothing downstream that needs its partitioning, which leaves AQE free to split the partitions
-    of hot names.
+    Both are written tables. A dimension of some million names is copied to the executors, which
+    saves shuffling every item by its name. Beyond the measured limit it is a sort-merge join on
+    the name with nothing downstream that needs its partitioning, which leaves AQE free to split
+    the partitions of hot names.
     """
     ids = ingredients.select("ingredient_name_norm", "ingredient_id")
+    if _fits_every_executor(ingredients):
+        ids = F.broadcast(ids)
     return items.join(ids, "ingredient_name_norm").select("recipe_id", "ingredient_id")

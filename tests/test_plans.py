@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from larder import registry, standins
 from larder.functions.text import explode_list
 from larder.operators import layout
-from larder.operators.dimension import normalized_items, recipe_ingredients
+from larder.operators.dimension import (
+    ingredient_dimension,
+    normalized_items,
+    recipe_ingredients,
+)
 from larder.operators.references import keep_referenced, orphans
 from larder.operators.topk import any_of
 from larder.plans import ranking, search
@@ -134,7 +138,8 @@ def small_skew_limits(conf, no_broadcast):
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
 
 
-def test_hot_name_is_split_in_the_junction_join(spark, small_skew_limits):
+def test_hot_name_is_split_in_the_junction_join(spark, small_skew_limits, monkeypatch):
+    monkeypatch.setattr("larder.operators.dimension.BROADCAST_BYTES", 0)
     items = stage(skewed(spark, 60_000), "items")
     names = items.select("ingredient_name_norm").distinct()
     dimension = stage(
@@ -145,6 +150,13 @@ def test_hot_name_is_split_in_the_junction_join(spark, small_skew_limits):
     assert joined.count() == 60_000
 
 
+def test_dimension_that_fits_is_broadcast(spark, no_broadcast):
+    items = stage(skewed(spark, 1_000), "items")
+    dimension = stage(ingredient_dimension(items), "names")
+    plan = plan_of(recipe_ingredients(items, dimension))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_hot_recipe_is_split_in_the_reference_filter(spark, small_skew_limits):
     ratings = stage(
         skewed(spark, 60_000).select(
