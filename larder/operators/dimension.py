@@ -29,7 +29,10 @@ def normalized_items(raw_items: DataFrame) -> DataFrame:
 
 
 def ingredient_dimension(items: DataFrame) -> DataFrame:
-    """One row per distinct name, with dense ids in name order."""
+    """One row per distinct name, with dense ids in name order.
+
+    Numbering leaves the rows sorted, so the table as written lets a search for a name skip files.
+    """
     names = items.select("ingredient_name_norm").distinct()
     return dense_ids(names, ["ingredient_name_norm"], "ingredient_id", T.IntegerType()).select(
         "ingredient_id",

@@ -11,13 +11,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 SLACK = 200
 # Above this k the leaders are not brought to the driver.
 MAX_LEADERS = 1_000
+# On disk. Up to here building a hash table of the lookup costs less than another Spark job.
+SMALL_LOOKUP_BYTES = 2 * 1024 * 1024
 
 
-def _will_be_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's size estimate of ``df`` is below its limit for broadcasting."""
+def _is_small(df: DataFrame) -> bool:
+    """Whether Spark will broadcast ``df`` by its own estimate, at little cost."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    return int(str(size)) <= min(limit, SMALL_LOOKUP_BYTES)
 
 
 def any_of(column: str, values: Sequence[int]) -> Column:
@@ -41,15 +43,15 @@ def top_k_existing(
     ``key`` is a number, unique in ``lookup``; ``order`` is total over ``candidates`` up to equal
     rows.
 
-    A small ``lookup`` is simply joined. A big one would have to be shuffled, and as the join
-    drops orphans, a limit before it could come out short. So the first k + SLACK candidates are
+    A small ``lookup`` is simply joined. A big one would have to be copied or shuffled, and as the
+    join drops orphans, a limit before it could come out short. So the first k + SLACK candidates are
     taken without a shuffle and looked up by a pushed-down key filter. If there were no more
     candidates, or at least k are found, that is the answer: whatever was left out sorts behind.
     Otherwise the full join runs.
     """
     spark = candidates.sparkSession
     everything = candidates.join(lookup, key).orderBy(*order).limit(k)
-    if k > MAX_LEADERS or _will_be_broadcast(lookup):
+    if k > MAX_LEADERS or _is_small(lookup):
         return everything
     reach = k + SLACK
     leaders = candidates.orderBy(*order).limit(reach + 1).toArrow()

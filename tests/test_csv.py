@@ -135,6 +135,27 @@ def test_odd_line_ends(spark, tmp_path, end):
     assert rows_of(landed) == want
 
 
+@pytest.mark.parametrize(
+    "content",
+    [
+        b"\xef\xbb\xbfid,p\n1,x\n",
+        b'id,p\n1,"x\ny"',
+        b"id,p\n1,x",
+        b'id,p\n1,"x\n2,y\n',
+        b'id,p\n1,"x"y\n2,"z" \n',
+        b'id,p\n1,x "quoted" y\n2,"a ""b"" c"\n',
+        b"id,p\n\xff\xfe,caf\xc3\xa9\n",
+    ],
+    ids=["bom", "open end", "no last line end", "open quote", "after quote", "inner", "not utf-8"],
+)
+def test_odd_files(spark, tmp_path, content):
+    (tmp_path / "a.csv").write_bytes(content)
+    scanned = scan_csv(spark, str(tmp_path / "a.csv"))
+    landed = land_csv(spark, str(tmp_path / "a.csv"), str(tmp_path / "o"), 0)
+    assert landed.columns == scanned.columns
+    assert rows_of(landed) == rows_of(scanned)
+
+
 def test_mixed_line_ends(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b'id,p\n1,"x\r\ny"\r\n2,z\n3,"q"\r\n')
     want = rows_of(scan_csv(spark, str(tmp_path / "a.csv")))

@@ -150,6 +150,15 @@ def test_hot_name_is_split_in_the_junction_join(spark, small_skew_limits, monkey
     assert joined.count() == 60_000
 
 
+def test_written_dimension_is_in_name_order(spark, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    items = stage(skewed(spark, 10_000), "items")
+    dimension = stage(ingredient_dimension(items), "names")
+    one = dimension.filter(F.col("ingredient_name_norm") == "item 500")
+    assert scan_rows(one) < dimension.count() / 4
+    assert one.count() == 1
+
+
 def test_dimension_that_fits_is_broadcast(spark, no_broadcast):
     items = stage(skewed(spark, 1_000), "items")
     dimension = stage(ingredient_dimension(items), "names")
