@@ -26,7 +26,7 @@ def scan_bytes(input_bytes: int) -> int:
 
 
 def size_session(spark: SparkSession, *paths: str) -> None:
-    """Set the session's widths for inputs at ``paths``, never below the current shuffle width.
+    """Raise the session's widths to what inputs at ``paths`` need.
 
     AQE merges partitions that turn out small but, outside skewed joins, does not split big ones,
     so the width has to be enough for the largest shuffle: the raw data.
@@ -34,4 +34,5 @@ def size_session(spark: SparkSession, *paths: str) -> None:
     total = sum(list_files(spark, p).agg(F.sum("bytes")).collect()[0][0] or 0 for p in paths)
     width = shuffle_partitions(total, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set("spark.sql.shuffle.partitions", width)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", scan_bytes(total))
+    if scan_bytes(total) > SCAN_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", scan_bytes(total))
