@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Candidates looked at beyond k before giving up on the short way.
 SLACK = 200
-# Above this k the leaders are not brought to the driver.
+# Most rows brought to the driver to be looked up one by one.
 MAX_LEADERS = 1_000
 # On disk. Up to here building a hash table of the lookup costs less than another Spark job.
 SMALL_LOOKUP_BYTES = 2 * 1024 * 1024
@@ -35,6 +36,27 @@ def any_of(column: str, values: Sequence[int]) -> Column:
     return F.expr(f"{column} IN ({', '.join(map(str, values))}) AND ({one_by_one})")
 
 
+def _looked_up(rows: pa.Table, schema: T.StructType, lookup: DataFrame, key: str) -> DataFrame:
+    """A few local rows joined to ``lookup``, reading little of it."""
+    keys = pc.unique(rows[key].drop_null()).to_pylist()
+    local = lookup.sparkSession.createDataFrame(rows, schema=schema)
+    return lookup.filter(any_of(key, keys)).join(F.broadcast(local), key)
+
+
+def join_existing(candidates: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """Rows of ``candidates`` whose key, a number, is in ``lookup``, joined to it.
+
+    If ``lookup`` is big but there are few candidates, which a first pass over them tells, they
+    are looked up by a pushed-down key filter and ``lookup`` is not shuffled.
+    """
+    if _is_small(lookup):
+        return candidates.join(lookup, key)
+    few = candidates.orderBy(key).limit(MAX_LEADERS + 1).toArrow()
+    if few.num_rows > MAX_LEADERS:
+        return candidates.join(lookup, key)
+    return _looked_up(few, candidates.schema, lookup, key)
+
+
 def top_k_existing(
     candidates: DataFrame, lookup: DataFrame, key: str, order: Sequence[Column], k: int
 ) -> DataFrame:
@@ -44,21 +66,18 @@ def top_k_existing(
     rows.
 
     A small ``lookup`` is simply joined. A big one would have to be copied or shuffled, and as the
-    join drops orphans, a limit before it could come out short. So the first k + SLACK candidates are
-    taken without a shuffle and looked up by a pushed-down key filter. If there were no more
+    join drops orphans, a limit before it could come out short. So the first k + SLACK candidates
+    are taken without a shuffle and looked up by a pushed-down key filter. If there were no more
     candidates, or at least k are found, that is the answer: whatever was left out sorts behind.
     Otherwise the full join runs.
     """
-    spark = candidates.sparkSession
     everything = candidates.join(lookup, key).orderBy(*order).limit(k)
     if k > MAX_LEADERS or _is_small(lookup):
         return everything
     reach = k + SLACK
     leaders = candidates.orderBy(*order).limit(reach + 1).toArrow()
-    first = leaders.slice(0, reach)
-    keys = pc.unique(first[key].drop_null()).to_pylist()
-    leading = F.broadcast(spark.createDataFrame(first, schema=candidates.schema))
-    found = lookup.filter(any_of(key, keys)).join(leading, key).orderBy(*order).limit(k)
+    first = _looked_up(leaders.slice(0, reach), candidates.schema, lookup, key)
+    found = first.orderBy(*order).limit(k)
     if leaders.num_rows > reach and len(found.collect()) < k:
         return everything
     return found

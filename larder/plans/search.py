@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larder.functions.text import normalize_terms
-from larder.operators.topk import top_k_existing
+from larder.operators.topk import join_existing, top_k_existing
 
 DISPLAY_LIMIT = 20
 
@@ -62,7 +62,7 @@ def _with_ingredient(
 def _titled(recipes: DataFrame, hits: DataFrame, limit: int | None) -> DataFrame:
     titles = recipes.select("recipe_id", "title")
     if limit is None:
-        return hits.join(titles, "recipe_id")
+        return join_existing(hits, titles, "recipe_id")
     return top_k_existing(hits, titles, "recipe_id", [F.col("recipe_id").asc()], limit)
 
 

@@ -9,7 +9,7 @@ from larder.operators.audits import duplicate_keys, key_summary
 from larder.operators.dedup import dedup_by_key
 from larder.operators.ids import dense_ids, row_ids
 from larder.operators.references import keep_referenced, orphans
-from larder.operators.topk import SLACK, lowest_k, top_k_existing
+from larder.operators.topk import SLACK, join_existing, lowest_k, top_k_existing
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -126,6 +126,17 @@ def test_top_k_leaders_all_orphans(spark, lookup_size):
     assert [r.k for r in got.collect()] == [990, 991, 992, 993, 994]
 
 
+@pytest.mark.parametrize("most", [5, 1_000])
+def test_join_existing(spark, lookup_size, monkeypatch, most):
+    monkeypatch.setattr("larder.operators.topk.MAX_LEADERS", most)
+    candidates = spark.createDataFrame([(i % 40,) for i in range(60)] + [(None,)], "k int")
+    lookup = spark.createDataFrame([(i, f"t{i}") for i in range(0, 80, 3)], "k int, title string")
+    got = join_existing(candidates, lookup, "k").select("k", "title")
+    want = candidates.join(lookup, "k").select("k", "title")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert join_existing(candidates.limit(0), lookup, "k").count() == 0
+
+
 def test_lowest_k(spark):
     df = spark.createDataFrame(
         [(i, None if i % 7 == 0 else i % 4, "x" * i) for i in range(60)],

@@ -96,17 +96,20 @@ def test_agg_first_shuffles_the_sums_only(spark, no_broadcast):
     assert "Exchange hashpartitioning" not in titles and "lineitem" not in titles
 
 
-def test_multi_ingredient_shuffles_each_list_once(spark, no_broadcast):
+def test_multi_ingredient_shuffles_each_list_once(spark, no_broadcast, monkeypatch):
     recipes, ingredients, junction = standins.search_tables(spark, SF_DIR)
     hits = search._with_ingredient(
         ingredients, junction, [registry.TERM, registry.SECOND_TERM]
     )
     both = hits[0].distinct().join(hits[1].distinct(), "recipe_id", "left_semi")
     assert plan_of(both).count("Exchange hashpartitioning") == 2
-    k_way = search.multi_ingredient_k(
-        recipes, ingredients, junction, [registry.TERM, registry.SECOND_TERM]
-    )
-    # One for the junction, one for the recipes that get their titles.
+    terms = [registry.TERM, registry.SECOND_TERM]
+    # Few hits: the titles are looked up, recipes are not shuffled.
+    k_way = search.multi_ingredient_k(recipes, ingredients, junction, terms)
+    assert "Exchange hashpartitioning" not in plan_of(k_way)
+    # Many hits: one shuffle for the junction, one for the recipes that get their titles.
+    monkeypatch.setattr("larder.operators.topk.MAX_LEADERS", 10)
+    k_way = search.multi_ingredient_k(recipes, ingredients, junction, terms)
     assert plan_of(k_way).count("Exchange hashpartitioning") == 2
 
 
