@@ -188,6 +188,24 @@ def test_top_rated(done, query, broadcast_limit):
     assert query(done.recipes, done.interactions, 19, limit=1).collect()[0].title == "no list"
 
 
+def test_top_rated_counts_repeated_recipes_like_the_sql(spark):
+    recipes = spark.createDataFrame(
+        [(1, "a"), (1, "a"), (1, "b"), (2, "c")], "recipe_id long, title string"
+    )
+    ratings = spark.createDataFrame(
+        [(1, 5), (1, None), (1, 4), (2, 3)], "recipe_id long, rating int"
+    )
+    recipes.createOrReplaceTempView("r")
+    ratings.createOrReplaceTempView("x")
+    want = spark.sql(
+        "SELECT title, avg(rating), count(*) FROM x JOIN r USING (recipe_id) "
+        "GROUP BY recipe_id, title HAVING count(*) >= 2 ORDER BY 2 DESC, recipe_id, title"
+    ).collect()
+    assert [tuple(r) for r in top_rated(recipes, ratings, 2).collect()] == [
+        tuple(r) for r in want
+    ] == [("a", 4.5, 6), ("b", 4.5, 3)]
+
+
 def test_quick_recipes(done):
     rows = [tuple(r) for r in quick_recipes(done.recipes).collect()]
     assert rows == [
