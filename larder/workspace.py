@@ -39,30 +39,41 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/larder/{label}-{uuid.uuid4().hex}"
 
 
-_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete what ``stage`` writes inside the block once the block is left."""
-    paths: list[str] = []
-    token = _staged.set(paths)
+    """Delete what ``stage`` writes inside the block once the block is left.
+
+    The folder belongs to an otherwise empty database, and dropping that removes the folder on
+    any file system that Spark can write to.
+    """
+    name = f"larder_{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark)}/larder/{name}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+    token = _scope.set(folder)
     try:
         yield
     finally:
-        _staged.reset(token)
-        context = spark.sparkContext
-        for path in paths:
-            folder = context._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        _scope.reset(token)
+        spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to scratch as Parquet and return the written table."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    paths = _staged.get()
-    if paths is not None:
-        paths.append(path)
+    folder = _scope.get()
+    path = (
+        f"{folder}/{label}-{uuid.uuid4().hex}" if folder else scratch_path(df.sparkSession, label)
+    )
+    return write_table(df, path)
+
+
+def keep(df: DataFrame, label: str) -> DataFrame:
+    """Like ``stage``, but the table outlives the scope: for a result computed inside one."""
+    return write_table(df, scratch_path(df.sparkSession, label))
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
