@@ -8,6 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm.common import documents
 from larder.llm.exact_dedup import copy_groups
+from larder.llm.packing import pack
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_file(name: str = TOKENIZER) -> str:
+    """Where a public vocabulary lies; the file is installed beside its library on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), tokenizer_file())
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +29,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
 }
 
