@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Rows handed to Python at once. Texts can be long, so batches are kept far below Spark's default.
 ROWS_PER_BATCH = 512
-# Words of ASCII white space only: Spark's \s would do, but the set is spelt out as it is a contract.
-GAP = r"[\x20\x09-\x0D]+"
 
 
 def arrow_batches(spark: SparkSession) -> None:
@@ -26,19 +24,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def fold(doc_id: str | Column = "doc_id") -> Column:
+def fold(doc_id: str = "doc_id") -> Column:
     """The remainder that splits learning rows (0, 2) from held-out rows (1); null ids learn."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id) % 3, F.lit(0))
-
-
-def batch(schema: pa.Schema, columns: dict[str, Iterable]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            c if isinstance(c, pa.Array) else pa.array(c, schema.field(name).type)
-            for name, c in columns.items()
-        ],
-        schema=schema,
-    )
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3, F.lit(0))
 
 
 def texts_of(rows: pa.RecordBatch, name: str = "text") -> Iterator[str]:

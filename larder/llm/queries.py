@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm.common import documents
+from larder.llm import language
+from larder.llm.common import documents, fold
 from larder.llm.exact_dedup import copy_groups
 from larder.llm.packing import pack
 
@@ -28,9 +29,16 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy_groups(documents(spark, sf_dir))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language.predict(docs, language.train(docs, fold() != 1))
+    return found.select("doc_id", (fold() == 1).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLES: dict[str, str] = {
