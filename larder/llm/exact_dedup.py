@@ -4,10 +4,8 @@ Pass one sets bits for the hash of every text and keeps the bits that were set a
 Pass two tests every row against those bits. A row with a bit that nothing else set has no copy and
 goes straight through; only the others are shuffled and grouped.
 
-The filter is a blocked one: ``HASHES`` bits of a text lie in one block of 4 KB, so a row looks up a
-single block. Blocks are rows of a table ``(block, bits)`` made with Spark's bitmap aggregates, and
-are broadcast while the filter is at most ``BROADCAST_BYTES``. Filters beyond that are joined by
-block, which shuffles an id and a hash per row and still no text.
+Of 1000 texts without a copy about 5 are shuffled in vain. A filter too large to broadcast is joined
+instead (see ``bits``).
 
 Defined cases: null text counts as empty; a null id is smaller than any other; of rows equal in text
 and id one stays; empty tables give empty results; further columns pass through unread.
@@ -17,74 +15,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from larder.llm.bits import blocks_for, mark, set_bits
 from larder.llm.common import row_of
 from larder.workspace import keep, scratch_scope, stage
 
-# Bits of one bitmap, as bitmap_construct_agg makes them.
-BLOCK_BITS = 32_768
-BITS_PER_ROW = 16
-HASHES = 3
-# Largest filter sent to every executor: enough for 134 million rows.
-BROADCAST_BYTES = 256 << 20
-
-
-def _blocks(rows: int) -> int:
-    return max(1, -(-rows * BITS_PER_ROW // BLOCK_BITS))
-
-
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(key, F.lit(blocks))
-
-
-def _positions(key: Column) -> list[Column]:
-    """``HASHES`` bit numbers within a block, from a hash of the key independent of its block."""
-    mixed = F.xxhash64(key)
-    return [
-        F.shiftrightunsigned(mixed, 15 * i).bitwiseAND(BLOCK_BITS - 1) for i in range(HASHES)
-    ]
-
-
-def repeated_bits(keys: DataFrame, blocks: int) -> DataFrame:
-    """Pass one: ``(block, bits)`` of the bits that the hashes in ``key`` set twice or more.
-
-    Counts combine in each task before the shuffle, so copies cost no more than one row per task.
-    """
-    bits = keys.select(
-        _block(F.col("key"), blocks).alias("block"),
-        F.explode(F.array(*_positions(F.col("key")))).alias("bit"),
-    )
-    return (
-        bits.groupBy("block", "bit")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .groupBy("block")
-        .agg(F.bitmap_construct_agg("bit").alias("bits"))
-    )
-
-
-def _bit_set(bits: Column, position: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bits, (position / 8).cast("int") + 1, F.lit(1))), 16, 10)
-    return F.getbit(byte.cast("int"), (position % 8).cast("int")) == 1
-
-
-def mark_suspects(rows: DataFrame, seen: DataFrame, blocks: int) -> DataFrame:
-    """Pass two: ``rows`` with ``suspect``, true wherever ``key`` occurs twice or more.
-
-    Few others are marked: of 1000 keys without a copy about 5.
-    """
-    if blocks * BLOCK_BITS // 8 <= BROADCAST_BYTES:
-        seen = F.broadcast(seen)
-    hit = F.lit(True)
-    for position in _positions(F.col("key")):
-        hit = hit & _bit_set(F.col("bits"), position)
-    return (
-        rows.withColumn("block", _block(F.col("key"), blocks))
-        .join(seen, "block", "left")
-        .withColumn("suspect", F.coalesce(hit, F.lit(False)))
-        .drop("block", "bits")
-    )
-
-
 def _sha(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
@@ -108,14 +42,17 @@ def copy_groups(docs: DataFrame) -> DataFrame:
             "hashes",
         )
         keyed = rows.withColumn("key", _key(F.col("sha")))
-        blocks = _blocks(rows.count())
-        seen = repeated_bits(keyed, blocks)
-        marked = stage(mark_suspects(keyed, seen, blocks).drop("key"), "marked")
+        blocks = blocks_for(rows.count())
+        seen = set_bits(keyed, blocks, at_least=2)
+        marked = stage(mark(keyed, seen, blocks, "suspect").drop("key"), "marked")
         suspects = marked.filter("suspect")
-        # Copies combine in each task first, so one huge group is a row per task here, and the
-        # join back is one whose hot key Spark splits.
-        groups = suspects.groupBy("sha").agg(
-            F.max(F.struct("doc_id", "row_number")).alias("top"), F.count(F.lit(1)).alias("n")
+        # Copies combine in each task first, so one huge group is a row per task here. Written, so
+        # that the join back shuffles both sides itself and Spark can split a hot text there.
+        groups = stage(
+            suspects.groupBy("sha").agg(
+                F.max(F.struct("doc_id", "row_number")).alias("top"), F.count(F.lit(1)).alias("n")
+            ),
+            "groups",
         )
         grouped = suspects.join(groups, "sha").select(
             "doc_id",
@@ -142,10 +79,10 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     with scratch_scope(spark):
         keys = docs.select(_key(_sha(F.col("text"))).alias("key"))
-        blocks = _blocks(keys.count())
-        seen = stage(repeated_bits(keys, blocks), "bits")
+        blocks = blocks_for(keys.count())
+        seen = stage(set_bits(keys, blocks, at_least=2), "bits")
         rows = row_of(docs).withColumn("sha", _sha(F.col("row.text")))
-        marked = mark_suspects(rows.withColumn("key", _key(F.col("sha"))), seen, blocks)
+        marked = mark(rows.withColumn("key", _key(F.col("sha"))), seen, blocks, "suspect")
         single = marked.filter(~F.col("suspect")).select("row.*")
         best = (
             marked.filter("suspect")

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import language
+from larder.llm import language, mixing
 from larder.llm.common import documents, fold
 from larder.llm.exact_dedup import copy_groups
+from larder.llm.near_dedup import near_duplicates
 from larder.llm.packing import pack
 
 TOKENIZER = "word_bpe_49k.json"
@@ -35,10 +36,23 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold() == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source", "lang")
+    return mixing.mix(docs).select(
+        "row.doc_id", "tokens", "source", "lang", "topic", "weight", "probability", "kept"
+    )
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), similarity=0.85).drop("text_hash")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
     "op8_language_id": op8_language_id,
+    "op9_mixing": op9_mixing,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
