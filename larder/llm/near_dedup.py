@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larder.llm import bits
-from larder.llm.common import texts_of
+from larder.llm.common import Memo, texts_of
 from larder.llm.components import components
 from larder.workspace import keep, scratch_scope, stage
 
@@ -60,19 +60,15 @@ _STEPS = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E37
 _PROBES = np.random.default_rng(20).integers(0, REGISTERS, (PROBES, REGISTERS))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
+def word_hashes() -> Memo:
+    return Memo(xxhash.xxh3_64_intdigest, WORDS_KEPT)
 
 
-def shingles(text: str, hashes: WordHashes) -> np.ndarray:
+def shingles(text: str, hashes: Memo) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of a text."""
     # On bytes, lower() is of A-Z alone and split() of ASCII white space alone.
     words = text.encode().lower().split()
-    if len(hashes) > WORDS_KEPT:
-        hashes.clear()
-    found = np.fromiter(map(hashes.__getitem__, words), _U, len(words))
+    found = np.array(hashes.all(words), _U)
     size = min(WORDS, len(words))
     if not size:
         return found
@@ -142,7 +138,7 @@ def _sketch(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, n_shingles, digest, sketch``; digest and sketch null without words."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for rows in batches:
             sets = [shingles(text, hashes) for text in texts_of(rows)]
             table = registers(sets)
@@ -274,7 +270,7 @@ def _verified(
         return texts.select(F.col("node").alias(name), F.col("text").alias(f"{name}_text"))
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         last: tuple[str, np.ndarray] | None = None
         for rows in batches:
             linked = []

@@ -13,22 +13,26 @@ null ids stay null; empty tables give empty results; further columns are not rea
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from larder.llm.common import texts_of
+from larder.llm.common import Memo, texts_of
 from larder.workspace import keep, scratch_scope, stage
 
 CAPACITY = 4096
 END_ID = 1
 # Pieces packed by one task: bounds its memory (about 4 MB of numbers) and its time (about 1 s).
 GROUP_PIECES = 50_000
-# Distinct words whose ids a task remembers; past it the memory starts anew.
-WORDS_KEPT = 400_000
+# Distinct words whose ids a worker remembers (about 160 MB); past it the memory starts anew.
+WORDS_KEPT = 800_000
 
 PIECES = pa.schema(
     [
@@ -42,27 +46,56 @@ PIECES = pa.schema(
 )
 
 
-class WordIds(dict):
-    """Little-endian 32-bit ids of white-space separated chunks, encoded once each.
+# Runs that the tokenizer splits at: letters, single digits, signs other than the apostrophe (which
+# may begin an ending of a word). Where a chunk is made of such runs alone they are encoded apart.
+RUNS = re.compile(r"[^\W\d_]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+SPECIAL = b"<|"
+# Byte-level vocabularies spell a byte as the sign of that number; the 68 bytes without a visible one
+# take the numbers from 256 on, in order.
+VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in VISIBLE)}
 
-    The tokenizer drops white space and joins nothing across it, so the ids of a text are those of
-    its chunks one after the other (tests compare both ways).
+
+class WordIds:
+    """Little-endian 32-bit ids of white-space separated chunks, each worked out once.
+
+    The tokenizer drops white space, joins nothing across it or across a run's end, and ignores case:
+    so the ids of a text are those of its chunks, and of their runs, one after the other (tests
+    compare with whole texts).
     """
 
     def __init__(self, tokenizer_file: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        found = self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
-        ids = self[chunk] = np.array(found, "<u4").tobytes()
-        return ids
+        self.chunks = Memo(self._encode, WORDS_KEPT)
+
+    def _encode(self, chunk: bytes) -> bytes:
+        if chunk[-1:] in (b".", b",") and chunk[:-1].isalpha():
+            return self.chunks.one(chunk[:-1]) + self.chunks.one(chunk[-1:])
+        text = chunk.decode()
+        if text.isalpha() and text == text.lower() and is_normalized("NFC", text):
+            # A plain word is one run as it stands: only the byte-pair step is left to do.
+            spelt = chunk.decode("latin-1").translate(BYTE_SIGNS)
+            ids = [token.id for token in self.tokenizer.model.tokenize(spelt)]
+            return array("I", ids).tobytes()
+        runs = RUNS.findall(text)
+        apart = len(runs) > 1 and SPECIAL not in chunk and "".join(runs) == text
+        if apart and all(run.isascii() or run.isalpha() for run in runs):
+            return b"".join([self.chunks.one(run.encode()) for run in runs])
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def of(self, text: str) -> bytes:
-        if len(self) > WORDS_KEPT:
-            self.clear()
-        return b"".join(map(self.__getitem__, text.encode().split()))
+        raw = text.encode()
+        # Special tokens alone are matched by case.
+        chunks = (raw if SPECIAL in raw else raw.lower()).split()
+        return b"".join(self.chunks.all(chunks))
+
+
+@cache
+def word_ids(tokenizer_file: str) -> WordIds:
+    """One memory for all tasks of a worker process."""
+    return WordIds(tokenizer_file)
 
 
 def tokenize_pieces(
@@ -77,7 +110,7 @@ def tokenize_pieces(
     width = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_file)
+        words = word_ids(tokenizer_file)
         for rows in batches:
             of, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, text in enumerate(texts_of(rows)):

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from larder.llm.common import texts_of
+from larder.llm.common import Memo, texts_of
 
 TOPICS = 8
 SLOTS = 1_024
@@ -24,26 +23,20 @@ WORDS_KEPT = 500_000
 WORD = re.compile(r"[^\W\d_]{2,}")
 
 
-class Slots(dict):
-    def __missing__(self, word: str) -> int:
-        slot = self[word] = zlib.crc32(word.encode()) % SLOTS
-        return slot
+def _slot(word: str) -> int:
+    return zlib.crc32(word.encode()) % SLOTS
 
 
-def _vector(text: str, slots: Slots) -> np.ndarray:
+def _vector(text: str, slots: Memo) -> np.ndarray:
     """Root word counts by hashed slot, of length one; zeros without words."""
-    if len(slots) > WORDS_KEPT:
-        slots.clear()
-    vector = np.zeros(SLOTS, np.float32)
-    for word, n in Counter(WORD.findall(text.lower())).items():
-        vector[slots[word]] += n
-    vector = np.sqrt(vector)
+    at = slots.all(WORD.findall(text.lower()))
+    vector = np.sqrt(np.bincount(at, minlength=SLOTS).astype(np.float32)) if at else np.zeros(SLOTS)
     length = np.linalg.norm(vector)
     return vector / length if length else vector
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    slots = Slots()
+    slots = Memo(_slot, WORDS_KEPT)
     for rows in batches:
         data = [_vector(text, slots).astype(np.float16).tobytes() for text in texts_of(rows)]
         yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], names=["vector"])
@@ -74,7 +67,7 @@ def fit(docs: DataFrame, topics: int = TOPICS, sample: int = SAMPLE) -> np.ndarr
 
 def topic_of(text: Column, centres: np.ndarray) -> Column:
     """The number of the nearest centre; null for texts without words, or without centres."""
-    slots = Slots()
+    slots = Memo(_slot, WORDS_KEPT)
 
     @F.pandas_udf("int")
     def nearest(texts):  # type: ignore[no-untyped-def]
