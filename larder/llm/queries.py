@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import language, mixing
+from larder.llm import language, mixing, quality
 from larder.llm.common import documents, fold
 from larder.llm.exact_dedup import copy_groups
 from larder.llm.near_dedup import near_duplicates
@@ -30,6 +30,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy_groups(documents(spark, sf_dir))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = language.predict(docs, language.train(docs, fold() != 1))
@@ -50,6 +54,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality": op3_quality,
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
     "op10_near_dedup": op10_near_dedup,
@@ -65,4 +70,5 @@ ORACLES: dict[str, str] = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op3_quality": quality.ORACLE,
 }
