@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import language, mixing, quality
+from larder.llm import language, mixing, quality, secrets, sharding, toxicity
 from larder.llm.common import documents, fold
 from larder.llm.exact_dedup import copy_groups
 from larder.llm.near_dedup import near_duplicates
@@ -34,6 +34,21 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found = toxicity.score(docs, toxicity.train(docs, labels, fold() != 1))
+    return found.select("doc_id", (fold() == 1).alias("held_out"), "score", "predicted")
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(documents(spark, sf_dir)).drop("row_number")
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(documents(spark, sf_dir)))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = language.predict(docs, language.train(docs, fold() != 1))
@@ -55,6 +70,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
+    "op5_sharding": op5_sharding,
+    "op6_secrets": op6_secrets,
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
     "op10_near_dedup": op10_near_dedup,
