@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import language, mixing, quality, secrets, sharding, toxicity
-from larder.llm.common import documents, fold
+from larder.llm.common import arrow_batches, documents, fold
 from larder.llm.exact_dedup import copy_groups
+from larder.llm.html_text import extract
 from larder.llm.near_dedup import near_duplicates
 from larder.llm.packing import pack
 
@@ -49,6 +50,11 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(documents(spark, sf_dir)))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrow_batches(spark)
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = language.predict(docs, language.train(docs, fold() != 1))
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_sharding": op5_sharding,
     "op6_secrets": op6_secrets,
+    "op7_html_text": op7_html_text,
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
     "op10_near_dedup": op10_near_dedup,
