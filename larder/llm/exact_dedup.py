@@ -19,6 +19,7 @@ from larder.llm.bits import blocks_for, mark, set_bits
 from larder.llm.common import row_of
 from larder.workspace import keep, scratch_scope, stage
 
+
 def _sha(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
@@ -76,18 +77,16 @@ def drop_copies(docs: DataFrame) -> DataFrame:
 
     Rows that pass the filter keep their place. Of the others each task sends on one row per text.
     """
-    spark = docs.sparkSession
-    with scratch_scope(spark):
-        keys = docs.select(_key(_sha(F.col("text"))).alias("key"))
-        blocks = blocks_for(keys.count())
-        seen = stage(set_bits(keys, blocks, at_least=2), "bits")
-        rows = row_of(docs).withColumn("sha", _sha(F.col("row.text")))
-        marked = mark(rows.withColumn("key", _key(F.col("sha"))), seen, blocks, "suspect")
-        single = marked.filter(~F.col("suspect")).select("row.*")
-        best = (
-            marked.filter("suspect")
-            .groupBy("sha")
-            .agg(F.max_by("row", F.struct("row.doc_id")).alias("row"))
-            .select("row.*")
-        )
-        return keep(single.unionByName(best), "distinct")
+    keys = docs.select(_key(_sha(F.col("text"))).alias("key"))
+    blocks = blocks_for(keys.count())
+    seen = keep(set_bits(keys, blocks, at_least=2), "bits")
+    rows = row_of(docs).withColumn("sha", _sha(F.col("row.text")))
+    marked = mark(rows.withColumn("key", _key(F.col("sha"))), seen, blocks, "suspect")
+    single = marked.filter(~F.col("suspect")).select("row.*")
+    best = (
+        marked.filter("suspect")
+        .groupBy("sha")
+        .agg(F.max_by("row", F.struct("row.doc_id")).alias("row"))
+        .select("row.*")
+    )
+    return single.unionByName(best)

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from larder.llm.common import texts_of
+from larder.llm.common import row_of, texts_of
 from larder.workspace import scratch_scope, stage
 
 UNKNOWN = "und"
@@ -36,6 +36,8 @@ GRAMS = 200_000
 # Lengths of n-grams, longest first.
 SIZES = (5, 4, 3, 2, 1)
 BACKOFF = math.log(0.4)
+# A document whose language is less certain is left out by keep_known.
+LEAST_SCORE = 0.4
 # Distinct unseen words whose scores a task remembers; past it the memory starts anew.
 WORDS_KEPT = 300_000
 
@@ -219,3 +221,26 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         label, "doc_id long, lang_pred string, score double"
     )
+
+
+def keep_known(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is known with at least ``least_score``.
+
+    A missing ``lang`` is filled in.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("lang string, score double")
+    def label(texts):  # type: ignore[no-untyped-def]
+        import pandas as pd
+
+        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang", "score"])
+
+    # Said not to be deterministic, so that the optimiser never runs it twice for a row.
+    label = label.asNondeterministic()
+    found = row_of(docs).withColumn("found", label(F.col("row.text")))
+    known = found.filter(
+        (F.col("found.lang") != UNKNOWN) & (F.col("found.score") >= least_score)
+    )
+    filled = F.coalesce("row.lang", "found.lang")
+    return known.select(F.col("row").withField("lang", filled).alias("row")).select("row.*")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larder.llm import bits
-from larder.llm.common import Memo, texts_of
+from larder.llm.common import Memo, row_of, texts_of
 from larder.llm.components import components
 from larder.workspace import keep, scratch_scope, stage
 
@@ -403,6 +403,15 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
     without an id stay unless a document with one is in their component.
     """
     found = near_duplicates(docs, similarity)
-    gone = found.filter(~F.col("kept")).select("doc_id", "text_hash").distinct()
-    same_text = F.xxhash64(docs["doc_id"], docs["text"]) == gone["text_hash"]
-    return docs.join(gone, same_text & docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    gone = keep(
+        found.filter(~F.col("kept")).select("doc_id", F.col("text_hash").alias("key")).distinct(),
+        "gone",
+    )
+    # A Bloom filter of the rows to go lets nearly all others pass without a shuffle.
+    blocks = bits.blocks_for(gone.count())
+    seen = keep(bits.set_bits(gone, blocks), "gone-bits")
+    rows = row_of(docs).withColumn("key", F.xxhash64("row.doc_id", "row.text"))
+    marked = bits.mark(rows, seen, blocks, "maybe")
+    same = (marked["key"] == gone["key"]) & F.col("row.doc_id").eqNullSafe(gone["doc_id"])
+    staying = marked.filter("maybe").join(gone, same, "left_anti")
+    return marked.filter(~F.col("maybe")).select("row.*").unionByName(staying.select("row.*"))

@@ -6,21 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from larder.llm import language, mixing, quality, secrets, sharding, toxicity
 from larder.llm.common import arrow_batches, documents, fold
 from larder.llm.exact_dedup import copy_groups
 from larder.llm.html_text import extract
 from larder.llm.near_dedup import near_duplicates
 from larder.llm.packing import pack
-
-TOKENIZER = "word_bpe_49k.json"
-
-
-def tokenizer_file(name: str = TOKENIZER) -> str:
-    """Where a public vocabulary lies; the file is installed beside its library on every machine."""
-    import public_tokenizers
-
-    return str(public_tokenizers.path(name))
+from larder.llm.vocabulary import tokenizer_file
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +65,12 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), similarity=0.85).drop("text_hash")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": pipeline,
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality": op3_quality,
