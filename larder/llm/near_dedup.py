@@ -12,10 +12,11 @@ all registers too.
 3. Pairs are compared by sizes, then by the estimated similarity (registers that agree, corrected for
    those that agree by chance), with a margin of ``DEVIATIONS`` standard deviations, then on their
    full sets. Links make components.
-4. Bands that still hold several components are compared member by member inside tasks, on registers
-   and in blocks of bounded size; only pairs from different components that pass the estimate come
-   out, and are verified too. So a band's members are either in one component or have all been
-   compared, and no band is too crowded to be looked at.
+4. Bands that still hold several components are compared member by member inside tasks, in blocks of
+   bounded size: pairs from different components by registers, in the first band they share, and
+   those that pass on their full sets. Of the links found a task puts out those that join components
+   not yet joined, so their number is bounded by the members'. So a band's members are in one
+   component or have all been compared, and no band is too crowded to be looked at.
 
 With the bands here a pair at the threshold of 0.8 is missed by banding with a chance of 3 in a
 million, one at 0.85 with 3 in a billion.
@@ -48,8 +49,9 @@ PER_BAND = 6
 BANDS = REGISTERS // PER_BAND
 # How far below the threshold an estimate may lie, in standard deviations, to be verified still.
 DEVIATIONS = 5
-# Members of a crowded band compared with one another by one task; more are dealt over several.
+# Members of a crowded band, and shingles of theirs, that make a block; a task compares two blocks.
 BLOCK = 2_048
+BLOCK_SHINGLES = 8_000_000
 # Distinct words whose hashes a task remembers; past it the memory starts anew.
 WORDS_KEPT = 500_000
 # Probes of a bucket that got nothing before it takes its nearest neighbour's.
@@ -189,11 +191,13 @@ def _bands(classes: DataFrame) -> DataFrame:
     keys = [
         F.xxhash64(F.lit(k), F.substring("sketch", width * k + 1, width)) for k in range(BANDS)
     ]
-    return classes.select("node", F.explode(F.array(*keys)).alias("band"))
+    return classes.select("node", "n", F.posexplode(F.array(*keys)).alias("slot", "band"))
 
 
 def _crowded(members: DataFrame, *by: Column) -> DataFrame:
-    return members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), *by)
+    return members.groupBy("band").agg(
+        F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"), *by
+    )
 
 
 def _pairs(members: DataFrame) -> DataFrame:
@@ -239,12 +243,11 @@ def _table(sketches: pa.Array) -> np.ndarray:
     return np.frombuffer(joined, np.uint16).reshape(len(sketches), REGISTERS)
 
 
-def _member_texts(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``(node, text)`` for every class in ``pairs``.
+def _member_texts(docs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(node, text)`` for every class in ``nodes``.
 
     A Bloom filter of the texts wanted keeps all others out of the shuffle.
     """
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = stage(
         classes.join(nodes, "node").select("node", "of.doc_id", F.col("of.text_hash").alias("key")),
         "wanted",
@@ -263,7 +266,8 @@ def _verified(
 ) -> DataFrame:
     """The pairs ``(a, b)`` whose full shingle sets are as similar as asked."""
     likely = stage(_plausible(pairs, classes, similarity), "likely")
-    texts = stage(_member_texts(docs, likely, classes), "texts")
+    nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    texts = stage(_member_texts(docs, nodes, classes), "texts")
     percent = round(100 * similarity)
 
     def end(name: str) -> DataFrame:
@@ -287,61 +291,83 @@ def _verified(
 
 
 def _leftover(
-    members: DataFrame, roots: DataFrame, classes: DataFrame, similarity: float
+    members: DataFrame, roots: DataFrame, docs: DataFrame, classes: DataFrame, similarity: float
 ) -> DataFrame:
-    """Pairs from different components in bands of four and more, by registers alone.
+    """Links ``(a, b)`` that join different components, from bands of four members and more.
 
-    Smaller bands were compared in whole with their two ends. Members are dealt into blocks of at
-    most about ``BLOCK``, and a task gets two blocks of one band.
+    Smaller bands were compared in whole with their two ends. Members are dealt into blocks, and a
+    task gets two blocks of one band.
     """
-    of = members.join(roots.withColumnRenamed("parent", "root"), "node", "left").select(
-        "band", "node", F.coalesce("root", "node").alias("root")
+    percent = round(100 * similarity)
+    rooted = members.join(roots.withColumnRenamed("parent", "root"), "node", "left")
+    of = stage(rooted.withColumn("root", F.coalesce("root", "node")), "rooted")
+    blocks = F.greatest(
+        F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)
     )
-    of = stage(of, "rooted")
     open_bands = stage(
         _crowded(of, F.min("root").alias("r"), F.max("root").alias("s"))
-        .filter("n > 3 and r < s")
-        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")),
+        .filter("members > 3 and r < s")
+        .select("band", blocks.cast("int").alias("blocks")),
         "open",
     )
+    inside = stage(of.join(open_bands, "band"), "inside")
+    texts = stage(_member_texts(docs, inside.select("node").distinct(), classes), "texts")
     dealt = (
-        of.join(open_bands, "band")
+        inside.drop("n")
         .join(classes.select("node", "n", "sketch"), "node")
+        .join(texts, "node")
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .select(
-            "band",
-            F.least("own", "other").alias("left"),
-            F.greatest("own", "other").alias("right"),
-            "own",
-            "node",
-            "root",
-            "n",
-            "sketch",
-        )
+        .withColumn("left", F.least("own", "other"))
+        .withColumn("right", F.greatest("own", "other"))
+        .select("band", "left", "right", "slot", "own", "node", "root", "n", "sketch", "text")
     )
 
     def compare(rows: pa.Table) -> pa.Table:
         own, node, root, n = (rows.column(c).to_numpy() for c in ("own", "node", "root", "n"))
+        left, right, slot = (rows.column(c)[0].as_py() for c in ("left", "right", "slot"))
         table = _table(rows.column("sketch").combine_chunks())
-        one, two = own == rows.column("left")[0].as_py(), own == rows.column("right")[0].as_py()
-        a, b = np.flatnonzero(one), np.flatnonzero(two)
-        found = [np.empty((0, 2), np.int64)]
+        hashes, sets = word_hashes(), {}
+        joined: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (up := joined.get(x, x)) != x:
+                x = up
+            return x
+
+        def full(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingles(rows.column("text")[i].as_py(), hashes)
+            return sets[i]
+
+        links = []
+        a, b = np.flatnonzero(own == left), np.flatnonzero(own == right)
         for at in range(0, len(a), 64):
             part = a[at : at + 64, None]
-            agree = (table[part] == table[b][None]).mean(axis=2)
+            agree = table[part] == table[b][None]
             size, other = n[part], n[b][None]
-            near = estimate(agree, size, other) >= similarity - margin(similarity, size, other)
+            likely = estimate(agree.mean(axis=2), size, other)
+            near = likely >= similarity - margin(similarity, size, other)
             near &= np.minimum(size, other) >= similarity * np.maximum(size, other) - 1e-6
-            near &= (root[part] != root[b][None]) & (node[part] != node[b][None])
+            near &= root[part] != root[b][None]
+            if left == right:
+                near &= node[part] < node[b][None]
             i, j = np.nonzero(near)
-            found.append(np.stack([node[part[i, 0]], node[b[j]]], axis=1))
-        pairs = np.concatenate(found)
-        return pa.table({"x": pa.array(pairs[:, 0]), "y": pa.array(pairs[:, 1])})
-
-    return _ordered(
-        dealt.groupBy("band", "left", "right").applyInArrow(compare, "x long, y long")
-    )
+            # A pair is looked at in the first band it shares, and nowhere else.
+            whole = agree[i, j, : BANDS * PER_BAND].reshape(-1, BANDS, PER_BAND).all(axis=2)
+            mine = whole.argmax(axis=1) == slot
+            for x, y in zip(part[i[mine], 0].tolist(), b[j[mine]].tolist(), strict=True):
+                one, two = top(root[x]), top(root[y])
+                if one == two:
+                    continue
+                shared = len(np.intersect1d(full(x), full(y), assume_unique=True))
+                if 100 * shared >= percent * (n[x] + n[y] - shared):
+                    joined[max(one, two)] = min(one, two)
+                    links.append((node[x], node[y]))
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    return dealt.groupBy("band", "left", "right").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -359,18 +385,17 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         classes = stage(_classes(sketches), "classes")
         bands = _bands(classes)
         crowded = stage(
-            _crowded(bands, F.min("node").alias("low"), F.max("node").alias("high")).filter("n > 1"),
+            _crowded(bands, F.min("node").alias("low"), F.max("node").alias("high")).filter("members > 1").drop("members", "shingles"),
             "crowded",
         )
         members = stage(bands.join(crowded, "band"), "members")
         first = stage(_pairs(members), "pairs")
         links = stage(_verified(first, docs, classes, similarity), "links")
         roots = components(links)
-        rest = _leftover(members.select("band", "node"), roots, classes, similarity)
-        rest = stage(rest.join(first, ["a", "b"], "left_anti"), "rest")
+        rest = _leftover(members.drop("low", "high"), roots, docs, classes, similarity)
+        rest = stage(rest, "more-links")
         if not rest.isEmpty():
-            more = stage(_verified(rest, docs, classes, similarity), "more-links")
-            roots = components(links.unionByName(more))
+            roots = components(links.unionByName(rest))
         of_class = stage(_named(classes, roots), "named")
         answer = sketches.join(of_class, "digest", "left").withColumn(
             "component_id", F.coalesce("component_id", "doc_id")
