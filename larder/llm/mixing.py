@@ -17,14 +17,14 @@ targets for absent levels are dropped and the rest scaled up; empty tables give
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larder.llm import topics
 from larder.llm.common import row_of
-from larder.workspace import scratch_scope, stage
+from larder.workspace import keep, scratch_scope, stage
 
 OTHER = "other"
 KEYS = ("source", "lang", "topic")
@@ -38,6 +38,7 @@ TOLERANCE = 1e-9
 SEED = 9
 
 Targets = Mapping[str, Mapping[str, float]]
+Topic = Callable[[Column], Column]
 
 
 def tokens(text: Column) -> Column:
@@ -68,6 +69,8 @@ def rake(actual: np.ndarray, levels: list[np.ndarray], wanted: list[np.ndarray])
     ``levels[k]`` numbers the level of key ``k`` in each cell, ``wanted[k]`` has the share of each
     level. Keeps the total; levels without tokens have no share.
     """
+    if not len(actual):
+        return actual
     fitted = actual.astype(float).copy()
     total = fitted.sum()
     shares = []
@@ -142,39 +145,72 @@ def draw(doc_id: Column, seed: int = SEED) -> Column:
     return bits.cast("double") / F.lit(float(1 << 53))
 
 
+def _measured(rows: DataFrame, topic: Topic) -> DataFrame:
+    """``row`` with its tokens and the values of the keys."""
+    return rows.select(
+        "row",
+        tokens(F.col("row.text")).alias("tokens"),
+        F.col("row.source").alias("source"),
+        F.col("row.lang").alias("lang"),
+        topic(F.col("row.text")).cast("string").alias("topic"),
+    )
+
+
+def _fitted_topics(docs: DataFrame) -> Topic:
+    centres = topics.fit(docs)
+    return lambda text: topics.topic_of(text, centres)
+
+
+def _decided(
+    measured: DataFrame, cells: DataFrame, targets: Targets | None, share: float, seed: int
+) -> DataFrame:
+    """``measured`` with the levels of its keys, ``weight``, ``probability`` and ``kept``."""
+    wanted = targets or default_targets(cells)
+    chances = probabilities(cells, wanted, share)
+    levels = measured.select("row", "tokens", *[_level(key, wanted).alias(key) for key in KEYS])
+    # At most LEVELS of each key: a table of a bounded size.
+    return levels.join(F.broadcast(chances), list(KEYS)).withColumn(
+        "kept", draw(F.col("row.doc_id"), seed) < F.col("probability")
+    )
+
+
+def _cells(measured: DataFrame) -> DataFrame:
+    return measured.groupBy(*KEYS).agg(F.sum("tokens").alias("tokens"))
+
+
 def mix(
     docs: DataFrame,
     targets: Targets | None = None,
     share: float = SHARE,
-    topic: Column | None = None,
+    topic: Topic | None = None,
     seed: int = SEED,
 ) -> DataFrame:
-    """``row, tokens, source, lang, topic, weight, probability, kept`` for every row of ``docs``
-    (``doc_id, text, source, lang``), which is in ``row`` whole. Texts are read twice, for the counts and for the result, and never shuffled.
+    """``doc_id, tokens, source, lang, topic, weight, probability, kept`` for every row of ``docs``
+    (``doc_id, text, source, lang``).
 
     ``weight`` is the cell's fitted over its actual tokens. Without ``targets`` the shares of the
-    corpus are flattened; without ``topic`` topics are fitted on a bounded sample.
+    corpus are flattened; without ``topic``, an expression of a text, topics are fitted on a bounded
+    sample. Texts are read once for all counts; the rest works on the measures.
     """
-    if topic is None:
-        topic = topics.topic_of(F.col("row.text"), topics.fit(docs))
-    read = row_of(docs).select(
-        "row",
-        tokens(F.col("row.text")).alias("tokens"),
-        F.col("row.source").alias("source"),
-        F.col("row.lang").alias("lang"),
-        topic.cast("string").alias("topic"),
-    )
+    read = _measured(row_of(docs), topic or _fitted_topics(docs))
     with scratch_scope(docs.sparkSession):
-        cells = stage(read.groupBy(*KEYS).agg(F.sum("tokens").alias("tokens")), "cells")
-        wanted = targets or default_targets(cells)
-        chances = probabilities(cells, wanted, share)
-    levels = read.select("row", "tokens", *[_level(key, wanted).alias(key) for key in KEYS])
-    # At most LEVELS of each key: a table of a bounded size.
-    return levels.join(F.broadcast(chances), list(KEYS)).withColumn(
-        "kept", draw(F.col("row.doc_id"), seed) < F.col("probability")
-    )
+        measured = stage(
+            read.select(F.struct("row.doc_id").alias("row"), "tokens", *KEYS), "measured"
+        )
+        cells = stage(_cells(measured), "cells")
+        decided = _decided(measured, cells, targets, share, seed)
+        result = ("tokens", *KEYS, "weight", "probability", "kept")
+        return keep(decided.select("row.doc_id", *result), "mixed")
 
 
-def sample(docs: DataFrame, targets: Targets | None = None, share: float = SHARE) -> DataFrame:
-    """The rows of ``docs`` that are drawn, all columns."""
-    return mix(docs, targets, share).filter("kept").select("row.*")
+def sample(
+    docs: DataFrame,
+    targets: Targets | None = None,
+    share: float = SHARE,
+    topic: Topic | None = None,
+    seed: int = SEED,
+) -> DataFrame:
+    """The rows of ``docs`` that are drawn, all columns. Texts are read twice and never shuffled."""
+    read = _measured(row_of(docs), topic or _fitted_topics(docs))
+    cells = keep(_cells(read), "cells")
+    return _decided(read, cells, targets, share, seed).filter("kept").select("row.*")

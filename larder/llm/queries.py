@@ -55,10 +55,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text", "source", "lang")
-    return mixing.mix(docs).select(
-        "row.doc_id", "tokens", "source", "lang", "topic", "weight", "probability", "kept"
-    )
+    return mixing.mix(documents(spark, sf_dir))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
