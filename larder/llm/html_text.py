@@ -207,6 +207,11 @@ def blocks_of(page: str) -> list[Block]:
     return [block for block in parsed.blocks if block.text]
 
 
+def _together(one: Block, other: Block) -> bool:
+    """Whether both are in one article, outside of what is barred there."""
+    return bool(one.main) and one.main == other.main and one.barred == other.barred
+
+
 def settle(blocks: list[Block], first: list[bool | None]) -> list[bool]:
     """Pass two: undecided blocks follow their nearest decided neighbours."""
 
@@ -225,7 +230,7 @@ def settle(blocks: list[Block], first: list[bool | None]) -> list[bool]:
         sides = [k for k in (left, right) if k is not None]
         if (own := first[i]) is not None:
             labels.append(own)
-        elif inside := [k for k in sides if blocks[k].main and blocks[k].main == blocks[i].main]:
+        elif inside := [k for k in sides if _together(blocks[k], blocks[i])]:
             labels.append(any(first[k] for k in inside))
         elif blocks[i].main or not sides:
             labels.append(True)
