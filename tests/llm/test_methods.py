@@ -1,0 +1,435 @@
+"""The methods against plain versions of themselves."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from larder.llm import html_text, language, mixing, near_dedup, packing, quality, secrets, sharding
+from larder.llm.automaton import compile_rules
+from larder.llm.bits import blocks_for, mark, set_bits
+from larder.llm.common import Memo
+from larder.llm.components import components
+from larder.llm.vocabulary import tokenizer_file
+from pyspark.sql import functions as F
+
+
+# Packing
+
+
+@pytest.fixture(scope="module")
+def words():
+    return packing.WordIds(tokenizer_file())
+
+
+ODD_TEXTS = [
+    "x́ ́y", "<|endoftext|> z<|startoftext|>", "<|ENDOFTEXT|>", "don't I'LL 'sx it 's ab'",
+    "q\x1cr\x85s t", "İSTANBUL ſ", "１２ 4½5", "﻿hi", "a\x00b", "ẛ̣",
+    "\U0001d518nicode \U0001f926\U0001f3fd‍♂", "ΑΣ ΣΑΣ", "a...b,c!!d e%%%", "≮ ≠",
+]
+
+
+@pytest.mark.parametrize("text", ODD_TEXTS)
+def test_ids_by_chunk_are_ids_of_the_text(words, text):
+    whole = words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(words.of(text), "<u4").tolist() == whole
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(max_size=60))
+def test_ids_of_any_text(text):
+    ids = packing.word_ids(tokenizer_file())
+    whole = ids.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ids.of(text), "<u4").tolist() == whole
+
+
+@settings(max_examples=60, deadline=None)
+@given(lengths=st.lists(st.integers(1, 64), max_size=120))
+def test_sum_of_squares_by_hand(lengths):
+    """Every piece goes where the sum over gaps of squared counts becomes smallest."""
+    capacity = 64
+    bins, offsets = packing.sum_of_squares(np.array(lengths, np.int64), capacity)
+    fill = Counter()
+    for i in np.argsort(-np.array(lengths, np.int64), kind="stable"):
+        gaps = Counter(capacity - used for used in fill.values() if used < capacity)
+
+        def total(gap, s=lengths[i], gaps=gaps):
+            after = Counter(gaps)
+            if gap < capacity:
+                after[gap] -= 1
+            if gap - s:
+                after[gap - s] += 1
+            return sum(n * n for n in after.values())
+
+        choices = [g for g in [*gaps, capacity] if g >= lengths[i]]
+        gap = capacity - fill[bins[i]]
+        assert offsets[i] == fill[bins[i]]
+        assert total(gap) == min(map(total, choices))
+        fill[bins[i]] += lengths[i]
+
+
+def test_packing_of_a_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = packing.pack(docs, tokenizer_file(), group_pieces=50).toPandas()
+    ids = packing.word_ids(tokenizer_file()).tokenizer
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for doc_id, of in rows.groupby("doc_id"):
+        whole = ids.encode(texts[doc_id], add_special_tokens=False).ids + [1]
+        of = of.sort_values("piece")
+        assert of["start"].tolist() == list(range(0, len(whole), 4096))
+        for r in of.itertuples():
+            part = np.array(whole[r.start : r.start + 4096], "<u4").tobytes()
+            assert (r.length, r.ids_crc32) == (len(part) // 4, zlib.crc32(part))
+    assert set(rows["doc_id"]) == set(texts)
+    for _, of in rows.groupby("sequence_id"):
+        of = of.sort_values("offset")
+        assert (of["offset"] == of["length"].cumsum() - of["length"]).all()
+        assert of["length"].sum() <= 4096
+    best = -(-rows["length"].sum() // 4096)
+    assert rows["sequence_id"].nunique() <= 1.15 * best + 4  # groups of only 50 pieces
+
+
+# Bloom filter and components
+
+
+def test_bits_miss_no_key(spark):
+    keys = spark.range(5000).select(F.xxhash64("id").alias("key"), "id")
+    blocks = blocks_for(5000)
+    for least, wanted in ((1, F.col("id") >= 0), (2, F.col("id") % 5 == 0)):
+        several = keys.filter(F.col("id") % 5 == 0).union(keys)
+        seen = set_bits(several if least == 2 else keys, blocks, least)
+        found = mark(keys, seen, blocks, "hit")
+        assert found.filter(wanted & ~F.col("hit")).count() == 0
+        assert found.filter(~wanted & F.col("hit")).count() < 100
+
+
+@pytest.mark.parametrize("shape", ["path", "star", "random", "none"])
+def test_components(spark, shape):
+    rng = np.random.default_rng(3)
+    links = {
+        "path": [(i, i + 1) for i in range(60)] + [(100, 101)],
+        "star": [(i, 500) for i in range(40)],
+        "random": [tuple(map(int, rng.integers(0, 150, 2))) for _ in range(120)],
+        "none": [],
+    }[shape]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    found = {r["node"]: r["parent"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    for node in {x for link in links for x in link}:
+        assert found.get(node, node) == root(node)
+
+
+# Near-duplicates
+
+
+def plain_set(text):
+    found = [
+        "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w)
+        for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    ]
+    size = min(5, len(found))
+    return {tuple(found[i : i + size]) for i in range(len(found) - size + 1)} if size else set()
+
+
+def plain_components(texts, percent):
+    sets = {k: plain_set(t) for k, t in texts.items()}
+    least = {k: k for k in texts}
+    holders = defaultdict(list)
+    links = defaultdict(set)
+    for k, s in sets.items():
+        near = Counter(j for x in s for j in holders[x])
+        for x in s:
+            holders[x].append(k)
+        for j, shared in near.items():
+            if 100 * shared >= percent * (len(s) + len(sets[j]) - shared):
+                links[j].add(k)
+                links[k].add(j)
+    for k in sorted(texts):
+        if least[k] != k:
+            continue
+        todo, seen = [k], {k}
+        while todo:
+            for j in links[todo.pop()] - seen:
+                seen.add(j)
+                least[j] = k
+                todo.append(j)
+    return {k: (len(sets[k]), least[k]) for k in texts}
+
+
+def edited(rng, words, share):
+    return " ".join(str(rng.integers(1e9)) if rng.random() < share else w for w in words)
+
+
+@pytest.fixture(scope="module")
+def families():
+    """Copies, near copies around the threshold, chains, short texts, a shared passage."""
+    rng = np.random.default_rng(8)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = []
+    for f in range(12):
+        base = [f"w{rng.integers(4000)}" for _ in range(int(rng.integers(30, 500)))]
+        for share in (0, 0.002, 0.01, 0.02, 0.03, 0.035, 0.04, 0.06):
+            texts += [edited(rng, base, share) for _ in range(3)]
+        chain = base
+        for _ in range(6):
+            chain = edited(rng, chain, 0.015).split()
+            texts.append(" ".join(chain))
+    texts += [passage + " " + " ".join(f"u{rng.integers(1e6)}" for _ in range(30)) for _ in range(60)]
+    texts += ["a b", "A  b", "a b c d e f", "a b c d e f g", "", None, "a b c d e", "x" * 9]
+    return {int(i): t for i, t in enumerate(np.array(texts, object)[rng.permutation(len(texts))])}
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.85])
+@pytest.mark.parametrize("block", [2048, 7])
+def test_near_duplicates_lose_no_link(spark, families, similarity, block, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    docs = spark.createDataFrame(list(families.items()), "doc_id long, text string").repartition(4)
+    found = near_dedup.near_duplicates(docs, similarity).collect()
+    want = plain_components(families, round(100 * similarity))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
+    stay = near_dedup.drop_near_duplicates(docs, similarity).collect()
+    assert {r["doc_id"] for r in stay} == {k for k, (_, c) in want.items() if k == c}
+
+
+def test_estimates_are_near(families):
+    rng = np.random.default_rng(1)
+    hashes = near_dedup.word_hashes()
+    for share in (0.0, 0.01, 0.03, 0.1):
+        errors = []
+        for _ in range(40):
+            base = [str(rng.integers(1e9)) for _ in range(800)]
+            a, b = (near_dedup.shingles(t, hashes) for t in (" ".join(base), edited(rng, base, share)))
+            true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+            table = near_dedup.registers([a, b])
+            agree = (table[0] == table[1]).mean()
+            errors.append(near_dedup.estimate(agree, len(a), len(b)) - true)
+        assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.05
+
+
+def test_shingle_sets_count_like_sets_of_words():
+    hashes = near_dedup.word_hashes()
+    for text in ("", "a", "a b c d", "a b c d e", "a b c d e a b c d e a", "É é A a"):
+        assert len(near_dedup.shingles(text, hashes)) == len(plain_set(text))
+    assert len(set(near_dedup.shingles(t, hashes)[0] for t in ("a", "a a", "a a a", "a a a a", "a a a a a"))) == 5
+
+
+# Sharding
+
+
+@given(n=st.integers(1, 3000), seed=st.integers(0, 99))
+@settings(max_examples=60, deadline=None)
+def test_permutation(n, seed):
+    there = sharding.permute(np.arange(n), n, seed)
+    assert sorted(there) == list(range(n))
+    assert (sharding.permute(there, n, seed, back=True) == np.arange(n)).all()
+
+
+def test_permutation_spreads_neighbours():
+    there = sharding.permute(np.arange(100_000), 100_000)
+    counts = np.bincount(there[:8000] % 8, minlength=8)
+    assert abs(counts - 1000).max() < 150
+
+
+# Secrets
+
+
+PARTS = ["AKIA", "ABCDEFGHIJ12345678", "password", "Token", "api_key", "=", ":", " ", '"', "'", "\n"]
+PARTS += ["deadbeef", "0123456789abcdef0123", "secret", "abc", "é", "ghp_", "eyJ", ".", "-", "x"]
+
+
+@given(text=st.lists(st.sampled_from(PARTS), max_size=25).map("".join))
+@settings(max_examples=400, deadline=None)
+def test_automaton_sees_what_expressions_see(text):
+    found = int(secrets.rules_found([text.encode()], machine())[0])
+    for k, rule in enumerate(secrets.RULES):
+        flags = re.ASCII
+        assert bool(found >> k & 1) == bool(re.search(rule.scan, text, flags)), (rule, text)
+        if secrets.exact_spans(text, [(rule, re.compile(rule.exact, flags))]):
+            assert found >> k & 1
+
+
+MACHINE = []
+
+
+def machine():
+    if not MACHINE:
+        MACHINE.append(compile_rules([rule.scan for rule in secrets.RULES]))
+    return MACHINE[0]
+
+
+@pytest.mark.parametrize(
+    "pattern", ["a|bc", "a?b*c+", "(?:ab){2,3}c", "[^a-c]x", "x{2,}y", "(?i:aB)c", r"\x41\.", "a(b|c(d|e))f?g"]
+)
+def test_patterns(pattern):
+    automaton = compile_rules([pattern])
+    rng = np.random.default_rng(2)
+    for _ in range(400):
+        text = "".join(rng.choice(list("abcdefgxyABA.")) for _ in range(int(rng.integers(0, 9))))
+        assert bool(secrets.rules_found([text.encode()], automaton)[0]) == bool(re.search(pattern, text))
+
+
+def test_lanes_change_nothing(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(PARTS, 60)).encode() for _ in range(30)]
+    whole = secrets.rules_found(texts, machine())
+    monkeypatch.setattr(secrets, "LANE", 8)
+    assert (secrets.rules_found(texts, machine()) == whole).all()
+    assert machine().resets_on(0x0A) and not machine().resets_on(ord(" "))
+
+
+def test_dropped_matches_hide_what_they_hold(spark):
+    text = 'password="token":"abcdefgh" TOKEN = x secret: é api-key:1234567'
+    docs = spark.createDataFrame([(1, text), (2, "é" + "0" * 24)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in secrets.digest(secrets.find_secrets(docs)).collect()}
+    assert rows[1]["n_assign"] == 0 and rows[1]["spans"] == ""
+    assert rows[2]["spans"] == "hex:1:25" and rows[2]["n_hex"] == 1
+
+
+# Quality
+
+
+def plain_counts(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    places = defaultdict(list)
+    for i in range(len(w) - 4):
+        places[tuple(w[i : i + 5])].append(i)
+    covered = {i + k for p in places.values() if len(p) > 1 for i in p for k in range(5)}
+    return (
+        len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text),
+        len(lines) - len(set(lines)), len(covered),
+    )
+
+
+def test_quality_counts(spark):
+    rng = np.random.default_rng(6)
+    signs = ["a", "b", "cc", "é", " ", "\n", "  ", "#", "|", "\t", "\x0b", " "]
+    texts = ["".join(rng.choice(signs, int(rng.integers(0, 80)))) for _ in range(300)]
+    texts += [" ".join(["a b c d e f"] * 5), "x y z v w " * 2, "a a a a a a a"]
+    docs = spark.createDataFrame(
+        [(i, t, None, "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string"
+    )
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    for r in quality.base_counts(docs).collect():
+        assert tuple(r[n] for n in names) == plain_counts(texts[r["doc_id"]]), texts[r["doc_id"]]
+
+
+def test_sketches_merge_to_the_sketch_of_all(spark):
+    rng = np.random.default_rng(7)
+    rows = [("en", str(s), "m", int(v), 1) for s in range(5) for v in rng.integers(0, 10_000, 400)]
+    sketch = spark.createDataFrame(rows, "lang string, source string, measure string, value long, n long")
+    sketch = sketch.withColumn("value", quality._rounded(F.col("value")))
+    found = quality.quartiles(quality.merged(sketch, "lang"), "lang").collect()[0]
+    values = np.sort([r[3] for r in rows])
+    for q, share in (("q1", 0.25), ("q3", 0.75)):
+        exact = values[int(np.ceil(share * len(values))) - 1]
+        assert exact * (1 - 1 / 32) <= found[q] <= exact
+
+
+# Language, mixing, topics
+
+
+def test_languages_held_out(spark):
+    from larder.llm.common import fold
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.train(docs, fold() != 1)
+    found = language.predict(docs, model).join(docs, "doc_id").filter(fold() == 1)
+    right = found.filter("lang = lang_pred").count() / found.count()
+    assert right > 0.98
+
+
+def test_unseen_words_back_off():
+    model = language.Model([("en", "throughout", 5), ("en", "the", 50), ("de", "durch", 20), ("de", "der", 50)])
+    assert model.predict("throughoutly")[0] == "en"
+    assert model.predict("durchaus")[0] == "de"
+    assert model.predict("12 !") == ("und", 0.0)
+    assert language.Model([]).predict("word") == ("und", 0.0)
+
+
+def test_raking_meets_all_marginals():
+    rng = np.random.default_rng(9)
+    levels = [np.repeat(np.arange(4), 9), np.tile(np.repeat(np.arange(3), 3), 4), np.tile(np.arange(3), 12)]
+    actual = rng.integers(1, 1000, 36).astype(float)
+    wanted = [np.array([0.4, 0.3, 0.2, 0.1]), np.array([0.5, 0.25, 0.25]), np.array([0.2, 0.5, 0.3])]
+    fitted = mixing.rake(actual, levels, wanted)
+    for at, want in zip(levels, wanted, strict=True):
+        assert np.allclose(np.bincount(at, fitted) / fitted.sum(), want, atol=1e-6)
+    chance = mixing.calibrate(actual, fitted, 0.3)
+    assert (chance <= 1).all() and np.isclose((chance * actual).sum(), 0.3 * actual.sum())
+    below = chance < 1
+    assert np.ptp((chance * actual / fitted)[below]) < 1e-9
+
+
+def test_mixed_sample_meets_targets(spark):
+    docs = spark.range(20_000).selectExpr(
+        "id doc_id", "'one two three' text", "IF(id % 10 < 8, 'en', 'de') lang",
+        "IF(id % 3 = 0, 'a', 'b') source",
+    )
+    targets = {"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 0.6, "de": 0.4}, "topic": {"t": 1.0}}
+    found = mixing.mix(docs, targets, share=0.3, topic=lambda text: F.lit("t")).filter("kept").toPandas()
+    assert abs(len(found) - 6000) < 300
+    assert abs((found["lang"] == "en").mean() - 0.6) < 0.03
+    assert abs((found["source"] == "a").mean() - 0.5) < 0.03
+
+
+# Toxicity
+
+
+def test_toxicity_held_out(spark):
+    from larder.llm.queries import op4_toxicity
+
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = op4_toxicity(spark, sf).join(labels, "doc_id").filter("held_out").toPandas()
+    clean, toxic = rows[rows["toxic"] == 0], rows[rows["toxic"] == 1]
+    assert clean["predicted"].mean() < 0.02
+    assert toxic["predicted"].mean() > 0.5
+
+
+# HTML
+
+
+BODY = "The of and to in a is that for it as was with be by on not he his but at are this have from. "
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (None, ""),
+        ("", ""),
+        ("<p>" + BODY * 3, (BODY * 3).strip()),
+        (f"<title>t</title><nav><a href=x>menu</a></nav><article><h1>A&amp;B</h1><p>{BODY}<br>c</article>", f"A&B {BODY}c"),
+        (f"<article><p>{BODY}</p><aside>{BODY}</aside><p>end</p></article>", f"{BODY}end"),
+        (f"<main><p>{BODY * 3}</p></main><div id='comments'><p>{BODY}</p></div>", (BODY * 3).strip()),
+        (f"<div class='cookie-notice'>{BODY}</div><div><p>{BODY * 3}</div>", (BODY * 3).strip()),
+        (f"<article><p>x<b>y</b> z\n\n t</p><script>var a='</p>'</script><!-- <p>no -->{BODY}</article>", f"xy z t {BODY}".strip()),
+        (f"<article><header><h1>T</h1></header><p>{BODY * 3}</p><footer>f</footer></article>", f"T {(BODY * 3).strip()}"),
+        ("<p>a<p", "a<p"),  # markup that never ends is text
+    ],
+)
+def test_pages(page, want):
+    assert html_text.main_text(page) == want
+
+
+@given(page=st.lists(st.sampled_from(["<", ">", '"', "p", "a", "/", "<p ", "<!--", "-->", "<script>", "&lt;", " ", "'", "="]), max_size=30).map("".join))
+@settings(max_examples=200, deadline=None)
+def test_any_markup_is_read(page):
+    html_text.main_text(page)
+
+
+def test_memo_starts_anew():
+    memo = Memo(lambda k: k * 2, 3)
+    assert [memo.all([i, i + 1]) for i in range(6)] == [[2 * i, 2 * i + 2] for i in range(6)]
+    assert len(memo.known) <= 5
