@@ -14,7 +14,6 @@ equal rows; further columns are not read.
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
 from collections import Counter
@@ -32,7 +31,7 @@ UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 2_000
 LANGUAGES = 100
 WORDS_PER_LANGUAGE = 20_000
-GRAMS = 200_000
+GRAMS = 100_000
 # Lengths of n-grams, longest first.
 SIZES = (5, 4, 3, 2, 1)
 BACKOFF = math.log(0.4)
@@ -44,6 +43,10 @@ WORDS_KEPT = 300_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
+# Language, word or n-gram, how often.
+Count = tuple[str, str, int]
+
+
 def words_of(text: str) -> list[str]:
     """Runs of letters in lower case."""
     return WORD.findall(text.lower())
@@ -55,42 +58,31 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
+def gram_counts(words: Iterable[Count]) -> Counter[tuple[str, str]]:
+    """How often each n-gram occurs in words of each language."""
+    counts: Counter[tuple[str, str]] = Counter()
+    for language, word, n in words:
+        for size in SIZES:
+            for gram in grams(word, size):
+                counts[language, gram] += n
+    return counts
+
+
 class Model:
     """Log frequencies of words and n-grams: for each a row of a matrix, a column per language."""
 
-    def __init__(self, counts: Iterable[tuple[str, str, int]]) -> None:
-        """From ``(language, word, count)``."""
-        rows = list(counts)
-        self.languages = sorted({language for language, _, _ in rows})
-        place = {language: i for i, language in enumerate(self.languages)}
-        self.words: dict[str, int] = {}
-        for _, word, _ in rows:
-            self.words.setdefault(word, len(self.words))
-        table = np.zeros((len(self.words), len(place)))
-        for language, word, n in rows:
-            table[self.words[word], place[language]] += n
+    def __init__(self, words: Iterable[Count], counted_grams: Iterable[Count]) -> None:
+        words, counted_grams = list(words), list(counted_grams)
+        self.languages = sorted({language for language, _, _ in words})
+        self.words, table = _table(words, self.languages)
         self.word_logs = _logs(table, table.sum(axis=0))
-        self._fit_grams(table)
-        self.seen: dict[str, np.ndarray] = {}
-
-    def _fit_grams(self, table: np.ndarray) -> None:
-        pairs = [(g, row) for w, row in self.words.items() for n in SIZES for g in grams(w, n)]
-        totals: Counter[str] = Counter()
-        weight = table.sum(axis=1)
-        for gram, row in pairs:
-            totals[gram] += weight[row]
-        top = heapq.nsmallest(GRAMS, totals, key=lambda g: (-totals[g], g))
-        self.grams = {gram: i for i, gram in enumerate(top)}
-        counts = np.zeros((len(top), table.shape[1]))
-        kept = [(self.grams[g], row) for g, row in pairs if g in self.grams]
-        if kept:
-            at, of = np.array(kept).T
-            np.add.at(counts, at, table[of])
-        sizes = np.array([len(g) for g in top], int)
-        self.gram_logs = np.zeros_like(counts, dtype=np.float32)
+        self.grams, table = _table(counted_grams, self.languages)
+        self.gram_logs = np.zeros_like(table, dtype=np.float32)
+        sizes = np.array([len(g) for g in self.grams], int)
         for n in SIZES:
             same = sizes == n
-            self.gram_logs[same] = _logs(counts[same], counts[same].sum(axis=0))
+            self.gram_logs[same] = _logs(table[same], table[same].sum(axis=0))
+        self.seen: dict[str, np.ndarray] = {}
 
     def unseen(self, word: str) -> np.ndarray:
         """Mean over the word's places of the longest known n-gram that begins there."""
@@ -137,6 +129,18 @@ class Model:
         return self.languages[best], float(shares[best] / shares.sum())
 
 
+def _table(counts: list[Count], languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
+    """Row numbers of the keys, and their counts by language."""
+    rows: dict[str, int] = {}
+    for _, key, _ in counts:
+        rows.setdefault(key, len(rows))
+    columns = {language: i for i, language in enumerate(languages)}
+    table = np.zeros((len(rows), len(languages)))
+    for language, key, n in counts:
+        table[rows[key], columns[language]] += n
+    return rows, table
+
+
 def _logs(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
     return np.log((counts + 0.5) / (totals + 0.5 * max(1, len(counts)))).astype(np.float32)
 
@@ -196,10 +200,39 @@ def train(
         )
         counts = stage(_word_counts(sample), "words")
         by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-        top = counts.withColumn("rank", F.row_number().over(by_count)).filter(
-            F.col("rank") <= words_per_language
+        top = stage(
+            counts.withColumn("rank", F.row_number().over(by_count))
+            .filter(F.col("rank") <= words_per_language)
+            .drop("rank"),
+            "top-words",
         )
-        return Model((r["lang"], r["word"], r["n"]) for r in top.toLocalIterator())
+        spelt = stage(_gram_counts(top), "grams")
+        common = spelt.groupBy("gram").agg(F.sum("n").alias("total"))
+        common = common.orderBy(F.desc("total"), "gram").limit(GRAMS).select("gram")
+        kept = spelt.join(F.broadcast(common), "gram", "left_semi")
+        return Model(_local(top, "word"), _local(kept, "gram"))
+
+
+def _gram_counts(words: DataFrame) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            counts = gram_counts(zip(*(rows.column(c).to_pylist() for c in ("lang", "word", "n"))))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "lang": pa.array([k[0] for k in counts], pa.string()),
+                    "gram": pa.array([k[1] for k in counts], pa.string()),
+                    "n": pa.array(list(counts.values()), pa.int64()),
+                }
+            )
+
+    found = words.select("lang", "word", "n").mapInArrow(count, "lang string, gram string, n long")
+    return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def _local(counts: DataFrame, key: str) -> Iterator[Count]:
+    """A bounded table of counts, in order of its keys, a batch at a time."""
+    for rows in counts.select("lang", key, "n").orderBy(key, "lang").toArrow().to_batches():
+        yield from zip(*(column.to_pylist() for column in rows.columns), strict=True)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

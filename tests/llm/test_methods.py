@@ -351,11 +351,13 @@ def test_languages_held_out(spark):
 
 
 def test_unseen_words_back_off():
-    model = language.Model([("en", "throughout", 5), ("en", "the", 50), ("de", "durch", 20), ("de", "der", 50)])
+    words = [("en", "throughout", 5), ("en", "the", 50), ("de", "durch", 20), ("de", "der", 50)]
+    grams = [(*key, n) for key, n in language.gram_counts(words).items()]
+    model = language.Model(words, grams)
     assert model.predict("throughoutly")[0] == "en"
     assert model.predict("durchaus")[0] == "de"
     assert model.predict("12 !") == ("und", 0.0)
-    assert language.Model([]).predict("word") == ("und", 0.0)
+    assert language.Model([], []).predict("word") == ("und", 0.0)
 
 
 def test_raking_meets_all_marginals():
