@@ -3,17 +3,23 @@
 Records may span lines, and Spark's multi-line scan gives each file to one task. That is right for
 files a task can hold. Bigger files are cut into lines by many tasks and put together again by
 counting quotes, which for RFC 4180 files finds the same records; a file that turns out not to
-follow it goes through the multi-line scan after all.
+follow it goes through the multi-line scan after all, and no other with it.
+
+Columns are matched by name: every file's own header counts, whatever the order of its columns.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from larder.schema import all_strings
 from larder.sources.inventory import list_files
-from larder.workspace import stage
+from larder.workspace import scratch_scope, stage
 
 # Files above this size are not left to a single task.
 SPLIT_ABOVE_BYTES = 1024 * 1024 * 1024
@@ -34,32 +40,93 @@ _FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",\r\n]*+)'
 RFC4180_RECORD = rf"\A{_FIELD}(?:,{_FIELD})*+\z"
 
 
-def _name_first(df: DataFrame) -> DataFrame:
-    return df.withColumnRenamed(UNNAMED_FIRST, ROW_INDEX)
+@dataclass(frozen=True)
+class HeaderGroup:
+    """Files with one header: their columns in file order."""
+
+    files: tuple[str, ...]
+    schema: T.StructType
+
+
+def _text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the files with a stable place each: (file, block, seq, line).
+
+    ``block`` is where the split starts in its file, ``seq`` grows along the split. A byte order
+    mark is no part of the first line.
+    """
+    # The path comes encoded like a URL, but for the plus sign.
+    path_text = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    place = [
+        path_text.alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"),
+    ]
+    bare = F.when(F.col("_metadata.file_block_start") == 0, F.ltrim("value", F.lit("\ufeff")))
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.select(*place, F.coalesce(bare, "value").alias("line"))
+
+
+def _is_blank(line: str) -> Column:
+    return F.rtrim(line, F.lit("\r")) == ""
+
+
+def _reader(spark: SparkSession, options: dict[str, str]):  # type: ignore[no-untyped-def]
+    return spark.read.options(**CSV_OPTIONS, multiLine=True).options(**options)
+
+
+def _columns(spark: SparkSession, file: str) -> T.StructType:
+    """The columns that Spark's reader finds in a file's header, as text."""
+    names = _reader(spark, {}).csv(file).columns
+    return all_strings(*[ROW_INDEX if name == UNNAMED_FIRST else name for name in names])
+
+
+def header_groups(spark: SparkSession, path: str) -> list[HeaderGroup]:
+    """The files at ``path`` by header, in the order of their first files.
+
+    The header is the first record that is not blank. With one file there is nothing to compare;
+    with several, one pass over the lines finds each file's first. A header that spans lines
+    makes a group of its own.
+    """
+    files = sorted(r["path"] for r in list_files(spark, path).filter("bytes > 0").collect())
+    if len(files) < 2:
+        return [HeaderGroup(tuple(files), _columns(spark, f)) for f in files]
+    lines = _text_lines(spark, path).filter(~_is_blank("line"))
+    first = lines.groupBy("file").agg(F.min(F.struct("block", "seq", "line")).alias("first"))
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"')))
+    header = F.rtrim("line", F.lit("\r"))
+    named = first.select("file", "first.line").select(
+        "file", F.when(quotes % 2 == 0, header).otherwise(F.col("file")).alias("header")
+    )
+    rows = named.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    groups = sorted(tuple(r["files"]) for r in rows.collect())
+    return [HeaderGroup(g, _columns(spark, g[0])) for g in groups]
+
+
+def _by_name(parts: list[DataFrame]) -> DataFrame:
+    """All rows under all names; a column that a file lacks is NULL there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _scan(spark: SparkSession, groups: list[HeaderGroup], options: dict[str, str]) -> DataFrame:
+    reader = _reader(spark, options)
+    return _by_name([reader.schema(g.schema).csv(list(g.files)) for g in groups])
 
 
 def scan_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Every column as text under its header name; one task per file."""
-    reader = spark.read.options(**CSV_OPTIONS, multiLine=True).options(**options)
-    return _name_first(reader.csv(path))
+    groups = header_groups(spark, path)
+    if groups:
+        return _scan(spark, groups, options)
+    empty = _reader(spark, options).csv(path)
+    return empty.withColumnRenamed(UNNAMED_FIRST, ROW_INDEX)
 
 
 def _numbered_lines(spark: SparkSession, path: str, chunk_lines: int) -> DataFrame:
-    """Lines of the files with a stable place each: (file, block, chunk, seq).
+    """The lines with their chunk and whether they have an odd number of quotes.
 
-    ``block`` is where the split starts in its file, ``seq`` grows along the split. Written,
-    because later passes must see the same splits even if the cluster has grown meanwhile.
+    Written, because later passes must see the same splits even if the cluster has grown meanwhile.
     """
-    lines = (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("seq"),
-            F.col("value").alias("line"),
-        )
-    )
+    lines = _text_lines(spark, path)
     quotes = F.length("line") - F.length(F.replace("line", F.lit('"')))
     return stage(
         lines.withColumn("chunk", F.expr(f"seq div {chunk_lines}")).withColumn(
@@ -71,74 +138,93 @@ def _numbered_lines(spark: SparkSession, path: str, chunk_lines: int) -> DataFra
 
 def _chunks(lines: DataFrame) -> DataFrame:
     """Per chunk: its odd-quote lines and those before it in its file; and of the file, which line
-    is first and whether it ends in a carriage return.
+    is its header's first and whether lines end in a carriage return.
 
     One row per chunk, so the window over a file's chunks is short.
     """
+    place = F.struct("block", "seq")
     chunks = lines.groupBy("file", "block", "chunk").agg(
         F.sum("odd").alias("n_odd"),
         F.sum(F.octet_length("line").cast("long")).alias("bytes"),
-        F.min(F.struct("seq", F.endswith("line", F.lit("\r")).alias("crlf"))).alias("head"),
+        F.min(F.struct("block", "seq", F.endswith("line", F.lit("\r")).alias("crlf"))).alias("head"),
+        F.min(F.when(~_is_blank("line"), place)).alias("filled"),
+        F.max(place).alias("tail"),
     )
     in_file = Window.partitionBy("file")
     before = in_file.orderBy("block", "chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = chunks.select(
         *chunks.columns,
         F.coalesce(F.sum("n_odd").over(before), F.lit(0)).alias("odd_before"),
-        F.min(F.when(F.col("block") == 0, F.col("head"))).over(in_file).alias("first"),
+        F.min("filled").over(in_file).alias("header"),
+        F.max("tail").over(in_file).alias("last"),
+        F.min("head").over(in_file)["crlf"].alias("crlf"),
     )
-    return stage(carried.drop("head"), "csv-chunks")
+    return stage(carried.drop("head", "filled", "tail"), "csv-chunks")
 
 
-def _has_open_field(chunks: DataFrame, most_bytes: int) -> bool:
-    """Whether some record covers more than ``most_bytes`` of whole chunks.
+def _open_files(chunks: DataFrame, most_bytes: int) -> set[str]:
+    """Files in which some record covers more than ``most_bytes`` of whole chunks.
 
     Such a record would be put together by one task. It comes from a stray quote, so the file is
     not RFC 4180, and this shows on the chunks before anything is grouped.
     """
     inside = chunks.filter((F.col("n_odd") == 0) & (F.col("odd_before") % 2 == 1))
     sizes = inside.groupBy("file", "odd_before").agg(F.sum("bytes").alias("bytes"))
-    return not sizes.filter(F.col("bytes") > most_bytes).isEmpty()
-
+    open_ones = sizes.filter(F.col("bytes") > most_bytes).select("file").distinct()
+    return {row["file"] for row in open_ones.collect()}
 
-def _records(lines: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(record, is_header): the text of each CSV record, found by many tasks per file.
 
-    A line lies inside a quoted field if an odd number of the lines before it in the file have an
-    odd number of quotes. Lines that are records by themselves pass straight through; only the
-    lines of multi-line records are grouped.
-    """
+def _places(lines: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Per line, without its text: its file, the odd lines up to it, and whether it is the header's
+    first. Written, as whole and joined records both need it."""
     chunk = ["file", "block", "chunk"]
     so_far = (
         Window.partitionBy(*chunk).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     )
-    # The running sum and the join share one shuffle by chunk.
-    placed = (
-        lines.withColumn("odd_so_far", F.sum("odd").over(so_far))
-        .join(chunks.select(*chunk, "odd_before", "first"), chunk)
-        .withColumn("odds", F.col("odd_before") + F.col("odd_so_far"))
-        .withColumn(
-            "is_header", (F.col("block") == 0) & (F.col("seq") == F.col("first.seq"))
-        )
-        .withColumn("crlf", F.col("first.crlf"))
+    places = lines.select(*chunk, "seq", "odd").withColumn("odds", F.sum("odd").over(so_far))
+    return stage(
+        places.join(chunks.drop("n_odd", "bytes"), chunk).select(
+            "seq",
+            "file",
+            "block",
+            "odd",
+            (F.col("odds") + F.col("odd_before")).alias("odds"),
+            F.col("header").eqNullSafe(F.struct("block", "seq")).alias("is_header"),
+            (F.col("last") == F.struct("block", "seq")).alias("is_last"),
+            "crlf",
+        ),
+        "csv-places",
     )
+
+
+def _records(lines: DataFrame, places: DataFrame) -> DataFrame:
+    """(record, is_header, same_end, file): the text of each CSV record, found by many tasks per
+    file, and whether it ends as the file's first line does.
+
+    A line lies inside a quoted field if an odd number of the lines before it in the file have an
+    odd number of quotes. Lines that are records by themselves pass straight through; only the
+    lines of multi-line records are grouped.
+    """
+    placed = lines.select("seq", "line").join(places, "seq")
     is_whole = ((F.col("odds") - F.col("odd")) % 2 == 0) & (F.col("odd") == 0)
-    whole = placed.filter(is_whole).select("line", "is_header", "crlf")
+    flags = ("is_header", "is_last", "crlf")
+    whole = placed.filter(is_whole).select("line", *flags, "file")
     in_order = F.sort_array(F.collect_list(F.struct("block", "seq", "line")))
     joined = (
         placed.filter(~is_whole)
         .groupBy("file", F.expr("(odds + 1) div 2").alias("record_no"))
         .agg(
-            in_order.alias("lines"),
-            F.bool_or("is_header").alias("is_header"),
-            F.bool_or("crlf").alias("crlf"),
+            in_order.alias("lines"), *[F.bool_or(flag).alias(flag) for flag in flags]
         )
-        .select(F.concat_ws("\n", F.col("lines.line")).alias("line"), "is_header", "crlf")
+        .select(F.concat_ws("\n", F.col("lines.line")).alias("line"), *flags, "file")
     )
     # The multi-line scan turns the line ends of a CRLF file into \n, inside quotes as well.
     unix = F.regexp_replace("line", r"\r(\n|\z)", "$1")
     record = F.when(F.col("crlf"), unix).otherwise(F.col("line"))
-    return whole.unionByName(joined).select(record.alias("record"), "is_header")
+    same_end = F.endswith("line", F.lit("\r")) | ~F.col("crlf") | F.col("is_last")
+    return whole.unionByName(joined).select(
+        record.alias("record"), "is_header", same_end.alias("same_end"), "file"
+    )
 
 
 def _is_strict() -> Column:
@@ -147,7 +233,7 @@ def _is_strict() -> Column:
     A bare carriage return in the header could be what the scan takes for the line end.
     """
     stray_return = F.col("is_header") & F.contains("record", F.lit("\r"))
-    return F.rlike("record", F.lit(RFC4180_RECORD)) & ~stray_return
+    return F.rlike("record", F.lit(RFC4180_RECORD)) & ~stray_return & F.col("same_end")
 
 
 def _parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
@@ -159,20 +245,47 @@ def _parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def _split_rows(records: DataFrame, groups: list[HeaderGroup]) -> list[DataFrame]:
+    """Data rows of each group under its header's names."""
+    if len(groups) == 1:
+        return [_parsed(records, groups[0].schema)]
+    return [_parsed(records.filter(F.col("file").isin(*g.files)), g.schema) for g in groups]
+
+
+def _without(groups: list[HeaderGroup], files: Collection[str]) -> list[HeaderGroup]:
+    left = [HeaderGroup(tuple(f for f in g.files if f not in files), g.schema) for g in groups]
+    return [g for g in left if g.files]
+
+
 def _land_split(
-    spark: SparkSession, path: str, out: str, schema: T.StructType, chunk_lines: int
-) -> bool:
-    """Land by tasks that share files; False if a file does not follow RFC 4180."""
-    lines = _numbered_lines(spark, path, chunk_lines)
-    chunks = _chunks(lines)
-    if _has_open_field(chunks, OPEN_FIELD_BYTES):
-        return False
-    seen = Observation()
-    records = _records(lines, chunks).observe(
-        seen, F.count_if(~_is_strict()).alias("loose")
-    )
-    _parsed(records, schema).write.mode("overwrite").parquet(out)
-    return seen.get["loose"] == 0
+    spark: SparkSession, path: str, out: str, groups: list[HeaderGroup], chunk_lines: int
+) -> set[str]:
+    """Land by tasks that share files. Files that do not follow RFC 4180 are scanned instead, one
+    task each; returns those."""
+    with scratch_scope(spark):
+        lines = _numbered_lines(spark, path, chunk_lines)
+        chunks = _chunks(lines)
+        records = _records(lines, _places(lines, chunks))
+        loose = _open_files(chunks, OPEN_FIELD_BYTES)
+        while True:
+            seen = Observation()
+            strict = records.filter(~F.col("file").isin(*loose)) if loose else records
+            checked = strict.observe(
+                seen, F.collect_set(F.when(~_is_strict(), F.col("file"))).alias("loose")
+            )
+            rows = _split_rows(checked, _without(groups, loose)) if _without(groups, loose) else []
+            scanned = [
+                HeaderGroup(tuple(f for f in g.files if f in loose), g.schema) for g in groups
+            ]
+            scanned = [g for g in scanned if g.files]
+            if scanned:
+                rows.append(_scan(spark, scanned, {}))
+            _by_name(rows).write.mode("overwrite").parquet(out)
+            # What one file is does not depend on others: the second round finds no more.
+            found = set(seen.get["loose"]) if len(rows) > bool(scanned) else set()
+            if not found:
+                return loose
+            loose |= found
 
 
 def land_csv(
@@ -182,11 +295,17 @@ def land_csv(
     split_above: int = SPLIT_ABOVE_BYTES,
     chunk_lines: int = CHUNK_LINES,
 ) -> DataFrame:
-    """Raw CSV to Parquet at ``out``, every column as text; returns the landed table."""
-    scanned = scan_csv(spark, path)
-    schema = all_strings(*scanned.columns)
+    """Raw CSV to Parquet at ``out``, every column as text; returns the landed table.
+
+    Files are cut between tasks if one is larger than ``split_above``; the rows are the same.
+    """
+    groups = header_groups(spark, path)
     largest = list_files(spark, path).agg(F.max("bytes")).collect()[0][0] or 0
-    split = largest > split_above and _land_split(spark, path, out, schema, chunk_lines)
-    if not split:
+    if groups and largest > split_above:
+        _land_split(spark, path, out, groups, chunk_lines)
+        names = dict.fromkeys(f.name for g in groups for f in g.schema.fields)
+    else:
+        scanned = scan_csv(spark, path)
         scanned.write.mode("overwrite").parquet(out)
-    return spark.read.schema(schema).parquet(out)
+        names = dict.fromkeys(scanned.columns)
+    return spark.read.schema(all_strings(*names)).parquet(out)

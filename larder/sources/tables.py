@@ -17,23 +17,22 @@ CSV_SINK_OPTIONS = {
 }
 # With the default null value, "", the reader takes a quoted empty field for NULL too.
 NOT_IN_TEXT = "\u0000"
-# A table this small may be asked for as one file.
-SINGLE_FILE_MAX_ROWS = 5_000_000
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with header at ``path``, replacing what is there; one part file per task.
 
-    ``single_file`` gives one part file if the table is small enough for one task; a bigger table
-    is still written whole, in several parts.
+    ``single_file`` gives one part file, which a single task writes whatever the size.
     """
-    if single_file and df.limit(SINGLE_FILE_MAX_ROWS + 1).count() <= SINGLE_FILE_MAX_ROWS:
+    if single_file:
         df = df.coalesce(1)
     df.write.mode("overwrite").options(**CSV_SINK_OPTIONS).csv(path)
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV columns under their declared types, matched by name; blank or malformed gives NULL.
+    """CSV columns under their declared types; blank or malformed gives NULL.
+
+    Matched by name in every file's own header; a column that no file has is an error.
 
     In text columns an empty field is NULL and a quoted empty field is an empty string, which is
     how ``write_csv`` writes the two.

@@ -51,8 +51,8 @@ def test_split_equals_multiline_scan(spark, tmp_path, tiny_splits, seed, end):
     want = rows_of(scan_csv(spark, path))
     assert len(want) == 150
     out = str(tmp_path / "out")
-    schema = all_strings("id", "p", "q", "r")
-    assert raw_csv._land_split(spark, path, out, schema, chunk_lines=5)
+    groups = raw_csv.header_groups(spark, path)
+    assert not raw_csv._land_split(spark, path, out, groups, chunk_lines=5)
     assert rows_of(spark.read.parquet(out)) == want
 
 
@@ -64,8 +64,8 @@ def test_ragged_rows(spark, tmp_path, tiny_splits, seed):
     python_csv(tmp_path / "a.csv", rows, ["id", "p", "q", "r"])
     out = str(tmp_path / "out")
     want = rows_of(scan_csv(spark, str(tmp_path / "a.csv")))
-    schema = all_strings("id", "p", "q", "r")
-    assert raw_csv._land_split(spark, str(tmp_path / "a.csv"), out, schema, chunk_lines=4)
+    groups = raw_csv.header_groups(spark, str(tmp_path / "a.csv"))
+    assert not raw_csv._land_split(spark, str(tmp_path / "a.csv"), out, groups, chunk_lines=4)
     assert rows_of(spark.read.parquet(out)) == want
 
 
@@ -97,8 +97,8 @@ def test_quote_that_never_closes_is_seen_before_grouping(spark, tmp_path, monkey
     (tmp_path / "a.csv").write_text('id,p,q\n-1,5" pipe,x\n' + body)
     path = str(tmp_path / "a.csv")
     lines = raw_csv._numbered_lines(spark, path, 20)
-    assert raw_csv._has_open_field(raw_csv._chunks(lines), 1_000)
-    assert not raw_csv._has_open_field(raw_csv._chunks(lines), 1_000_000)
+    assert len(raw_csv._open_files(raw_csv._chunks(lines), 1_000)) == 1
+    assert not raw_csv._open_files(raw_csv._chunks(lines), 1_000_000)
     monkeypatch.setattr(raw_csv, "OPEN_FIELD_BYTES", 1_000)
     want = rows_of(scan_csv(spark, path))
     assert len(want) == 501
@@ -186,11 +186,9 @@ def test_single_file(spark, tmp_path):
     assert len(list((tmp_path / "many").glob("part-*.csv"))) > 1
 
 
-def test_single_file_stays_distributed_when_big(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("larder.sources.tables.SINGLE_FILE_MAX_ROWS", 100)
-    write_csv(spark.range(1000).repartition(5), str(tmp_path / "big"), single_file=True)
-    assert len(list((tmp_path / "big").glob("part-*.csv"))) > 1
-    assert scan_csv(spark, str(tmp_path / "big")).count() == 1000
+def test_single_file_whatever_the_size(spark, tmp_path):
+    write_csv(spark.range(100_000).repartition(5), str(tmp_path / "big"), single_file=True)
+    assert len(list((tmp_path / "big").glob("part-*.csv"))) == 1
 
 
 def test_load_matches_by_name(spark, tmp_path):
@@ -206,3 +204,74 @@ def test_load_matches_by_name(spark, tmp_path):
     assert by_id[7].minutes is None and by_id[7].n_steps is None
     assert by_id[7].submitted.isoformat() == "2020-01-05"
     assert by_id[None].minutes == 4 and by_id[None].submitted is None
+
+
+ODD_FILES = {
+    "blanks": "\n\nid,p\n1,2\n",
+    "blanks_crlf": '\r\n\r\nid,p\r\n1,"x\r\ny"\r\n',
+    "mark": "\ufeffid,p\n1,2\n",
+    "mark_blank": "\ufeff\nid,p\n1,2\n",
+    "ragged": "id,p\n1\n2,3,4\n,\n",
+    "line_ends": 'id,p\n1,"a\n\nb"\n\n2,"c\n"\n',
+    "no_final_end": "id,p\n1,2\n3,4",
+    "blank_tail": "id,p\n1,2\n\n\n",
+    "mixed_ends": "id,p\r\n1,2\n3,4\r\n",
+    "quoted_header": '\n"id","p"\n"1",""\n',
+}
+
+
+@pytest.mark.parametrize("name", ODD_FILES)
+def test_odd_files_read_alike(spark, tmp_path, tiny_splits, name):
+    (tmp_path / "a+b %20.csv").write_bytes(ODD_FILES[name].encode())
+    path = str(tmp_path / "a+b %20.csv")
+    want = scan_csv(spark, path)
+    landed = land_csv(spark, path, str(tmp_path / "o"), split_above=0, chunk_lines=2)
+    assert landed.columns == want.columns and rows_of(landed) == rows_of(want)
+
+
+def test_odd_files_together(spark, tmp_path, tiny_splits):
+    (tmp_path / "in").mkdir()
+    for name, text in ODD_FILES.items():
+        (tmp_path / "in" / f"{name} 1.csv").write_bytes(text.encode())
+    want = scan_csv(spark, str(tmp_path / "in"))
+    landed = land_csv(spark, str(tmp_path / "in"), str(tmp_path / "o"), 0, 2)
+    assert landed.columns == want.columns and rows_of(landed) == rows_of(want)
+    alone = [rows_of(scan_csv(spark, str(tmp_path / "in" / f"{n} 1.csv"))) for n in ODD_FILES]
+    assert rows_of(landed) == sorted((r for rows in alone for r in rows), key=repr)
+
+
+def test_only_loose_files_are_scanned(spark, tmp_path, tiny_splits):
+    (tmp_path / "in").mkdir()
+    for i in range(5):
+        body = "".join(f'{i}{k},"a\nb"\n' for k in range(20))
+        (tmp_path / f"in/{i}.csv").write_text("id,p\n" + body)
+    (tmp_path / "in/loose.csv").write_text('id,p\n7,5" pipe\n8,x\n')
+    path = str(tmp_path / "in")
+    groups = raw_csv.header_groups(spark, path)
+    loose = raw_csv._land_split(spark, path, str(tmp_path / "o"), groups, 5)
+    assert [f.rsplit("/", 1)[-1] for f in loose] == ["loose.csv"]
+    assert rows_of(spark.read.parquet(str(tmp_path / "o"))) == rows_of(scan_csv(spark, path))
+
+
+@pytest.mark.parametrize("split_above", [0, 1 << 30])
+def test_headers_in_other_orders(spark, tmp_path, split_above):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.csv").write_text("recipe_id,title\n1,one\n")
+    (tmp_path / "in/b.csv").write_text("title,recipe_id\nthree,3\n")
+    (tmp_path / "in/c.csv").write_text("minutes,recipe_id\n5,4\n")
+    landed = land_csv(spark, str(tmp_path / "in"), str(tmp_path / "o"), split_above)
+    assert landed.columns == ["recipe_id", "title", "minutes"]
+    assert rows_of(landed) == [("1", "one", None), ("3", "three", None), ("4", None, "5")]
+
+
+def test_load_by_name_over_other_orders(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    names = RECIPES.fieldNames()
+    (tmp_path / "in/a.csv").write_text(",".join(names) + "\n1,one,2,3,4,2020-01-31,x\n")
+    back = names[::-1]
+    (tmp_path / "in/b.csv").write_text(",".join(back) + "\ny,2020-02-29,4,3,2,three,3\n")
+    loaded = load_csv(spark, str(tmp_path / "in"), RECIPES)
+    assert [(r["recipe_id"], r["title"], r["source"]) for r in loaded.orderBy("recipe_id").collect()] == [
+        (1, "one", "x"),
+        (3, "three", "y"),
+    ]
