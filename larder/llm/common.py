@@ -33,6 +33,8 @@ def fold(doc_id: str = "doc_id") -> Column:
 class Memo:
     """Remembers what ``work`` makes of each key, for up to ``limit`` keys; then starts anew.
 
+    Values compare with None, as arrays would not.
+
     A plain dict asked through ``map`` is several times as fast as one with ``__missing__``.
     """
 

@@ -20,10 +20,11 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from larder.llm.common import row_of, texts_of
+from larder.llm.common import Memo, row_of, texts_of
 from larder.workspace import scratch_scope, stage
 
 UNKNOWN = "und"
@@ -38,7 +39,7 @@ BACKOFF = math.log(0.4)
 # A document whose language is less certain is left out by keep_known.
 LEAST_SCORE = 0.4
 # Distinct unseen words whose scores a task remembers; past it the memory starts anew.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -82,9 +83,8 @@ class Model:
         for n in SIZES:
             same = sizes == n
             self.gram_logs[same] = _logs(table[same], table[same].sum(axis=0))
-        self.seen: dict[str, np.ndarray] = {}
 
-    def unseen(self, word: str) -> np.ndarray:
+    def unseen(self, word: str) -> tuple[float, ...]:
         """Mean over the word's places of the longest known n-gram that begins there."""
         marked = f"<{word}>"
         at, steps = [], 0
@@ -96,32 +96,25 @@ class Model:
                     steps += step
                     break
         if not at:
-            return np.zeros(len(self.languages))
-        return (self.gram_logs[at].sum(axis=0) + steps * BACKOFF) / len(at)
-
-    def backoff(self, word: str) -> np.ndarray:
-        found = self.seen.get(word)
-        if found is None:
-            if len(self.seen) >= WORDS_KEPT:
-                self.seen.clear()
-            found = self.seen[word] = self.unseen(word)
-        return found
-
-    def predict(self, text: str | None) -> tuple[str, float]:
+            return (0.0,) * len(self.languages)
+        return tuple(((self.gram_logs[at].sum(axis=0) + steps * BACKOFF) / len(at)).tolist())
+
+    def memo(self) -> Memo:
+        """Scores of unseen words, for one task."""
+        return Memo(self.unseen, WORDS_KEPT)
+
+    def predict(self, text: str | None, unseen: Memo) -> tuple[str, float]:
         counts = Counter(words_of(text or ""))
         if not counts or not self.languages:
             return UNKNOWN, 0.0
-        rows, times = [], []
+        known = [(row, n) for w, n in counts.items() if (row := self.words.get(w)) is not None]
+        new = [w for w in counts if w not in self.words]
         sums = np.zeros(len(self.languages))
-        for word, n in counts.items():
-            row = self.words.get(word)
-            if row is None:
-                sums += n * self.backoff(word)
-            else:
-                rows.append(row)
-                times.append(n)
-        if rows:
-            sums += np.array(times, np.float32) @ self.word_logs[rows]
+        if known:
+            rows, times = zip(*known, strict=True)
+            sums += np.array(times, np.float32) @ self.word_logs[list(rows)]
+        if new:
+            sums += np.array([counts[w] for w in new]) @ np.array(unseen.all(new))
         # Divided by the root of the number of words: short texts stay in doubt, long ones do not.
         level = sums / math.sqrt(sum(counts.values()))
         shares = np.exp(level - level.max())
@@ -240,8 +233,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unseen = shared.value.memo()
         for rows in batches:
-            found = [shared.value.predict(text) for text in texts_of(rows)]
+            found = [shared.value.predict(text, unseen) for text in texts_of(rows)]
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column("doc_id"),
@@ -264,10 +258,11 @@ def keep_known(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")
-    def label(texts):  # type: ignore[no-untyped-def]
-        import pandas as pd
-
-        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang", "score"])
+    def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        unseen = shared.value.memo()
+        for texts in batches:
+            found = [shared.value.predict(text, unseen) for text in texts]
+            yield pd.DataFrame(found, columns=["lang", "score"])
 
     # Said not to be deterministic, so that the optimiser never runs it twice for a row.
     label = label.asNondeterministic()

@@ -17,7 +17,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import cache
 from unicodedata import is_normalized
 
 import numpy as np
@@ -31,8 +30,8 @@ CAPACITY = 4096
 END_ID = 1
 # Pieces packed by one task: bounds its memory (about 4 MB of numbers) and its time (about 1 s).
 GROUP_PIECES = 50_000
-# Distinct words whose ids a worker remembers (about 160 MB); past it the memory starts anew.
-WORDS_KEPT = 800_000
+# Distinct words whose ids a task remembers (about 80 MB); past it the memory starts anew.
+WORDS_KEPT = 400_000
 
 PIECES = pa.schema(
     [
@@ -92,12 +91,6 @@ class WordIds:
         return b"".join(self.chunks.all(chunks))
 
 
-@cache
-def word_ids(tokenizer_file: str) -> WordIds:
-    """One memory for all tasks of a worker process."""
-    return WordIds(tokenizer_file)
-
-
 def tokenize_pieces(
     docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, with_ids: bool = True
 ) -> DataFrame:
@@ -110,7 +103,7 @@ def tokenize_pieces(
     width = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(tokenizer_file)
+        words = WordIds(tokenizer_file)
         for rows in batches:
             of, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, text in enumerate(texts_of(rows)):

@@ -7,6 +7,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -18,7 +19,7 @@ SLOTS = 1_024
 SAMPLE = 4_000
 ROUNDS = 20
 # Distinct words whose slots a task remembers; past it the memory starts anew.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 
 WORD = re.compile(r"[^\W\d_]{2,}")
 
@@ -67,18 +68,16 @@ def fit(docs: DataFrame, topics: int = TOPICS, sample: int = SAMPLE) -> np.ndarr
 
 def topic_of(text: Column, centres: np.ndarray) -> Column:
     """The number of the nearest centre; null for texts without words, or without centres."""
-    slots = Memo(_slot, WORDS_KEPT)
-
     @F.pandas_udf("int")
-    def nearest(texts):  # type: ignore[no-untyped-def]
-        import pandas as pd
-
-        found = []
-        for value in texts:
-            vector = _vector(value or "", slots)
-            known = len(centres) and vector.any()
-            found.append(int((centres @ vector).argmax()) if known else None)
-        return pd.Series(found, dtype="Int32")
+    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        slots = Memo(_slot, WORDS_KEPT)
+        for texts in batches:
+            found = []
+            for value in texts:
+                vector = _vector(value or "", slots)
+                known = len(centres) and vector.any()
+                found.append(int((centres @ vector).argmax()) if known else None)
+            yield pd.Series(found, dtype="Int32")
 
     # Said not to be deterministic, so that the optimiser never runs it twice for a row.
     return nearest.asNondeterministic()(text)

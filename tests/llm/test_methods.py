@@ -38,10 +38,13 @@ def test_ids_by_chunk_are_ids_of_the_text(words, text):
     assert np.frombuffer(words.of(text), "<u4").tolist() == whole
 
 
+WORDS = Memo(packing.WordIds, 1)
+
+
 @settings(max_examples=300, deadline=None)
 @given(text=st.text(max_size=60))
 def test_ids_of_any_text(text):
-    ids = packing.word_ids(tokenizer_file())
+    ids = WORDS.one(tokenizer_file())
     whole = ids.tokenizer.encode(text, add_special_tokens=False).ids
     assert np.frombuffer(ids.of(text), "<u4").tolist() == whole
 
@@ -74,7 +77,7 @@ def test_sum_of_squares_by_hand(lengths):
 def test_packing_of_a_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = packing.pack(docs, tokenizer_file(), group_pieces=50).toPandas()
-    ids = packing.word_ids(tokenizer_file()).tokenizer
+    ids = packing.WordIds(tokenizer_file()).tokenizer
     texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
     for doc_id, of in rows.groupby("doc_id"):
         whole = ids.encode(texts[doc_id], add_special_tokens=False).ids + [1]
@@ -354,10 +357,12 @@ def test_unseen_words_back_off():
     words = [("en", "throughout", 5), ("en", "the", 50), ("de", "durch", 20), ("de", "der", 50)]
     grams = [(*key, n) for key, n in language.gram_counts(words).items()]
     model = language.Model(words, grams)
-    assert model.predict("throughoutly")[0] == "en"
-    assert model.predict("durchaus")[0] == "de"
-    assert model.predict("12 !") == ("und", 0.0)
-    assert language.Model([], []).predict("word") == ("und", 0.0)
+    memo = model.memo()
+    assert model.predict("throughoutly", memo)[0] == "en"
+    assert model.predict("durchaus", memo)[0] == "de"
+    assert model.predict("12 !", memo) == model.predict(None, memo) == ("und", 0.0)
+    nothing = language.Model([], [])
+    assert nothing.predict("word", nothing.memo()) == ("und", 0.0)
 
 
 def test_raking_meets_all_marginals():
