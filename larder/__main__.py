@@ -1,40 +1,74 @@
-"""``spark-submit`` entry of the curation job: ``python -m larder --help``."""
+"""Shell and ``spark-submit`` entry: ``python -m larder --help``."""
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from larder.plans.curate import RawPaths, curate, export_csv
+from larder.plans import ranking, search
+from larder.plans.curate import RawPaths, curate, export_csv, open_curated
 from larder.plans.lay_out import lay_out
-from larder.sizing import size_session
 
 
-def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(prog="larder", description="Raw CSV to curated tables.")
-    parser.add_argument("--foodcom-recipes", required=True)
-    parser.add_argument("--foodcom-interactions", required=True)
-    parser.add_argument("--recipenlg", required=True)
-    parser.add_argument("--out", default="./out")
-    parser.add_argument("--csv", action="store_true", help="also write the tables as CSV")
-    parser.add_argument("--single-file", action="store_true", help="small tables as one file")
-    parser.add_argument(
-        "--layout-buckets", type=int, help="also write the query layouts, with this many buckets"
-    )
-    args = parser.parse_args(argv)
+def parser() -> argparse.ArgumentParser:
+    main_parser = argparse.ArgumentParser(prog="larder", description="Curate and query recipes.")
+    main_parser.add_argument("--out", default="./out", help="folder of the curated tables")
+    commands = main_parser.add_subparsers(dest="command", required=True)
 
-    spark = SparkSession.builder.appName("larder").getOrCreate()
-    raw = RawPaths(args.foodcom_recipes, args.foodcom_interactions, args.recipenlg)
-    size_session(spark, raw.foodcom_recipes, raw.foodcom_interactions, raw.recipenlg)
-    done = curate(spark, raw, args.out)
+    job = commands.add_parser("curate", help="raw CSV to curated tables")
+    job.add_argument("--recipes", required=True, help="first source's recipes")
+    job.add_argument("--ratings", required=True, help="first source's interactions")
+    job.add_argument("--more-recipes", required=True, help="second source")
+    job.add_argument("--csv", action="store_true", help="also write the tables as CSV")
+    job.add_argument("--single-file", action="store_true", help="each CSV as one file")
+    job.add_argument("--buckets", type=int, help="also write the query layouts, so many buckets")
+
+    limits = argparse.ArgumentParser(add_help=False)
+    limits.add_argument("--limit", type=int, default=search.DISPLAY_LIMIT)
+    limits.add_argument("--explain", action="store_true", help="also show the plan")
+    find = commands.add_parser("search", parents=[limits], help="recipes with all of the terms")
+    find.add_argument("terms", nargs="+")
+    best = commands.add_parser("top-rated", parents=[limits], help="best average ratings")
+    best.add_argument("--min-ratings", type=int, default=ranking.MIN_RATINGS)
+    quick = commands.add_parser("quick", parents=[limits], help="quickest recipes")
+    quick.add_argument("--under", type=int, default=ranking.QUICK_MINUTES, help="minutes")
+    return main_parser
+
+
+def run_curate(spark: SparkSession, args: argparse.Namespace) -> None:
+    done = curate(spark, RawPaths(args.recipes, args.ratings, args.more_recipes), args.out)
     if args.csv:
         export_csv(done, f"{args.out}/csv", args.single_file)
-    if args.layout_buckets:
-        lay_out(done, args.out, "larder", args.layout_buckets)
+    if args.buckets:
+        lay_out(done, args.out, "larder", args.buckets)
     done.row_counts().show(truncate=False)
     done.audit().filter("violations > 0").show(truncate=False)
 
 
+def query(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    tables = open_curated(spark, args.out)
+    if args.command == "top-rated":
+        return ranking.top_rated(tables.recipes, tables.interactions, args.min_ratings, args.limit)
+    if args.command == "quick":
+        return ranking.quick_recipes(tables.recipes, args.under, args.limit)
+    searched = (tables.recipes, tables.ingredients, tables.recipe_ingredients)
+    if len(args.terms) == 1:
+        return search.ingredient_search(*searched, args.terms[0], args.limit)
+    return search.multi_ingredient(*searched, args.terms, args.limit)
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = parser().parse_args(argv)
+    spark = SparkSession.builder.appName("larder").getOrCreate()
+    if args.command == "curate":
+        run_curate(spark, args)
+        return
+    found = query(spark, args)
+    if args.explain:
+        found.explain("formatted")
+    found.show(args.limit, truncate=False)
+
+
 if __name__ == "__main__":
     main()

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed value: what a normalised name keeps. Punctuation to a space and then runs of blanks to one
 # space is the same as any run of other characters to one space, in half the passes.
@@ -47,10 +49,12 @@ def explode_list(df: DataFrame, text: str, item: str) -> DataFrame:
     return quoted.select(*others, unquote("_quoted").alias(item))
 
 
-def normalize_terms(spark: SparkSession, terms: list[str]) -> list[str]:
+def normalized_terms(terms: Sequence[str]) -> list[Column]:
     """Search terms put through the same clean-up as the stored names.
 
-    The input is one literal row, which Catalyst folds; no job runs.
+    Expressions of literals, which Catalyst folds: they reach a scan as pushed filters, and no job
+    runs for them.
     """
-    cleaned = F.array(*[normalize(F.lit(t)) for t in terms]).alias("terms")
-    return list(spark.sql("SELECT 1").select(cleaned).collect()[0].terms)
+    if not terms:
+        raise ValueError("a search needs at least one term")
+    return [normalize(F.lit(term)) for term in terms]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from larder.workspace import stage
 
@@ -25,14 +26,25 @@ def _sorted_positions(df: DataFrame, order: Sequence[str]) -> DataFrame:
     )
 
 
-def _offsets(positions: DataFrame) -> list[tuple[int, int]]:
-    """Rows before each partition. One row per partition reaches the driver."""
+def _offsets(positions: DataFrame) -> Column:
+    """Rows before each partition, by its number. One row per partition reaches the driver."""
     sizes = positions.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()
+    by_part = {row["_part"]: row["n"] for row in sizes}
     offsets, before = [], 0
-    for part, n in sorted((row["_part"], row["n"]) for row in sizes):
-        offsets.append((part, before))
-        before += n
-    return offsets
+    for part in range(max(by_part, default=-1) + 1):
+        offsets.append(before)
+        before += by_part.get(part, 0)
+    # One literal, however many partitions there are.
+    return F.from_json(F.lit(json.dumps(offsets)), "array<bigint>")
+
+
+def _numbered(
+    positions: DataFrame, columns: Sequence[str], id_column: str, id_type: T.DataType | None
+) -> DataFrame:
+    before = F.element_at(_offsets(positions), (F.col("_part") + 1).cast("int"))
+    position = F.col("_place").bitwiseAND((1 << POSITION_BITS) - 1)
+    number = (before + position + 1).cast(id_type or T.LongType())
+    return positions.select(number.alias(id_column), *columns)
 
 
 def dense_ids(
@@ -43,26 +55,15 @@ def dense_ids(
     Two narrow passes: sort by range and note positions, then add the number of rows in the
     partitions before. Equal to ``row_number()`` over the global order.
     """
-    spark = df.sparkSession
-    positions = _sorted_positions(df, order)
-    offsets = spark.createDataFrame(_offsets(positions), "_part long, _before long")
-    position = F.col("_place").bitwiseAND((1 << POSITION_BITS) - 1)
-    numbered = positions.join(F.broadcast(offsets), "_part").withColumn(
-        id_column, (F.col("_before") + position + 1).cast(id_type or T.LongType())
-    )
-    return numbered.select(id_column, *df.columns)
+    return _numbered(_sorted_positions(df, order), df.columns, id_column, id_type)
 
 
-def row_ids(
-    df: DataFrame, order: Sequence[str], id_column: str, id_type: T.DataType | None = None
-) -> DataFrame:
-    """``dense_ids`` for rows that may repeat: equal rows get neighbouring ids in any order.
+def row_ids(df: DataFrame, id_column: str, id_type: T.DataType | None = None) -> DataFrame:
+    """Add ``id_column`` = 1..N in no particular order, without a shuffle.
 
-    A range never splits equal sort keys, so copies first get a spread-out tiebreak. It is taken
-    from the written input, whose row order cannot change if a task is retried.
+    Rows are written where they are, with their places; what is read back has the same ids on
+    every retry.
     """
-    rows = stage(df, "rows")
-    spread = rows.withColumn("_spread", F.xxhash64(F.monotonically_increasing_id()))
-    rest = [c for c in df.columns if c not in order]
-    numbered = dense_ids(spread, [*order, *rest, "_spread"], id_column, id_type)
-    return numbered.drop("_spread")
+    placed = stage(df.withColumn("_place", F.monotonically_increasing_id()), "rows")
+    part = F.shiftrightunsigned("_place", POSITION_BITS)
+    return _numbered(placed.withColumn("_part", part), df.columns, id_column, id_type)

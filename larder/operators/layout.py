@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def range_sorted(
@@ -45,9 +45,17 @@ def recipes_by_minutes(recipes: DataFrame, path: str, files: int | None = None)
     return range_sorted(recipes, path, ["minutes", "recipe_id"], files)
 
 
-def plain(df: DataFrame, path: str) -> DataFrame:
-    """Back to no particular layout (L4); repeating it changes nothing."""
-    df.write.mode("overwrite").parquet(path)
+def plain(df: DataFrame, path: str, files: int | None = None) -> DataFrame:
+    """Back to no particular layout (L4): rows in no order, every file spanning all values.
+
+    ``df`` is a written table. Rows are dealt by a hash of their place in it, so the same again on
+    a retry, and repeating it changes nothing for a reader.
+    """
+    place = F.xxhash64(F.monotonically_increasing_id())
+    dealt = df.withColumn("_place", place)
+    dealt = dealt.repartition(files, "_place") if files else dealt.repartition("_place")
+    # Within a file rows would still come in runs of the files they were in.
+    dealt.sortWithinPartitions("_place").drop("_place").write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -104,3 +112,23 @@ def ratings_by_recipe(
         hot=spark.read.schema(interactions.schema).parquet(hot_path),
         recipes=_bucketed(recipes, f"{name}_recipes", f"{path}/recipes", "recipe_id", buckets),
     )
+
+
+def open_ratings(
+    spark: SparkSession, name: str, path: str, interactions: T.StructType, recipes: T.StructType,
+    buckets: int,
+) -> RatingsLayout:
+    """The layout that ``ratings_by_recipe`` has written, entered in the catalog if it is not."""
+    for table, schema in (("interactions", interactions), ("recipes", recipes)):
+        if not spark.catalog.tableExists(f"{name}_{table}"):
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+            spark.sql(
+                f"CREATE TABLE {name}_{table} ({columns}) USING parquet "
+                f"CLUSTERED BY (recipe_id) SORTED BY (recipe_id) INTO {int(buckets)} BUCKETS "
+                f"LOCATION '{path}/{table}'"
+            )
+    return RatingsLayout(
+        bucketed=spark.table(f"{name}_interactions"),
+        hot=spark.read.schema(interactions).parquet(f"{path}/interactions_hot"),
+        recipes=spark.table(f"{name}_recipes"),
+    )

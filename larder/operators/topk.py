@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+
+from larder.workspace import stage
 
 # Candidates looked at beyond k before giving up on the short way.
 SLACK = 200
@@ -14,13 +18,36 @@ SLACK = 200
 MAX_LEADERS = 1_000
 # On disk. Up to here building a hash table of the lookup costs less than another Spark job.
 SMALL_LOOKUP_BYTES = 2 * 1024 * 1024
+# How plans and settings write sizes.
+SIZES = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+UNITS = {f"{prefix.upper()}iB" if prefix else "B": n for prefix, n in SIZES.items()}
+UNITS["EiB"] = 1 << 60
+
+
+def _estimated_bytes(df: DataFrame) -> float:
+    """Spark's own estimate of the size of ``df``, from its plan; infinite if it has none."""
+    view = f"larder_{uuid.uuid4().hex}"
+    df.createTempView(view)
+    try:
+        plan = df.sparkSession.sql(f"EXPLAIN COST TABLE {view}").first()[0]
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
+    optimized = plan.partition("== Optimized Logical Plan ==")[2]
+    found = re.search(r"sizeInBytes=([\d.E+]+) (\w+)", optimized)
+    return float(found[1]) * UNITS[found[2]] if found else float("inf")
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's limit for broadcasts in bytes; negative if it has turned them off."""
+    value = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", value).groups()
+    return int(number) * SIZES[unit.removesuffix("b")]
 
 
 def _is_small(df: DataFrame) -> bool:
     """Whether Spark will broadcast ``df`` by its own estimate, at little cost."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= min(limit, SMALL_LOOKUP_BYTES)
+    limit = min(broadcast_limit(df.sparkSession), SMALL_LOOKUP_BYTES)
+    return limit > 0 and _estimated_bytes(df) <= limit
 
 
 def any_of(column: str, values: Sequence[int]) -> Column:
@@ -46,15 +73,16 @@ def _looked_up(rows: pa.Table, schema: T.StructType, lookup: DataFrame, key: str
 def join_existing(candidates: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Rows of ``candidates`` whose key, a number, is in ``lookup``, joined to it.
 
-    If ``lookup`` is big but there are few candidates, which a first pass over them tells, they
-    are looked up by a pushed-down key filter and ``lookup`` is not shuffled.
+    If ``lookup`` is big the candidates are written first, once, and counted. Few are looked up by
+    a pushed-down key filter; more are left to Spark, which knows the size of the written table.
     """
     if _is_small(lookup):
         return candidates.join(lookup, key)
-    few = candidates.orderBy(key).limit(MAX_LEADERS + 1).toArrow()
-    if few.num_rows > MAX_LEADERS:
-        return candidates.join(lookup, key)
-    return _looked_up(few, candidates.schema, lookup, key)
+    seen = Observation()
+    written = stage(candidates.observe(seen, F.count(F.lit(1)).alias("n")), "candidates")
+    if seen.get["n"] > MAX_LEADERS:
+        return written.join(lookup, key)
+    return _looked_up(written.toArrow(), written.schema, lookup, key)
 
 
 def top_k_existing(
@@ -78,9 +106,13 @@ def top_k_existing(
     leaders = candidates.orderBy(*order).limit(reach + 1).toArrow()
     first = _looked_up(leaders.slice(0, reach), candidates.schema, lookup, key)
     found = first.orderBy(*order).limit(k)
-    if leaders.num_rows > reach and len(found.collect()) < k:
+    if leaders.num_rows <= reach:
+        return found
+    rows = found.toArrow()
+    if rows.num_rows < k:
         return everything
-    return found
+    # At most k rows, here already: not worked out again.
+    return lookup.sparkSession.createDataFrame(rows, schema=found.schema)
 
 
 def lowest_k(df: DataFrame, column: str, tiebreak: str, k: int) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-SF_DIR = "/root/testdata/sf0.01"
-
 _RATED = """
 SELECT p.p_name AS title, avg(l.l_quantity) AS avg_rating, count(*) AS n_ratings
 FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
@@ -158,6 +156,13 @@ recipes AS (
 )
 """
 
+_TABLES = " UNION ALL ".join(
+    f"SELECT '{name}' AS name, count(*) AS n FROM {name}"
+    for name in ("documents", "events", "labels", "lineitem", "orders", "part", "supplier")
+)
+
+_KEY = "CASE WHEN lang = 'en' THEN doc_id ELSE doc_id + 10000000 END"
+
 ORACLES = {
     "top_rated": _RATED,
     "top_rated_agg_first": _RATED,
@@ -172,6 +177,13 @@ ORACLES = {
     "multi_ingredient_k": _BOTH,
     "csv_roundtrip": _DOCUMENTS,
     "csv_split_landing": _DOCUMENTS,
+    "csv_odd_landing": _DOCUMENTS,
+    "curated_load_mixed_headers": """
+SELECT o_orderkey AS recipe_id, o_orderpriority AS title, CAST(o_custkey AS INTEGER) AS "minutes",
+       CAST(NULL AS INTEGER) AS n_steps, CAST(length(o_orderpriority) AS INTEGER) AS n_ingredients,
+       CAST(o_orderdate AS DATE) AS submitted, o_orderstatus AS source
+FROM orders
+""",
     "curated_load": """
 SELECT o_orderkey AS recipe_id, o_orderpriority AS title,
        CAST(CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS INTEGER) AS "minutes",
@@ -234,11 +246,9 @@ FROM (
 WHERE rn = 1
 """,
     "row_ids": """
-SELECT row_number() OVER (
-         ORDER BY l_partkey NULLS FIRST, l_suppkey NULLS FIRST,
-                  CAST(l_shipdate AS DATE) NULLS FIRST, l_quantity NULLS FIRST) AS interaction_id,
-       l_suppkey AS user_id, l_partkey AS recipe_id, CAST(l_quantity AS TINYINT) AS rating,
-       CAST(l_shipdate AS DATE) AS interaction_date
+SELECT l_suppkey AS user_id, l_partkey AS recipe_id, CAST(l_quantity AS TINYINT) AS rating,
+       CAST(l_shipdate AS DATE) AS interaction_date,
+       CAST(1 AS BIGINT) AS first_id, count(*) OVER () AS last_id, count(*) OVER () AS n_ids
 FROM lineitem
 """,
     "interactions_fk": """
@@ -284,15 +294,14 @@ SELECT count(*) FILTER (doc_id IS NULL) AS doc_id_nulls,
 FROM documents
 """,
     "file_inventory": f"""
-SELECT parse_filename(filename) AS file, size AS bytes FROM read_blob('{SF_DIR}/*.parquet')
+SELECT name || '.parquet' AS file, n AS n_rows FROM ({_TABLES})
 """,
     "directory_totals": f"""
-SELECT count(*) AS n_files, CAST(sum(size) AS BIGINT) AS bytes
-FROM read_blob('{SF_DIR}/*.parquet')
+SELECT count(*) AS n_files, CAST(sum(n) AS BIGINT) AS n_rows FROM ({_TABLES}) WHERE n > 0
 """,
     "missing_files": f"""
 SELECT file FROM (VALUES ('orders.parquet'), ('recipes.parquet'), ('interactions.parquet')) v(file)
-WHERE file NOT IN (SELECT parse_filename(filename) FROM read_blob('{SF_DIR}/*.parquet'))
+WHERE file NOT IN (SELECT name || '.parquet' FROM ({_TABLES}) WHERE n > 0)
 """,
     "curated_tables": f"""
 {_CURATED}
@@ -300,6 +309,33 @@ SELECT 'recipes' AS tbl, count(*) AS n FROM recipes UNION ALL
 SELECT 'ingredients', count(*) FROM dim UNION ALL
 SELECT 'recipe_ingredients', count(*) FROM items UNION ALL
 SELECT 'interactions', count(*) FROM labels WHERE doc_id IN (SELECT recipe_id FROM recipes)
+""",
+    "curated_recipes": f"""
+SELECT {_KEY} AS recipe_id, concat_ws(' ', source, doc_id) AS title,
+       CASE WHEN lang = 'en' AND doc_id % 7 <> 0 THEN CAST(n_chars AS INTEGER) END AS "minutes",
+       CASE WHEN lang = 'en' AND doc_id % 3 = 0 THEN CAST(doc_id % 50 AS INTEGER) END AS n_steps,
+       CASE WHEN lang = 'en' AND doc_id % 5 <> 0 THEN CAST(doc_id % 40 AS INTEGER) END
+         AS n_ingredients,
+       CASE WHEN lang = 'en' AND doc_id % 4 = 2
+            THEN DATE '2019-05-01' + CAST(doc_id % 28 AS INTEGER) END AS submitted,
+       CASE WHEN lang = 'en' THEN 'foodcom' ELSE 'recipenlg' END AS source
+FROM documents
+""",
+    "curated_junction": f"""
+WITH {_ITEMS}
+SELECT {_KEY} AS recipe_id, ingredient_id,
+       name AS ingredient_name_raw, name AS ingredient_name_norm
+FROM items JOIN dim USING (name)
+""",
+    "curated_interactions": f"""
+SELECT CAST(toxic AS BIGINT) AS user_id, doc_id AS recipe_id,
+       CASE WHEN doc_id % 4 <> 0 THEN CAST(quality AS TINYINT) END AS rating,
+       CASE WHEN doc_id % 3 = 0 THEN DATE '2020-01-01' + CAST(doc_id % 28 AS INTEGER) END
+         AS interaction_date,
+       CAST(1 AS BIGINT) AS first_id, count(*) OVER () AS last_id, count(*) OVER () AS n_ids
+FROM labels
+WHERE toxic IS NOT NULL
+  AND doc_id IN (SELECT {_KEY} FROM documents)
 """,
     "curated_search": f"""
 WITH {_ITEMS}

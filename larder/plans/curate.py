@@ -20,9 +20,11 @@ from larder.schema import (
     INTERACTIONS,
     RECIPE_INGREDIENTS,
     RECIPES,
+    RULES,
     SOURCE_FOODCOM,
     SOURCE_RECIPENLG,
 )
+from larder.sizing import sized_for
 from larder.sources.raw_csv import land_csv
 from larder.sources.tables import replace_table, write_csv
 from larder.workspace import scratch_scope, stage
@@ -67,10 +69,11 @@ def land_raw(spark: SparkSession, raw: RawPaths, out: str) -> tuple[DataFrame, .
 def curate(spark: SparkSession, raw: RawPaths, out: str) -> CuratedTables:
     """Land, conform, key and write the four tables under ``out/curated/``.
 
-    Every table that is used twice is written before its second use.
+    Every table that is used twice is written before its second use. Widths follow the input's size.
     """
     curated = f"{out}/curated"
-    with scratch_scope(spark):
+    inputs = (raw.foodcom_recipes, raw.foodcom_interactions, raw.recipenlg)
+    with scratch_scope(spark), sized_for(spark, *inputs):
         foodcom, ratings, recipenlg = land_raw(spark, raw, out)
         recipes = replace_table(
             conform_recipes(foodcom, recipenlg), f"{curated}/recipes", RECIPES
@@ -87,13 +90,21 @@ def curate(spark: SparkSession, raw: RawPaths, out: str) -> CuratedTables:
         known = keep_referenced(
             conform_interactions(ratings), recipes, "recipe_id", unique_parent=True
         )
-        numbered = row_ids(
-            known, ["recipe_id", "user_id", "interaction_date", "rating"], "interaction_id"
-        )
+        numbered = row_ids(known, "interaction_id")
         interactions = replace_table(numbered, f"{curated}/interactions", INTERACTIONS)
     return CuratedTables(recipes, ingredients, junction, interactions)
 
 
+def open_curated(spark: SparkSession, out: str) -> CuratedTables:
+    """The four tables that ``curate`` has written under ``out``, in this session or another."""
+    return CuratedTables(
+        **{
+            name: spark.read.schema(rules.schema).parquet(f"{out}/curated/{name}")
+            for name, rules in RULES.items()
+        }
+    )
+
+
 def export_csv(tables: CuratedTables, out: str, single_file: bool = False) -> None:
     """The four tables as CSV under ``out/<table>``."""
     for name, df in tables.by_name().items():

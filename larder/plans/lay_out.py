@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from larder.operators import layout
 from larder.plans import ranking, search
-from larder.plans.curate import CuratedTables
+from larder.plans.curate import CuratedTables, open_curated
+from larder.schema import INTERACTIONS, RECIPE_INGREDIENTS, RECIPES
 
 
 @dataclass(frozen=True)
@@ -46,14 +47,45 @@ class LaidOutTables:
         return ranking.quick_recipes(self.recipes_by_minutes, under_minutes, limit)
 
 
+RATING_COLUMNS = ("recipe_id", "rating")
+TITLE_COLUMNS = ("recipe_id", "title")
+
+
+def _part(schema: T.StructType, columns: tuple[str, ...]) -> T.StructType:
+    return T.StructType([schema[name] for name in columns])
+
+
+def open_layouts(spark: SparkSession, out: str, name: str, buckets: int) -> LaidOutTables:
+    """The layouts that ``lay_out`` has written under ``out``, in this session or another."""
+    root = f"{out}/layouts"
+
+    def table(path: str, schema: T.StructType) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{root}/{path}")
+
+    return LaidOutTables(
+        ingredients=open_curated(spark, out).ingredients,
+        junction=table("junction", RECIPE_INGREDIENTS),
+        recipes_by_id=table("recipes_by_id", RECIPES),
+        recipes_by_minutes=table("recipes_by_minutes", RECIPES),
+        ratings=layout.open_ratings(
+            spark,
+            name,
+            f"{root}/ratings",
+            _part(INTERACTIONS, RATING_COLUMNS),
+            _part(RECIPES, TITLE_COLUMNS),
+            buckets,
+        ),
+    )
+
+
 def lay_out(tables: CuratedTables, out: str, name: str, buckets: int) -> LaidOutTables:
     """Write the layouts under ``out/layouts/``; ``name`` prefixes the bucketed tables.
 
     The curated tables stay as they are, so going back means using them.
     """
     root = f"{out}/layouts"
-    ratings = tables.interactions.select("recipe_id", "rating")
-    titles = tables.recipes.select("recipe_id", "title")
+    ratings = tables.interactions.select(*RATING_COLUMNS)
+    titles = tables.recipes.select(*TITLE_COLUMNS)
     return LaidOutTables(
         ingredients=tables.ingredients,
         junction=layout.junction_by_ingredient(tables.recipe_ingredients, f"{root}/junction"),

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from larder.functions.text import normalize_terms
+from larder.functions.text import normalized_terms
 from larder.operators.topk import join_existing, top_k_existing
 
 DISPLAY_LIMIT = 20
@@ -16,22 +16,20 @@ DISPLAY_LIMIT = 20
 MAX_LITERAL_IDS = 1_000
 
 
-def resolve_ids(ingredients: DataFrame, names: list[str]) -> dict[str, list[int]] | None:
+def resolve_ids(ingredients: DataFrame, names: list[Column]) -> list[list[int]] | None:
     """Ids of each (normalised) name, or None if there are too many to be literals."""
+    is_name = [(F.col("ingredient_name_norm") == name).alias(f"n{i}") for i, name in enumerate(names)]
     rows = (
-        ingredients.filter(F.col("ingredient_name_norm").isin(names))
+        ingredients.filter(F.col("ingredient_name_norm").isin(*names))
         .filter(F.col("ingredient_id").isNotNull())
-        .select("ingredient_name_norm", "ingredient_id")
+        .select("ingredient_id", *is_name)
         .orderBy("ingredient_id")  # one pass; a bare limit would try a few partitions at a time
         .limit(MAX_LITERAL_IDS + 1)
         .collect()
     )
     if len(rows) > MAX_LITERAL_IDS:
         return None
-    ids: dict[str, list[int]] = {name: [] for name in names}
-    for name, ingredient_id in rows:
-        ids[name].append(ingredient_id)
-    return ids
+    return [[row[0] for row in rows if row[i + 1]] for i in range(len(names))]
 
 
 def _has_id(ids: list[int]) -> Column:
@@ -40,7 +38,7 @@ def _has_id(ids: list[int]) -> Column:
 
 
 def _with_ingredient(
-    ingredients: DataFrame, recipe_ingredients: DataFrame, names: list[str]
+    ingredients: DataFrame, recipe_ingredients: DataFrame, names: list[Column]
 ) -> list[DataFrame]:
     """Per name, the recipe ids (one row per junction row) whose ingredient has that name.
 
@@ -49,12 +47,12 @@ def _with_ingredient(
     """
     ids = resolve_ids(ingredients, names)
     hits = []
-    for name in names:
+    for i, name in enumerate(names):
         if ids is None:
             named = ingredients.filter(F.col("ingredient_name_norm") == name)
             hit = recipe_ingredients.join(named.select("ingredient_id"), "ingredient_id")
         else:
-            hit = recipe_ingredients.filter(_has_id(ids[name]))
+            hit = recipe_ingredients.filter(_has_id(ids[i]))
         hits.append(hit.select("recipe_id"))
     return hits
 
@@ -74,15 +72,15 @@ def ingredient_search(
     limit: int | None = DISPLAY_LIMIT,
 ) -> DataFrame:
     """Recipes containing one ingredient, lowest ids first; ``limit=None`` gives all (Q1, Q1u)."""
-    names = normalize_terms(recipes.sparkSession, [term])
+    (name,) = names = normalized_terms([term])
     (hits,) = _with_ingredient(ingredients, recipe_ingredients, names)
     return _titled(recipes, hits, limit).select(
-        "recipe_id", "title", F.lit(names[0]).alias("matched_ingredient")
+        "recipe_id", "title", name.alias("matched_ingredient")
     )
 
 
-def _echo(names: list[str]) -> Column:
-    return F.concat_ws(", ", *[F.lit(name) for name in names]).alias("matched_ingredients")
+def _echo(names: list[Column]) -> Column:
+    return F.concat_ws(", ", *names).alias("matched_ingredients")
 
 
 def multi_ingredient(
@@ -97,11 +95,9 @@ def multi_ingredient(
     Each list is made distinct first; that shuffles by recipe once, after combining on the map
     side, and the semi-joins use the same partitioning.
     """
-    names = normalize_terms(recipes.sparkSession, terms)
-    hits = [
-        hit.distinct()
-        for hit in _with_ingredient(ingredients, recipe_ingredients, list(dict.fromkeys(names)))
-    ]
+    names = normalized_terms(terms)
+    asked = normalized_terms(list(dict.fromkeys(terms)))
+    hits = [hit.distinct() for hit in _with_ingredient(ingredients, recipe_ingredients, asked)]
     every = reduce(lambda left, right: left.join(right, "recipe_id", "left_semi"), hits)
     return _titled(recipes, every, limit).select("recipe_id", "title", _echo(names))
 
@@ -114,17 +110,17 @@ def multi_ingredient_k(
     limit: int | None = None,
 ) -> DataFrame:
     """Q4 for many terms: one pass over the junction, one flag per term, one shuffle."""
-    names = normalize_terms(recipes.sparkSession, terms)
-    wanted = list(dict.fromkeys(names))
+    names = normalized_terms(terms)
+    wanted = normalized_terms(list(dict.fromkeys(terms)))
     ids = resolve_ids(ingredients, wanted)
     if ids is None:
-        named = ingredients.filter(F.col("ingredient_name_norm").isin(wanted))
+        named = ingredients.filter(F.col("ingredient_name_norm").isin(*wanted))
         hits = recipe_ingredients.join(named, "ingredient_id")
         flags = [F.col("ingredient_name_norm") == name for name in wanted]
     else:
-        every_id = sorted(i for some in ids.values() for i in some)
+        every_id = sorted({i for some in ids for i in some})
         hits = recipe_ingredients.filter(_has_id(every_id))
-        flags = [_has_id(ids[name]) for name in wanted]
+        flags = [_has_id(some) for some in ids]
     has_all = reduce(lambda a, b: a & b, [F.bool_or(flag) for flag in flags])
     complete = (
         hits.groupBy("recipe_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,7 +21,7 @@ from larder.operators.dimension import (
 from larder.operators.ids import row_ids
 from larder.operators.references import keep_referenced, orphans
 from larder.plans import ranking, search
-from larder.plans.curate import curate
+from larder.plans.curate import CuratedTables, curate, open_curated
 from larder.schema import RECIPES
 from larder.sources import inventory, raw_csv, tables
 from larder.standins import table
@@ -110,6 +111,45 @@ def csv_split_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_documents(landed)
 
 
+def csv_odd_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in several files with a byte order mark and blank lines before the header
+    and blank lines between records, landed by tasks that share each file."""
+    quoted = [
+        F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+        for c in ("text", "lang", "source")
+    ]
+    record = F.concat_ws(",", "doc_id", *quoted, "n_chars")
+    docs = table(spark, sf_dir, "documents").select(
+        (F.col("doc_id") % 16).alias("file"),
+        F.when(F.col("doc_id") % 3 == 0, F.concat(record, F.lit("\n"))).otherwise(record).alias("value"),
+        F.lit(1).alias("after"),
+    )
+    header = F.lit("\ufeff\n\ndoc_id,text,lang,source,n_chars")
+    heads = docs.select("file", header.alias("value"), F.lit(0).alias("after")).distinct()
+    lines = docs.unionByName(heads).repartition("file").sortWithinPartitions("file", "after")
+    path = scratch_path(spark, "odd-csv")
+    lines.drop("after").write.partitionBy("file").text(path)
+    return _as_documents(raw_csv.land_csv(spark, path, scratch_path(spark, "landed"), split_above=0))
+
+
+def curated_load_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose columns come in different orders, loaded by name."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("recipe_id"),
+        F.col("o_orderpriority").alias("title"),
+        F.col("o_custkey").alias("minutes"),
+        F.lit(None).cast("int").alias("n_steps"),
+        F.length("o_orderpriority").alias("n_ingredients"),
+        F.col("o_orderdate").cast("date").alias("submitted"),
+        F.col("o_orderstatus").alias("source"),
+    )
+    path = scratch_path(spark, "mixed-csv")
+    odd = F.col("recipe_id") % 2 == 1
+    tables.write_csv(orders.filter(odd), f"{path}/file=1")
+    tables.write_csv(orders.filter(~odd).select(*reversed(orders.columns)), f"{path}/file=2")
+    return tables.load_csv(spark, path, RECIPES)
+
+
 def curated_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A CSV with blanks loaded under declared types, matched by name."""
     blank_if_low = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey"))
@@ -227,11 +267,14 @@ def dedup_by_key_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_ids_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generated ids for ratings, which may repeat."""
-    return row_ids(
-        standins.interactions(spark, sf_dir),
-        ["recipe_id", "user_id", "interaction_date", "rating"],
-        "interaction_id",
+    """Ratings, which may repeat, with what their generated ids span."""
+    numbered = row_ids(standins.interactions(spark, sf_dir), "interaction_id")
+    ids = numbered.agg(
+        F.min("interaction_id"), F.max("interaction_id"), F.count_distinct("interaction_id")
+    ).first()
+    spans = zip(("first_id", "last_id", "n_ids"), ids, strict=True)
+    return numbered.drop("interaction_id").select(
+        "*", *[F.lit(value).cast("long").alias(name) for name, value in spans]
     )
 
 
@@ -305,22 +348,32 @@ def null_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, n_rows) of the tables read here; a table may be a file or a folder of files."""
+    parts = [
+        inventory.rows_per_file(table(spark, sf_dir, name)) for name in sorted(standins.SCHEMAS)
+    ]
+    files = reduce(DataFrame.unionByName, parts)
+    name = F.regexp_extract("path", r"/(\w+[.]parquet)(?:/[^/]*)?$", 1).alias("file")
+    return files.groupBy(name).agg(F.sum("n_rows").alias("n_rows"))
+
+
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files and their sizes."""
-    return inventory.list_files(spark, sf_dir, "*.parquet").select("file", "bytes")
+    """Tables as they lie in the folder, with their rows."""
+    return _table_files(spark, sf_dir)
 
 
 def directory_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files and bytes per directory."""
-    files = inventory.list_files(spark, sf_dir, "*.parquet")
-    return inventory.directory_totals(files).select("n_files", "bytes")
+    """How many tables hold rows, and how many rows."""
+    return _table_files(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_rows")
+    )
 
 
 def missing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected files that are not there."""
-    files = inventory.list_files(spark, sf_dir, "*.parquet")
+    """Expected files that hold no rows, or are not there."""
     return inventory.missing_files(
-        files, ["orders.parquet", "recipes.parquet", "interactions.parquet"]
+        _table_files(spark, sf_dir), ["orders.parquet", "recipes.parquet", "interactions.parquet"]
     )
 
 
@@ -377,10 +430,41 @@ def curated_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate(spark, raw, scratch_path(spark, "curated")).row_counts()
 
 
+def _curated(spark: SparkSession, sf_dir: str) -> CuratedTables:
+    """Curated, and opened again from where it was written."""
+    out = scratch_path(spark, "curated")
+    curate(spark, standins.raw_recipe_files(spark, sf_dir), out)
+    return open_curated(spark, out)
+
+
+def curated_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain, every column of the recipes: good, malformed and blank values."""
+    return _curated(spark, sf_dir).recipes
+
+
+def curated_junction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain, every pair with its ingredient's name."""
+    done = _curated(spark, sf_dir)
+    return done.recipe_ingredients.join(done.ingredients, "ingredient_id").select(
+        "recipe_id", "ingredient_id", "ingredient_name_raw", "ingredient_name_norm"
+    )
+
+
+def curated_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain, every rating with what the generated ids span."""
+    interactions = _curated(spark, sf_dir).interactions
+    ids = interactions.agg(
+        F.min("interaction_id"), F.max("interaction_id"), F.count_distinct("interaction_id")
+    ).first()
+    spans = zip(("first_id", "last_id", "n_ids"), ids, strict=True)
+    return interactions.drop("interaction_id").select(
+        "*", *[F.lit(value).cast("long").alias(name) for name, value in spans]
+    )
+
+
 def curated_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q4 over the curated tables: documents with both words."""
-    raw = standins.raw_recipe_files(spark, sf_dir)
-    done = curate(spark, raw, scratch_path(spark, "curated"))
+    """Q4 over the curated tables, opened again: documents with both words."""
+    done = _curated(spark, sf_dir)
     return search.multi_ingredient(
         done.recipes, done.ingredients, done.recipe_ingredients, ["The", "of"], limit=None
     )
@@ -396,7 +480,9 @@ QUERIES: dict[str, Query] = {
     "multi_ingredient_k": multi_ingredient_k,
     "csv_roundtrip": csv_roundtrip,
     "csv_split_landing": csv_split_landing,
+    "csv_odd_landing": csv_odd_landing,
     "curated_load": curated_load,
+    "curated_load_mixed_headers": curated_load_mixed_headers,
     "blank_to_null": blank_to_null_columns,
     "cast_lenient": cast_lenient,
     "conform_union": conform_union,
@@ -422,5 +508,8 @@ QUERIES: dict[str, Query] = {
     "layout_quick": layout_quick,
     "layout_plain": layout_plain,
     "curated_tables": curated_tables,
+    "curated_recipes": curated_recipes,
+    "curated_junction": curated_junction,
+    "curated_interactions": curated_interactions,
     "curated_search": curated_search,
 }

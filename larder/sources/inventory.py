@@ -24,6 +24,12 @@ def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> Da
     )
 
 
+def rows_per_file(df: DataFrame) -> DataFrame:
+    """(path, n_rows) of every file that a table is read from."""
+    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    return df.select(path.alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def directory_totals(files: DataFrame) -> DataFrame:
     """(directory, n_files, bytes) per directory."""
     return files.groupBy("directory").agg(

@@ -91,18 +91,30 @@ def word_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_recipe_files(spark: SparkSession, sf_dir: str) -> RawPaths:
-    """Raw CSVs written from documents and labels: English text plays the first source."""
+    """Raw CSVs written from documents and labels: English text plays the first source.
+
+    Numbers and dates are good, malformed, out of range or blank, by the document's id.
+    """
     docs = word_lists(spark, sf_dir)
+    doc_id = F.col("doc_id")
+    day = F.lpad((doc_id % 28 + 1).cast("string"), 2, "0")
     title = F.concat_ws(" ", "source", F.col("doc_id").cast("string"))
     foodcom = docs.filter("lang = 'en'").select(
         title.alias("name"),
         F.col("doc_id").cast("string").alias("id"),
-        F.col("n_chars").cast("string").alias("minutes"),
-        F.lit("2020-02-30").alias("submitted"),
-        F.lit("").alias("n_steps"),
+        F.when(doc_id % 7 == 0, "99999999999").otherwise(F.col("n_chars").cast("string")).alias("minutes"),
+        F.when(doc_id % 4 == 0, "2020-02-30")
+        .when(doc_id % 4 == 1, "soon")
+        .when(doc_id % 4 == 2, F.concat(F.lit("2019-05-"), day))
+        .otherwise("")
+        .alias("submitted"),
+        F.when(doc_id % 3 == 0, (doc_id % 50).cast("string"))
+        .when(doc_id % 3 == 1, "x7")
+        .otherwise("")
+        .alias("n_steps"),
         F.col("text").alias("description"),
         "ingredients",
-        F.lit("many").alias("n_ingredients"),
+        F.when(doc_id % 5 == 0, "many").otherwise((doc_id % 40).cast("string")).alias("n_ingredients"),
     )
     recipenlg = docs.filter("lang <> 'en'").select(
         F.col("doc_id").cast("string").alias(" "),
@@ -113,8 +125,11 @@ def raw_recipe_files(spark: SparkSession, sf_dir: str) -> RawPaths:
     labels = table(spark, sf_dir, "labels").select(
         F.col("toxic").cast("string").alias("user_id"),
         F.col("doc_id").cast("string").alias("recipe_id"),
-        F.lit("2020-01-31").alias("date"),
-        F.col("quality").cast("string").alias("rating"),
+        F.when(doc_id % 3 == 0, F.concat(F.lit("2020-01-"), day))
+        .when(doc_id % 3 == 1, "2020-13-01")
+        .otherwise("")
+        .alias("date"),
+        F.when(doc_id % 4 == 0, "300").otherwise(F.col("quality").cast("string")).alias("rating"),
     )
     paths = RawPaths(
         foodcom_recipes=scratch_path(spark, "raw-recipes"),

@@ -7,8 +7,8 @@ import pytest
 
 from larder.__main__ import main
 from larder.operators.audits import audit
-from larder.plans.curate import RawPaths, curate, export_csv
-from larder.plans.lay_out import lay_out
+from larder.plans.curate import RawPaths, curate, export_csv, open_curated
+from larder.plans.lay_out import lay_out, open_layouts
 from larder.plans.ranking import quick_recipes, top_rated, top_rated_agg_first
 from larder.plans.search import ingredient_search, multi_ingredient, multi_ingredient_k
 from larder.schema import RULES
@@ -125,8 +125,6 @@ def test_junction(done):
 def test_interactions(done):
     rows = done.interactions.orderBy("interaction_id").collect()
     assert [r.interaction_id for r in rows] == list(range(1, 100))
-    key = [(r.recipe_id, r.user_id) for r in rows]
-    assert key == sorted(key)
     assert {r.recipe_id for r in rows} == {1, 4, 5, 6, 7}
     assert all(r.rating is None for r in rows if r.recipe_id == 6)
     assert all(r.interaction_date is None for r in rows if r.recipe_id == 7)
@@ -309,10 +307,11 @@ def test_command_line(spark, out, done, tmp_path, capsys):
     width = spark.conf.get("spark.sql.shuffle.partitions")
     main(
         [
-            "--foodcom-recipes", str(out / "recipes.csv"),
-            "--foodcom-interactions", str(out / "interactions.csv"),
-            "--recipenlg", str(out / "second.csv"),
-            "--out", str(tmp_path), "--csv", "--single-file", "--layout-buckets", "2",
+            "--out", str(tmp_path), "curate",
+            "--recipes", str(out / "recipes.csv"),
+            "--ratings", str(out / "interactions.csv"),
+            "--more-recipes", str(out / "second.csv"),
+            "--csv", "--single-file", "--buckets", "2",
         ]
     )
     printed = capsys.readouterr().out
@@ -320,10 +319,34 @@ def test_command_line(spark, out, done, tmp_path, capsys):
     assert len(list((tmp_path / "csv/recipes").glob("part-*.csv"))) == 1
     assert (tmp_path / "layouts/junction").exists()
     assert spark.conf.get("spark.sql.shuffle.partitions") == width
+    for command in (["search", "salt"], ["search", "salt", "garlic"], ["top-rated"], ["quick"]):
+        main(["--out", str(tmp_path), *command, "--limit", "3", "--explain"])
+        printed = capsys.readouterr().out
+        assert "Physical Plan" in printed and "title" in printed
+    # A session that knows nothing of the run: only the files are there.
+    fast = lay_out_of(spark, tmp_path).top_rated(min_ratings=1).collect()
     spark.sql("DROP TABLE larder_interactions")
     spark.sql("DROP TABLE larder_recipes")
+    other = spark.newSession()
+    assert lay_out_of(other, tmp_path).top_rated(min_ratings=1).collect() == fast
+    opened = open_curated(other, str(tmp_path))
+    assert opened.recipes.schema == done.recipes.schema
+    assert opened.recipe_ingredients.count() == 15
+    assert "Exchange hashpartitioning" not in plan_of(
+        lay_out_of(other, tmp_path).ratings.bucketed.groupBy("recipe_id").count()
+    )
+    spark.sql("DROP TABLE larder_interactions")
+    spark.sql("DROP TABLE larder_recipes")
+
+
+def lay_out_of(spark, path):
+    return open_layouts(spark, str(path), "larder", 2)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_widths_grow_with_the_data():
-    assert [shuffle_partitions(n, 200) for n in (10, 10**12, 10**14)] == [200, 3_726, 20_000]
+    assert [shuffle_partitions(n, 200) for n in (10, 10**12, 10**14)] == [200, 3_726, 372_530]
     assert [scan_bytes(n) // 2**20 for n in (10, 10**12, 10**14)] == [128, 128, 953]

@@ -1,6 +1,7 @@
 """What the plans must and must not contain, and that layouts change plans but not answers."""
 
 import re
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,9 +73,39 @@ def test_search_pushes_ids_and_reads_two_columns(spark):
 
 def test_search_takes_leaders_without_a_join_of_all_recipes(spark, conf, no_broadcast):
     conf("spark.sql.maxMetadataStringLength", "100000")
-    plan = plan_of(registry.ingredient_search(spark, SF_DIR))
+    recipes, ingredients, junction = standins.search_tables(spark, SF_DIR)
+    few = junction.filter(F.col("recipe_id") < 2000)
+    plan = plan_of(search.ingredient_search(recipes, ingredients, few, registry.TERM))
     assert "Exchange hashpartitioning" not in plan
     assert "In(o_orderkey," in plan and "EqualTo(o_orderkey," in plan
+    # With more leaders than needed the found rows are at hand, and nothing is run again.
+    assert "Scan parquet" not in plan_of(registry.ingredient_search(spark, SF_DIR))
+
+
+def jobs_of(spark, run):
+    group = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "")
+    run().collect()
+    ids = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(ids)
+
+
+@pytest.mark.parametrize(
+    ("name", "small", "large"),
+    [
+        ("ingredient_search", 3, 5),
+        ("ingredient_search_all", 3, 6),
+        ("multi_ingredient", 6, 7),
+    ],
+)
+def test_searches_run_few_jobs(spark, conf, name, small, large):
+    def run():
+        return registry.QUERIES[name](spark, SF_DIR)
+
+    assert jobs_of(spark, run) <= small
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert jobs_of(spark, run) <= large
 
 
 def test_top_rated_aggregates_before_the_join(spark, no_broadcast):
@@ -161,13 +192,20 @@ def test_written_dimension_is_in_name_order(spark, conf):
     assert one.count() == 1
 
 
-def test_dimension_that_fits_is_broadcast(spark, no_broadcast):
+def test_dimension_that_fits_is_broadcast(spark, conf):
     items = stage(skewed(spark, 1_000), "items")
     dimension = stage(ingredient_dimension(items), "names")
+    conf("spark.sql.autoBroadcastJoinThreshold", "1b")
     plan = plan_of(recipe_ingredients(items, dimension))
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_no_broadcast_where_the_session_wants_none(spark, no_broadcast):
+    items = stage(skewed(spark, 1_000), "items")
+    dimension = stage(ingredient_dimension(items), "names")
+    assert "Broadcast" not in plan_of(recipe_ingredients(items, dimension))
+
+
 def test_hot_recipe_is_split_in_the_reference_filter(spark, small_skew_limits):
     ratings = stage(
         skewed(spark, 60_000).select(

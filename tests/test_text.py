@@ -4,9 +4,10 @@ import random
 import re
 
 from hypothesis import HealthCheck, given, settings, strategies as st
+import pytest
 from pyspark.sql import functions as F
 
-from larder.functions.text import normalize, normalize_terms, parse_list
+from larder.functions.text import normalize, normalized_terms, parse_list
 
 
 def scan_items(s):
@@ -95,7 +96,10 @@ def test_normalize_random(spark):
 
 
 def test_terms_are_cleaned_like_names(spark):
-    assert normalize_terms(spark, ["Half & Half ", "GARLIC"]) == ["half half", "garlic"]
+    cleaned = spark.range(1).select(*normalized_terms(["Half & Half ", "GARLIC"])).first()
+    assert tuple(cleaned) == ("half half", "garlic")
+    with pytest.raises(ValueError):
+        normalized_terms([])
 
 
 def test_no_python_in_plan(spark):
