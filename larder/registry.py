@@ -25,7 +25,7 @@ from larder.plans.curate import CuratedTables, curate, open_curated
 from larder.schema import RECIPES
 from larder.sources import inventory, raw_csv, tables
 from larder.standins import table
-from larder.workspace import scratch_path, stage
+from larder.workspace import scratch_path, session_database, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -389,7 +389,7 @@ def layout_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ratings_layout(spark: SparkSession, sf_dir: str, buckets: int = 8) -> layout.RatingsLayout:
     path = scratch_path(spark, "ratings")
-    name = "larder_" + path.rsplit("-", 1)[-1]
+    name = f"{session_database(spark)}.ratings_{path.rsplit('-', 1)[-1]}"
     return layout.ratings_by_recipe(
         standins.ratings(spark, sf_dir),
         standins.ranked_recipes(spark, sf_dir),

@@ -7,6 +7,8 @@ names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -34,9 +36,33 @@ def scratch_dir(spark: SparkSession) -> str:
     return _local_dir(context.applicationId)
 
 
+def session_database(spark: SparkSession) -> str:
+    """The database, in the scratch folder, that holds what this session leaves until its end."""
+    name = "larder_" + re.sub(r"\W", "_", spark.sparkContext.applicationId).lower()
+    if name not in _sessions:
+        folder = f"{scratch_dir(spark)}/larder/{name}"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder}'")
+        _sessions[name] = folder
+        atexit.register(clear_scratch, spark)
+    return name
+
+
+_sessions: dict[str, str] = {}
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Drop all that the session has left: tables staged outside of any scope, and results that
+    read them. Runs at the end of the process too, if the session still does."""
+    if SparkSession.getActiveSession() is None:
+        return
+    name = session_database(spark)
+    del _sessions[name]
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the scratch folder that no other run uses."""
-    return f"{scratch_dir(spark)}/larder/{label}-{uuid.uuid4().hex}"
+    """A path in the session's scratch folder that no other use has."""
+    return f"{_sessions[session_database(spark)]}/{label}-{uuid.uuid4().hex}"
 
 
 _scope: ContextVar[str | None] = ContextVar("scope", default=None)

@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from larder.workspace import clear_scratch  # noqa: E402
+
 TESTDATA = "/root/testdata"
 
 
@@ -26,6 +28,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

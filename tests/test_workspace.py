@@ -2,7 +2,15 @@ import os
 
 import pytest
 
-from larder.workspace import scratch_dir, scratch_path, scratch_scope, stage
+from larder import registry
+from larder.workspace import (
+    clear_scratch,
+    scratch_dir,
+    scratch_path,
+    scratch_scope,
+    session_database,
+    stage,
+)
 
 
 class FakeSession:
@@ -47,3 +55,18 @@ def test_scope_deletes_only_its_own(spark):
         assert os.path.exists(path) and dropped.count() == 4
     assert not os.path.exists(path)
     assert kept.count() == 3
+
+
+def test_nothing_is_left_of_a_session(spark):
+    """Registered queries leave nothing outside of the session's database, which can be dropped."""
+    before = {d.name for d in spark.catalog.listDatabases()}
+    folder = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
+    for name in ("layout_top_rated", "layout_plain", "curated_tables", "csv_split_landing"):
+        registry.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    assert not spark.catalog.listTables("default")
+    own = session_database(spark)
+    assert {d.name for d in spark.catalog.listDatabases()} - before <= {own}
+    assert os.listdir(folder)
+    clear_scratch(spark)
+    assert not os.path.exists(folder)
+    assert own not in {d.name for d in spark.catalog.listDatabases()}
