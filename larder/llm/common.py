@@ -2,26 +2,49 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import larder
+
 # Rows handed to Python at once. Texts can be long, so batches are kept far below Spark's default.
 ROWS_PER_BATCH = 512
 
 
-def arrow_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of long texts small; a smaller limit already set stays."""
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make a session fit for tasks in Python: small batches of long texts, and this package on
+    every executor, wherever the driver has loaded it from. A smaller batch already set stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > ROWS_PER_BATCH:
         spark.conf.set(key, ROWS_PER_BATCH)
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        context.addPyFile(_zipped())
+        _shipped.add(context.applicationId)
+
+
+def _zipped() -> str:
+    """The package as an archive in the driver's own temporary folder, from where Spark sends it."""
+    root = Path(larder.__file__).parent
+    path = str(Path(tempfile.mkdtemp(prefix="larder-code-")) / "larder_code.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    return path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrow_batches(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

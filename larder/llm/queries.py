@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from larder.llm import language, mixing, quality, secrets, sharding, toxicity
-from larder.llm.common import arrow_batches, documents, fold
+from larder.llm.common import prepare, documents, fold
 from larder.llm.exact_dedup import copy_groups
 from larder.llm.html_text import extract
 from larder.llm.near_dedup import near_duplicates
@@ -44,7 +44,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrow_batches(spark)
+    prepare(spark)
     return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
