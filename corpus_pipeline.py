@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import language, mixing, packing
-from larder.llm.common import arrow_batches
+from larder.llm.common import prepare
 from larder.llm.exact_dedup import drop_copies
 from larder.llm.near_dedup import drop_near_duplicates
 from larder.llm.vocabulary import tokenizer_file
@@ -22,30 +22,31 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be told."""
-    arrow_batches(spark)
+    prepare(spark)
     return language.keep_known(docs, language.train(docs))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text."""
+    prepare(spark)
     return drop_copies(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a similarity of 0.8 and more."""
-    arrow_batches(spark)
+    prepare(spark)
     return drop_near_duplicates(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample in which rare sources, languages and topics weigh more."""
-    arrow_batches(spark)
+    prepare(spark)
     return mixing.sample(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces with their places in training sequences."""
-    arrow_batches(spark)
+    prepare(spark)
     return packing.pack(docs, tokenizer_file())
 
 
