@@ -60,10 +60,11 @@ def test_scope_deletes_only_its_own(spark):
 def test_nothing_is_left_of_a_session(spark):
     """Registered queries leave nothing outside of the session's database, which can be dropped."""
     before = {d.name for d in spark.catalog.listDatabases()}
+    tables = {t.name for t in spark.catalog.listTables("default")}
     folder = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
     for name in ("layout_top_rated", "layout_plain", "curated_tables", "csv_split_landing"):
         registry.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
-    assert not spark.catalog.listTables("default")
+    assert {t.name for t in spark.catalog.listTables("default")} == tables
     own = session_database(spark)
     assert {d.name for d in spark.catalog.listDatabases()} - before <= {own}
     assert os.listdir(folder)
