@@ -105,7 +105,9 @@ class Model:
 
     def predict(self, text: str | None, unseen: Memo) -> tuple[str, float]:
         counts = Counter(words_of(text or ""))
-        if not counts or not self.languages:
+        # Signs such as a superscript count as parts of words, but are no letters.
+        lettered = any(sign.isalpha() for word in counts for sign in word)
+        if not lettered or not self.languages:
             return UNKNOWN, 0.0
         known = [(row, n) for w, n in counts.items() if (row := self.words.get(w)) is not None]
         new = [w for w in counts if w not in self.words]

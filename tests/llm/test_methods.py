@@ -360,7 +360,9 @@ def test_unseen_words_back_off():
     memo = model.memo()
     assert model.predict("throughoutly", memo)[0] == "en"
     assert model.predict("durchaus", memo)[0] == "de"
-    assert model.predict("12 !", memo) == model.predict(None, memo) == ("und", 0.0)
+    for text in ("12 !", None, "", "\u00b2 \u00bd \u2167"):
+        assert model.predict(text, memo) == ("und", 0.0)
+    assert model.predict("x\u00b2", memo)[0] != "und"
     nothing = language.Model([], [])
     assert nothing.predict("word", nothing.memo()) == ("und", 0.0)
 
