@@ -86,14 +86,14 @@ class Model:
 
     def unseen(self, word: str) -> tuple[float, ...]:
         """Mean over the word's places of the longest known n-gram that begins there."""
-        marked = f"<{word}>"
-        at, steps = [], 0
-        for i in range(len(marked)):
-            for step, n in enumerate(SIZES):
-                row = self.grams.get(marked[i : i + n]) if i + n <= len(marked) else None
+        marked, known = f"<{word}>", self.grams.get
+        at, steps, longest, end = [], 0, SIZES[0], len(word) + 2
+        for i in range(end):
+            for n in range(min(longest, end - i), 0, -1):
+                row = known(marked[i : i + n])
                 if row is not None:
                     at.append(row)
-                    steps += step
+                    steps += longest - n
                     break
         if not at:
             return (0.0,) * len(self.languages)
@@ -109,14 +109,17 @@ class Model:
         lettered = any(sign.isalpha() for word in counts for sign in word)
         if not lettered or not self.languages:
             return UNKNOWN, 0.0
-        known = [(row, n) for w, n in counts.items() if (row := self.words.get(w)) is not None]
-        new = [w for w in counts if w not in self.words]
-        sums = np.zeros(len(self.languages))
-        if known:
-            rows, times = zip(*known, strict=True)
-            sums += np.array(times, np.float32) @ self.word_logs[list(rows)]
-        if new:
-            sums += np.array([counts[w] for w in new]) @ np.array(unseen.all(new))
+        rows = list(map(self.words.get, counts))
+        times = np.fromiter(counts.values(), np.float32, len(counts))
+        if None in rows:
+            seen = np.array([row is not None for row in rows])
+            new = unseen.all([w for w, row in zip(counts, rows, strict=True) if row is None])
+            sums = times[~seen] @ np.array(new, np.float32)
+            rows, times = [row for row in rows if row is not None], times[seen]
+        else:
+            sums = np.zeros(len(self.languages), np.float32)
+        if rows:
+            sums = sums + times @ self.word_logs[rows]
         # Divided by the root of the number of words: short texts stay in doubt, long ones do not.
         level = sums / math.sqrt(sum(counts.values()))
         shares = np.exp(level - level.max())
