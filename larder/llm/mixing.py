@@ -145,20 +145,40 @@ def draw(doc_id: Column, seed: int = SEED) -> Column:
     return bits.cast("double") / F.lit(float(1 << 53))
 
 
-def _measured(rows: DataFrame, topic: Topic) -> DataFrame:
+def _measured(rows: DataFrame, topic: Column) -> DataFrame:
     """``row`` with its tokens and the values of the keys."""
     return rows.select(
         "row",
         tokens(F.col("row.text")).alias("tokens"),
         F.col("row.source").alias("source"),
         F.col("row.lang").alias("lang"),
-        topic(F.col("row.text")).cast("string").alias("topic"),
+        topic.cast("string").alias("topic"),
     )
 
 
-def _fitted_topics(docs: DataFrame) -> Topic:
-    centres = topics.fit(docs)
-    return lambda text: topics.topic_of(text, centres)
+def _given_topic(docs: DataFrame, topic: Topic | None) -> Column | None:
+    """What tells a row's topic without fitting: ``topic``, or else the column of that name."""
+    if topic:
+        return topic(F.col("row.text"))
+    named = any(name.lower() == "topic" for name in docs.columns)
+    return F.col("row.topic") if named else None
+
+
+def _vectors(rows: DataFrame) -> DataFrame:
+    """The measures of ``rows`` that come from texts, written: their ids, tokens, keys and vectors."""
+    read = _measured(rows, F.lit(None)).drop("topic")
+    return stage(
+        read.select(
+            F.struct("row.doc_id").alias("row"), "tokens", "source", "lang",
+            topics.vector_of(F.col("row.text")).alias("vector"),
+        ),
+        "vectors",
+    )
+
+
+def _with_topics(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
+    topic = topics.topic_of_vector(F.col("vector"), centres).cast("string")
+    return vectors.select("row", "tokens", "source", "lang", topic.alias("topic"))
 
 
 def _decided(
@@ -189,11 +209,17 @@ def mix(
     (``doc_id, text, source, lang``).
 
     ``weight`` is the cell's fitted over its actual tokens. Without ``targets`` the shares of the
-    corpus are flattened; without ``topic``, an expression of a text, topics are fitted on a bounded
-    sample. Texts are read once for all counts; the rest works on the measures.
+    corpus are flattened. Without ``topic``, an expression of a text, the column ``topic`` counts, and
+    without that topics are fitted on all documents. Texts are read once for all counts; the rest
+    works on the measures.
     """
-    read = _measured(row_of(docs), topic or _fitted_topics(docs))
+    rows, given = row_of(docs), _given_topic(docs, topic)
     with scratch_scope(docs.sparkSession):
+        if given is None:
+            vectors = _vectors(rows)
+            read = _with_topics(vectors, topics.fit(vectors))
+        else:
+            read = _measured(rows, given)
         measured = stage(
             read.select(F.struct("row.doc_id").alias("row"), "tokens", *KEYS), "measured"
         )
@@ -211,6 +237,14 @@ def sample(
     seed: int = SEED,
 ) -> DataFrame:
     """The rows of ``docs`` that are drawn, all columns. Texts are read twice and never shuffled."""
-    read = _measured(row_of(docs), topic or _fitted_topics(docs))
-    cells = keep(_cells(read), "cells")
+    rows, given = row_of(docs), _given_topic(docs, topic)
+    if given is None:
+        with scratch_scope(docs.sparkSession):
+            vectors = _vectors(rows)
+            centres = topics.fit(vectors)
+            cells = keep(_cells(_with_topics(vectors, centres)), "cells")
+        read = _measured(rows, topics.topic_of(F.col("row.text"), centres))
+    else:
+        read = _measured(rows, given)
+        cells = keep(_cells(read), "cells")
     return _decided(read, cells, targets, share, seed).filter("kept").select("row.*")

@@ -1,4 +1,9 @@
-"""Topics for corpora that come without: spherical k-means over hashed word counts."""
+"""Topics for corpora that come without: spherical k-means over hashed word counts.
+
+Centres are fitted on all documents: each round a task adds up the vectors nearest to each centre, and
+only the sums, a number for each centre and slot, reach the driver. Vectors and centres are whole
+numbers, so sums do not depend on the order of rows.
+"""
 
 from __future__ import annotations
 
@@ -11,13 +16,16 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from larder.llm.common import Memo, texts_of
+from larder.llm.common import Memo
 
 TOPICS = 8
 SLOTS = 1_024
-# Documents the centres are fitted on: those with the lowest hash of their id.
-SAMPLE = 4_000
 ROUNDS = 20
+# Length of vectors, whose values take 16 bits, and of centres; products of them stay exact in doubles.
+UNIT = 1 << 15
+CENTRE = 1 << 20
+# Distance (1 - cosine) from a centre up to which a vector counts as equal to it.
+LEAST_DISTANCE = 1e-5
 # Distinct words whose slots a task remembers; past it the memory starts anew.
 WORDS_KEPT = 200_000
 
@@ -28,42 +36,134 @@ def _slot(word: str) -> int:
     return zlib.crc32(word.encode()) % SLOTS
 
 
-def _vector(text: str, slots: Memo) -> np.ndarray:
-    """Root word counts by hashed slot, of length one; zeros without words."""
+def _vector(text: str, slots: Memo) -> bytes | None:
+    """Root word counts by hashed slot, of length ``UNIT``: pairs of slot and value; None without
+    words."""
     at = slots.all(WORD.findall(text.lower()))
-    vector = np.sqrt(np.bincount(at, minlength=SLOTS).astype(np.float32)) if at else np.zeros(SLOTS)
-    length = np.linalg.norm(vector)
-    return vector / length if length else vector
-
-
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    slots = Memo(_slot, WORDS_KEPT)
-    for rows in batches:
-        data = [_vector(text, slots).astype(np.float16).tobytes() for text in texts_of(rows)]
-        yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], names=["vector"])
-
-
-def fit(docs: DataFrame, topics: int = TOPICS, sample: int = SAMPLE) -> np.ndarray:
-    """Centres, a row per topic, from at most ``sample`` documents with distinct ids."""
-    drawn = docs.filter("text is not null").select("text", F.xxhash64("doc_id").alias("draw"))
-    last = drawn.select("draw").distinct().orderBy("draw").limit(sample).agg(F.max("draw"))
-    bound = last.collect()[0][0]
-    if bound is None:
-        return np.zeros((0, SLOTS), np.float32)
-    chosen = drawn.filter(F.col("draw") <= bound).groupBy("draw").agg(F.min("text").alias("text"))
-    rows = chosen.select("text").mapInArrow(_vectors, "vector binary").collect()
-    points = np.array([np.frombuffer(r["vector"], np.float16) for r in rows], np.float32)
-    points = points[np.lexsort(points.T[:8])]
-    # Start from points far from the centres so far, then move centres to their points' mean.
-    centres = points[:1]
-    while len(centres) < min(topics, len(points)):
-        centres = np.vstack([centres, points[(points @ centres.T).max(axis=1).argmin()]])
-    for _ in range(ROUNDS):
-        nearest = (points @ centres.T).argmax(axis=1)
-        sums = np.stack([points[nearest == k].sum(axis=0) for k in range(len(centres))])
-        lengths = np.linalg.norm(sums, axis=1, keepdims=True)
-        centres = np.where(lengths > 0, sums / np.maximum(lengths, 1e-9), centres)
-    return centres.astype(np.float32)
+    if not at:
+        return None
+    counts = np.bincount(at, minlength=SLOTS)
+    pairs = np.empty((np.count_nonzero(counts), 2), "<u2")
+    pairs[:, 0] = found = np.flatnonzero(counts)
+    pairs[:, 1] = np.rint(np.sqrt(counts[found] / len(at)) * UNIT)
+    return pairs.tobytes()
+
+
+def _points(vectors: list[bytes]) -> np.ndarray:
+    """A row per vector."""
+    pairs = np.frombuffer(b"".join(vectors), "<u2").reshape(-1, 2)
+    sizes = np.fromiter(map(len, vectors), np.int64, len(vectors)) // 4
+    points = np.zeros(len(vectors) * SLOTS)
+    points[np.repeat(np.arange(len(vectors)) * SLOTS, sizes) + pairs[:, 0]] = pairs[:, 1]
+    return points.reshape(-1, SLOTS)
+
+
+def _nearest(vectors: list[bytes | None], centres: np.ndarray) -> list[int | None]:
+    found: list[int | None] = [None] * len(vectors)
+    known = [i for i, v in enumerate(vectors) if v]
+    if known and len(centres):
+        products = _points([vectors[i] for i in known]) @ centres.T
+        for i, k in zip(known, products.argmax(axis=1).tolist(), strict=True):
+            found[i] = k
+    return found
+
+
+def _centres(sums: np.ndarray) -> np.ndarray:
+    """Sums scaled to the length of centres, in whole numbers."""
+    return np.rint(sums / np.linalg.norm(sums, axis=1, keepdims=True) * CENTRE)
+
+
+def _next_centre(known: DataFrame, centres: np.ndarray) -> np.ndarray | None:
+    """A vector drawn with a chance in proportion to its distance from the centres so far; None if
+    all vectors are centres. Of equal vectors one takes part."""
+
+    def race(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = None
+        for rows in batches:
+            if not rows.num_rows:
+                continue
+            vectors = rows.column("vector").to_pylist()
+            draws = (np.array(rows.column("draw")).astype(np.uint64) >> np.uint64(11)) + 0.5
+            distance = np.ones(len(vectors))
+            if len(centres):
+                points = _points(vectors)
+                lengths = np.linalg.norm(points, axis=1) * CENTRE
+                distance = 1 - (points @ centres.T).max(axis=1) / lengths
+            late = np.full(len(vectors), np.inf)
+            far = distance > LEAST_DISTANCE
+            late[far] = -np.log(draws[far] / (1 << 53)) / distance[far]
+            first = (late.min(), min(vectors[i] for i in np.flatnonzero(late == late.min())))
+            if np.isfinite(first[0]) and (best is None or first < best):
+                best = first
+        if best:
+            arrays = [pa.array([best[0]], pa.float64()), pa.array([best[1]], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["late", "vector"])
+
+    drawn = known.withColumn("draw", F.xxhash64("vector", F.lit(len(centres))))
+    first = drawn.mapInArrow(race, "late double, vector binary").orderBy("late", "vector").limit(1)
+    for row in first.collect():
+        pairs = np.frombuffer(row["vector"], "<u2").reshape(-1, 2)
+        return np.bincount(pairs[:, 0], pairs[:, 1], SLOTS)[None]
+    return None
+
+
+def _sums(known: DataFrame, centres: np.ndarray) -> np.ndarray:
+    """The sum of the vectors nearest to each centre."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(centres), SLOTS))
+        for rows in batches:
+            points = _points(rows.column("vector").to_pylist())
+            nearest = (points @ centres.T).argmax(axis=1)
+            total += (nearest == np.arange(len(centres))[:, None]).astype(float) @ points
+        total = total.ravel()
+        at = np.flatnonzero(total)
+        arrays = [pa.array(at, pa.int32()), pa.array(total[at].astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["at", "total"])
+
+    parts = known.mapInArrow(add, "at int, total long").groupBy("at")
+    total = np.zeros(len(centres) * SLOTS)
+    for row in parts.agg(F.sum("total").alias("total")).collect():
+        total[row["at"]] = row["total"]
+    return total.reshape(-1, SLOTS)
+
+
+def fit(vectors: DataFrame, topics: int = TOPICS) -> np.ndarray:
+    """Centres, a row per topic, from all rows of a written table with the column ``vector``."""
+    known = vectors.select("vector").filter("vector is not null")
+    centres = np.zeros((0, SLOTS))
+    while len(centres) < topics and (drawn := _next_centre(known, centres)) is not None:
+        centres = np.vstack([centres, _centres(drawn)])
+    for _ in range(ROUNDS if len(centres) else 0):
+        sums, before = _sums(known, centres), centres
+        kept = sums.any(axis=1)
+        centres = centres.copy()
+        centres[kept] = _centres(sums[kept])
+        if (centres == before).all():
+            break
+    return centres
+
+
+def vector_of(text: Column) -> Column:
+    """The vector of a text as bytes; null for texts without words."""
+    @F.pandas_udf("binary")
+    def vector(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        slots = Memo(_slot, WORDS_KEPT)
+        for texts in batches:
+            yield pd.Series([_vector(value or "", slots) for value in texts], dtype=object)
+
+    # Said not to be deterministic, so that the optimiser never runs it twice for a row.
+    return vector.asNondeterministic()(text)
+
+
+def topic_of_vector(vector: Column, centres: np.ndarray) -> Column:
+    """The number of the nearest centre; null for null, or without centres."""
+    @F.pandas_udf("int")
+    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for vectors in batches:
+            yield pd.Series(_nearest(list(vectors), centres), dtype="Int32")
+
+    return nearest.asNondeterministic()(vector)
 
 
 def topic_of(text: Column, centres: np.ndarray) -> Column:
@@ -72,12 +172,7 @@ def topic_of(text: Column, centres: np.ndarray) -> Column:
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         slots = Memo(_slot, WORDS_KEPT)
         for texts in batches:
-            found = []
-            for value in texts:
-                vector = _vector(value or "", slots)
-                known = len(centres) and vector.any()
-                found.append(int((centres @ vector).argmax()) if known else None)
+            found = _nearest([_vector(value or "", slots) for value in texts], centres)
             yield pd.Series(found, dtype="Int32")
 
-    # Said not to be deterministic, so that the optimiser never runs it twice for a row.
     return nearest.asNondeterministic()(text)

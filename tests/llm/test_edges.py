@@ -110,3 +110,15 @@ def test_shards_of_odd_rows(odd):
         assert sorted(of["slot"]) == list(range(len(of)))
     for r in rows.itertuples():
         assert sharding.row_at(r.shard, r.slot, len(rows), 3) == r.row_number
+
+
+def test_mixing_of_odd_rows_without_a_topic_column(odd, empty):
+    found = mixing.mix(odd.drop("topic"))
+    rows = found.toPandas()
+    assert len(rows) == len(ODD)
+    blank = rows[rows["doc_id"].isin([1, 2, 3, 9])]
+    assert (blank["topic"] == mixing.OTHER).all()
+    assert (rows[rows["doc_id"] == 4]["topic"] != mixing.OTHER).all()
+    assert mixing.mix(empty.drop("topic")).columns == found.columns
+    assert mixing.sample(empty.drop("topic")).count() == 0
+    assert mixing.sample(odd.drop("topic"), share=1.0).count() == len(ODD)

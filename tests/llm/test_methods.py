@@ -396,6 +396,34 @@ def test_mixed_sample_meets_targets(spark):
 # Toxicity
 
 
+def test_topics_are_fitted_on_all_documents(spark):
+    """A topic of one document in 6,000 has a centre, wherever the hash of its id ranks."""
+    rows = [(i, "river water boat", "a", "en") for i in range(6_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    last = docs.orderBy(F.xxhash64("doc_id").desc()).first()["doc_id"]
+    rare = F.when(F.col("doc_id") == last, "parsec quasar").otherwise(F.col("text"))
+    found = mixing.mix(docs.withColumn("text", rare)).toPandas()
+    topic = found.set_index("doc_id")["topic"]
+    assert (topic == topic[last]).sum() == 1
+
+
+def test_topics_do_not_depend_on_partitions(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    one, other = (
+        mixing.mix(docs.repartition(n)).select("doc_id", "topic").toPandas().sort_values(["doc_id", "topic"])
+        for n in (1, 7)
+    )
+    assert one["topic"].nunique() == 8
+    assert one["topic"].tolist() == other["topic"].tolist()
+
+
+def test_a_topic_column_counts(spark):
+    rows = [(i, "same words", "a", "en", "xy"[i % 2]) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, topic string")
+    found = mixing.mix(docs).toPandas()
+    assert found.set_index("doc_id")["topic"].to_dict() == {r[0]: r[4] for r in rows}
+
+
 def test_toxicity_held_out(spark):
     from larder.llm.queries import op4_toxicity
 
