@@ -7,8 +7,9 @@ sample holds the share of tokens asked for; probabilities are at most 1, and wha
 made up by the other cells. Documents are drawn by a hash of their id, so a run can be repeated and
 a larger share only adds documents.
 
-Levels that have no target of their own (rare ones, and nulls) share the level ``OTHER``; so the
-number of cells is bounded by the targets, whatever the corpus.
+Without targets every level has one of its own, and nulls are the level ``OTHER``; where targets are
+given, levels without one share ``OTHER``. Few cells are raked on the driver, more in Spark, where the
+driver sees no more than sums; both ways do the same steps.
 
 Defined cases: tokens are words between white space, at least 1 a document, so empty and null texts
 are sampled too; null sources and languages count as ``OTHER``; rows with one id are drawn together;
@@ -20,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from larder.llm import topics
 from larder.llm.common import row_of
@@ -28,8 +29,8 @@ from larder.workspace import keep, scratch_scope, stage
 
 OTHER = "other"
 KEYS = ("source", "lang", "topic")
-# Levels of a key with a target of their own; bounds the cells that reach the driver.
-LEVELS = {"source": 256, "lang": 32, "topic": 16}
+# Cells up to which they are raked on the driver and broadcast.
+CELLS_ON_DRIVER = 100_000
 # Exponent of the default targets: 1 keeps the corpus as it is, 0 makes all levels equal.
 FLATTEN = 0.5
 SHARE = 0.6
@@ -47,22 +48,6 @@ def tokens(text: Column) -> Column:
     return F.greatest(F.coalesce(words, F.lit(0)), F.lit(1)).cast("long")
 
 
-def default_targets(cells: DataFrame, flatten: float = FLATTEN) -> dict[str, dict[str, float]]:
-    """For each key the token shares of its commonest levels to the power ``flatten``."""
-    targets = {}
-    for key in KEYS:
-        level = F.coalesce(F.col(key).cast("string"), F.lit(OTHER))
-        counts = cells.groupBy(level.alias("level")).agg(F.sum("tokens").alias("n"))
-        top = counts.filter(F.col("level") != OTHER).orderBy(F.desc("n"), "level")
-        levels = {r["level"]: float(r["n"]) for r in top.limit(LEVELS[key]).collect()}
-        rest = (cells.agg(F.sum("tokens")).collect()[0][0] or 0) - sum(levels.values())
-        if rest > 0:
-            levels[OTHER] = float(rest)
-        weights = {name: n**flatten for name, n in levels.items()}
-        targets[key] = {name: w / sum(weights.values()) for name, w in weights.items()}
-    return targets
-
-
 def rake(actual: np.ndarray, levels: list[np.ndarray], wanted: list[np.ndarray]) -> np.ndarray:
     """Cells scaled to the wanted marginals.
 
@@ -105,38 +90,122 @@ def calibrate(actual: np.ndarray, fitted: np.ndarray, share: float) -> np.ndarra
         full |= over
 
 
-def _level(key: str, targets: Targets) -> Column:
-    value = F.col(key).cast("string")
+def _level(key: str, targets: Targets | None) -> Column:
+    value = F.coalesce(F.col(key).cast("string"), F.lit(OTHER))
+    if not targets:
+        return value
     return F.when(value.isin(list(targets[key])), value).otherwise(F.lit(OTHER))
 
 
-def probabilities(cells: DataFrame, targets: Targets, share: float) -> DataFrame:
-    """``source, lang, topic, weight, probability`` for every cell of the targets' levels."""
+def probabilities(
+    cells: DataFrame, targets: Targets | None, share: float, flatten: float = FLATTEN
+) -> DataFrame:
+    """``source, lang, topic, weight, probability`` for every cell. Without ``targets`` they are the
+    token shares of all levels to the power ``flatten``."""
     grouped = (
         cells.select(*[_level(key, targets).alias(key) for key in KEYS], "tokens")
         .groupBy(*KEYS)
         .agg(F.sum("tokens").alias("tokens"))
-        .orderBy(*KEYS)
-        .collect()
     )
-    names = [sorted({*targets[key], OTHER}) for key in KEYS]
-    levels = [
-        np.array([name.index(row[key]) for row in grouped], int)
-        for key, name in zip(KEYS, names, strict=True)
-    ]
-    wanted = [
-        np.array([targets[key].get(level, 0.0) for level in name])
-        for key, name in zip(KEYS, names, strict=True)
-    ]
-    actual = np.array([row["tokens"] for row in grouped], float)
+    rows = grouped.limit(CELLS_ON_DRIVER + 1).collect()
+    if len(rows) > CELLS_ON_DRIVER:
+        return _raked_in_spark(grouped, targets, share, flatten)
+    return F.broadcast(_raked_here(cells, sorted(rows), targets, share, flatten))
+
+
+def _raked_here(
+    cells: DataFrame, rows: list[Row], targets: Targets | None, share: float, flatten: float
+) -> DataFrame:
+    actual = np.array([row["tokens"] for row in rows], float)
+    levels, wanted = [], []
+    for key in KEYS:
+        names = sorted({row[key] for row in rows})
+        number = {name: i for i, name in enumerate(names)}
+        levels.append(np.array([number[row[key]] for row in rows], int))
+        if targets:
+            wanted.append(np.array([targets[key].get(name, 0.0) for name in names]))
+        else:
+            wanted.append(np.bincount(levels[-1], actual, len(names)) ** flatten)
     fitted = rake(actual, levels, wanted)
     chance = calibrate(actual, fitted, share)
-    rows = [
+    found = [
         (*[row[key] for key in KEYS], float(f / a), float(p))
-        for row, f, a, p in zip(grouped, fitted, actual, chance, strict=True)
+        for row, f, a, p in zip(rows, fitted, actual, chance, strict=True)
     ]
     schema = "source string, lang string, topic string, weight double, probability double"
-    return cells.sparkSession.createDataFrame(rows, schema)
+    return cells.sparkSession.createDataFrame(found, schema)
+
+
+def _shares(cells: DataFrame, key: str, targets: Targets | None, flatten: float) -> DataFrame:
+    """The share wanted of each level of ``key`` that there is."""
+    counts = cells.groupBy(key).agg(F.sum("tokens").alias("n"))
+    if targets:
+        given = [(level, float(want)) for level, want in targets[key].items()]
+        table = cells.sparkSession.createDataFrame(given, f"{key} string, want double")
+        levels = counts.join(table, key, "left").select(key, F.coalesce("want", F.lit(0.0)).alias("want"))
+    else:
+        levels = counts.select(key, F.pow("n", F.lit(flatten)).alias("want"))
+    levels = stage(levels, "levels")
+    wanted, number = levels.agg(F.sum("want"), F.count("*")).first()
+    share = F.col("want") / wanted if wanted > 0 else F.lit(1.0) / number
+    return levels.select(key, share.alias("share"))
+
+
+def _scaled(cells: DataFrame, factors: Mapping[str, DataFrame], keys: list[str]) -> DataFrame:
+    """``cells`` with ``weight``, the product of the factors of their levels of ``keys``."""
+    weight = F.lit(1.0)
+    for key in keys:
+        cells = cells.join(factors[key], key)
+        weight = weight * F.col(f"{key}_factor")
+    return cells.select(*KEYS, "tokens", weight.alias("weight"))
+
+
+def _raked_in_spark(
+    cells: DataFrame, targets: Targets | None, share: float, flatten: float
+) -> DataFrame:
+    """``rake`` and ``calibrate`` on tables: a cell's weight is the product of a factor for each of its
+    levels, and each step makes the factors of one key anew. The driver sees the convergence value
+    and sums over all cells."""
+    with scratch_scope(cells.sparkSession):
+        cells = stage(cells, "levels")
+        total = float(cells.agg(F.sum("tokens")).first()[0])
+        wanted = {key: _shares(cells, key, targets, flatten) for key in KEYS}
+        factors = {
+            key: wanted[key].select(key, F.lit(1.0).alias(f"{key}_factor")) for key in KEYS
+        }
+        for _ in range(ROUNDS):
+            off = 0.0
+            for key in KEYS:
+                others = _scaled(cells, factors, [k for k in KEYS if k != key])
+                now = others.groupBy(key).agg(F.sum(F.col("tokens") * F.col("weight")).alias("now"))
+                want = F.col("share") * total
+                factor = F.when(F.col("now") > 0, want / F.col("now")).otherwise(0.0)
+                missed = F.abs(F.col("now") * F.col(f"{key}_factor") - want)
+                step = now.join(wanted[key], key).join(factors[key], key)
+                step = step.select(key, factor.alias(f"{key}_factor"), missed.alias("missed"))
+                step = stage(step, "factors")
+                off = max(off, step.agg(F.max("missed")).first()[0])
+                factors[key] = step.drop("missed")
+            if off <= TOLERANCE * total:
+                break
+        fitted = stage(_scaled(cells, factors, list(KEYS)), "fitted")
+        weight, least = F.col("weight"), float("inf")
+        while True:
+            # Cells of the weight ``least`` and more are kept in full.
+            full = weight >= F.lit(least)
+            sums = fitted.agg(
+                F.sum(F.when(~full, weight * F.col("tokens"))),
+                F.sum(F.when(full, F.col("tokens"))),
+                F.max(F.when(~full, weight)),
+            ).first()
+            rest, whole, top = (float(value or 0) for value in sums)
+            scale = (share * total - whole) / rest if rest > 0 else 0.0
+            if scale * top < 1:
+                break
+            least = min(1 / scale, top)
+        partly = F.greatest(F.lit(0.0), F.least(F.lit(1.0), weight * scale))
+        chance = F.when(full, 1.0).otherwise(partly)
+        return keep(fitted.select(*KEYS, "weight", chance.alias("probability")), "chances")
 
 
 def draw(doc_id: Column, seed: int = SEED) -> Column:
@@ -185,11 +254,9 @@ def _decided(
     measured: DataFrame, cells: DataFrame, targets: Targets | None, share: float, seed: int
 ) -> DataFrame:
     """``measured`` with the levels of its keys, ``weight``, ``probability`` and ``kept``."""
-    wanted = targets or default_targets(cells)
-    chances = probabilities(cells, wanted, share)
-    levels = measured.select("row", "tokens", *[_level(key, wanted).alias(key) for key in KEYS])
-    # At most LEVELS of each key: a table of a bounded size.
-    return levels.join(F.broadcast(chances), list(KEYS)).withColumn(
+    chances = probabilities(cells, targets, share)
+    levels = measured.select("row", "tokens", *[_level(key, targets).alias(key) for key in KEYS])
+    return levels.join(chances, list(KEYS)).withColumn(
         "kept", draw(F.col("row.doc_id"), seed) < F.col("probability")
     )
 
@@ -236,7 +303,8 @@ def sample(
     topic: Topic | None = None,
     seed: int = SEED,
 ) -> DataFrame:
-    """The rows of ``docs`` that are drawn, all columns. Texts are read twice and never shuffled."""
+    """The rows of ``docs`` that are drawn, all columns. Texts are read twice; they are shuffled only
+    where there are more than ``CELLS_ON_DRIVER`` cells."""
     rows, given = row_of(docs), _given_topic(docs, topic)
     if given is None:
         with scratch_scope(docs.sparkSession):

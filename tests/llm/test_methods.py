@@ -396,6 +396,41 @@ def test_mixed_sample_meets_targets(spark):
 # Toxicity
 
 
+@pytest.mark.parametrize("cells_on_driver", [0, 100_000])
+def test_every_level_has_its_target(spark, monkeypatch, cells_on_driver):
+    """300 sources and 40 languages: each has its tokens to the power 0.5, whatever its rank."""
+    monkeypatch.setattr(mixing, "CELLS_ON_DRIVER", cells_on_driver)
+    rows = [(s, f"l{(s + d) % 40}", "t", (s % 7 + 1) * 10) for s in range(300) for d in range(40)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    found = mixing.probabilities(cells, None, 0.2).join(cells, ["source", "lang", "topic"]).toPandas()
+    for key, levels in (("source", 300), ("lang", 40)):
+        by_level = found.assign(fitted=found["weight"] * found["tokens"]).groupby(key)
+        want = by_level["tokens"].sum() ** 0.5
+        share = by_level["fitted"].sum() / found["tokens"].sum()
+        assert len(share) == levels
+        assert np.allclose(share, want / want.sum(), rtol=1e-6)
+
+
+@pytest.mark.parametrize(
+    "targets",
+    [None, {"source": {"s1": 0.9, "s2": 0.1}, "lang": {"l0": 0.5, "l1": 0.5, "zz": 1}, "topic": {"t": 0}}],
+)
+def test_raking_in_spark_is_raking_on_the_driver(spark, monkeypatch, targets):
+    monkeypatch.setattr(mixing, "ROUNDS", 3)
+    rng = np.random.default_rng(1)
+    rows = [
+        (source, f"l{i}", "tu"[(n + i) % 2], int(rng.integers(1, 10_000)))
+        for n, source in enumerate((None, "s1", "s2", "s3", "s4")) for i in range(3) if n * i != 4
+    ]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    keys = ["source", "lang", "topic"]
+    here = mixing.probabilities(cells, targets, 0.8).toPandas().sort_values(keys)
+    monkeypatch.setattr(mixing, "CELLS_ON_DRIVER", 0)
+    there = mixing.probabilities(cells, targets, 0.8).toPandas().sort_values(keys)
+    assert here[keys].values.tolist() == there[keys].values.tolist()
+    assert np.allclose(here[["weight", "probability"]], there[["weight", "probability"]], rtol=1e-6)
+
+
 def test_topics_are_fitted_on_all_documents(spark):
     """A topic of one document in 6,000 has a centre, wherever the hash of its id ranks."""
     rows = [(i, "river water boat", "a", "en") for i in range(6_000)]
