@@ -7,8 +7,10 @@ else that of the neighbour in the same container, else the nearer one.
 
 Containers narrow the choice: blocks inside menus, headers, footers, sidebars, notices, adverts, forms
 and comments, told by their tags or by the words of their class, id or role, are not text. Inside an
-article or main element only links speak against a block, as nothing else there needs to be told
-apart; elsewhere few stop words do too.
+article or main element nothing else speaks against a block, and neighbours there decide blocks of
+links; elsewhere links do. Few stop words leave a block undecided (tables, code, lists). Where a whole
+page has few, as in languages whose words are not listed, they tell nothing: the page is read like an
+article, but for its blocks of links.
 
 Defined cases: null, empty and text-free pages give an empty text; unclosed tags end where an element
 around them ends, unclosed comments and scripts at the end of the page; repeated rows get equal rows;
@@ -29,8 +31,6 @@ from larder.llm.common import texts_of
 
 MAX_LINK_DENSITY = 0.35
 SHORT = 70
-LONG = 200
-STOPWORDS_LOW = 0.05
 STOPWORDS_HIGH = 0.12
 
 # Frequent words of the languages expected.
@@ -46,6 +46,8 @@ STOPWORDS = frozenset(
     muy sin sobre también me hasta hay donde
     """.split()  # noqa: SIM905
 )
+# In place of the number of an article: a page read like one.
+PAGE = -1
 # Elements whose insides are not markup.
 DROPPED = "script|style|textarea|iframe"
 CONTAINERS = frozenset(
@@ -97,7 +99,7 @@ WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass
 class Block:
-    """Text of one block; ``place`` is its container: the number of the element, and what it is."""
+    """Text of one block; ``main`` is the number of the article it is in, ``PAGE``, or 0."""
 
     barred: bool
     main: int
@@ -108,23 +110,27 @@ class Block:
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
+    @property
+    def words(self) -> list[str]:
+        return WORD.findall(self.text.lower())
+
+    @property
+    def links(self) -> int:
+        return len(" ".join("".join(self.linked).split()))
+
     def verdict(self) -> bool | None:
         """Pass one: text, no text, or undecided."""
         if self.barred:
             return False
-        text = self.text
-        links = len(" ".join("".join(self.linked).split()))
+        text, links = self.text, self.links
         if links > MAX_LINK_DENSITY * len(text):
-            return False
-        words = WORD.findall(text.lower())
-        stop = sum(w in STOPWORDS for w in words) / max(1, len(words))
-        if len(text) >= LONG and stop >= STOPWORDS_HIGH and not links:
-            return True
-        if len(text) < SHORT:
-            return None
-        if stop >= STOPWORDS_HIGH:
-            return True
-        return None if self.main or stop >= STOPWORDS_LOW else False
+            return None if self.main else False
+        stop = _stop_share(self.words)
+        return True if len(text) >= SHORT and stop >= STOPWORDS_HIGH else None
+
+
+def _stop_share(words: list[str]) -> float:
+    return sum(w in STOPWORDS for w in words) / max(1, len(words))
 
 
 class _Page:
@@ -239,8 +245,18 @@ def settle(blocks: list[Block], first: list[bool | None]) -> list[bool]:
     return labels
 
 
+def _read_like_article(blocks: list[Block]) -> None:
+    """Mark the blocks outside of articles, but for links, of a page with few stop words."""
+    if any(not (block.main or block.barred) for block in blocks):
+        plain = [b for b in blocks if not b.barred and b.links <= MAX_LINK_DENSITY * len(b.text)]
+        if _stop_share([word for block in plain for word in block.words]) < STOPWORDS_HIGH:
+            for block in plain:
+                block.main = block.main or PAGE
+
+
 def main_text(page: str | None) -> str:
     blocks = blocks_of(page or "")
+    _read_like_article(blocks)
     labels = settle(blocks, [block.verdict() for block in blocks])
     return " ".join(b.text for b, good in zip(blocks, labels, strict=True) if good)
 

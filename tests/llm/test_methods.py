@@ -495,6 +495,31 @@ def test_pages(page, want):
     assert html_text.main_text(page) == want
 
 
+NAV = "<nav><a href=x>menu</a></nav>"
+LINKED = "<div><a href=y>wszystkie nasze kategorie i działy w jednym miejscu, przejdź do listy wszystkich</a></div>"
+POLISH = "Wczoraj wieczorem nad jeziorem spotkaliśmy dawnych przyjaciół, którzy opowiedzieli nam długą historię."
+RUSSIAN = "Вчера вечером мы встретили у озера старых друзей, которые рассказали нам длинную историю о море."
+CHINESE = "昨天晚上我们在湖边遇到了老朋友，他们给我们讲了一个很长的故事。"
+TABLE = "<table><tr><td>" + "4711 kg Q7 " * 10 + "</table>"
+
+
+@pytest.mark.parametrize("text", [POLISH, RUSSIAN, CHINESE, CHINESE * 8])
+def test_pages_in_other_languages(text):
+    page = f"{NAV}{LINKED}<div><h1>{text[:9]}</h1><p>{text}</p><p>{text}</p></div><footer>stopka</footer>"
+    assert html_text.main_text(page) == f"{text[:9].strip()} {text} {text}"
+
+
+def test_tables_beside_text_are_text():
+    page = f"{NAV}<div><p>{BODY * 3}</p>{TABLE}<p>{BODY * 3}</p></div><footer>f</footer>"
+    body = (BODY * 3).strip()
+    assert html_text.main_text(page) == f"{body} {('4711 kg Q7 ' * 10).strip()} {body}"
+
+
+def test_linked_headlines_and_references_of_articles():
+    page = f"{NAV}<article><h1><a href=x>A linked headline</a></h1><p>{BODY * 3}</p><p><a href=y>[1] Source</a></article>"
+    assert html_text.main_text(page) == f"A linked headline {(BODY * 3).strip()} [1] Source"
+
+
 @given(page=st.lists(st.sampled_from(["<", ">", '"', "p", "a", "/", "<p ", "<!--", "-->", "<script>", "&lt;", " ", "'", "="]), max_size=30).map("".join))
 @settings(max_examples=200, deadline=None)
 def test_any_markup_is_read(page):
