@@ -79,7 +79,8 @@ class Model:
 
 
 def _draw(docs: DataFrame, learns: Column, labels: DataFrame) -> DataFrame:
-    """``positive, text`` of the two samples. Ids are drawn first, so no text is shuffled for it."""
+    """``positive, text`` of the two samples. Ids are drawn first, so no text is shuffled for it; of an
+    id with several texts the first in order is taken."""
     ids = docs.filter(learns).select("doc_id").filter("doc_id is not null").distinct()
     drawn = ids.withColumn("draw", F.xxhash64("doc_id"))
     toxic = labels.filter("toxic = 1")
@@ -92,7 +93,8 @@ def _draw(docs: DataFrame, learns: Column, labels: DataFrame) -> DataFrame:
         "chosen",
     )
     rows = docs.select("doc_id", "text").filter("text is not null")
-    return rows.join(F.broadcast(chosen), "doc_id").select("positive", "text").distinct()
+    drawn_rows = rows.join(F.broadcast(chosen), "doc_id").groupBy("positive", "doc_id")
+    return drawn_rows.agg(F.min("text").alias("text")).select("positive", "text").distinct()
 
 
 def _frequencies(sample: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from larder.llm import html_text, language, mixing, near_dedup, packing, quality, secrets, sharding
+from larder.llm import html_text, language, mixing, near_dedup, packing, quality, secrets, sharding, toxicity
 from larder.llm.automaton import compile_rules
 from larder.llm.bits import blocks_for, mark, set_bits
 from larder.llm.common import Memo
@@ -459,6 +459,15 @@ def test_a_topic_column_counts(spark):
     assert found.set_index("doc_id")["topic"].to_dict() == {r[0]: r[4] for r in rows}
 
 
+def test_toxicity_learns_from_one_text_of_an_id(spark):
+    rows = [(min(i, 5), f"text {i}") for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(5, 1)], "doc_id long, toxic int")
+    found = toxicity._draw(docs, F.lit(True), labels).collect()
+    assert sorted(r["text"] for r in found if r["positive"]) == ["text 10"]
+    assert len(found) == 7
+
+
 def test_toxicity_held_out(spark):
     from larder.llm.queries import op4_toxicity
 
