@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from larder.llm import language, mixing, quality, secrets, sharding, toxicity
+from larder.llm import conversations, language, mixing, quality, repeats, secrets, sharding, toxicity
 from larder.llm.common import prepare, documents, fold
 from larder.llm.exact_dedup import copy_groups
 from larder.llm.html_text import extract
@@ -62,6 +62,16 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), similarity=0.85).drop("text_hash")
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.summaries(conversations.damaged(rows), rows)
+
+
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -78,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
     "op10_near_dedup": op10_near_dedup,
+    "op11_conversations": op11_conversations,
+    "op13_repeats": op13_repeats,
 }
 
 ORACLES: dict[str, str] = {
