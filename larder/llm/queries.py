@@ -13,6 +13,7 @@ from larder.llm.exact_dedup import copy_groups
 from larder.llm.html_text import extract
 from larder.llm.near_dedup import near_duplicates
 from larder.llm.packing import pack
+from larder.llm.phrases import collocations
 from larder.llm.vocabulary import tokenizer_file
 
 
@@ -68,6 +69,10 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.summaries(conversations.damaged(rows), rows)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(documents(spark, sf_dir))
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_near_dedup": op10_near_dedup,
     "op11_conversations": op11_conversations,
+    "op12_collocations": op12_collocations,
     "op13_repeats": op13_repeats,
 }
 
