@@ -24,10 +24,10 @@ def re_pair(sequences: list[list[int]], terminals: int) -> tuple[list[tuple[int,
 
     def add(at: int) -> tuple[int, int] | None:
         """Note the pair that starts at a place, unless it overlaps one of two equal symbols."""
-        pair = symbol[at], symbol[after[at]]
-        if -1 in pair:
+        if symbol[at] == -1 or symbol[after[at]] == -1:
             return None
-        if pair[0] == pair[1] and before[at] in places[pair]:
+        pair = symbol[at], symbol[after[at]]
+        if pair[0] == pair[1] and (before[at] in places[pair] or after[at] in places[pair]):
             return None
         places[pair].add(at)
         return pair
@@ -57,8 +57,10 @@ def re_pair(sequences: list[list[int]], terminals: int) -> tuple[list[tuple[int,
             places[pair].discard(at)
             symbol[at], after[at] = new, after[right]
             before[after[right]] = at
-            touched.add(add(at))
-            touched.add(add(before[at]))
+            # Places one further were left out if they overlapped one that is gone.
+            touched |= {add(at), add(before[at]), add(after[at])}
+            if before[at] > 0:
+                touched.add(add(before[before[at]]))
         places.pop(pair, None)
         for pair in touched - {None}:
             if len(places[pair]) > 1:

@@ -37,6 +37,8 @@ TOP = 2_000
 # Suffixes in a subtree, and bytes of text in a chunk: what bounds a task's memory.
 GROUP = 2_000_000
 CHUNK = 4 << 20
+# Shares that a language's phrases are ranked in before their leaders meet in one task.
+SHARES = 64
 
 _U = np.uint64
 _UPPER, _LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -223,6 +225,8 @@ def _dealt(coded: DataFrame, hot: np.ndarray, groups: int, longest: int) -> Data
         for rows in batches:
             for lang, ids in zip(rows.column("lang").to_pylist(), rows.column("ids"), strict=True):
                 suffixes = _suffixes(ids.as_buffer().to_pybytes(), longest)
+                if not suffixes.size:
+                    continue
                 open_ = np.ones(suffixes.shape[1], bool)
                 depth = np.zeros(len(open_), np.int64)
                 prefix = np.zeros(len(open_), _U)
@@ -375,10 +379,14 @@ def collocations(
     r, n, score``."""
     with scratch_scope(docs.sparkSession):
         grams, words, totals = frequent(docs, least, longest, group)
-        by_score = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-        # Phrases are spelled out for the leading ones only, ties with the last included.
-        leading = scored(grams, totals).withColumn("before", F.rank().over(by_score))
-        leading = stage(leading.filter(F.col("before") <= top), "leading")
+        # Phrases are spelled out for the leading ones only, ties with the last included. Each share of
+        # a language is ranked first, so the last ranking reads a bounded number of rows and ties.
+        leading = scored(grams, totals).withColumn("share", F.pmod(F.xxhash64("gram"), F.lit(SHARES)))
+        for of in (["lang", "share"], ["lang"]):
+            by_score = Window.partitionBy(*of).orderBy(F.desc("score"), F.desc("a"))
+            leading = leading.withColumn("before", F.rank().over(by_score))
+            leading = leading.filter(F.col("before") <= top)
+        leading = stage(leading, "leading")
         spelled = (
             leading.select("lang", "gram", F.posexplode("gram").alias("place", "id"))
             .join(words.select("id", F.col("word").cast("string").alias("word")), "id")

@@ -19,7 +19,7 @@ def test_sql_agrees(spark, name):
 def test_entry_has_all():
     names = set(entry.queries())
     assert set(QUERIES) <= names and "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
 
 
