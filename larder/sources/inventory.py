@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+def list_files(spark: SparkSession, path: str | Sequence[str], pattern: str | None = None) -> DataFrame:
     """(path, directory, file, bytes, modified) of every file below ``path``.
 
     Only file status is read: the content column is pruned from the scan.

@@ -10,7 +10,7 @@ Columns are matched by name: every file's own header counts, whatever the order
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,6 +30,9 @@ OPEN_FIELD_BYTES = 64 * 1024 * 1024
 
 CSV_OPTIONS = {"header": "true", "escape": '"'}
 
+# A folder or file, or several of them.
+Paths = str | Sequence[str]
+
 # A blank name in the header; Spark calls the column by its position.
 UNNAMED_FIRST = "_c0"
 ROW_INDEX = "row_idx"
@@ -40,24 +43,71 @@ _FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",\r\n]*+)'
 RFC4180_RECORD = rf"\A{_FIELD}(?:,{_FIELD})*+\z"
 
 
+# The file a row comes from, beside its columns.
+FILE = "_landed_from"
+
+
 @dataclass(frozen=True)
-class HeaderGroup:
-    """Files with one header: their columns in file order."""
+class Headers:
+    """The distinct headers of some files, and which file has which.
+
+    ``of_file`` is a written table (file, header) that says by number which one a file has; None where
+    there is only one. Files are many, headers few: only headers reach the driver.
+    """
+
+    schemas: tuple[T.StructType, ...]
+    of_file: DataFrame | None = None
+
+    def names(self) -> list[str]:
+        """All columns, in the order they are first met."""
+        return list(dict.fromkeys(name for schema in self.schemas for name in schema.names))
+
+    def positional(self) -> T.StructType:
+        """Columns by place, as many as the widest header has."""
+        return all_strings(*[f"_{i}" for i in range(max(map(len, self.schemas)))])
+
+    def by_name(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (positional columns and ``FILE``) under their own header's names.
+
+        A column that a file lacks is NULL there.
+        """
+
+        def column(name: str) -> Column:
+            places = [s.names.index(name) if name in s.names else None for s in self.schemas]
+            if len(set(places)) == 1:
+                return F.col(f"_{places[0]}")
+            found = F.lit(None).cast("string")
+            for number, place in enumerate(places):
+                if place is not None:
+                    found = F.when(F.col("header") == number, F.col(f"_{place}")).otherwise(found)
+            return found
+
+        if self.of_file is not None:
+            rows = rows.join(self.of_file.withColumnRenamed("file", FILE), FILE)
+        return rows.select(*[column(name).alias(name) for name in self.names()], FILE)
+
+
+def by_file() -> Column:
+    """The path of the file that a row is read from, as it is spelled in a listing of the folder.
+
+    It comes encoded like a URL, but for the plus sign.
+    """
+    return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+
 
-    files: tuple[str, ...]
-    schema: T.StructType
+def path_key(path: Column | str) -> Column:
+    """A path for comparing: the number of slashes after its scheme differs between Spark's sources."""
+    return F.regexp_replace(path, r"^([\w.+-]+):/+", "$1:/")
 
 
-def _text_lines(spark: SparkSession, path: str) -> DataFrame:
+def _text_lines(spark: SparkSession, path: Paths) -> DataFrame:
     """Lines of the files with a stable place each: (file, block, seq, line).
 
     ``block`` is where the split starts in its file, ``seq`` grows along the split. A byte order
     mark is no part of the first line.
     """
-    # The path comes encoded like a URL, but for the plus sign.
-    path_text = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
     place = [
-        path_text.alias("file"),
+        by_file().alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
     ]
@@ -80,48 +130,58 @@ def _columns(spark: SparkSession, file: str) -> T.StructType:
     return all_strings(*[ROW_INDEX if name == UNNAMED_FIRST else name for name in names])
 
 
-def header_groups(spark: SparkSession, path: str) -> list[HeaderGroup]:
-    """The files at ``path`` by header, in the order of their first files.
+def file_headers(spark: SparkSession, path: Paths) -> Headers:
+    """The headers of the files at ``path``, in the order of their first files.
 
     The header is the first record that is not blank. With one file there is nothing to compare;
     with several, one pass over the lines finds each file's first. A header that spans lines
-    makes a group of its own.
+    is read from its file.
     """
-    files = sorted(r["path"] for r in list_files(spark, path).filter("bytes > 0").collect())
-    if len(files) < 2:
-        return [HeaderGroup(tuple(files), _columns(spark, f)) for f in files]
+    listed = list_files(spark, path).filter("bytes > 0").select("path")
+    some = [r["path"] for r in listed.orderBy("path").limit(2).collect()]
+    if len(some) < 2:
+        return Headers(tuple(_columns(spark, f) for f in some))
     lines = _text_lines(spark, path).filter(~_is_blank("line"))
     first = lines.groupBy("file").agg(F.min(F.struct("block", "seq", "line")).alias("first"))
     quotes = F.length("line") - F.length(F.replace("line", F.lit('"')))
-    header = F.rtrim("line", F.lit("\r"))
-    named = first.select("file", "first.line").select(
-        "file", F.when(quotes % 2 == 0, header).otherwise(F.col("file")).alias("header")
+    text = F.rtrim("line", F.lit("\r"))
+    named = stage(
+        first.select("file", "first.line").select(
+            "file", F.when(quotes % 2 == 0, text).otherwise(F.col("file")).alias("text")
+        ),
+        "headers",
+    )
+    distinct = named.groupBy("text").agg(F.min("file").alias("file")).orderBy("file").collect()
+    schemas: dict[T.StructType, int] = {}
+    numbers = []
+    for r in distinct:
+        # Headers that differ in quotes alone name the same columns.
+        schema = _columns(spark, r["file"])
+        numbers.append((r["text"], schemas.setdefault(schema, len(schemas))))
+    if len(schemas) < 2:
+        return Headers(tuple(schemas))
+    known = spark.createDataFrame(numbers, "text string, header int")
+    return Headers(
+        tuple(schemas), stage(named.join(known, "text").select("file", "header"), "file-headers")
     )
-    rows = named.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
-    groups = sorted(tuple(r["files"]) for r in rows.collect())
-    return [HeaderGroup(g, _columns(spark, g[0])) for g in groups]
-
-
-def _by_name(parts: list[DataFrame]) -> DataFrame:
-    """All rows under all names; a column that a file lacks is NULL there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _scan(spark: SparkSession, groups: list[HeaderGroup], options: dict[str, str]) -> DataFrame:
-    reader = _reader(spark, options)
-    return _by_name([reader.schema(g.schema).csv(list(g.files)) for g in groups])
+def _scan(spark: SparkSession, path: Paths, headers: Headers, options: dict[str, str]) -> DataFrame:
+    """One scan of all files, whatever their headers; with ``FILE``."""
+    rows = _reader(spark, options).schema(headers.positional()).csv(path)
+    return headers.by_name(rows.select("*", by_file().alias(FILE)))
 
 
-def scan_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
+def scan_csv(spark: SparkSession, path: Paths, **options: str) -> DataFrame:
     """Every column as text under its header name; one task per file."""
-    groups = header_groups(spark, path)
-    if groups:
-        return _scan(spark, groups, options)
+    headers = file_headers(spark, path)
+    if headers.schemas:
+        return _scan(spark, path, headers, options).drop(FILE)
     empty = _reader(spark, options).csv(path)
     return empty.withColumnRenamed(UNNAMED_FIRST, ROW_INDEX)
 
 
-def _numbered_lines(spark: SparkSession, path: str, chunk_lines: int) -> DataFrame:
+def _numbered_lines(spark: SparkSession, path: Paths, chunk_lines: int) -> DataFrame:
     """The lines with their chunk and whether they have an odd number of quotes.
 
     Written, because later passes must see the same splits even if the cluster has grown meanwhile.
@@ -162,16 +222,15 @@ def _chunks(lines: DataFrame) -> DataFrame:
     return stage(carried.drop("head", "filled", "tail"), "csv-chunks")
 
 
-def _open_files(chunks: DataFrame, most_bytes: int) -> set[str]:
-    """Files in which some record covers more than ``most_bytes`` of whole chunks.
+def _open_files(chunks: DataFrame, most_bytes: int) -> DataFrame:
+    """Files (``file``) in which some record covers more than ``most_bytes`` of whole chunks.
 
     Such a record would be put together by one task. It comes from a stray quote, so the file is
     not RFC 4180, and this shows on the chunks before anything is grouped.
     """
     inside = chunks.filter((F.col("n_odd") == 0) & (F.col("odd_before") % 2 == 1))
     sizes = inside.groupBy("file", "odd_before").agg(F.sum("bytes").alias("bytes"))
-    open_ones = sizes.filter(F.col("bytes") > most_bytes).select("file").distinct()
-    return {row["file"] for row in open_ones.collect()}
+    return sizes.filter(F.col("bytes") > most_bytes).select("file").distinct()
 
 
 def _places(lines: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -236,61 +295,75 @@ def _is_strict() -> Column:
     return F.rlike("record", F.lit(RFC4180_RECORD)) & ~stray_return & F.col("same_end")
 
 
-def _parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """Data records under the header's names."""
-    return (
+def _parsed(records: DataFrame, headers: Headers) -> DataFrame:
+    """Data records, parsed once, under their files' names; with ``FILE``."""
+    fields = headers.positional()
+    return headers.by_name(
         records.filter(~F.col("is_header") & (F.length("record") > 0))
-        .select(F.from_csv("record", schema.toDDL(), {"escape": '"'}).alias("row"))
-        .select("row.*")
+        .select(
+            F.from_csv("record", fields.toDDL(), {"escape": '"'}).alias("row"),
+            F.col("file").alias(FILE),
+        )
+        .select(*[F.col("row")[f].alias(f) for f in fields.names], FILE)
     )
 
 
-def _split_rows(records: DataFrame, groups: list[HeaderGroup]) -> list[DataFrame]:
-    """Data rows of each group under its header's names."""
-    if len(groups) == 1:
-        return [_parsed(records, groups[0].schema)]
-    return [_parsed(records.filter(F.col("file").isin(*g.files)), g.schema) for g in groups]
-
-
-def _without(groups: list[HeaderGroup], files: Collection[str]) -> list[HeaderGroup]:
-    left = [HeaderGroup(tuple(f for f in g.files if f not in files), g.schema) for g in groups]
-    return [g for g in left if g.files]
+def _write(rows: DataFrame, out: str, keys: DataFrame | None) -> None:
+    """``rows`` to ``out``, replacing all that is there, or with ``keys`` the files' own partitions."""
+    if keys is None:
+        rows.drop(FILE).write.mode("overwrite").parquet(out)
+        return
+    of = keys.select(path_key("path").alias(FILE), "file_key")
+    (
+        rows.withColumn(FILE, path_key(FILE))
+        .join(of, FILE)
+        .drop(FILE)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("file_key")
+        .parquet(out)
+    )
 
 
 def _land_split(
-    spark: SparkSession, path: str, out: str, groups: list[HeaderGroup], chunk_lines: int
-) -> set[str]:
+    spark: SparkSession,
+    path: Paths,
+    out: str,
+    headers: Headers,
+    chunk_lines: int,
+    keys: DataFrame | None = None,
+) -> list[str]:
     """Land by tasks that share files. Files that do not follow RFC 4180 are scanned instead, one
-    task each; returns those."""
+    task each; returns those. No others are named to the driver."""
     with scratch_scope(spark):
         lines = _numbered_lines(spark, path, chunk_lines)
         chunks = _chunks(lines)
         records = _records(lines, _places(lines, chunks))
-        loose = _open_files(chunks, OPEN_FIELD_BYTES)
+        files = chunks.select("file").distinct()
+        loose = stage(_open_files(chunks, OPEN_FIELD_BYTES), "loose")
         while True:
+            odd = sorted(r["file"] for r in loose.collect())
+            strict = records.join(loose, "file", "left_anti") if odd else records
+            checked = not odd or not files.join(loose, "file", "left_anti").isEmpty()
             seen = Observation()
-            strict = records.filter(~F.col("file").isin(*loose)) if loose else records
-            checked = strict.observe(
-                seen, F.collect_set(F.when(~_is_strict(), F.col("file"))).alias("loose")
-            )
-            rows = _split_rows(checked, _without(groups, loose)) if _without(groups, loose) else []
-            scanned = [
-                HeaderGroup(tuple(f for f in g.files if f in loose), g.schema) for g in groups
-            ]
-            scanned = [g for g in scanned if g.files]
-            if scanned:
-                rows.append(_scan(spark, scanned, {}))
-            _by_name(rows).write.mode("overwrite").parquet(out)
+            parts = []
+            if checked:
+                parts.append(
+                    _parsed(strict.observe(seen, F.count_if(~_is_strict()).alias("n")), headers)
+                )
+            if odd:
+                parts.append(_scan(spark, odd, headers, {}))
+            _write(reduce(DataFrame.unionByName, parts), out, keys)
             # What one file is does not depend on others: the second round finds no more.
-            found = set(seen.get["loose"]) if len(rows) > bool(scanned) else set()
-            if not found:
-                return loose
-            loose |= found
+            if not checked or not seen.get["n"]:
+                return odd
+            more = strict.filter(~_is_strict()).select("file").distinct()
+            loose = stage(loose.unionByName(more), "loose")
 
 
 def land_csv(
     spark: SparkSession,
-    path: str,
+    path: Paths,
     out: str,
     split_above: int = SPLIT_ABOVE_BYTES,
     chunk_lines: int = CHUNK_LINES,
@@ -299,13 +372,30 @@ def land_csv(
 
     Files are cut between tasks if one is larger than ``split_above``; the rows are the same.
     """
-    groups = header_groups(spark, path)
-    largest = list_files(spark, path).agg(F.max("bytes")).collect()[0][0] or 0
-    if groups and largest > split_above:
-        _land_split(spark, path, out, groups, chunk_lines)
-        names = dict.fromkeys(f.name for g in groups for f in g.schema.fields)
-    else:
-        scanned = scan_csv(spark, path)
-        scanned.write.mode("overwrite").parquet(out)
-        names = dict.fromkeys(scanned.columns)
+    headers = land_files(spark, path, out, split_above, chunk_lines)
+    names = headers.names()
+    if not headers.schemas:
+        empty = scan_csv(spark, path)
+        empty.write.mode("overwrite").parquet(out)
+        names = empty.columns
     return spark.read.schema(all_strings(*names)).parquet(out)
+
+
+def land_files(
+    spark: SparkSession,
+    path: Paths,
+    out: str,
+    split_above: int = SPLIT_ABOVE_BYTES,
+    chunk_lines: int = CHUNK_LINES,
+    keys: DataFrame | None = None,
+) -> Headers:
+    """``land_csv`` without opening the result: the headers found. With ``keys`` (path, file_key) each
+    file's rows replace the partition of its key, and nothing else."""
+    headers = file_headers(spark, path)
+    if headers.schemas:
+        largest = list_files(spark, path).agg(F.max("bytes")).collect()[0][0] or 0
+        if largest > split_above:
+            _land_split(spark, path, out, headers, chunk_lines, keys)
+        else:
+            _write(_scan(spark, path, headers, {}), out, keys)
+    return headers

@@ -51,7 +51,7 @@ def test_split_equals_multiline_scan(spark, tmp_path, tiny_splits, seed, end):
     want = rows_of(scan_csv(spark, path))
     assert len(want) == 150
     out = str(tmp_path / "out")
-    groups = raw_csv.header_groups(spark, path)
+    groups = raw_csv.file_headers(spark, path)
     assert not raw_csv._land_split(spark, path, out, groups, chunk_lines=5)
     assert rows_of(spark.read.parquet(out)) == want
 
@@ -64,7 +64,7 @@ def test_ragged_rows(spark, tmp_path, tiny_splits, seed):
     python_csv(tmp_path / "a.csv", rows, ["id", "p", "q", "r"])
     out = str(tmp_path / "out")
     want = rows_of(scan_csv(spark, str(tmp_path / "a.csv")))
-    groups = raw_csv.header_groups(spark, str(tmp_path / "a.csv"))
+    groups = raw_csv.file_headers(spark, str(tmp_path / "a.csv"))
     assert not raw_csv._land_split(spark, str(tmp_path / "a.csv"), out, groups, chunk_lines=4)
     assert rows_of(spark.read.parquet(out)) == want
 
@@ -97,8 +97,8 @@ def test_quote_that_never_closes_is_seen_before_grouping(spark, tmp_path, monkey
     (tmp_path / "a.csv").write_text('id,p,q\n-1,5" pipe,x\n' + body)
     path = str(tmp_path / "a.csv")
     lines = raw_csv._numbered_lines(spark, path, 20)
-    assert len(raw_csv._open_files(raw_csv._chunks(lines), 1_000)) == 1
-    assert not raw_csv._open_files(raw_csv._chunks(lines), 1_000_000)
+    assert raw_csv._open_files(raw_csv._chunks(lines), 1_000).count() == 1
+    assert raw_csv._open_files(raw_csv._chunks(lines), 1_000_000).isEmpty()
     monkeypatch.setattr(raw_csv, "OPEN_FIELD_BYTES", 1_000)
     want = rows_of(scan_csv(spark, path))
     assert len(want) == 501
@@ -247,7 +247,7 @@ def test_only_loose_files_are_scanned(spark, tmp_path, tiny_splits):
         (tmp_path / f"in/{i}.csv").write_text("id,p\n" + body)
     (tmp_path / "in/loose.csv").write_text('id,p\n7,5" pipe\n8,x\n')
     path = str(tmp_path / "in")
-    groups = raw_csv.header_groups(spark, path)
+    groups = raw_csv.file_headers(spark, path)
     loose = raw_csv._land_split(spark, path, str(tmp_path / "o"), groups, 5)
     assert [f.rsplit("/", 1)[-1] for f in loose] == ["loose.csv"]
     assert rows_of(spark.read.parquet(str(tmp_path / "o"))) == rows_of(scan_csv(spark, path))
@@ -275,3 +275,21 @@ def test_load_by_name_over_other_orders(spark, tmp_path):
         (1, "one", "x"),
         (3, "three", "y"),
     ]
+
+
+@pytest.mark.parametrize("split_above", [0, 1 << 30])
+def test_file_names_stay_out_of_plans(spark, tmp_path, split_above, capsys):
+    """Many files under two headers: no plan lists them, and headers alone reach the driver."""
+    (tmp_path / "in").mkdir()
+    for i in range(10_000):
+        head, row = ("id,p", f"{i},x") if i % 2 else ("p,id", f"y,{i}")
+        (tmp_path / f"in/piece{i}.csv").write_text(f"{head}\n{row}\n")
+    path = str(tmp_path / "in")
+    headers = raw_csv.file_headers(spark, path)
+    assert len(headers.schemas) == 2 and headers.of_file.count() == 10_000
+    scan_csv(spark, path).explain("extended")
+    assert "piece" not in capsys.readouterr().out.replace("piece0.csv", "")
+    landed = land_csv(spark, path, str(tmp_path / "o"), split_above=split_above)
+    assert rows_of(landed.select("id", "p")) == sorted(
+        ((str(i), "x" if i % 2 else "y") for i in range(10_000)), key=repr
+    )
