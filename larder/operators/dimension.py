@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from larder.functions.text import normalize
 from larder.operators.ids import dense_ids
-from larder.operators.topk import broadcast_limit
 
 # Largest name-to-id map that is broadcast, and what a row costs besides its name.
 BROADCAST_BYTES = 256 * 1024 * 1024
@@ -47,7 +46,7 @@ def _fits_every_executor(ingredients: DataFrame) -> bool:
 
     A session that has turned broadcasts off gets none.
     """
-    if broadcast_limit(ingredients.sparkSession) < 0:
+    if ingredients.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
         return False
     row = F.octet_length("ingredient_name_norm") + F.lit(ROW_OVERHEAD_BYTES)
     size = ingredients.agg(F.sum(row.cast("long"))).collect()[0][0] or 0

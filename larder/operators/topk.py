@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import re
-import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from larder.workspace import stage
 
@@ -16,38 +14,6 @@ from larder.workspace import stage
 SLACK = 200
 # Most rows brought to the driver to be looked up one by one.
 MAX_LEADERS = 1_000
-# On disk. Up to here building a hash table of the lookup costs less than another Spark job.
-SMALL_LOOKUP_BYTES = 2 * 1024 * 1024
-# How plans and settings write sizes.
-SIZES = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
-UNITS = {f"{prefix.upper()}iB" if prefix else "B": n for prefix, n in SIZES.items()}
-UNITS["EiB"] = 1 << 60
-
-
-def _estimated_bytes(df: DataFrame) -> float:
-    """Spark's own estimate of the size of ``df``, from its plan; infinite if it has none."""
-    view = f"larder_{uuid.uuid4().hex}"
-    df.createTempView(view)
-    try:
-        plan = df.sparkSession.sql(f"EXPLAIN COST TABLE {view}").first()[0]
-    finally:
-        df.sparkSession.catalog.dropTempView(view)
-    optimized = plan.partition("== Optimized Logical Plan ==")[2]
-    found = re.search(r"sizeInBytes=([\d.E+]+) (\w+)", optimized)
-    return float(found[1]) * UNITS[found[2]] if found else float("inf")
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's limit for broadcasts in bytes; negative if it has turned them off."""
-    value = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", value).groups()
-    return int(number) * SIZES[unit.removesuffix("b")]
-
-
-def _is_small(df: DataFrame) -> bool:
-    """Whether Spark will broadcast ``df`` by its own estimate, at little cost."""
-    limit = min(broadcast_limit(df.sparkSession), SMALL_LOOKUP_BYTES)
-    return limit > 0 and _estimated_bytes(df) <= limit
 
 
 def any_of(column: str, values: Sequence[int]) -> Column:
@@ -63,26 +29,13 @@ def any_of(column: str, values: Sequence[int]) -> Column:
     return F.expr(f"{column} IN ({', '.join(map(str, values))}) AND ({one_by_one})")
 
 
-def _looked_up(rows: pa.Table, schema: T.StructType, lookup: DataFrame, key: str) -> DataFrame:
-    """A few local rows joined to ``lookup``, reading little of it."""
-    keys = pc.unique(rows[key].drop_null()).to_pylist()
-    local = lookup.sparkSession.createDataFrame(rows, schema=schema)
-    return lookup.filter(any_of(key, keys)).join(F.broadcast(local), key)
-
-
 def join_existing(candidates: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
-    """Rows of ``candidates`` whose key, a number, is in ``lookup``, joined to it.
+    """Rows of ``candidates`` whose key is in ``lookup``, joined to it.
 
-    If ``lookup`` is big the candidates are written first, once, and counted. Few are looked up by
-    a pushed-down key filter; more are left to Spark, which knows the size of the written table.
+    The candidates are written first, once. So Spark knows their size when it plans the join, and
+    does not shuffle a big ``lookup`` for a few of them.
     """
-    if _is_small(lookup):
-        return candidates.join(lookup, key)
-    seen = Observation()
-    written = stage(candidates.observe(seen, F.count(F.lit(1)).alias("n")), "candidates")
-    if seen.get["n"] > MAX_LEADERS:
-        return written.join(lookup, key)
-    return _looked_up(written.toArrow(), written.schema, lookup, key)
+    return stage(candidates, "candidates").join(lookup, key)
 
 
 def top_k_existing(
@@ -93,26 +46,36 @@ def top_k_existing(
     ``key`` is a number, unique in ``lookup``; ``order`` is total over ``candidates`` up to equal
     rows.
 
-    A small ``lookup`` is simply joined. A big one would have to be copied or shuffled, and as the
-    join drops orphans, a limit before it could come out short. So the first k + SLACK candidates
-    are taken without a shuffle and looked up by a pushed-down key filter. If there were no more
-    candidates, or at least k are found, that is the answer: whatever was left out sorts behind.
-    Otherwise the full join runs.
+    As the join drops orphans, a limit before it could come out short. So the first k + SLACK
+    candidates are taken without a shuffle and looked up by a pushed-down key filter. If there were
+    no more candidates, or at least k are found, that is the answer: whatever was left out sorts
+    behind. Otherwise the full join runs.
     """
     everything = candidates.join(lookup, key).orderBy(*order).limit(k)
-    if k > MAX_LEADERS or _is_small(lookup):
+    if k > MAX_LEADERS:
         return everything
     reach = k + SLACK
     leaders = candidates.orderBy(*order).limit(reach + 1).toArrow()
-    first = _looked_up(leaders.slice(0, reach), candidates.schema, lookup, key)
-    found = first.orderBy(*order).limit(k)
+    first = leaders.slice(0, reach)
+    wanted = lookup.filter(any_of(key, pc.unique(first[key].drop_null()).to_pylist()))
     if leaders.num_rows <= reach:
-        return found
-    rows = found.toArrow()
+        local = lookup.sparkSession.createDataFrame(first, schema=candidates.schema)
+        return wanted.join(F.broadcast(local), key).orderBy(*order).limit(k)
+    # At most k + SLACK rows of either, so they are put together here.
+    rows = _joined(first, wanted.toArrow(), key).slice(0, k)
     if rows.num_rows < k:
         return everything
-    # At most k rows, here already: not worked out again.
-    return lookup.sparkSession.createDataFrame(rows, schema=found.schema)
+    return lookup.sparkSession.createDataFrame(rows, schema=everything.schema)
+
+
+def _joined(first: pa.Table, found: pa.Table, key: str) -> pa.Table:
+    """Inner join of a few rows, in the order of ``first``."""
+    at = {value: i for i, value in enumerate(found[key].to_pylist())}
+    pairs = [(i, at[v]) for i, v in enumerate(first[key].to_pylist()) if v in at]
+    left = first.take(pa.array([i for i, _ in pairs], pa.int64()))
+    right = found.take(pa.array([j for _, j in pairs], pa.int64()))
+    columns = {key: left[key]} | {c: left[c] for c in first.column_names if c != key}
+    return pa.table(columns | {c: right[c] for c in found.column_names if c != key})
 
 
 def lowest_k(df: DataFrame, column: str, tiebreak: str, k: int) -> DataFrame:

@@ -126,9 +126,7 @@ def test_top_k_leaders_all_orphans(spark, lookup_size):
     assert [r.k for r in got.collect()] == [990, 991, 992, 993, 994]
 
 
-@pytest.mark.parametrize("most", [5, 1_000])
-def test_join_existing(spark, lookup_size, monkeypatch, most):
-    monkeypatch.setattr("larder.operators.topk.MAX_LEADERS", most)
+def test_join_existing(spark, lookup_size):
     candidates = spark.createDataFrame([(i % 40,) for i in range(60)] + [(None,)], "k int")
     lookup = spark.createDataFrame([(i, f"t{i}") for i in range(0, 80, 3)], "k int, title string")
     got = join_existing(candidates, lookup, "k").select("k", "title")
