@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from larder.plans import ranking, search
 from larder.plans.curate import RawPaths, curate, export_csv, open_curated
 from larder.plans.lay_out import lay_out
+from larder.plans.refresh import refresh
 
 
 def parser() -> argparse.ArgumentParser:
@@ -24,6 +25,11 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--single-file", action="store_true", help="each CSV as one file")
     job.add_argument("--buckets", type=int, help="also write the query layouts, so many buckets")
 
+    again = commands.add_parser("refresh", help="load what has changed; ids and sums are kept up")
+    again.add_argument("--recipes", required=True, help="folder of the first source's recipes")
+    again.add_argument("--ratings", required=True, help="folder of the first source's interactions")
+    again.add_argument("--more-recipes", required=True, help="folder of the second source")
+
     limits = argparse.ArgumentParser(add_help=False)
     limits.add_argument("--limit", type=int, default=search.DISPLAY_LIMIT)
     limits.add_argument("--explain", action="store_true", help="also show the plan")
@@ -64,6 +70,11 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "curate":
         run_curate(spark, args)
         return
+    if args.command == "refresh":
+        done = refresh(spark, RawPaths(args.recipes, args.ratings, args.more_recipes), args.out)
+        done.tables.row_counts().show(truncate=False)
+        done.tables.audit().filter("violations > 0").show(truncate=False)
+        return
     found = query(spark, args)
     if args.explain:
         found.explain("formatted")

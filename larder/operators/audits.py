@@ -8,10 +8,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from larder.operators.references import orphans
-from larder.schema import RULES, TableRules
+from larder.schema import RULES, ForeignKey, TableRules
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -55,13 +54,6 @@ def key_summary(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def _rule(tbl: str, rule: str, violations: DataFrame) -> DataFrame:
-    """(tbl, rule, violations) from a one-row frame with a ``violations`` column."""
-    return violations.select(
-        F.lit(tbl).alias("tbl"), F.lit(rule).alias("rule"), F.col("violations").cast("long")
-    )
-
-
 def _column_rules(tbl: str, df: DataFrame, rules: TableRules) -> DataFrame:
     """NOT NULL and length rules of one table, all in a single scan."""
     checks = {f"not null {c}": F.count_if(F.col(c).isNull()) for c in rules.required}
@@ -77,23 +69,82 @@ def _column_rules(tbl: str, df: DataFrame, rules: TableRules) -> DataFrame:
     )
 
 
+def _claims(tbl: str, df: DataFrame, rules: Mapping[str, TableRules]) -> DataFrame:
+    """Every row of one table once per key it must not repeat, per value it refers to, and per value
+    others refer to: (rule, key, n_rows, is_parent).
+
+    ``key`` is the exact key, as a struct in text that tells values and types of one rule apart.
+    Equal keys combine in each task before the one shuffle, so common values weigh nothing there.
+    """
+    entries = []
+    for key in rules[tbl].keys:
+        entries.append((f"{tbl}|unique ({', '.join(key)})", key, False))
+    for fk in rules[tbl].foreign_keys:
+        entries.append((_reference(tbl, fk), (fk.column,), False))
+    for child, child_rules in rules.items():
+        for fk in child_rules.foreign_keys:
+            if fk.parent == tbl:
+                entries.append((_reference(child, fk), (fk.parent_column,), True))
+    if not entries:
+        return df.sparkSession.createDataFrame([], "rule string, key string, n_rows long, n_parents long")
+
+    def entry(rule: str, key: Sequence[str], is_parent: bool) -> Column:
+        text = F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(key)]), {"ignoreNullFields": "false"})
+        missing = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in key])
+        # NULL refers to nothing; in a key it is a value like another.
+        refers = "|unique (" not in rule
+        return F.struct(
+            F.lit(rule).alias("rule"),
+            F.when(missing & F.lit(refers), None).otherwise(text).alias("key"),
+            F.lit(is_parent).alias("is_parent"),
+        )
+
+    claims = df.select(F.explode(F.array(*[entry(*e) for e in entries])).alias("c")).select("c.*")
+    return (
+        claims.filter("key IS NOT NULL")
+        .groupBy("rule", "key")
+        .agg(
+            F.count_if(~F.col("is_parent")).alias("n_rows"),
+            F.count_if(F.col("is_parent")).alias("n_parents"),
+        )
+    )
+
+
+def _reference(tbl: str, fk: ForeignKey) -> str:
+    return f"{tbl}|{fk.column} -> {fk.parent}.{fk.parent_column}"
+
+
+def _key_rules(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -> DataFrame:
+    """(tbl, rule, violations) of all keys and foreign keys: one scan and one shuffle per table, and
+    one more of what is left for the references that cross tables."""
+    claims = reduce(DataFrame.unionAll, [_claims(tbl, tables[tbl], rules) for tbl in rules])
+    per_key = claims.groupBy("rule", "key").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_parents").alias("n_parents")
+    )
+    is_unique = F.contains("rule", F.lit("|unique ("))
+    broken = F.when(is_unique, (F.col("n_rows") > 1).cast("long")).otherwise(
+        F.when(F.col("n_parents") == 0, F.col("n_rows")).otherwise(0)
+    )
+    found = per_key.groupBy("rule").agg(F.sum(broken).alias("violations"))
+    names = [f"{t}|unique ({', '.join(k)})" for t, r in rules.items() for k in r.keys]
+    names += [_reference(t, fk) for t, r in rules.items() for fk in r.foreign_keys]
+    spark = next(iter(tables.values())).sparkSession
+    declared = spark.createDataFrame([(n,) for n in names], "rule string")
+    parts = F.split("rule", r"\|", 2)
+    return declared.join(found, "rule", "left").select(
+        parts[0].alias("tbl"),
+        parts[1].alias("rule"),
+        F.coalesce("violations", F.lit(0).cast("long")).alias("violations"),
+    )
+
+
 def audit(
     tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules] = RULES
 ) -> DataFrame:
     """(tbl, rule, violations) for every rule declared on the given tables.
 
-    A key counts once per repeated value, a foreign key once per orphan row.
+    A key counts once per repeated value, a foreign key once per orphan row. However many rules a
+    table has, it is scanned once for its columns and once for its keys.
     """
-    found = []
-    for tbl, table_rules in rules.items():
-        df = tables[tbl]
-        found.append(_column_rules(tbl, df, table_rules))
-        for key in table_rules.keys:
-            repeated = duplicate_keys(df, key).agg(F.count(F.lit(1)).alias("violations"))
-            found.append(_rule(tbl, f"unique ({', '.join(key)})", repeated))
-        for fk in table_rules.foreign_keys:
-            lost = orphans(df, fk.column, tables[fk.parent], fk.parent_column).agg(
-                F.coalesce(F.sum("n_rows"), F.lit(0)).alias("violations")
-            )
-            found.append(_rule(tbl, f"{fk.column} -> {fk.parent}.{fk.parent_column}", lost))
-    return reduce(DataFrame.unionAll, found)
+    columns = [_column_rules(tbl, tables[tbl], table_rules) for tbl, table_rules in rules.items()]
+    return reduce(DataFrame.unionAll, [*columns, _key_rules(tables, rules)])

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from larder.functions.casting import lenient, typed_null
 from larder.functions.text import explode_list
@@ -47,6 +47,20 @@ ITEM_LIST = T.StructType(
 RAW_INTERACTIONS = T.StructType([f for f in INTERACTIONS if f.name != "interaction_id"])
 
 
+def conform_field(
+    f: T.StructField, columns: Mapping[str, str], id_offset: int, constants: Mapping[str, str]
+) -> Column:
+    """One field of a conformed row: a constant, a raw column under its type, or NULL."""
+    if f.name in constants:
+        return F.lit(constants[f.name])
+    if f.name not in columns:
+        return typed_null(f.dataType)
+    value = lenient(columns[f.name], f.dataType)
+    if f.name == "recipe_id" and id_offset:
+        return F.try_add(value, F.lit(id_offset))  # an id too big to move is malformed too
+    return value
+
+
 def conform(
     raw: DataFrame,
     schema: T.StructType,
@@ -59,18 +73,9 @@ def conform(
     ``id_offset`` moves a source's recipe ids clear of the other's. Rows whose ids do not parse
     are dropped.
     """
-
-    def field(f: T.StructField):
-        if f.name in constants:
-            return F.lit(constants[f.name])
-        if f.name not in columns:
-            return typed_null(f.dataType)
-        value = lenient(columns[f.name], f.dataType)
-        if f.name == "recipe_id" and id_offset:
-            return F.try_add(value, F.lit(id_offset))  # an id too big to move is malformed too
-        return value
-
-    shaped = raw.select(*[field(f).alias(f.name) for f in schema])
+    shaped = raw.select(
+        *[conform_field(f, columns, id_offset, constants).alias(f.name) for f in schema]
+    )
     ids = [f.name for f in schema if f.name.endswith("_id")]
     return shaped.dropna(subset=ids)
 

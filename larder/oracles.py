@@ -161,6 +161,24 @@ _TABLES = " UNION ALL ".join(
     for name in ("documents", "events", "labels", "lineitem", "orders", "part", "supplier")
 )
 
+# Values of the English raw recipes that their types refuse, with the document they are from.
+_REFUSED = """
+SELECT concat_ws(' ', source, doc_id) AS name, column_name, raw_text, reason, false AS dropped
+FROM (
+  SELECT source, doc_id, 'minutes' AS column_name, '99999999999' AS raw_text, 'out of range' AS reason
+  FROM documents WHERE lang = 'en' AND doc_id % 7 = 0
+  UNION ALL
+  SELECT source, doc_id, 'n_steps', 'x7', 'malformed' FROM documents WHERE lang = 'en' AND doc_id % 3 = 1
+  UNION ALL
+  SELECT source, doc_id, 'n_ingredients', 'many', 'malformed' FROM documents
+  WHERE lang = 'en' AND doc_id % 5 = 0
+  UNION ALL
+  SELECT source, doc_id, 'submitted', CASE WHEN doc_id % 4 = 0 THEN '2020-02-30' ELSE 'soon' END,
+         'malformed'
+  FROM documents WHERE lang = 'en' AND doc_id % 4 < 2
+)
+"""
+
 _KEY = "CASE WHEN lang = 'en' THEN doc_id ELSE doc_id + 10000000 END"
 
 ORACLES = {
@@ -302,6 +320,44 @@ SELECT count(*) AS n_files, CAST(sum(n) AS BIGINT) AS n_rows FROM ({_TABLES}) WH
     "missing_files": f"""
 SELECT file FROM (VALUES ('orders.parquet'), ('recipes.parquet'), ('interactions.parquet')) v(file)
 WHERE file NOT IN (SELECT name || '.parquet' FROM ({_TABLES}) WHERE n > 0)
+""",
+    "layout_zorder": f"""
+SELECT *, 'minutes' AS asked FROM ({_QUICK})
+UNION ALL
+SELECT p_partkey, p_name, p_size, 'recipe_id' FROM part WHERE p_partkey <= 20
+""",
+    "layout_bloom_lookup": """
+SELECT l_orderkey AS recipe_id, l_partkey AS ingredient_id, count(*) AS n_rows
+FROM lineitem WHERE l_orderkey = 1 GROUP BY l_orderkey, l_partkey
+""",
+    "stable_ids": f"""
+WITH {_ITEMS},
+first_load AS (SELECT DISTINCT name FROM items WHERE lang = 'en'),
+numbered AS (
+  SELECT name, row_number() OVER (ORDER BY name) AS id FROM first_load
+  UNION ALL
+  SELECT name, (SELECT count(*) FROM first_load) + row_number() OVER (ORDER BY name)
+  FROM (SELECT DISTINCT name FROM items WHERE name NOT IN (SELECT name FROM first_load))
+)
+SELECT CAST(id AS INTEGER) AS ingredient_id, name AS ingredient_name_raw,
+       name AS ingredient_name_norm
+FROM numbered
+""",
+    "incremental_landing": _DOCUMENTS,
+    "top_rated_maintained": _RATED,
+    "multi_ingredient_bitmap": _BOTH,
+    "rejected_values": _REFUSED,
+    "rejected_summary": f"""
+SELECT count(*) AS n_rows, count(*) AS n_kept, CAST(0 AS BIGINT) AS n_dropped,
+       (SELECT count(*) FROM ({_REFUSED})) AS n_values_lost
+FROM documents WHERE lang = 'en'
+""",
+    "refreshed_tables": f"""
+{_CURATED}
+SELECT 'recipes' AS tbl, count(*) AS n FROM recipes UNION ALL
+SELECT 'ingredients', count(*) FROM dim UNION ALL
+SELECT 'recipe_ingredients', count(*) FROM items UNION ALL
+SELECT 'interactions', count(*) FROM labels WHERE doc_id IN (SELECT recipe_id FROM recipes)
 """,
     "curated_tables": f"""
 {_CURATED}

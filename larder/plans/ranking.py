@@ -85,6 +85,16 @@ def top_rated_agg_first(
     return _best_of(rating_stats(interactions), recipes, min_ratings, limit)
 
 
+def top_rated_of_sums(
+    recipes: DataFrame,
+    sums: DataFrame,
+    min_ratings: int = MIN_RATINGS,
+    limit: int = DISPLAY_LIMIT,
+) -> DataFrame:
+    """``top_rated_agg_first`` from sums that are kept up as ratings come in."""
+    return _best_of(sums, recipes, min_ratings, limit)
+
+
 def top_rated_laid_out(
     laid_out: RatingsLayout,
     recipes: DataFrame,

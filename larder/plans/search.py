@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larder.functions.text import normalized_terms
+from larder.operators.postings import recipes_with_all
 from larder.operators.topk import join_existing, top_k_existing
 
 DISPLAY_LIMIT = 20
@@ -129,3 +130,20 @@ def multi_ingredient_k(
         .select("recipe_id")
     )
     return _titled(recipes, complete, limit).select("recipe_id", "title", _echo(names))
+
+
+def multi_ingredient_bitmap(
+    recipes: DataFrame,
+    ingredients: DataFrame,
+    postings: DataFrame,
+    terms: list[str],
+    limit: int | None = DISPLAY_LIMIT,
+) -> DataFrame:
+    """Q4 over ``postings``, the junction as bitmaps: blocks are intersected, not lists of ids."""
+    names = normalized_terms(terms)
+    asked = normalized_terms(list(dict.fromkeys(terms)))
+    ids = resolve_ids(ingredients, asked)
+    if ids is None:
+        raise ValueError(f"more than {MAX_LITERAL_IDS} ingredients have these names")
+    every = recipes_with_all(postings, ids)
+    return _titled(recipes, every, limit).select("recipe_id", "title", _echo(names))

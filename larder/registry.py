@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from larder import standins
 from larder.functions.casting import blank_to_null, to_date, to_type
 from larder.functions.text import explode_list, normalize, parse_list
-from larder.operators import audits, layout
-from larder.operators.conform import conform_recipes
+from larder.operators import audits, layout, rejects
+from larder.operators.conform import FOODCOM_RECIPE, conform_recipes
 from larder.operators.dedup import dedup_by_key
 from larder.operators.dimension import (
     ingredient_dimension,
@@ -19,11 +19,14 @@ from larder.operators.dimension import (
     recipe_ingredients,
 )
 from larder.operators.ids import row_ids
+from larder.operators.postings import write_postings
 from larder.operators.references import keep_referenced, orphans
-from larder.plans import ranking, search
+from larder.operators.summaries import RatingSums
+from larder.plans import ranking, refresh, search
 from larder.plans.curate import CuratedTables, curate, open_curated
 from larder.schema import RECIPES
 from larder.sources import inventory, raw_csv, tables
+from larder.sources.incremental import Landing
 from larder.standins import table
 from larder.workspace import scratch_path, session_database, stage
 
@@ -421,6 +424,99 @@ def layout_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.quick_recipes(layout.plain(sorted_copy, path + "-plain"))
 
 
+def layout_zorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1, L3: one copy ordered by recipe and cooking time at once, asked by both."""
+    recipes = standins.ranked_recipes(spark, sf_dir)
+    copy = layout.recipes_zordered(recipes, scratch_path(spark, "zorder"))
+    quick = ranking.quick_recipes(copy).withColumn("asked", F.lit("minutes"))
+    low = copy.filter("recipe_id <= 20").withColumn("asked", F.lit("recipe_id"))
+    return quick.unionByName(low)
+
+
+def layout_bloom_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1, Q1: junction rows of one recipe from a copy in no order, by the row groups' filters."""
+    _, _, junction = standins.search_tables(spark, sf_dir)
+    copy = layout.with_bloom_filters(
+        junction, scratch_path(spark, "bloom"), "recipe_id", per_row_group=200_000, files=8
+    )
+    return copy.filter("recipe_id = 1").groupBy("recipe_id", "ingredient_id").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+# --- loading again -------------------------------------------------------------------------
+
+
+def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the English documents get ids, then those of all; the first keep theirs."""
+    docs = standins.word_lists(spark, sf_dir)
+
+    def items(lists: DataFrame) -> DataFrame:
+        named = lists.select(F.col("doc_id").alias("recipe_id"), "ingredients")
+        return stage(normalized_items(explode_list(named, "ingredients", "ingredient_name_raw")), "items")
+
+    path = scratch_path(spark, "ids")
+    refresh.named_ids(items(docs.filter("lang = 'en'")), path)
+    return refresh.named_ids(items(docs), path)
+
+
+def incremental_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents landed in two goes. In the second, files are new, replaced and removed."""
+    docs = table(spark, sf_dir, "documents")
+    english = F.col("lang") == "en"
+    raw = scratch_path(spark, "raw")
+    landing = Landing(spark, scratch_path(spark, "landing"))
+    tables.write_csv(docs.filter(english), f"{raw}/part=en")
+    tables.write_csv(docs.filter(english), f"{raw}/part=other")
+    landing.land(raw)
+    tables.write_csv(docs.filter(F.coalesce(~english, F.lit(True))), f"{raw}/part=other")
+    landing.land(raw)
+    return _as_documents(landing.read())
+
+
+def top_rated_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of ratings merged batch by batch, one of them offered twice."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("recipe_id"), F.col("l_quantity").alias("rating"), "l_returnflag"
+    )
+    sums = RatingSums(spark, scratch_path(spark, "sums"), "double")
+    returned = F.col("l_returnflag") == "R"
+    for batch, of in (("returned", returned), ("rest", ~returned), ("rest", ~returned), ("unknown", returned.isNull())):
+        sums.merge(batch, lines.filter(of).select("recipe_id", "rating"))
+    return ranking.top_rated_of_sums(standins.ranked_recipes(spark, sf_dir), sums.read())
+
+
+def multi_ingredient_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4, J5, J6 over bitmaps of recipe ids."""
+    recipes, ingredients, junction = standins.search_tables(spark, sf_dir)
+    postings = write_postings(junction, scratch_path(spark, "postings"))
+    return search.multi_ingredient_bitmap(
+        recipes, ingredients, postings, [TERM, SECOND_TERM], limit=None
+    )
+
+
+def _refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_csv.scan_csv(spark, standins.raw_recipe_files(spark, sf_dir).foodcom_recipes)
+    return stage(rejects.checked(raw, RECIPES, FOODCOM_RECIPE, carry=["name"], source="foodcom"), "checked")
+
+
+def rejected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw value that its type refused, with the reason."""
+    return rejects.rejected_values(_refused(spark, sf_dir), ["name"])
+
+
+def rejected_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in, kept and dropped, and values lost on the way."""
+    return rejects.loss_summary(_refused(spark, sf_dir))
+
+
+def refreshed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded twice, the second time with nothing new; rows per table."""
+    raw, out = standins.raw_recipe_files(spark, sf_dir), scratch_path(spark, "refreshed")
+    refresh.refresh(spark, raw, out)
+    return refresh.refresh(spark, raw, out).tables.row_counts()
+
+
 # --- the whole job -------------------------------------------------------------------------
 
 
@@ -507,6 +603,15 @@ QUERIES: dict[str, Query] = {
     "layout_top_rated": layout_top_rated,
     "layout_quick": layout_quick,
     "layout_plain": layout_plain,
+    "layout_zorder": layout_zorder,
+    "layout_bloom_lookup": layout_bloom_lookup,
+    "stable_ids": stable_ids,
+    "incremental_landing": incremental_landing,
+    "top_rated_maintained": top_rated_maintained,
+    "multi_ingredient_bitmap": multi_ingredient_bitmap,
+    "rejected_values": rejected_values,
+    "rejected_summary": rejected_summary,
+    "refreshed_tables": refreshed_tables,
     "curated_tables": curated_tables,
     "curated_recipes": curated_recipes,
     "curated_junction": curated_junction,
