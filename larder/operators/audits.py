@@ -8,9 +8,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from larder.schema import RULES, ForeignKey, TableRules
+from larder.schema import RULES, TableRules
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -69,72 +69,70 @@ def _column_rules(tbl: str, df: DataFrame, rules: TableRules) -> DataFrame:
     )
 
 
-def _claims(tbl: str, df: DataFrame, rules: Mapping[str, TableRules]) -> DataFrame:
-    """Every row of one table once per key it must not repeat, per value it refers to, and per value
-    others refer to: (rule, key, n_rows, is_parent).
+def _claims(df: DataFrame, entries: Sequence[tuple[int, Sequence[str], bool]], width: int) -> DataFrame:
+    """Every row of a table once per entry (rule, key, is_parent): the rule's number and the exact key.
 
-    ``key`` is the exact key, as a struct in text that tells values and types of one rule apart.
-    Equal keys combine in each task before the one shuffle, so common values weigh nothing there.
+    Whole numbers of a key go to ``n0 ...`` and anything else as text to ``s0 ...``, so that rules of
+    any types can be counted together.
     """
-    entries = []
-    for key in rules[tbl].keys:
-        entries.append((f"{tbl}|unique ({', '.join(key)})", key, False))
-    for fk in rules[tbl].foreign_keys:
-        entries.append((_reference(tbl, fk), (fk.column,), False))
-    for child, child_rules in rules.items():
-        for fk in child_rules.foreign_keys:
-            if fk.parent == tbl:
-                entries.append((_reference(child, fk), (fk.parent_column,), True))
-    if not entries:
-        return df.sparkSession.createDataFrame([], "rule string, key string, n_rows long, n_parents long")
-
-    def entry(rule: str, key: Sequence[str], is_parent: bool) -> Column:
-        text = F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(key)]), {"ignoreNullFields": "false"})
-        missing = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in key])
-        # NULL refers to nothing; in a key it is a value like another.
-        refers = "|unique (" not in rule
+
+    def entry(rule: int, key: Sequence[str], is_parent: bool) -> Column:
+        whole = [isinstance(df.schema[c].dataType, T.IntegralType) for c in key]
+        numbers = [F.col(c).cast("long") if w else F.lit(None).cast("long") for c, w in zip(key, whole)]
+        texts = [F.lit(None).cast("string") if w else F.col(c).cast("string") for c, w in zip(key, whole)]
+        numbers += [F.lit(None).cast("long")] * (width - len(key))
+        texts += [F.lit(None).cast("string")] * (width - len(key))
         return F.struct(
             F.lit(rule).alias("rule"),
-            F.when(missing & F.lit(refers), None).otherwise(text).alias("key"),
             F.lit(is_parent).alias("is_parent"),
+            *[c.alias(f"n{i}") for i, c in enumerate(numbers)],
+            *[c.alias(f"s{i}") for i, c in enumerate(texts)],
         )
 
-    claims = df.select(F.explode(F.array(*[entry(*e) for e in entries])).alias("c")).select("c.*")
-    return (
-        claims.filter("key IS NOT NULL")
-        .groupBy("rule", "key")
-        .agg(
-            F.count_if(~F.col("is_parent")).alias("n_rows"),
-            F.count_if(F.col("is_parent")).alias("n_parents"),
-        )
-    )
-
-
-def _reference(tbl: str, fk: ForeignKey) -> str:
-    return f"{tbl}|{fk.column} -> {fk.parent}.{fk.parent_column}"
+    return df.select(F.explode(F.array(*[entry(*e) for e in entries])).alias("c")).select("c.*")
 
 
 def _key_rules(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -> DataFrame:
-    """(tbl, rule, violations) of all keys and foreign keys: one scan and one shuffle per table, and
-    one more of what is left for the references that cross tables."""
-    claims = reduce(DataFrame.unionAll, [_claims(tbl, tables[tbl], rules) for tbl in rules])
-    per_key = claims.groupBy("rule", "key").agg(
-        F.sum("n_rows").alias("n_rows"), F.sum("n_parents").alias("n_parents")
-    )
-    is_unique = F.contains("rule", F.lit("|unique ("))
-    broken = F.when(is_unique, (F.col("n_rows") > 1).cast("long")).otherwise(
-        F.when(F.col("n_parents") == 0, F.col("n_rows")).otherwise(0)
-    )
-    found = per_key.groupBy("rule").agg(F.sum(broken).alias("violations"))
-    names = [f"{t}|unique ({', '.join(k)})" for t, r in rules.items() for k in r.keys]
-    names += [_reference(t, fk) for t, r in rules.items() for fk in r.foreign_keys]
+    """(tbl, rule, violations) of all keys and foreign keys of all tables: one scan of each, one shuffle.
+
+    Rows are expanded once per key they must not repeat, per value they refer to and per value others
+    refer to. Equal keys combine in each task, so common values weigh nothing in the shuffle.
+    """
+    declared: list[tuple[int, str, str]] = []
+    entries: dict[str, list[tuple[int, Sequence[str], bool]]] = {tbl: [] for tbl in rules}
+    for tbl, of in rules.items():
+        for key in of.keys:
+            entries[tbl].append((len(declared), key, False))
+            declared.append((len(declared), tbl, f"unique ({', '.join(key)})"))
+    first_reference = len(declared)
+    for tbl, of in rules.items():
+        for fk in of.foreign_keys:
+            entries[tbl].append((len(declared), (fk.column,), False))
+            entries[fk.parent].append((len(declared), (fk.parent_column,), True))
+            declared.append((len(declared), tbl, f"{fk.column} -> {fk.parent}.{fk.parent_column}"))
+    width = max((len(key) for of in entries.values() for _, key, _ in of), default=1)
+    claims = [_claims(tables[tbl], of, width) for tbl, of in entries.items() if of]
     spark = next(iter(tables.values())).sparkSession
-    declared = spark.createDataFrame([(n,) for n in names], "rule string")
-    parts = F.split("rule", r"\|", 2)
-    return declared.join(found, "rule", "left").select(
-        parts[0].alias("tbl"),
-        parts[1].alias("rule"),
-        F.coalesce("violations", F.lit(0).cast("long")).alias("violations"),
+    names = spark.createDataFrame(declared, "number int, tbl string, rule string")
+    if not claims:
+        return names.select("tbl", "rule", F.lit(0).cast("long").alias("violations"))
+    key = [f"{kind}{i}" for kind in "ns" for i in range(width)]
+    per_key = (
+        reduce(DataFrame.unionAll, claims)
+        .groupBy("rule", *key)
+        .agg(
+            F.count_if(~F.col("is_parent")).alias("n_rows"),
+            F.max("is_parent").alias("has_parent"),
+        )
+    )
+    # NULL refers to nothing; in a key it is a value like another.
+    lost = ~F.col("has_parent") & F.coalesce(*[F.col(c).cast("string") for c in key]).isNotNull()
+    broken = F.when(
+        F.col("rule") < first_reference, (F.col("n_rows") > 1).cast("long")
+    ).otherwise(F.when(lost, F.col("n_rows")).otherwise(0))
+    found = per_key.groupBy(F.col("rule").alias("number")).agg(F.sum(broken).alias("violations"))
+    return names.join(found, "number", "left").select(
+        "tbl", "rule", F.coalesce("violations", F.lit(0).cast("long")).alias("violations")
     )
 
 

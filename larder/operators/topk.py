@@ -47,25 +47,30 @@ def top_k_existing(
     rows.
 
     As the join drops orphans, a limit before it could come out short. So the first k + SLACK
-    candidates are taken without a shuffle and looked up by a pushed-down key filter. If there were
-    no more candidates, or at least k are found, that is the answer: whatever was left out sorts
-    behind. Otherwise the full join runs.
+    candidates are taken without a shuffle and looked up by a pushed-down key filter, first 2 k of
+    them. If there were no more candidates, or k are found, that is the answer: whatever was left
+    out sorts behind. Otherwise the full join runs.
     """
     everything = candidates.join(lookup, key).orderBy(*order).limit(k)
     if k > MAX_LEADERS:
         return everything
     reach = k + SLACK
     leaders = candidates.orderBy(*order).limit(reach + 1).toArrow()
-    first = leaders.slice(0, reach)
-    wanted = lookup.filter(any_of(key, pc.unique(first[key].drop_null()).to_pylist()))
+
+    def wanted(rows: pa.Table) -> DataFrame:
+        return lookup.filter(any_of(key, pc.unique(rows[key].drop_null()).to_pylist()))
+
     if leaders.num_rows <= reach:
-        local = lookup.sparkSession.createDataFrame(first, schema=candidates.schema)
-        return wanted.join(F.broadcast(local), key).orderBy(*order).limit(k)
-    # At most k + SLACK rows of either, so they are put together here.
-    rows = _joined(first, wanted.toArrow(), key).slice(0, k)
-    if rows.num_rows < k:
-        return everything
-    return lookup.sparkSession.createDataFrame(rows, schema=everything.schema)
+        local = lookup.sparkSession.createDataFrame(leaders, schema=candidates.schema)
+        return wanted(leaders).join(F.broadcast(local), key).orderBy(*order).limit(k)
+    # Few orphans are the rule, so few keys are asked for first. At most k + SLACK rows of either
+    # side, so they are put together here.
+    for some in (min(2 * k, reach), reach):
+        first = leaders.slice(0, some)
+        rows = _joined(first, wanted(first).toArrow(), key).slice(0, k)
+        if rows.num_rows == k:
+            return lookup.sparkSession.createDataFrame(rows, schema=everything.schema)
+    return everything
 
 
 def _joined(first: pa.Table, found: pa.Table, key: str) -> pa.Table:

@@ -246,9 +246,7 @@ def test_refresh(spark, tmp_path, raw):
     assert last.tables.audit().filter("violations > 0").count() == 0
 
 
-@pytest.mark.parametrize(
-    "where, step", [(NumberedRatings, "number"), (RatingSums, "sync"), (Versioned, "write")]
-)
+@pytest.mark.parametrize("where, step", [(NumberedRatings, "number"), (RatingSums, "sync")])
 def test_a_refresh_that_died_is_made_whole(spark, tmp_path, raw, monkeypatch, where, step):
     out = str(tmp_path / "out")
     refresh(spark, raw, out)
