@@ -235,14 +235,17 @@ def _given_topic(docs: DataFrame, topic: Topic | None) -> Column | None:
 
 def _vectors(rows: DataFrame) -> DataFrame:
     """The measures of ``rows`` that come from texts, written: their ids, tokens, keys and vectors."""
-    read = _measured(rows, F.lit(None)).drop("topic")
+    read = rows.select("row", topics.measured(F.col("row.text").cast("binary")).alias("found"))
     return stage(
         read.select(
-            F.struct("row.doc_id").alias("row"), "tokens", "source", "lang",
-            topics.vector_of(F.col("row.text")).alias("vector"),
+            F.struct("row.doc_id").alias("row"),
+            F.greatest("found.tokens", F.lit(1).cast("long")).alias("tokens"),
+            "row.source",
+            "row.lang",
+            "found.vector",
         ),
         "vectors",
-    )
+    )
 
 
 def _with_topics(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
