@@ -6,7 +6,10 @@ short ones, take the label of their nearest decided neighbours: the common one i
 else that of the neighbour in the same container, else the nearer one.
 
 Containers narrow the choice: blocks inside menus, headers, footers, sidebars, notices, adverts, forms
-and comments, told by their tags or by the words of their class, id or role, are not text. Inside an
+and comments, told by their tags or by the words of their class, id or role, are not text. Whole names
+tell a container for certain; a name that only has such a word in it counts where the container's blocks
+are short or linked. A form, or a container whose name says how a page is laid out, may be around the
+page itself: one that holds most of the page's text, with no article outside of it, is none. Inside an
 article or main element nothing else speaks against a block, and neighbours there decide blocks of
 links; elsewhere links do. Few stop words leave a block undecided (tables, code, lists). Where a whole
 page has few, as in languages whose words are not listed, they tell nothing: the page is read like an
@@ -52,8 +55,7 @@ PAGE = -1
 DROPPED = "script|style|textarea|iframe"
 CONTAINERS = frozenset(
     """
-    nav footer aside form menu dialog header head title noscript template svg object canvas select
-    button
+    nav footer aside menu dialog header head title noscript template svg object canvas select button
     """.split()  # noqa: SIM905
 )
 # What a head may hold; anything else ends it.
@@ -75,15 +77,33 @@ ENDED_BY = {
     "td": frozenset(["td", "th", "tr"]),
     "th": frozenset(["td", "th", "tr"]),
 }
-# Whole words of class, id and role that mark a container as no text.
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|banner|sponsor\w*|promo\w*|side-?bar|menu|nav\w*|"
-    r"breadcrumbs?|footer|comments?|commentlist|disqus|replies|respond|cookies?|consent|gdpr|notice|"
-    r"alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|"
-    r"recommend\w*|widget|pagination|pager|toolbar|masthead|complementary|contentinfo|navigation|"
-    r"search|skip|legal|copyright|hidden)(?:$|[\s_-])",
-    re.I,
+# Words of a class, id or role that mark a container as no text, in any layout.
+MARKS = frozenset(
+    """
+    ad ads adsense adslot breadcrumb breadcrumbs commentlist comment comments disqus replies respond
+    cookie cookies consent gdpr newsletter subscribe signup login menu nav navbar navigation footer
+    pagination pager toolbar masthead complementary contentinfo copyright
+    """.split()  # noqa: SIM905
 )
+MARK_BEGINS = ("advert", "sponsor", "recommend")
+# The same for words that may also say how the page around them is laid out.
+LAYOUT_MARKS = frozenset(
+    """
+    sidebar side-bar banner promo promotion related notice alert popup modal overlay share sharing
+    social widget search skip legal hidden
+    """.split()  # noqa: SIM905
+)
+# What a marking name may have besides such words.
+FRAME = frozenset(
+    """
+    area bar block box bottom container footer group header inner item items left link links list
+    main outer page panel post posts primary right row section secondary site slot top unit wrap
+    wrapper
+    """.split()  # noqa: SIM905
+)
+# Names that begin so tell what a container has or lacks, not what it is.
+NOT_ITSELF = frozenset("has no not with without is are if".split())
+CERTAIN, LAYOUT, HINT = range(3)
 ATTRIBUTES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 # A comment, a dropped element, a tag, or any other markup.
 MARKUP = re.compile(
@@ -97,12 +117,35 @@ MARKUP = re.compile(
 WORD = re.compile(r"[^\W\d_]+")
 
 
+def mark_of(names: str) -> int | None:
+    """What the class, id and role of a container say: ``CERTAIN`` or ``LAYOUT`` mark, ``HINT``, or
+    nothing."""
+    found = []
+    for name in names.lower().split():
+        parts = [part for part in re.split(r"[-_]+", name.replace("side-bar", "sidebar")) if part]
+        if not parts or parts[0] in NOT_ITSELF:
+            continue
+        kinds = {_mark_word(part) for part in parts}
+        if kinds & {CERTAIN, LAYOUT}:
+            whole = all(_mark_word(p) is not None or p in FRAME for p in parts)
+            found.append(min(kinds - {None}) if whole else HINT)
+    return min(found, default=None)
+
+
+def _mark_word(word: str) -> int | None:
+    if word in MARKS or word.startswith(MARK_BEGINS):
+        return CERTAIN
+    return LAYOUT if word in LAYOUT_MARKS else None
+
+
 @dataclass
 class Block:
-    """Text of one block; ``main`` is the number of the article it is in, ``PAGE``, or 0."""
+    """Text of one block; ``main`` is the number of the article it is in, ``PAGE``, or 0, and
+    ``marks`` are those containers around it that are not certain to be no text."""
 
     barred: bool
     main: int
+    marks: tuple[int, ...] = ()
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
 
@@ -133,50 +176,76 @@ def _stop_share(words: list[str]) -> float:
     return sum(w in STOPWORDS for w in words) / max(1, len(words))
 
 
+@dataclass(frozen=True)
+class _Place:
+    """An open element: what holds for the text in it."""
+
+    name: str
+    barred: bool = False
+    main: int = 0
+    marks: tuple[int, ...] = ()
+
+
 class _Page:
     """Blocks of a page, and the open elements around the current place."""
 
     def __init__(self) -> None:
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, bool, int]] = []
+        self.open: list[_Place] = []
+        self.kinds: list[int] = []
         self.mains = 0
-        self.links = 0
+        # How many elements are open around the open link, if there is one.
+        self.link: int | None = None
         self.fresh = True
 
     def text(self, raw: str) -> None:
         if not raw:
             return
         if self.fresh:
-            barred, main = self.open[-1][1:] if self.open else (False, 0)
-            self.blocks.append(Block(barred, main))
+            at = self.open[-1] if self.open else _Place("")
+            self.blocks.append(Block(at.barred, at.main, at.marks))
             self.fresh = False
         self.blocks[-1].parts.append(raw)
-        if self.links:
+        if self.link is not None:
             self.blocks[-1].linked.append(raw)
 
+    def close(self, at: int) -> None:
+        """End the open elements from the given one on, and a link that began inside of them."""
+        del self.open[at:]
+        if self.link is not None and self.link > at:
+            self.link = None
+
     def begin(self, name: str, attributes: str) -> None:
         if name == "br":
             self.text(" ")
         elif name == "a":
-            self.links += 1
+            self.link = len(self.open)
         if name in VOID or name in INLINE:
             if name in VOID and name not in INLINE and name != "br":
                 self.fresh = True
             return
-        self.fresh, self.links = True, 0
-        while self.open and self._ends(self.open[-1][0], name):
-            self.open.pop()
-        barred, main = self.open[-1][1:] if self.open else (False, 0)
+        self.fresh = True
+        while self.open and self._ends(self.open[-1].name, name):
+            self.close(len(self.open) - 1)
+        around = self.open[-1] if self.open else _Place("")
+        barred, main, marks = around.barred, around.main, around.marks
         if name in MAIN:
             self.mains += 1
             main = self.mains
         # The header of an article holds its title.
         elif name in CONTAINERS and not (name == "header" and main):
             barred = True
+        kind = LAYOUT if name == "form" else None
         if name not in ("html", "body", *MAIN) and attributes:
-            marks = " ".join("".join(found) for found in ATTRIBUTES.findall(attributes))
-            barred = barred or bool(marks and MARKS.search(marks))
-        self.open.append((name, barred, main))
+            names = " ".join("".join(found) for found in ATTRIBUTES.findall(attributes))
+            said = mark_of(names) if names else None
+            kind = said if kind is None or said == CERTAIN else kind
+        if kind == CERTAIN:
+            barred = True
+        elif kind is not None:
+            marks += (len(self.kinds),)
+            self.kinds.append(kind)
+        self.open.append(_Place(name, barred, main, marks))
 
     @staticmethod
     def _ends(opened: str, name: str) -> bool:
@@ -188,15 +257,57 @@ class _Page:
 
     def end(self, name: str) -> None:
         if name == "a":
-            self.links = max(0, self.links - 1)
+            self.link = None
         if name in INLINE:
             return
-        self.fresh, self.links = True, 0
+        self.fresh = True
         for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == name:
-                del self.open[at:]
+            if self.open[at].name == name:
+                self.close(at)
                 break
 
+    def decided(self) -> list[Block]:
+        """The blocks that hold more than white space, barred also by the marks that prove true."""
+        blocks = [block for block in self.blocks if block.text]
+        if self.kinds:
+            self._weigh(blocks)
+        return blocks
+
+    def _weigh(self, blocks: list[Block]) -> None:
+        plain = [b for b in blocks if not b.barred]
+        total, articles = 0, set()
+        found = [_Weight() for _ in self.kinds]
+        for block in plain:
+            size, links = len(block.text), block.links
+            total += size
+            articles |= {block.main} - {0}
+            for mark in block.marks:
+                found[mark].add(size, links, block.main)
+        true = set()
+        for mark, (kind, of) in enumerate(zip(self.kinds, found, strict=True)):
+            holds_page = 2 * of.size > total and of.articles == articles
+            prose = of.links <= MAX_LINK_DENSITY * of.size and of.size >= SHORT * of.blocks
+            if not (holds_page or kind == HINT and prose):
+                true.add(mark)
+        for block in plain:
+            block.barred = not true.isdisjoint(block.marks)
+
+
+@dataclass
+class _Weight:
+    """What a marked container holds."""
+
+    size: int = 0
+    links: int = 0
+    blocks: int = 0
+    articles: set[int] = field(default_factory=set)
+
+    def add(self, size: int, links: int, main: int) -> None:
+        self.size += size
+        self.links += links
+        self.blocks += 1
+        self.articles |= {main} - {0}
+
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page that hold more than white space, in order."""
@@ -210,7 +321,7 @@ def blocks_of(page: str) -> list[Block]:
         elif name:
             parsed.begin(name, markup[4] or markup[7] or "")
     parsed.text(html.unescape(page[at:]))
-    return [block for block in parsed.blocks if block.text]
+    return parsed.decided()
 
 
 def _together(one: Block, other: Block) -> bool:

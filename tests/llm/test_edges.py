@@ -122,3 +122,24 @@ def test_mixing_of_odd_rows_without_a_topic_column(odd, empty):
     assert mixing.mix(empty.drop("topic")).columns == found.columns
     assert mixing.sample(empty.drop("topic")).count() == 0
     assert mixing.sample(odd.drop("topic"), share=1.0).count() == len(ODD)
+
+
+def test_pages_of_odd_rows(spark):
+    from larder.llm.html_text import extract
+
+    long = "<div class='sidebar'><p>" + "the words of it " * 100_000 + "</div>" * 3 + "<div class=legal-x>" * 5_000
+    rows = [
+        (1, "u", None), (2, None, ""), (None, "u", "<p>a</p>"), (3, "u", "<article>x"), (3, "u", "<article>x"),
+        (4, "u", long), (5, "u", "<" * 50_000), (6, "u", "<p>&#0;&bad;\x00\U0001f926</p>"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages = pages.withColumn("text", F.lit("x")).withColumn("n_chars", F.lit(1)).repartition(3)
+    found = extract(pages)
+    got = [(r["page_id"], r["url"], r["text"], r["n_chars"]) for r in found.collect()]
+    assert sorted(map(str, (r[0] for r in got))) == sorted(str(r[0]) for r in rows)
+    by = {r[0]: r for r in got}
+    assert by[1][2] == by[2][2] == "" and by[3] == (3, "u", "x", 1) and by[None][2] == "a"
+    assert by[4][3] == len("the words of it ") * 100_000 - 1
+    assert all(r[3] == len(r[2]) for r in got)
+    none = extract(pages.limit(0))
+    assert none.count() == 0 and none.columns == found.columns

@@ -529,6 +529,46 @@ def test_linked_headlines_and_references_of_articles():
     assert html_text.main_text(page) == f"A linked headline {(BODY * 3).strip()} [1] Source"
 
 
+PROSE = BODY * 3
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"{NAV}<div class='content with-sidebar'><p>{PROSE}</p></div>",
+        f"{NAV}<div class='site no-sidebar'><p>{PROSE}</p></div>",
+        f"{NAV}<div class='post hidden-xs'><p>{PROSE}</p></div>",
+        f"{NAV}<div class='legal-text'><p>{PROSE}</p></div>",
+        f"<form action=x><header>head</header>{NAV}<div><p>{PROSE}</p></div><footer>f</footer></form>",
+        f"{NAV}<article><section class='legal-news'><p>{PROSE}</p></section></article>",
+        f"<div class='sidebar page'>{NAV}<p>{PROSE}</p></div>",
+        f"{NAV}<div><p>{PROSE}</p></div><form><label>Name</label><input><p>{BODY}</p></form>",
+        f"{NAV}<article><p>{PROSE}</p></article><form><p>{PROSE * 4}</p></form>",
+        f"{NAV}<div><p>{PROSE}</p></div><div class=comments><p>{PROSE * 9}</p></div>",
+        f"{NAV}<article><p>{PROSE}</p><div id=comment-list><p>{PROSE * 9}</p></div></article>",
+        f"{NAV}<div><p>{PROSE}</p></div><div class='legal-hints'><p>© all</p><p><a href=x>terms</a></p></div>",
+        f"{NAV}<div><p>{PROSE}</p></div><ul>" + "<li><a href=x><div>The headline of this and that is here for you now</div></a></li>" * 5 + "</ul>",
+        f"{NAV}<div><p>{PROSE}</p></div><a href=x><div><p>{BODY}{BODY}</p></div><p>{BODY}</p></a>",
+    ],
+)
+def test_names_of_containers_are_weighed(page):
+    assert html_text.main_text(page) == PROSE.strip()
+
+
+def test_links_end_with_their_parent():
+    page = f"{NAV}<div><p><a href=x>more</p><p>{PROSE}</p></div>"
+    assert html_text.main_text(page).endswith(PROSE.strip())
+
+
+def test_marks():
+    kinds = {
+        "comments": 0, "site-footer": 0, "cookie-notice": 0, "advertising": 0, "ad_slot": 0, "nav-main": 0,
+        "sidebar": 1, "related-posts": 1, "side-bar": 1, "legal": 1, "legal-text": 2, "hidden-xs": 2,
+        "comment-policy": 2, "content": None, "has-sidebar": None, "no-comments": None, "headnote": None, "": None,
+    }
+    assert {name: html_text.mark_of(name) for name in kinds} == kinds
+
+
 @given(page=st.lists(st.sampled_from(["<", ">", '"', "p", "a", "/", "<p ", "<!--", "-->", "<script>", "&lt;", " ", "'", "="]), max_size=30).map("".join))
 @settings(max_examples=200, deadline=None)
 def test_any_markup_is_read(page):
