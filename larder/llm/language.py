@@ -28,11 +28,11 @@ from larder.llm.common import Memo, row_of, texts_of
 from larder.workspace import scratch_scope, stage
 
 UNKNOWN = "und"
-# Bounds of the model: what is learned from, and what is kept of it.
+# Bounds of the model for each language: what is learned from, and what is kept of it. Whatever one
+# language keeps is counted in all.
 DOCS_PER_LANGUAGE = 2_000
-LANGUAGES = 100
 WORDS_PER_LANGUAGE = 20_000
-GRAMS = 100_000
+GRAMS_PER_LANGUAGE = 50_000
 # Lengths of n-grams, longest first.
 SIZES = (5, 4, 3, 2, 1)
 BACKOFF = math.log(0.4)
@@ -167,19 +167,19 @@ def train(
     learns: Column | None = None,
     docs_per_language: int = DOCS_PER_LANGUAGE,
     words_per_language: int = WORDS_PER_LANGUAGE,
+    grams_per_language: int = GRAMS_PER_LANGUAGE,
 ) -> Model:
     """Learn from the rows of ``docs`` (``doc_id, text, lang``) where ``learns`` holds.
 
-    At most ``LANGUAGES`` labels, the most frequent, ``docs_per_language`` documents of each and
-    their ``words_per_language`` commonest words: so the model is bounded whatever the corpus.
+    From every label's documents ``docs_per_language`` are learned from at most. What is known of a
+    language are its ``words_per_language`` commonest words and ``grams_per_language`` n-grams, and what
+    other languages keep: so the model grows with the labels and not with the corpus.
     """
     labelled = docs.filter(
         F.col("text").isNotNull() & (F.trim("lang") != "") & (F.lit(True) if learns is None else learns)
     )
     with scratch_scope(docs.sparkSession):
-        found = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-        names = [row["lang"] for row in found.collect()]
-        drawn = labelled.filter(F.col("lang").isin(names)).withColumn("draw", F.xxhash64("doc_id"))
+        drawn = labelled.withColumn("draw", F.xxhash64("doc_id"))
         lowest = Window.partitionBy("lang").orderBy("draw")
         last = (
             drawn.select("lang", "draw")
@@ -197,20 +197,19 @@ def train(
             .agg(F.min("text").alias("text"))
         )
         counts = stage(_word_counts(sample), "words")
-        by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-        top = stage(
-            counts.withColumn("rank", F.row_number().over(by_count))
-            .filter(F.col("rank") <= words_per_language)
-            .drop("rank"),
-            "top-words",
-        )
+        top = stage(_commonest(counts, "word", words_per_language), "top-words")
         spelt = stage(_gram_counts(top), "grams")
-        common = spelt.groupBy("gram").agg(F.sum("n").alias("total"))
-        common = common.orderBy(F.desc("total"), "gram").limit(GRAMS).select("gram")
-        kept = spelt.join(F.broadcast(common), "gram", "left_semi")
+        kept = _commonest(spelt, "gram", grams_per_language)
         return Model(_local(top, "word"), _local(kept, "gram"))
 
 
+def _commonest(counts: DataFrame, key: str, most: int) -> DataFrame:
+    """The counts, in all languages, of the keys that are among the ``most`` commonest of one."""
+    by_count = Window.partitionBy("lang").orderBy(F.desc("n"), key)
+    ranked = counts.withColumn("rank", F.row_number().over(by_count)).filter(F.col("rank") <= most)
+    return counts.join(ranked.select(key).distinct(), key, "left_semi")
+
+
 def _gram_counts(words: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:

@@ -12,7 +12,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from larder.llm import conversations, grammar, phrases, repeats
+from larder.llm import conversations, grammar, language, phrases, repeats
 
 from .conftest import LONG, ODD
 
@@ -350,3 +350,80 @@ def test_queries_on_the_tables(spark, sf_dir, name):
         cuts = plain_cuts([(r["text"] or "").encode() for r in rows], 400)
         want = sorted((r["doc_id"], *c) for r, c in zip(rows, cuts))
     assert got == want
+
+
+# Languages
+
+
+def plain_language(learned, texts):
+    """Every score from counts, as the module says it, with nothing kept back."""
+    import math
+
+    words = {lang: Counter(w for t in of for w in language.words_of(t)) for lang, of in learned.items()}
+    langs, vocabulary = sorted(words), {w for c in words.values() for w in c}
+    spelt = {lang: Counter() for lang in langs}
+    for lang in langs:
+        for w, n in words[lang].items():
+            for size in language.SIZES:
+                for g in language.grams(w, size):
+                    spelt[lang][g] += n
+    known = {g for c in spelt.values() for g in c}
+    sizes = {n: [g for g in known if len(g) == n] for n in language.SIZES}
+    total = {(lang, n): sum(spelt[lang][g] for g in sizes[n]) for lang in langs for n in sizes}
+
+    def word_score(lang, w):
+        if w in vocabulary:
+            return math.log((words[lang][w] + 0.5) / (sum(words[lang].values()) + 0.5 * len(vocabulary)))
+        marked, found = f"<{w}>", []
+        for i in range(len(marked)):
+            for n in range(min(5, len(marked) - i), 0, -1):
+                g = marked[i : i + n]
+                if g in known:
+                    log = math.log((spelt[lang][g] + 0.5) / (total[lang, n] + 0.5 * len(sizes[n])))
+                    found.append(log + (5 - n) * language.BACKOFF)
+                    break
+        return sum(found) / len(found) if found else 0.0
+
+    out = []
+    for text in texts:
+        spoken = language.words_of(text)
+        level = [sum(word_score(lang, w) for w in spoken) / math.sqrt(len(spoken)) for lang in langs]
+        shares = [math.exp(x - max(level)) for x in level]
+        out.append((langs[level.index(max(level))], max(shares) / sum(shares)))
+    return out
+
+
+def spoken(pick, letters, n):
+    return " ".join("".join(pick.choice(letters) for _ in range(pick.randrange(1, 7))) for _ in range(n))
+
+
+def test_scores_are_what_counts_say(spark):
+    pick = random.Random(5)
+    kinds = {"aa": "abcde", "bb": "cdefgh", "cc": "fghijé"}
+    learned = {lang: [spoken(pick, letters, 30) for _ in range(12)] for lang, letters in kinds.items()}
+    rows = [(t, lang) for lang, of in learned.items() for t in of]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language.train(docs)
+    texts = [spoken(pick, "abcdefghijéxyz", pick.choice([1, 2, 5, 40])) for _ in range(80)] + ["zzz", "A B"]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(asked, model).collect()}
+    for i, (lang, score) in enumerate(plain_language(learned, texts)):
+        assert got[i][1] == pytest.approx(score, abs=1e-4)
+        assert got[i][0] == lang or score < 0.51
+
+
+def test_every_label_can_be_predicted(spark):
+    """However many there are, and however rare one is."""
+    rows = [(i, f"w{chr(97 + i % 7)}{'x' * (i % 5)} common", "big") for i in range(300)]
+    spell = lambda n: "".join(chr(97 + int(d)) for d in f"{n:04}")
+    rows += [(1_000 + n, f"q{spell(n)} q{spell(n)}z common", f"l{n:03}") for n in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, words_per_language=3, grams_per_language=40)
+    assert len(model.languages) == 151
+    asked = spark.createDataFrame([(n, f"q{spell(n)} q{spell(n)}z") for n in range(150)], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(asked, model).collect()}
+    assert got == {n: f"l{n:03}" for n in range(150)}
+    # What one language keeps is counted in all.
+    assert all((model.word_logs[row] > -20).all() for row in model.words.values())
+    common = model.word_logs[model.words["common"]]
+    assert (common > model.word_logs[model.words["q" + spell(0)]].min()).all()
