@@ -267,24 +267,33 @@ def _from_planes(leaves: bytes, columns: int) -> np.ndarray:
     return flat.view(np.uint32).reshape(columns, -1)
 
 
-def subtree(leaves: np.ndarray, counts: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def subtree(
+    leaves: list[np.ndarray], counts: np.ndarray, least: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Nodes of two words and more, level by level, with the sums of the leaves below them.
 
-    ``leaves`` has a column per suffix; a branch ends at zeros and where its sum is under ``least``.
+    ``leaves`` are the suffixes' first words, second words and so on; a branch ends at zeros and where
+    its sum is under ``least``. Columns are let go of as the tree grows past them.
     """
-    node = leaves[0].astype(np.int64)
-    for depth in range(1, len(leaves)):
-        there = leaves[depth] != 0
-        leaves, counts, node = leaves[:, there], counts[there], node[there]
-        if not len(node):
-            return
-        keys = node.astype(_U) << _U(32) | leaves[depth].astype(_U)
-        _, first, node = np.unique(keys, return_index=True, return_inverse=True)
-        total = np.bincount(node, counts).astype(np.int64)
+    node, rest = leaves[0].astype(_U), list(leaves[1:])
+    grams = None
+    while rest:
+        word = rest.pop(0)
+        there = np.flatnonzero(word)
+        keys = node[there] << _U(32) | word[there]
+        del node, word
+        found, at = np.unique(keys, return_inverse=True)
+        del keys
+        total = np.bincount(at, counts[there], len(found)).astype(np.int64)
         often = total >= least
-        yield leaves[: depth + 1, first[often]], total[often]
-        there = often[node]
-        leaves, counts, node = leaves[:, there], counts[there], node[there]
+        parent, last = found[often] >> _U(32), (found[often] & _U(0xFFFFFFFF)).astype(np.uint32)
+        before = parent.astype(np.uint32)[None] if grams is None else grams[:, parent.astype(np.int64)]
+        grams = np.vstack([before, last[None]])
+        yield grams, total[often]
+        stays = often[at]
+        node = (np.cumsum(often) - 1)[at[stays]].astype(_U)
+        there = there[stays]
+        counts, rest = counts[there], [column[there] for column in rest]
 
 
 def _counted(dealt: DataFrame, longest: int, least: int) -> DataFrame:
@@ -292,11 +301,16 @@ def _counted(dealt: DataFrame, longest: int, least: int) -> DataFrame:
 
     def build(rows: pa.Table) -> pa.Table:
         lang, depth = rows.column("lang")[0].as_py(), rows.column("depth")[0].as_py()
-        parts = [_from_planes(x.as_py(), longest + 1) for x in rows.column("leaves")]
-        found = np.concatenate(parts, axis=1)
+        parts = [x.as_buffer() for x in rows.column("leaves")]
+        ends = np.cumsum([0, *(len(part) // (4 * (longest + 1)) for part in parts)])
+        found = np.empty((longest + 1, ends[-1]), np.uint32)
+        for part, start, end in zip(parts, ends[:-1], ends[1:], strict=True):
+            found[:, start:end] = _from_planes(part, longest + 1)
+        leaves, counts = list(found[:longest]), found[longest]
+        del found, parts
         out = [
             _grams(lang, grams, counts)
-            for grams, counts in subtree(found[:longest], found[longest], least)
+            for grams, counts in subtree(leaves, counts, least)
             if len(grams) >= depth
         ]
         none = _grams(lang, np.empty((1, 0), np.uint32), np.empty(0))

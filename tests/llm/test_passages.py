@@ -252,7 +252,7 @@ def test_subtrees_sum_their_leaves(rows, least):
     leaves = np.array(rows, np.uint32).T
     want = Counter(r[:k] for r in rows for k in range(2, 5))
     got = {}
-    for grams, counts in phrases.subtree(leaves, np.ones(len(rows), np.int64), least):
+    for grams, counts in phrases.subtree(list(leaves), np.ones(len(rows), np.int64), least):
         got.update(zip(map(tuple, grams.T.tolist()), counts.tolist()))
     assert got == {g: n for g, n in want.items() if n >= least}
 
