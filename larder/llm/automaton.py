@@ -8,6 +8,7 @@ everywhere in one pass; after each byte its state tells which patterns end there
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
@@ -178,9 +179,13 @@ class Automaton:
     def states(self) -> int:
         return len(self.ends)
 
-    def resets_on(self, byte: int) -> bool:
-        """Whether ``byte`` leads to the start from everywhere, so that texts may be cut after it."""
-        return bool((self.moves[self.byte_class[byte] :: self.classes] == 0).all())
+    @cached_property
+    def forgets(self) -> np.ndarray:
+        """By classes of two bytes: whether they lead to the start from everywhere, so that texts may
+        be cut after them."""
+        table = self.moves.reshape(-1, self.classes)
+        after = [np.unique(table[:, first]) for first in range(self.classes)]
+        return np.array([(table[states] == 0).all(axis=0) for states in after])
 
 
 def compile_rules(patterns: list[str]) -> Automaton:

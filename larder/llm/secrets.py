@@ -1,10 +1,11 @@
 """Secret scanning: all rules in one pass of one automaton over the bytes of every text.
 
 The rules are compiled into one minimal deterministic automaton. A task scans many texts side by side,
-one byte of each per step, through its transition array; texts are cut into lanes behind line ends
-where the automaton provably forgets all it has seen. The states passed tell which rules end somewhere
-in a text. For those texts and rules alone, exact spans are then read off: leftmost first, longest,
-without overlaps within a kind.
+one byte of each per step, through its transition array; texts are cut into lanes behind any two bytes
+after which the automaton provably has forgotten all it has seen. The pass yields the places where
+rules end, and for each the place since when the automaton has not been at its start. A match that
+ends there begins between the two, so only those few bytes are tried for the exact span: leftmost
+first, longest, without overlaps within a kind. No text is scanned a second time.
 
 Defined cases: null and empty texts have no spans; repeated rows get equal rows; empty tables give
 empty results; spans count code points, ends exclusive; further columns are not read.
@@ -21,7 +22,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from larder.llm.automaton import Automaton, compile_rules
-from larder.llm.common import texts_of
 
 # Least bytes of a lane; a lane goes on to the next line end.
 LANE = 2_048
@@ -29,11 +29,12 @@ LANE = 2_048
 
 @dataclass(frozen=True)
 class Rule:
-    """``scan`` is what the automaton looks for: a part of every match that counts, and for rules whose
-    full length would multiply states no more than that.
+    """``scan`` is what the automaton looks for: how every match that counts begins, and for rules
+    whose full length would multiply states no more than that.
 
     ``exact`` gives the matches in a text; of them those count whose group ``part`` has ``least``
-    characters.
+    characters. What begins a match of ``exact`` must begin one of ``scan``, so that matches that do
+    not count are met where they hide others.
     """
 
     kind: str
@@ -53,83 +54,151 @@ RULES = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{2}", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{2}", r"AIza[A-Za-z0-9_-]{30,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{5,}\.", r"eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{5,}"),
-    Rule("private_key", r"PRIVATE KEY-----", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 BASE = ("assign", "access", "hex")
-NEWLINE = 0x0A
 
 
-def lanes_of(data: list[bytes], cut: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and length of each lane in the joined texts, and the text it belongs to."""
+def lanes_of(data: list[bytes], cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and length of each lane in the joined texts, and the text it belongs to.
+
+    A lane ends at the first of ``cuts`` after ``LANE`` bytes, or with its text.
+    """
     starts, lengths, owners = [], [], []
-    before = 0
+    at = 0
     for owner, text in enumerate(data):
-        at = 0
-        while at < len(text):
-            end = text.find(b"\n", at + LANE) + 1 if cut else 0
-            end = end or len(text)
-            starts.append(before + at)
+        close = at + len(text)
+        while at < close:
+            end = close
+            if close - at > LANE:
+                near = np.searchsorted(cuts, at + LANE)
+                end = min(close, int(cuts[near])) if near < len(cuts) else close
+            starts.append(at)
             lengths.append(end - at)
             owners.append(owner)
             at = end
-        before += len(text)
     return np.array(starts, np.int64), np.array(lengths, np.int64), np.array(owners, np.int64)
 
 
-def rules_found(data: list[bytes], machine: Automaton) -> np.ndarray:
-    """For each text a number whose bit k tells whether rule k ends somewhere in it."""
-    found = np.zeros(len(data), np.int64)
-    start, length, owner = lanes_of(data, machine.resets_on(NEWLINE))
-    if not len(start):
-        return found
+@dataclass(frozen=True)
+class Hits:
+    """Where rules end, in order of texts and places: the text, the end, the place since when the
+    automaton has not been at its start, and a number whose bit k tells whether rule k ends there."""
+
+    owner: np.ndarray
+    end: np.ndarray
+    since: np.ndarray
+    rules: np.ndarray
+
+
+def hits_in(data: list[bytes], machine: Automaton) -> Hits:
+    """All places in ``data`` where rules end, from one pass over its bytes."""
+    signs = machine.byte_class[np.frombuffer(b"".join(data), np.uint8)]
+    cuts = np.flatnonzero(machine.forgets.ravel()[signs[:-1] * machine.classes + signs[1:]]) + 2
+    start, length, owner = lanes_of(data, cuts)
     # Longest lanes first, so that those still running are always a prefix.
     order = np.argsort(-length, kind="stable")
     start, length, owner = start[order], length[order], owner[order]
-    signs = machine.byte_class[np.frombuffer(b"".join(data), np.uint8)]
-    running = np.searchsorted(-length, -np.arange(length[0]), "left")
+    longest = length[0] if len(length) else 0
+    running = np.searchsorted(-length, -np.arange(longest), "left")
     state = np.zeros(len(start), np.int32)
-    ended = np.zeros(len(start), np.int64)
+    left_start = np.zeros(len(start), np.int64)
+    lane, end, since, rules = ([np.zeros(0, np.int64)] for _ in range(4))
     for step, k in enumerate(running):
         state = machine.moves[state[:k] * machine.classes + signs[start[:k] + step]]
-        ended[:k] |= machine.ends[state]
-    np.bitwise_or.at(found, owner, ended)
-    return found
+        left_start[:k][state == 0] = step + 1
+        ended = machine.ends[state]
+        at = np.flatnonzero(ended)
+        if len(at):
+            lane.append(at)
+            end.append(start[at] + step + 1)
+            since.append(start[at] + left_start[at])
+            rules.append(ended[at])
+    ends, owners = np.concatenate(end), owner[np.concatenate(lane)]
+    begins = np.cumsum([0] + [len(text) for text in data])[owners]
+    order = np.argsort(ends, kind="stable")
+    return Hits(
+        owners[order],
+        (ends - begins)[order],
+        (np.concatenate(since) - begins)[order],
+        np.concatenate(rules)[order],
+    )
 
 
-def exact_spans(text: str, rules: list[tuple[Rule, re.Pattern[str]]]) -> list[tuple[str, int, int]]:
-    return [
-        (rule.kind, *match.span())
-        for rule, pattern in rules
-        for match in pattern.finditer(text)
-        if len(match[rule.part]) >= rule.least
-    ]
+def spans_at(
+    text: bytes, pattern: re.Pattern[bytes], ends: np.ndarray, since: np.ndarray
+) -> Iterator[re.Match[bytes]]:
+    """The matches of ``pattern``, leftmost first and without overlaps, that begin between a place of
+    ``since`` and the place of ``ends`` that belongs to it."""
+    done = k = 0
+    while k < len(ends):
+        end = int(ends[k])
+        if end <= done:
+            k = int(np.searchsorted(ends, done, "right"))
+            continue
+        starts = range(max(done, int(since[k])), end)
+        match = next((m for at in starts if (m := pattern.match(text, at))), None)
+        if match:
+            yield match
+        done = match.end() if match else end
+
+
+def exact_spans(
+    text: bytes, hits: Hits, rules: list[tuple[Rule, re.Pattern[bytes]]]
+) -> list[tuple[str, int, int]]:
+    """``(kind, start, end)`` in code points from the places ``hits`` in one text, by start and rule."""
+    found = []
+    for k, (rule, pattern) in enumerate(rules):
+        mine = (hits.rules >> k & 1).astype(bool)
+        if mine.any():
+            for match in spans_at(text, pattern, hits.end[mine], hits.since[mine]):
+                if len(match[rule.part]) >= rule.least:
+                    found.append((match.start(), k, match.end()))
+    found.sort()
+    if found and not text.isascii():
+        first_bytes = (np.frombuffer(text, np.uint8) & 0xC0) != 0x80
+        before = np.concatenate([[0], np.cumsum(first_bytes)])
+        found = [(int(before[a]), k, int(before[b])) for a, k, b in found]
+    return [(rules[k][0].kind, a, b) for a, k, b in found]
+
+
+def spans_of(
+    data: list[bytes], machine: Automaton, rules: list[tuple[Rule, re.Pattern[bytes]]]
+) -> list[list[tuple[str, int, int]]]:
+    """The spans of each of many texts."""
+    hits = hits_in(data, machine)
+    bounds = np.searchsorted(hits.owner, np.arange(len(data) + 1))
+    spans: list[list[tuple[str, int, int]]] = []
+    for text, a, b in zip(data, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        mine = Hits(hits.owner[a:b], hits.end[a:b], hits.since[a:b], hits.rules[a:b])
+        spans.append(exact_spans(text, mine, rules) if b > a else [])
+    return spans
+
+
+def compiled(rules: tuple[Rule, ...]) -> list[tuple[Rule, re.Pattern[bytes]]]:
+    return [(rule, re.compile(rule.exact.encode())) for rule in rules]
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``doc_id`` and ``spans``, an array of ``(kind, start, end)``, for every row of ``docs``
     (``doc_id, text``)."""
     machine = compile_rules([rule.scan for rule in rules])
-    kinds = [rule.kind for rule in rules]
     kind_of = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        exact = [(rule, re.compile(rule.exact, re.ASCII)) for rule in rules]
+        exact = compiled(rules)
         for rows in batches:
-            texts = list(texts_of(rows))
-            found = rules_found([text.encode() for text in texts], machine)
-            spans = []
-            for text, hit in zip(texts, found.tolist(), strict=True):
-                asked = [pair for k, pair in enumerate(exact) if hit >> k & 1]
-                ordered = sorted(
-                    exact_spans(text, asked), key=lambda s: (s[1], kinds.index(s[0]), s[2])
-                )
-                spans.append([{"kind": s[0], "start": s[1], "end": s[2]} for s in ordered])
+            spans = [
+                [{"kind": kind, "start": start, "end": end} for kind, start, end in found]
+                for found in spans_of(rows.column("text").to_pylist(), machine, exact)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array(spans, pa.list_(kind_of))],
                 names=["doc_id", "spans"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
+    return docs.select(F.col("doc_id").cast("long"), text).mapInArrow(
         scan, "doc_id long, spans array<struct<kind: string, start: long, end: long>>"
     )
 

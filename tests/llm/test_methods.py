@@ -1,5 +1,6 @@
 """The methods against plain versions of themselves."""
 
+import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -251,15 +252,80 @@ PARTS = ["AKIA", "ABCDEFGHIJ12345678", "password", "Token", "api_key", "=", ":",
 PARTS += ["deadbeef", "0123456789abcdef0123", "secret", "abc", "é", "ghp_", "eyJ", ".", "-", "x"]
 
 
+def rules_found(data, machine):
+    """For each text a number whose bit k tells whether rule k ends somewhere in it."""
+    found, hits = np.zeros(len(data), np.int64), secrets.hits_in(data, machine)
+    np.bitwise_or.at(found, hits.owner, hits.rules)
+    return found
+
+
+def plain_spans(text):
+    """The spans by a search with every rule over the whole text."""
+    found = [
+        (m.start(), k, m.end())
+        for k, rule in enumerate(secrets.RULES)
+        for m in re.finditer(rule.exact, text, re.ASCII)
+        if len(m[rule.part]) >= rule.least
+    ]
+    return [(secrets.RULES[k].kind, a, b) for a, k, b in sorted(found)]
+
+
+def spans_by_pass(texts):
+    rules = secrets.compiled(secrets.RULES)
+    return secrets.spans_of([text.encode() for text in texts], machine(), rules)
+
+
 @given(text=st.lists(st.sampled_from(PARTS), max_size=25).map("".join))
 @settings(max_examples=400, deadline=None)
 def test_automaton_sees_what_expressions_see(text):
-    found = int(secrets.rules_found([text.encode()], machine())[0])
+    found = int(rules_found([text.encode()], machine())[0])
     for k, rule in enumerate(secrets.RULES):
-        flags = re.ASCII
-        assert bool(found >> k & 1) == bool(re.search(rule.scan, text, flags)), (rule, text)
-        if secrets.exact_spans(text, [(rule, re.compile(rule.exact, flags))]):
-            assert found >> k & 1
+        assert bool(found >> k & 1) == bool(re.search(rule.scan, text, re.ASCII)), (rule, text)
+    assert all(found >> [r.kind for r in secrets.RULES].index(kind) & 1 for kind, _, _ in plain_spans(text))
+
+
+LONGER = PARTS + ["-----BEGIN ", "RSA ", "PRIVATE KEY", "-----", "xoxb-", "AIza", "ghp_" + "a1" * 10, "passwd="]
+LONGER += ["eyJabcde.", "0123456789", "z" * 12, "B-_" * 10, "c0ffee" * 4, "AKIA" + "7" * 16, "ab", " = ", "日本"]
+
+
+@given(
+    texts=st.lists(st.lists(st.sampled_from(LONGER), max_size=40).map("".join), min_size=1, max_size=4),
+    lane=st.sampled_from([4, 16, 2_048]),
+)
+@settings(max_examples=600, deadline=None)
+def test_spans_of_the_pass_are_those_of_plain_searches(texts, lane):
+    kept, secrets.LANE = secrets.LANE, lane
+    try:
+        assert spans_by_pass(texts) == [plain_spans(text) for text in texts]
+    finally:
+        secrets.LANE = kept
+
+
+def test_digest_of_spans_is_that_of_plain_searches(spark):
+    rng = np.random.default_rng(8)
+    texts = ["".join(rng.choice(LONGER, 50)) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    for row in secrets.digest(secrets.find_secrets(docs)).collect():
+        want = plain_spans(texts[row["doc_id"]])
+        base = ",".join(f"{kind}:{a}:{b}" for kind, a, b in want if kind in secrets.BASE)
+        assert row["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
+        assert row["spans"] == ",".join(f"{kind}:{a}:{b}" for kind, a, b in want)
+        assert row["n_hex"] == sum(kind == "hex" for kind, _, _ in want)
+
+
+def test_texts_without_line_ends_are_cut():
+    rng = np.random.default_rng(3)
+    words = ["secret", "of", "the", "token", "a", "face", "house", "days", "key", "AKIA"]
+    line = " ".join(rng.choice(words, 200_000)).encode()
+    signs = machine().byte_class[np.frombuffer(line, np.uint8)]
+    cuts = np.flatnonzero(machine().forgets.ravel()[signs[:-1] * machine().classes + signs[1:]]) + 2
+    _, lengths, _ = secrets.lanes_of([line], cuts)
+    assert len(line) > 800_000 and lengths.max() < 2 * secrets.LANE and lengths.sum() == len(line)
+
+
+def test_long_runs_of_one_secret_are_one_span():
+    text = "x " + "0123456789abcdef" * 20_000 + " " + "token=" * 30_000
+    assert spans_by_pass([text, ""]) == [plain_spans(text), []]
 
 
 MACHINE = []
@@ -279,16 +345,17 @@ def test_patterns(pattern):
     rng = np.random.default_rng(2)
     for _ in range(400):
         text = "".join(rng.choice(list("abcdefgxyABA.")) for _ in range(int(rng.integers(0, 9))))
-        assert bool(secrets.rules_found([text.encode()], automaton)[0]) == bool(re.search(pattern, text))
+        assert bool(rules_found([text.encode()], automaton)[0]) == bool(re.search(pattern, text))
 
 
 def test_lanes_change_nothing(monkeypatch):
     rng = np.random.default_rng(4)
     texts = ["".join(rng.choice(PARTS, 60)).encode() for _ in range(30)]
-    whole = secrets.rules_found(texts, machine())
+    whole = rules_found(texts, machine())
     monkeypatch.setattr(secrets, "LANE", 8)
-    assert (secrets.rules_found(texts, machine()) == whole).all()
-    assert machine().resets_on(0x0A) and not machine().resets_on(ord(" "))
+    assert (rules_found(texts, machine()) == whole).all()
+    line_end, space = machine().byte_class[[0x0A, 0x20]]
+    assert machine().forgets[:, line_end].all() and not machine().forgets[:, space].all()
 
 
 def test_dropped_matches_hide_what_they_hold(spark):
