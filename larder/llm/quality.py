@@ -1,15 +1,20 @@
 """Quality rules with thresholds that follow the corpus, in DataFrame operations only.
 
-Two fixed rules fail a document outright (``base_failed``). Three measures are then held against
-fences around the quartiles of its language and source: below the first or above the third quartile
-by more than ``FENCE`` times their distance is rejected. Distances count as ``LEAST_SPREAD`` at least,
-so sources of uniform documents do not reject their own.
+Two fixed rules fail a document outright (``base_failed``). Four measures are then held against
+fences around two quantiles of its language and source: more than ``FENCE`` times the distance between
+them below the lower or above the upper is rejected. So a fence lies where the documents of the source
+lie, and is as wide as they are spread.
 
-Quartiles come from mergeable sketches: counts by value, kept to ``SKETCH_BITS`` leading bits, so a
+Every document has a length of words, and prose has no symbols: there the quantiles are the eighths of
+all documents, which noise of up to an eighth does not move. Most documents repeat nothing, which does
+not tell how much repetition is usual: there the quantiles are the quarters of the documents that do.
+Distances count as ``LEAST_SPREAD`` at least, for sources whose documents are all alike.
+
+Quantiles come from mergeable sketches: counts by value, kept to ``SKETCH_BITS`` leading bits, so a
 sketch has a bounded size, is off by at most one part in 32, and merges by adding. Counts combine
 before any shuffle. Sketches of a language's sources merge into the language's, those into the
-corpus's; a source of fewer than ``ENOUGH`` documents is held against its language, a language of
-fewer against the corpus. Sketches count all documents that pass the fixed rules.
+corpus's; where fewer than ``ENOUGH`` documents of a source tell a quantile, its language's is taken,
+and the corpus's where that has fewer. Sketches count all documents that pass the fixed rules.
 
 Defined cases: null and empty texts have no words and fail; null languages and sources are groups of
 their own; repeated rows get equal rows; empty tables give empty results; further columns are not
@@ -33,9 +38,13 @@ MAX_REPEAT_PERCENT = 20
 SKETCH_BITS = 6
 ENOUGH = 100
 FENCE = 3
-# Symbols in a thousand characters of words; hundredths of a character a word; words in repeated
-# windows in a thousand.
-LEAST_SPREAD = {"symbols": 40, "word_length": 100, "repeats": 50}
+# Of a thousand: symbols among characters of words, words in repeated windows, repeated lines among
+# lines; and hundredths of a character a word.
+LEAST_SPREAD = {"symbols": 40, "word_length": 25, "repeats": 20, "lines": 30}
+# Measures of which only documents that have any tell what is usual.
+SHOWN_ONLY = ("repeats", "lines")
+# The lower quantile is one part in this many, the upper as many from the top.
+PARTS_OF_ALL, PARTS_OF_SHOWN = 8, 4
 
 
 def _repeat_words() -> Column:
@@ -61,7 +70,8 @@ def _covered() -> Column:
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """``doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``."""
+    """``doc_id, lang, source, n_words, word_chars, n_symbols, n_lines, n_dup_lines,
+    n_repeat_words``."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         "doc_id",
@@ -93,6 +103,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
         F.col("n_words").cast("long").alias("n_words"),
         "word_chars",
         "n_symbols",
+        F.size("lines").cast("long").alias("n_lines"),
         "n_dup_lines",
         F.when(F.col("places").isNotNull(), _covered()).otherwise(0).cast("long").alias("n_repeat_words"),
     )
@@ -104,6 +115,7 @@ def measures() -> dict[str, Column]:
         "symbols": F.expr("1000 * n_symbols div greatest(word_chars, 1)"),
         "word_length": F.expr("100 * word_chars div greatest(n_words, 1)"),
         "repeats": F.expr("1000 * n_repeat_words div greatest(n_words, 1)"),
+        "lines": F.expr("1000 * n_dup_lines div greatest(n_lines, 1)"),
     }
 
 
@@ -130,24 +142,30 @@ def merged(sketch: DataFrame, *by: str) -> DataFrame:
     return sketch.groupBy(*by, "measure", "value").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketch: DataFrame, *by: str) -> DataFrame:
-    """``by, measure, docs, q1, q3`` of each sketch; a sketch has a bounded number of values."""
+def quantiles(sketch: DataFrame, *by: str) -> DataFrame:
+    """``by, measure, docs, low, high`` of each sketch, ``docs`` being those that tell the quantiles; a
+    sketch has a bounded number of values."""
     group = Window.partitionBy(*by, "measure")
-    running = sketch.withColumn("upto", F.sum("n").over(group.orderBy("value"))).withColumn(
+    shown_only = F.col("measure").isin(*SHOWN_ONLY)
+    telling = sketch.withColumn("n", F.when(shown_only & (F.col("value") == 0), 0).otherwise(F.col("n")))
+    running = telling.withColumn("upto", F.sum("n").over(group.orderBy("value"))).withColumn(
         "docs", F.sum("n").over(group)
     )
-    return running.groupBy(*by, "measure").agg(
+    parts = F.when(shown_only, PARTS_OF_SHOWN).otherwise(PARTS_OF_ALL)
+    told = running.withColumn("parts", parts).filter("n > 0 or docs = 0")
+    return told.groupBy(*by, "measure").agg(
         F.max("docs").alias("docs"),
-        F.min(F.when(4 * F.col("upto") >= F.col("docs"), F.col("value"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("docs"), F.col("value"))).alias("q3"),
+        F.min(F.expr("if(parts * upto >= docs, value, null)")).alias("low"),
+        F.min(F.expr("if(parts * upto >= (parts - 1) * docs, value, null)")).alias("high"),
     )
 
 
-def thresholds(sketch: DataFrame) -> DataFrame:
-    """``lang, source, <measure>_low, <measure>_high`` for every language and source."""
-    cells = quartiles(sketch, "lang", "source").alias("c")
-    langs = quartiles(merged(sketch, "lang"), "lang").alias("l")
-    corpus = quartiles(merged(sketch)).alias("g")
+def spreads(sketch: DataFrame) -> DataFrame:
+    """``lang, source, measure, low, high, spread`` for every language and source: its quantiles, or
+    those it is held against for want of documents, and how far apart they count as."""
+    cells = quantiles(sketch, "lang", "source").alias("c")
+    langs = quantiles(merged(sketch, "lang"), "lang").alias("l")
+    corpus = quantiles(merged(sketch)).alias("g")
     same = F.col("c.measure") == F.col("l.measure")
     joined = cells.join(langs, F.col("c.lang").eqNullSafe(F.col("l.lang")) & same).join(
         corpus, F.col("c.measure") == F.col("g.measure")
@@ -160,12 +178,21 @@ def thresholds(sketch: DataFrame) -> DataFrame:
             .otherwise(F.col(f"g.{q}"))
         )
 
-    chosen = joined.select(
-        "c.lang", "c.source", "c.measure", backed("q1").alias("q1"), backed("q3").alias("q3")
-    )
     least = F.create_map(*[F.lit(x) for pair in LEAST_SPREAD.items() for x in pair])
-    reach = FENCE * F.greatest(F.col("q3") - F.col("q1"), least[F.col("measure")])
-    fenced = chosen.withColumn("low", F.col("q1") - reach).withColumn("high", F.col("q3") + reach)
+    return joined.select(
+        "c.lang", "c.source", "c.measure", backed("low").alias("low"), backed("high").alias("high")
+    ).withColumn("spread", F.greatest(F.col("high") - F.col("low"), least[F.col("measure")]))
+
+
+def thresholds(sketch: DataFrame) -> DataFrame:
+    """``lang, source, <measure>_low, <measure>_high`` for every language and source."""
+    reach = FENCE * F.col("spread")
+    fenced = spreads(sketch).select(
+        "lang", "source", "measure",
+        (F.col("low") - reach).alias("low"), (F.col("high") + reach).alias("high"),
+    )
+    # Too much repetition is a fault, too little is none.
+    fenced = fenced.withColumn("low", F.when(F.col("measure").isin(*SHOWN_ONLY), 0).otherwise(F.col("low")))
     return fenced.groupBy("lang", "source").agg(
         *[
             F.max(F.when(F.col("measure") == name, F.col(end))).alias(f"{name}_{end}")
@@ -227,6 +254,7 @@ counts AS (
            len(w)::BIGINT AS n_words,
            length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
            (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+           len(l)::BIGINT AS n_lines,
            (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
            coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
     FROM d LEFT JOIN covered USING (rowid_)
@@ -239,8 +267,9 @@ measured AS (
     FROM (
         SELECT *, unnest([
             {'measure': 'symbols', 'value': 1000 * n_symbols // greatest(word_chars, 1), 'least': 40},
-            {'measure': 'word_length', 'value': 100 * word_chars // greatest(n_words, 1), 'least': 100},
-            {'measure': 'repeats', 'value': 1000 * n_repeat_words // greatest(n_words, 1), 'least': 50}
+            {'measure': 'word_length', 'value': 100 * word_chars // greatest(n_words, 1), 'least': 25},
+            {'measure': 'repeats', 'value': 1000 * n_repeat_words // greatest(n_words, 1), 'least': 20},
+            {'measure': 'lines', 'value': 1000 * n_dup_lines // greatest(n_lines, 1), 'least': 30}
         ]) AS m FROM based
     )
 ),
@@ -249,35 +278,50 @@ rounded AS (
            (value >> greatest(length(bin(value)) - 6, 0)) << greatest(length(bin(value)) - 6, 0) AS v
     FROM measured WHERE NOT base_failed
 ),
+told AS (
+    -- Most documents repeat nothing: only those that do tell how much is usual.
+    SELECT *, measure IN ('repeats', 'lines') AS shown FROM rounded
+),
+cells AS (SELECT DISTINCT lang, source, measure, least, shown FROM told),
 cell AS (
-    SELECT lang, source, measure, least, count(*) AS docs,
-           quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3
-    FROM rounded GROUP BY ALL
+    SELECT lang, source, measure, count(*) AS docs,
+           CASE WHEN shown THEN quantile_disc(v, 0.25) ELSE quantile_disc(v, 0.125) END AS low,
+           CASE WHEN shown THEN quantile_disc(v, 0.75) ELSE quantile_disc(v, 0.875) END AS high
+    FROM told WHERE NOT shown OR v > 0 GROUP BY lang, source, measure, shown
 ),
 lang AS (
     SELECT lang, measure, count(*) AS docs,
-           quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3
-    FROM rounded GROUP BY ALL
+           CASE WHEN shown THEN quantile_disc(v, 0.25) ELSE quantile_disc(v, 0.125) END AS low,
+           CASE WHEN shown THEN quantile_disc(v, 0.75) ELSE quantile_disc(v, 0.875) END AS high
+    FROM told WHERE NOT shown OR v > 0 GROUP BY lang, measure, shown
 ),
 corpus AS (
-    SELECT measure, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3
-    FROM rounded GROUP BY ALL
+    SELECT measure,
+           CASE WHEN shown THEN quantile_disc(v, 0.25) ELSE quantile_disc(v, 0.125) END AS low,
+           CASE WHEN shown THEN quantile_disc(v, 0.75) ELSE quantile_disc(v, 0.875) END AS high
+    FROM told WHERE NOT shown OR v > 0 GROUP BY measure, shown
 ),
 chosen AS (
-    SELECT c.lang, c.source, c.measure, c.least,
-           CASE WHEN c.docs >= 100 THEN c.q1 WHEN l.docs >= 100 THEN l.q1 ELSE g.q1 END AS q1,
-           CASE WHEN c.docs >= 100 THEN c.q3 WHEN l.docs >= 100 THEN l.q3 ELSE g.q3 END AS q3
-    FROM cell c
-    JOIN lang l ON c.lang IS NOT DISTINCT FROM l.lang AND c.measure = l.measure
-    JOIN corpus g ON c.measure = g.measure
+    SELECT k.lang, k.source, k.measure, k.least, k.shown,
+           CASE WHEN c.docs >= 100 THEN c.low WHEN l.docs >= 100 THEN l.low ELSE coalesce(g.low, 0) END AS low,
+           CASE WHEN c.docs >= 100 THEN c.high WHEN l.docs >= 100 THEN l.high ELSE coalesce(g.high, 0) END AS high
+    FROM cells k
+    LEFT JOIN cell c ON k.lang IS NOT DISTINCT FROM c.lang
+                    AND k.source IS NOT DISTINCT FROM c.source AND k.measure = c.measure
+    LEFT JOIN lang l ON k.lang IS NOT DISTINCT FROM l.lang AND k.measure = l.measure
+    LEFT JOIN corpus g ON k.measure = g.measure
+),
+fences AS (
+    SELECT lang, source, measure,
+           CASE WHEN shown THEN 0 ELSE low - 3 * greatest(high - low, least) END AS lowest,
+           high + 3 * greatest(high - low, least) AS highest
+    FROM chosen
 ),
 verdict AS (
-    SELECT m.rowid_, bool_and(coalesce(
-               m.value BETWEEN q1 - 3 * greatest(q3 - q1, c.least)
-                           AND q3 + 3 * greatest(q3 - q1, c.least), false)) AS fine
-    FROM measured m LEFT JOIN chosen c
-      ON m.lang IS NOT DISTINCT FROM c.lang AND m.source IS NOT DISTINCT FROM c.source
-     AND m.measure = c.measure
+    SELECT m.rowid_, bool_and(coalesce(m.value BETWEEN lowest AND highest, false)) AS fine
+    FROM measured m LEFT JOIN fences f
+      ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source
+     AND m.measure = f.measure
     GROUP BY m.rowid_
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

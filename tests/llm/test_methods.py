@@ -400,13 +400,47 @@ def test_sketches_merge_to_the_sketch_of_all(spark):
     rows = [("en", str(s), "m", int(v), 1) for s in range(5) for v in rng.integers(0, 10_000, 400)]
     sketch = spark.createDataFrame(rows, "lang string, source string, measure string, value long, n long")
     sketch = sketch.withColumn("value", quality._rounded(F.col("value")))
-    found = quality.quartiles(quality.merged(sketch, "lang"), "lang").collect()[0]
+    found = quality.quantiles(quality.merged(sketch, "lang"), "lang").collect()[0]
     values = np.sort([r[3] for r in rows])
-    for q, share in (("q1", 0.25), ("q3", 0.75)):
+    for q, share in (("low", 1 / 8), ("high", 7 / 8)):
         exact = values[int(np.ceil(share * len(values))) - 1]
         assert exact * (1 - 1 / 32) <= found[q] <= exact
 
 
+def worded(rng, length, n=40):
+    """A text of ``n`` words of about ``length`` letters, no two of them alike."""
+    sizes = rng.poisson(length - 3, n) + 3
+    return " ".join("".join(rng.choice(list("abcdefghij"), k)) for k in sizes)
+
+
+def test_fences_are_as_wide_as_documents_are_spread(spark):
+    rng = np.random.default_rng(12)
+    rows = [(worded(rng, 5), "even") for _ in range(300)]
+    rows += [(worded(rng, rng.uniform(4, 9)), "wide") for _ in range(300)]
+    rows += [("\n".join(["a chorus", *(worded(rng, 5, 6) for _ in range(8))] + ["a chorus"] * int(k)), "songs")
+             for k in rng.integers(1, 6, 300)]
+    long_words, chorus = worded(rng, 9.5, 400), "\noh yes\n".join(worded(rng, 5, 9) for _ in range(5))
+    rows += [(long_words, "even"), (long_words, "wide"), (chorus, "songs"), ("", "even")]
+    docs = spark.createDataFrame(
+        [(i, text, "en", source) for i, (text, source) in enumerate(rows)],
+        "doc_id long, text string, lang string, source string",
+    )
+    counts = quality.base_counts(docs).filter("n_words >= 10")
+    spread = {(r["source"], r["measure"]): r["spread"] for r in quality.spreads(quality.sketches(counts)).collect()}
+    assert spread["wide", "word_length"] > 2 * spread["even", "word_length"] > 2 * quality.LEAST_SPREAD["word_length"]
+    assert spread["songs", "lines"] > quality.LEAST_SPREAD["lines"]
+    kept = [r["kept"] for r in quality.judge(docs).orderBy("doc_id").collect()]
+    assert kept[-4:] == [False, True, True, False]
+    assert sum(kept[:900]) >= 895
+
+
+def test_fences_leave_good_documents_alone(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    found = quality.judge(docs).join(labels, "doc_id").filter("not base_failed").toPandas()
+    assert found.kept[found.quality == 1].mean() >= 0.99
+    assert found.kept[found.quality == 0].mean() <= 0.75
+
+
 # Language, mixing, topics
 
 
