@@ -45,6 +45,18 @@ def test_a_row_for_every_row(odd, empty, name):
     assert none.columns == found.columns
 
 
+@pytest.mark.parametrize("name", [*PER_ROW, "packing"])
+def test_very_long_lines_and_words(spark, name):
+    line = "over the hill and far away there is a house of stone, " * 20_000
+    word = "abcdefghijklmnop" * 20_000
+    rows = [(1, line), (2, word), (3, word + " " + line), (4, "a short text of some words")]
+    docs = spark.createDataFrame(
+        [(i, text, "en", "s") for i, text in rows], "doc_id long, text string, lang string, source string"
+    )
+    operator = PER_ROW.get(name, lambda docs: pack(docs, tokenizer_file()))
+    assert {r["doc_id"] for r in operator(docs).select("doc_id").collect()} == {1, 2, 3, 4}
+
+
 def test_packing(odd, empty):
     rows = pack(odd, tokenizer_file()).toPandas()
     assert set(rows["doc_id"].dropna().astype(int)) == {r[0] for r in ODD if r[0] is not None}

@@ -1,6 +1,7 @@
 """The methods against plain versions of themselves."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -569,6 +570,62 @@ def test_toxicity_learns_from_one_text_of_an_id(spark):
     assert len(found) == 7
 
 
+def plain_risk_fit(present, positive, prior, rounds):
+    """The same fit document by document, its slopes by differences; and which steps were taken back."""
+    size = present.shape[1] + 1
+
+    def losses(parameters):
+        scores = [sum(parameters[:-1] * row) + parameters[-1] for row in present]
+        as_toxic, as_clean = ([math.log1p(math.exp(sign * s)) for s in scores] for sign in (-1, 1))
+
+        def mean(values, wanted):
+            return sum(v for v, p in zip(values, positive) if p == wanted) / sum(p == wanted for p in positive)
+
+        return prior * mean(as_toxic, True), mean(as_clean, False) - prior * mean(as_clean, True)
+
+    def slope(risk, parameters):
+        steps = np.eye(size) * 1e-5
+        return np.array([(risk(parameters + s) - risk(parameters - s)) / 2e-5 for s in steps])
+
+    parameters = np.append(np.zeros(size - 1), math.log(prior / (1 - prior)))
+    first, second, taken_back = np.zeros(size), np.zeros(size), []
+    for step in range(1, rounds + 1):
+        taken_back.append(losses(parameters)[1] < 0)
+        risk = (lambda x: -losses(x)[1]) if taken_back[-1] else (lambda x: sum(losses(x)))
+        gradient = slope(risk, parameters) + toxicity.DECAY * np.append(parameters[:-1], 0)
+        first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
+        change = first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        parameters = parameters - toxicity.RATE * change
+    return parameters, taken_back
+
+
+@pytest.mark.parametrize("prior, negative", [(0.1, False), (0.9, True)])
+def test_risk_fit_follows_the_plain_risk(monkeypatch, prior, negative):
+    rng = np.random.default_rng(21)
+    positive = np.arange(30) < 12
+    present = rng.random((30, 5)) < np.where(positive[:, None], [0.9, 0.7, 0.5, 0.2, 0.1], 0.4)
+    monkeypatch.setattr(toxicity, "ROUNDS", 40)
+    rows, places = np.nonzero(present)
+    weights, bias = toxicity.nonnegative_risk_fit(rows, places, positive, 5, prior)
+    want, taken_back = plain_risk_fit(present, positive.tolist(), prior, 40)
+    assert any(taken_back) == negative and not all(taken_back)
+    # A slope near nothing carries the noise of differences, which the steps' scaling enlarges.
+    assert np.allclose([*weights, bias], want, atol=1e-3)
+
+
+def test_toxicity_scores_are_sums_of_weights():
+    rng = np.random.default_rng(22)
+    words = ["abc", "abcd", "abcde", "abcdefg", "Abcdef", "xyz", "über", "x1y"]
+    features = sorted({f for w in words for f in toxicity.features_of_word(w.lower())})
+    model = toxicity.Model({f: i for i, f in enumerate(features)}, rng.normal(size=len(features)), -0.3)
+    for _ in range(100):
+        text = " ".join(rng.choice(words, int(rng.integers(0, 6))))
+        runs = {w.lower() for w in re.findall(r"[^\W\d_]+", text)}
+        seen = {f for w in runs for f in [w] + [w[:n] + "-" for n in (4, 5, 6) if len(w) > n]}
+        total = -0.3 + sum(model.weights[features.index(f)] for f in seen if f in features)
+        assert model.score(text, model.memo()) == pytest.approx(1 / (1 + math.exp(-total)))
+
+
 def test_toxicity_held_out(spark):
     from larder.llm.queries import op4_toxicity
 
@@ -633,6 +690,58 @@ def test_linked_headlines_and_references_of_articles():
 PROSE = BODY * 3
 
 
+SENTENCE = "the house by the river was old and in it there was a room that had been shut for years"
+BLOCKS = {
+    "prose": f"<p>{SENTENCE}</p>",
+    "names": "<div>Wroclaw Gdansk Szczecin Bydgoszcz Lublin Katowice Bialystok Gdynia Torun Sosnowiec</div>",
+    "short": "<p>Read <b>more</b></p>",
+    "linked": f"<div>on <a href='/x'>{SENTENCE}</a></div>",
+    "menu": f"<nav><ul><li>{SENTENCE}</li></ul></nav>",
+}
+
+
+def plain_main_text(sections):
+    """Two passes over ``(in an article, kinds of blocks)``, each block looking through all others."""
+    texts = {k: " ".join(re.sub("<[^>]*>", "", v).split()) for k, v in BLOCKS.items()}
+    kinds = [kind for _, found in sections for kind in found]
+    article = [number if inside else 0 for number, (inside, found) in enumerate(sections, 1) for _ in found]
+    read = [kind for kind in kinds if kind not in ("menu", "linked")]
+    words = [w for kind in read for w in texts[kind].lower().split()]
+    stop = sum(w in html_text.STOPWORDS for w in words)
+    outside = any(a == 0 and kind != "menu" for a, kind in zip(article, kinds))
+    if outside and stop < html_text.STOPWORDS_HIGH * max(1, len(words)):
+        article = [a or (-1 if kind in read else 0) for a, kind in zip(article, kinds)]
+    first = []
+    for a, kind in zip(article, kinds):
+        sure = {"prose": True, "menu": False, "linked": None if a else False}
+        first.append(sure.get(kind))
+    labels = []
+    for i, own in enumerate(first):
+        before = [k for k in range(i) if first[k] is not None][-1:]
+        after = [k for k in range(i + 1, len(first)) if first[k] is not None][:1]
+        inside = [k for k in before + after if article[i] and article[k] == article[i] and kinds[k] != "menu"]
+        if own is not None:
+            labels.append(own)
+        elif inside:
+            labels.append(any(first[k] for k in inside))
+        elif article[i] or not before + after:
+            labels.append(True)
+        else:
+            labels.append(first[sorted(before + after, key=lambda k: (abs(k - i), k))[0]])
+    return " ".join(texts[kind] for kind, good in zip(kinds, labels) if good)
+
+
+@given(st.lists(st.tuples(st.booleans(), st.lists(st.sampled_from(sorted(BLOCKS)), max_size=8)), max_size=5))
+@settings(max_examples=500, deadline=None)
+def test_both_passes_are_those_of_a_plain_version(sections):
+    page = "".join(
+        f"<article>{inner}</article>" if inside else inner
+        for inside, found in sections
+        for inner in ["\n".join(BLOCKS[kind] for kind in found)]
+    )
+    assert html_text.main_text(f"<html><body>{page}</body></html>") == plain_main_text(sections)
+
+
 @pytest.mark.parametrize(
     "page",
     [
