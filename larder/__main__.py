@@ -10,6 +10,7 @@ from larder.plans import ranking, search
 from larder.plans.curate import RawPaths, curate, export_csv, open_curated
 from larder.plans.lay_out import lay_out
 from larder.plans.refresh import refresh
+from larder.steps import watch
 
 
 def parser() -> argparse.ArgumentParser:
@@ -32,7 +33,7 @@ def parser() -> argparse.ArgumentParser:
 
     limits = argparse.ArgumentParser(add_help=False)
     limits.add_argument("--limit", type=int, default=search.DISPLAY_LIMIT)
-    limits.add_argument("--explain", action="store_true", help="also show the plan")
+    limits.add_argument("--explain", action="store_true", help="also show the plan of every step")
     find = commands.add_parser("search", parents=[limits], help="recipes with all of the terms")
     find.add_argument("terms", nargs="+")
     best = commands.add_parser("top-rated", parents=[limits], help="best average ratings")
@@ -64,6 +65,11 @@ def query(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return search.multi_ingredient(*searched, args.terms, args.limit)
 
 
+def show_plan(name: str, df: DataFrame) -> None:
+    print(f"== Step: {name} ==")
+    df.explain("formatted")
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName("larder").getOrCreate()
@@ -75,9 +81,12 @@ def main(argv: list[str] | None = None) -> None:
         done.tables.row_counts().show(truncate=False)
         done.tables.audit().filter("violations > 0").show(truncate=False)
         return
-    found = query(spark, args)
     if args.explain:
-        found.explain("formatted")
+        with watch(show_plan):
+            found = query(spark, args)
+        show_plan("result", found)
+    else:
+        found = query(spark, args)
     found.show(args.limit, truncate=False)
 
 

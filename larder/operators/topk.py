@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from larder.steps import step
 from larder.workspace import stage
 
 # Candidates looked at beyond k before giving up on the short way.
@@ -35,7 +36,7 @@ def join_existing(candidates: DataFrame, lookup: DataFrame, key: str) -> DataFra
     The candidates are written first, once. So Spark knows their size when it plans the join, and
     does not shuffle a big ``lookup`` for a few of them.
     """
-    return stage(candidates, "candidates").join(lookup, key)
+    return stage(step(candidates, "candidates"), "candidates").join(lookup, key)
 
 
 def top_k_existing(
@@ -55,7 +56,7 @@ def top_k_existing(
     if k > MAX_LEADERS:
         return everything
     reach = k + SLACK
-    leaders = candidates.orderBy(*order).limit(reach + 1).toArrow()
+    leaders = step(candidates.orderBy(*order).limit(reach + 1), "leading candidates").toArrow()
 
     def wanted(rows: pa.Table) -> DataFrame:
         return lookup.filter(any_of(key, pc.unique(rows[key].drop_null()).to_pylist()))
@@ -67,7 +68,7 @@ def top_k_existing(
     # side, so they are put together here.
     for some in (min(2 * k, reach), reach):
         first = leaders.slice(0, some)
-        rows = _joined(first, wanted(first).toArrow(), key).slice(0, k)
+        rows = _joined(first, step(wanted(first), "rows of leading candidates").toArrow(), key).slice(0, k)
         if rows.num_rows == k:
             return lookup.sparkSession.createDataFrame(rows, schema=everything.schema)
     return everything

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from larder.functions.text import normalized_terms
 from larder.operators.postings import recipes_with_all
 from larder.operators.topk import join_existing, top_k_existing
+from larder.steps import step
 
 DISPLAY_LIMIT = 20
 
@@ -20,14 +21,14 @@ MAX_LITERAL_IDS = 1_000
 def resolve_ids(ingredients: DataFrame, names: list[Column]) -> list[list[int]] | None:
     """Ids of each (normalised) name, or None if there are too many to be literals."""
     is_name = [(F.col("ingredient_name_norm") == name).alias(f"n{i}") for i, name in enumerate(names)]
-    rows = (
+    named = (
         ingredients.filter(F.col("ingredient_name_norm").isin(*names))
         .filter(F.col("ingredient_id").isNotNull())
         .select("ingredient_id", *is_name)
         .orderBy("ingredient_id")  # one pass; a bare limit would try a few partitions at a time
         .limit(MAX_LITERAL_IDS + 1)
-        .collect()
     )
+    rows = step(named, "ids of names").collect()
     if len(rows) > MAX_LITERAL_IDS:
         return None
     return [[row[0] for row in rows if row[i + 1]] for i in range(len(names))]

@@ -2,6 +2,7 @@
 
 import csv
 import datetime
+import re
 
 import pytest
 
@@ -323,6 +324,15 @@ def test_command_line(spark, out, done, tmp_path, capsys):
         main(["--out", str(tmp_path), *command, "--limit", "3", "--explain"])
         printed = capsys.readouterr().out
         assert "Physical Plan" in printed and "title" in printed
+        # Every step is shown: what is looked up while a search is built reads three tables.
+        steps = re.findall(r"== Step: (.*) ==", printed)
+        assert steps[-1] == "result"
+        if command[0] == "search":
+            assert steps[:2] == ["ids of names", "leading candidates"]
+            for column in ("ingredient_name_norm", "ingredient_id", "recipe_id"):
+                assert re.search(rf"PushedFilters: \[[^\n]*\b{column}\b", printed), column
+    main(["--out", str(tmp_path), "search", "salt"])
+    assert "== Step" not in capsys.readouterr().out
     # A session that knows nothing of the run: only the files are there.
     fast = lay_out_of(spark, tmp_path).top_rated(min_ratings=1).collect()
     spark.sql("DROP TABLE larder_interactions")
