@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larder.functions.text import normalized_terms
-from larder.operators.postings import recipes_with_all
+from larder.operators.postings import recipes_with_all, recipes_with_all_named
 from larder.operators.topk import join_existing, top_k_existing
 from larder.steps import step
 
@@ -145,6 +145,7 @@ def multi_ingredient_bitmap(
     asked = normalized_terms(list(dict.fromkeys(terms)))
     ids = resolve_ids(ingredients, asked)
     if ids is None:
-        raise ValueError(f"more than {MAX_LITERAL_IDS} ingredients have these names")
-    every = recipes_with_all(postings, ids)
+        every = recipes_with_all_named(postings, ingredients, asked)
+    else:
+        every = recipes_with_all(postings, ids)
     return _titled(recipes, every, limit).select("recipe_id", "title", _echo(names))

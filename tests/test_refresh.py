@@ -13,7 +13,7 @@ from larder.operators.conform import FOODCOM_RECIPE, conform
 from larder.operators.postings import postings, recipes_with_all
 from larder.operators.stable import extend_ids
 from larder.operators.summaries import RatingSums
-from larder.plans import ranking
+from larder.plans import ranking, search
 from larder.plans.curate import RawPaths, curate
 from larder.plans.refresh import NumberedRatings, refresh
 from larder.schema import INGREDIENTS, RECIPES, all_strings
@@ -300,6 +300,34 @@ def test_bitmaps_are_shuffled_by_block(spark):
     assert moved and not any("hashpartitioning(recipe_id" in line for line in moved)
 
 
+def test_many_ingredients_of_a_name(spark):
+    """More ids to a name than a search makes literals of: rows are joined, none are refused."""
+    many = search.MAX_LITERAL_IDS + 100
+    ids = spark.range(2 * many)
+    ingredients = ids.select(
+        F.col("id").cast("int").alias("ingredient_id"),
+        F.expr("if(id % 2 = 0, 'salt', 'rice')").alias("ingredient_name_norm"),
+    ).union(spark.createDataFrame([(None, "salt"), (0, "salt"), (7, None)], "a int, b string"))
+    recipes = spark.range(-50, 3 * many).select(
+        F.col("id").alias("recipe_id"), F.concat(F.lit("r"), F.col("id").cast("string")).alias("title")
+    )
+    # Every recipe has one ingredient; those divisible by 3 have its neighbour, of the other name, too.
+    pairs = recipes.select("recipe_id", F.expr(f"cast(pmod(recipe_id, {2 * many}) AS int)").alias("i"))
+    pairs = pairs.union(pairs.filter("recipe_id % 3 = 0").selectExpr("recipe_id", "i ^ 1"))
+    table = postings(pairs.toDF("recipe_id", "ingredient_id"))
+    found = search.multi_ingredient_bitmap(recipes, ingredients, table, ["salt", "Rice"], limit=None)
+    want = [(r, f"r{r}", "salt, rice") for r in range(-48, 3 * many, 3)]
+    assert sorted(map(tuple, found.collect())) == want
+
+
+def test_bitmaps_are_as_large_as_what_they_hold(spark):
+    """One recipe in a block takes one word of it, and not a bit for every id."""
+    sparse = spark.range(50).select(F.shiftleft("id", 15).alias("recipe_id"), F.lit(1).alias("ingredient_id"))
+    dense = spark.range(1 << 15).select(F.col("id").alias("recipe_id"), F.lit(2).alias("ingredient_id"))
+    sizes = postings(sparse.union(dense).union(dense)).select("ingredient_id", F.size("recipes")).collect()
+    assert sorted(map(tuple, sizes)) == [(1, 1)] * 50 + [(2, 512)]
+
+
 # Rejects
 
 REFUSED = [
