@@ -97,12 +97,16 @@ def conform_recipes(foodcom: DataFrame, recipenlg: DataFrame) -> DataFrame:
     )
 
 
-def conform_items(foodcom: DataFrame, recipenlg: DataFrame) -> DataFrame:
-    """(recipe_id, ingredient_name_raw) of both sources, duplicates kept."""
-    lists = conform(foodcom, ITEM_LIST, FOODCOM_LIST).unionByName(
+def conform_lists(foodcom: DataFrame, recipenlg: DataFrame) -> DataFrame:
+    """(recipe_id, items) of both sources: list literals as they are."""
+    return conform(foodcom, ITEM_LIST, FOODCOM_LIST).unionByName(
         conform(recipenlg, ITEM_LIST, RECIPENLG_LIST, RECIPENLG_ID_OFFSET)
     )
-    return explode_list(lists, "items", "ingredient_name_raw")
+
+
+def conform_items(foodcom: DataFrame, recipenlg: DataFrame) -> DataFrame:
+    """(recipe_id, ingredient_name_raw) of both sources, duplicates kept."""
+    return explode_list(conform_lists(foodcom, recipenlg), "items", "ingredient_name_raw")
 
 
 def conform_interactions(raw: DataFrame) -> DataFrame:

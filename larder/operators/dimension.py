@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from larder.functions.text import normalize
+from larder.functions.text import normalize, quoted_items, unquote
 from larder.operators.ids import dense_ids
+from larder.workspace import stage
 
 # Largest name-to-id map that is broadcast, and what a row costs besides its name.
 BROADCAST_BYTES = 256 * 1024 * 1024
@@ -28,6 +29,30 @@ def normalized_items(raw_items: DataFrame) -> DataFrame:
     )
 
 
+def normalized_lists(lists: DataFrame, text: str) -> DataFrame:
+    """``normalized_items`` of the list literals in ``text`` (with ``recipe_id``).
+
+    A list's names are made distinct where the list is, before they become rows. So the rows of a
+    recipe with one list, as nearly all have, are not shuffled; those of the others meet by recipe
+    and name as ever.
+    """
+    ids = lists.groupBy("recipe_id").agg(F.count(F.lit(1)).alias("lists"))
+    several = stage(ids.filter("lists > 1").select(F.col("recipe_id").alias("_several")), "several-lists")
+    if several.isEmpty():
+        return _names_of(lists, text)
+    is_several = F.col("recipe_id").eqNullSafe(F.col("_several"))
+    once = lists.join(several, is_several, "left_anti")
+    again = lists.join(several, is_several, "left_semi")
+    return _names_of(once, text).union(_names_of(again, text).distinct())
+
+
+def _names_of(lists: DataFrame, text: str) -> DataFrame:
+    names = F.transform(F.array_distinct(quoted_items(text)), lambda item: normalize(unquote(item)))
+    return lists.select(
+        "recipe_id", F.explode(F.array_distinct(names)).alias("ingredient_name_norm")
+    ).filter(F.length("ingredient_name_norm") > 0)
+
+
 def ingredient_dimension(items: DataFrame) -> DataFrame:
     """One row per distinct name, with dense ids in name order.
 

@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.operators.audits import audit, row_counts
-from larder.operators.conform import conform_interactions, conform_items, conform_recipes
+from larder.operators.conform import conform_interactions, conform_lists, conform_recipes
 from larder.operators.dimension import (
     ingredient_dimension,
-    normalized_items,
+    normalized_lists,
     recipe_ingredients,
 )
 from larder.operators.ids import row_ids
@@ -78,7 +78,7 @@ def curate(spark: SparkSession, raw: RawPaths, out: str) -> CuratedTables:
         recipes = replace_table(
             conform_recipes(foodcom, recipenlg), f"{curated}/recipes", RECIPES
         )
-        items = stage(normalized_items(conform_items(foodcom, recipenlg)), "items")
+        items = stage(normalized_lists(conform_lists(foodcom, recipenlg), "items"), "items")
         ingredients = replace_table(
             ingredient_dimension(items), f"{curated}/ingredients", INGREDIENTS
         )

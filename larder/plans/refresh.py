@@ -11,8 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from larder.operators.conform import RATING, RAW_INTERACTIONS, conform, conform_items, conform_recipes
-from larder.operators.dimension import normalized_items, recipe_ingredients
+from larder.operators.conform import RATING, RAW_INTERACTIONS, conform, conform_lists, conform_recipes
+from larder.operators.dimension import normalized_lists, recipe_ingredients
 from larder.operators.references import keep_referenced
 from larder.operators.stable import extend_ids, last_id, number_on, open_or_empty
 from larder.operators.summaries import RatingSums
@@ -53,7 +53,7 @@ class Refreshed:
 
 def named_ids(items: DataFrame, path: str) -> DataFrame:
     """The dimension of the names in ``items``, with ids from the table at ``path``, kept up."""
-    names = items.select("ingredient_name_norm").distinct()
+    names = stage(items.select("ingredient_name_norm").distinct(), "names")
     known = extend_ids(names, path, "ingredient_name_norm", INGREDIENTS["ingredient_id"])
     return known.join(names, "ingredient_name_norm", "left_semi").select(
         "ingredient_id",
@@ -131,7 +131,7 @@ def refresh(spark: SparkSession, raw: RawPaths, out: str) -> Refreshed:
         ratings.add_up(sums)
         sources = foodcom.read(), recipenlg.read()
         recipes = replace_table(conform_recipes(*sources), f"{curated}/recipes", RECIPES)
-        items = stage(normalized_items(conform_items(*sources)), "items")
+        items = stage(normalized_lists(conform_lists(*sources), "items"), "items")
         ingredients = replace_table(
             named_ids(items, f"{out}/keys/ingredients"), f"{curated}/ingredients", INGREDIENTS
         )

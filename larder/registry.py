@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder import standins
 from larder.functions.casting import blank_to_null, to_date, to_type
-from larder.functions.text import explode_list, normalize, parse_list
+from larder.functions.text import normalize, parse_list
 from larder.operators import audits, layout, rejects
 from larder.operators.conform import FOODCOM_RECIPE, conform_recipes
 from larder.operators.dedup import dedup_by_key
 from larder.operators.dimension import (
     ingredient_dimension,
-    normalized_items,
+    normalized_lists,
     recipe_ingredients,
 )
 from larder.operators.ids import row_ids
@@ -240,7 +240,7 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = standins.word_lists(spark, sf_dir).select(
         F.col("doc_id").alias("recipe_id"), "ingredients"
     )
-    return normalized_items(explode_list(lists, "ingredients", "ingredient_name_raw"))
+    return normalized_lists(lists, "ingredients")
 
 
 def ingredient_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -453,7 +453,7 @@ def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def items(lists: DataFrame) -> DataFrame:
         named = lists.select(F.col("doc_id").alias("recipe_id"), "ingredients")
-        return stage(normalized_items(explode_list(named, "ingredients", "ingredient_name_raw")), "items")
+        return stage(normalized_lists(named, "ingredients"), "items")
 
     path = scratch_path(spark, "ids")
     refresh.named_ids(items(docs.filter("lang = 'en'")), path)

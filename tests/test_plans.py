@@ -12,6 +12,7 @@ from larder.operators import audits, layout
 from larder.operators.dimension import (
     ingredient_dimension,
     normalized_items,
+    normalized_lists,
     recipe_ingredients,
 )
 from larder.operators.references import keep_referenced, orphans
@@ -156,6 +157,26 @@ def test_list_parsing_stays_in_generated_code(spark):
     assert re.search(r"\*\(\d+\) Generate", generate)
 
 
+LISTS = [(1, "['Salt', 'salt!', '', 'a\\'b']"), (2, "['salt', 'rice']"), (2, "['Rice', \"oil\"]"), (None, "['rice']"),
+         (None, "['RICE', 'tea']"), (3, None), (4, "['--']"), (4, "no list"), (5, "['salt', 'salt']")]
+
+
+@pytest.mark.parametrize("rows", [LISTS, LISTS[:2], LISTS[2:5], []])
+def test_names_of_lists_are_those_of_their_items(spark, rows):
+    lists = spark.createDataFrame(rows, "recipe_id long, items string")
+    want = normalized_items(explode_list(lists, "items", "ingredient_name_raw"))
+    got = normalized_lists(lists, "items")
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_recipes_with_one_list_are_not_shuffled(spark):
+    lists = stage(spark.range(1_000).selectExpr("id AS recipe_id", "concat('[\\'Salt\\', \\'x', id, '\\']') AS items"), "lists")
+    assert "Exchange" not in final_plan_of(normalized_lists(lists, "items"))
+    twice = lists.union(lists.filter("recipe_id = 7"))
+    assert normalized_lists(twice, "items").count() == 2_000
+
+
 def skewed(spark, rows, hot_share=3):
     """A third of the rows carry one key."""
     return spark.range(rows).select(
