@@ -23,15 +23,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from larder.llm.common import Memo, texts_of
+from larder.llm.common import Memo
 from larder.workspace import keep, scratch_scope, stage
 
 CAPACITY = 4096
 END_ID = 1
 # Pieces packed by one task: bounds its memory (about 4 MB of numbers) and its time (about 1 s).
 GROUP_PIECES = 50_000
-# Distinct words whose ids a task remembers (about 80 MB); past it the memory starts anew.
-WORDS_KEPT = 400_000
+# Distinct words whose ids a task remembers (about 200 MB); past it the memory starts anew.
+WORDS_KEPT = 1_000_000
 
 PIECES = pa.schema(
     [
@@ -67,25 +67,32 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.model = self.tokenizer.model
         self.chunks = Memo(self._encode, WORDS_KEPT)
 
     def _encode(self, chunk: bytes) -> bytes:
+        if chunk.isalpha() and chunk.islower():
+            # Bytes that are letters are ASCII: spelt as they stand, and nothing to normalise.
+            return self._pairs(chunk.decode())
         if chunk[-1:] in (b".", b",") and chunk[:-1].isalpha():
             return self.chunks.one(chunk[:-1]) + self.chunks.one(chunk[-1:])
         text = chunk.decode()
         if text.isalpha() and text == text.lower() and is_normalized("NFC", text):
             # A plain word is one run as it stands: only the byte-pair step is left to do.
-            spelt = chunk.decode("latin-1").translate(BYTE_SIGNS)
-            ids = [token.id for token in self.tokenizer.model.tokenize(spelt)]
-            return array("I", ids).tobytes()
+            return self._pairs(chunk.decode("latin-1").translate(BYTE_SIGNS))
         runs = RUNS.findall(text)
         apart = len(runs) > 1 and SPECIAL not in chunk and "".join(runs) == text
         if apart and all(run.isascii() or run.isalpha() for run in runs):
             return b"".join([self.chunks.one(run.encode()) for run in runs])
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _pairs(self, spelt: str) -> bytes:
+        return array("I", [token.id for token in self.model.tokenize(spelt)]).tobytes()
+
     def of(self, text: str) -> bytes:
-        raw = text.encode()
+        return self.of_bytes(text.encode())
+
+    def of_bytes(self, raw: bytes) -> bytes:
         # Special tokens alone are matched by case.
         chunks = (raw if SPECIAL in raw else raw.lower()).split()
         return b"".join(self.chunks.all(chunks))
@@ -106,8 +113,9 @@ def tokenize_pieces(
         words = WordIds(tokenizer_file)
         for rows in batches:
             of, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, text in enumerate(texts_of(rows)):
-                all_ids = words.of(text) + end
+            for i, text in enumerate(rows.column("text")):
+                raw = text.as_buffer().to_pybytes() if text.is_valid else b""
+                all_ids = words.of_bytes(raw) + end
                 for n, at in enumerate(range(0, len(all_ids), width)):
                     part = all_ids[at : at + width]
                     of.append(i)
@@ -126,7 +134,8 @@ def tokenize_pieces(
                 schema=PIECES,
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
+    return texts.mapInArrow(
         cut, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
     )
 

@@ -40,6 +40,13 @@ def test_ids_by_chunk_are_ids_of_the_text(words, text):
     assert np.frombuffer(words.of(text), "<u4").tolist() == whole
 
 
+def test_plain_words_are_not_normalised(monkeypatch):
+    words = packing.WordIds(tokenizer_file())
+    whole = words.tokenizer.encode("Some plain words, zqxj", add_special_tokens=False).ids
+    monkeypatch.setattr(packing, "is_normalized", None)
+    assert np.frombuffer(words.of_bytes(b"Some plain words, zqxj"), "<u4").tolist() == whole
+
+
 WORDS = Memo(packing.WordIds, 1)
 
 
