@@ -101,10 +101,13 @@ def _chunks(docs: DataFrame) -> DataFrame:
 def _numbered(chunks: DataFrame, words: DataFrame) -> DataFrame:
     """``lang, ids``: the chunks in numbers of the whole corpus, 0 where phrases end."""
     local = chunks.select("chunk", "lang", F.posexplode("words").alias("place", "word"))
+    # Looked up, not matched: a chunk's word has one number or none, so the join makes as many rows as
+    # the chunks' dictionaries have, however many words have become frequent. Nulls are not collected.
+    looked_up = local.join(words.select("lang", "word", "id"), ["lang", "word"], "left")
     known = (
-        local.join(words.select("lang", "word", "id"), ["lang", "word"])
-        .groupBy("chunk")
-        .agg(F.collect_list("place").alias("known"), F.collect_list("id").alias("ids"))
+        looked_up.groupBy("chunk")
+        .agg(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("place", "id"))).alias("found"))
+        .select("chunk", F.col("found.place").alias("known"), F.col("found.id").alias("ids"))
     )
 
     def translate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

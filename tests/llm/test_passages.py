@@ -257,6 +257,16 @@ def test_subtrees_sum_their_leaves(rows, least):
     assert got == {g: n for g, n in want.items() if n >= least}
 
 
+def test_numbers_are_looked_up(spark):
+    """Every chunk is translated, also one without a frequent word: rows follow the dictionaries."""
+    docs = spark.createDataFrame([("a b. c", "en"), ("a d", "de")], "text string, lang string")
+    chunks = phrases.stage(phrases._chunks(docs.repartition(1)), "chunks")
+    for numbered, want in (([("en", b"a", 7), ("en", b"c", 9)], {"en": [7, 0, 9, 0], "de": []}), ([], {"en": [], "de": []})):
+        words = spark.createDataFrame(numbered, "lang string, word binary, id int")
+        got = {r["lang"]: np.frombuffer(r["ids"], np.uint32).tolist() for r in phrases._numbered(chunks, words).collect()}
+        assert got == want
+
+
 def test_scores_past_64_bits(spark):
     rows = [("x", [1], 3_000_000_007), ("x", [2], 2_000_000_011), ("x", [1, 2], 1_999_999_973)]
     grams = spark.createDataFrame(rows, "lang string, gram array<int>, n long")
