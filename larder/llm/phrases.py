@@ -10,8 +10,8 @@
    leaves below it, and a branch ends where that falls under ``LEAST``.
 4. Cuts, longer phrases and ranks follow from joins of the frequent phrases.
 
-Chunks combine equal suffixes before they are shuffled, and suffixes travel as arrays, a row for each
-group that a chunk has any for. The prolonged prefixes are all that tasks are sent: at most one per
+Chunks combine equal suffixes before they are shuffled, and suffixes travel as arrays in order, packed, a
+row for each group that a chunk has any for. The prolonged prefixes are all that tasks are sent: at most one per
 ``GROUP`` words of the corpus and length.
 
 Defined cases: null texts count as empty, a null language as ``und``; texts without words have no
@@ -220,8 +220,8 @@ def _grams(lang: str, grams: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
 def _dealt(coded: DataFrame, hot: np.ndarray, groups: int, longest: int) -> DataFrame:
     """``lang, depth, part, leaves``: each chunk's distinct suffixes, by the group of their prefix.
 
-    ``depth`` is the length of the prefix. Leaves are columns of words and one of counts, byte by byte,
-    so that equal bytes lie together and shrink.
+    ``depth`` is the length of the prefix. Leaves are columns of words and one of counts, as ``_packed``
+    has them, in the order of their words.
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,14 +239,15 @@ def _dealt(coded: DataFrame, hot: np.ndarray, groups: int, longest: int) -> Data
                     if not len(hot):
                         break
                     open_ &= np.isin(found, hot)
-                *_, whole = _prefixes(lang, suffixes)
                 part = (prefix % _U(groups)).astype(np.int64) * longest + depth - 1
-                order = np.lexsort((whole, part)) if groups > 1 or len(hot) else np.argsort(whole)
+                # By the first words first: the last key counts most.
+                keys = [*_pairs(suffixes)[::-1], part]
+                order = np.lexsort(keys if groups > 1 or len(hot) else keys[:-1])
                 at, alike = _distinct(order, np.vstack([suffixes, part.astype(np.uint32)]))
                 part, found = part[at], np.vstack([suffixes[:, at], alike.astype(np.uint32)])
                 first = np.flatnonzero(np.diff(part, prepend=-1))
                 leaves = [
-                    _planes(found[:, a:b]) for a, b in zip(first, [*first[1:], len(part)], strict=True)
+                    _packed(found[:, a:b]) for a, b in zip(first, [*first[1:], len(part)], strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -261,13 +262,32 @@ def _dealt(coded: DataFrame, hot: np.ndarray, groups: int, longest: int) -> Data
     return coded.mapInArrow(deal, "lang string, depth int, part long, leaves binary")
 
 
-def _planes(columns: np.ndarray) -> bytes:
-    return np.ascontiguousarray(columns).view(np.uint8).reshape(-1, 4).T.tobytes()
+def _pairs(suffixes: np.ndarray) -> list[np.ndarray]:
+    """Numbers that order suffixes as their words do, two words in each."""
+    odd = suffixes[2::2] if len(suffixes) % 2 else suffixes[1::2]
+    even = suffixes[1::2] if len(suffixes) % 2 else suffixes[0::2]
+    first = [suffixes[0].astype(_U)] if len(suffixes) % 2 else []
+    return first + [a.astype(_U) << _U(32) | b for a, b in zip(even, odd, strict=True)]
 
 
-def _from_planes(leaves: bytes, columns: int) -> np.ndarray:
-    flat = np.ascontiguousarray(np.frombuffer(leaves, np.uint8).reshape(4, -1).T)
-    return flat.view(np.uint32).reshape(columns, -1)
+def _packed(columns: np.ndarray) -> bytes:
+    """Columns of sorted rows. The first two, which hardly change from row to row, as differences; all
+    byte by byte, so that equal bytes lie together."""
+    columns = np.array(columns, np.uint32, order="C")
+    for column in columns[:2]:
+        column[1:] -= column[:-1].copy()
+    planes = columns.view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpacked(leaves: bytes, columns: int) -> np.ndarray:
+    size = int.from_bytes(leaves[:8], "little")
+    planes = pa.decompress(leaves[8:], decompressed_size=size, codec="zstd", asbytes=True)
+    flat = np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy(order="C")
+    found = flat.view(np.uint32).reshape(columns, -1)
+    for column in found[:2]:
+        np.cumsum(column, dtype=np.uint32, out=column)
+    return found
 
 
 def subtree(
@@ -304,11 +324,12 @@ def _counted(dealt: DataFrame, longest: int, least: int) -> DataFrame:
 
     def build(rows: pa.Table) -> pa.Table:
         lang, depth = rows.column("lang")[0].as_py(), rows.column("depth")[0].as_py()
-        parts = [x.as_buffer() for x in rows.column("leaves")]
-        ends = np.cumsum([0, *(len(part) // (4 * (longest + 1)) for part in parts)])
+        parts = [x.as_buffer().to_pybytes() for x in rows.column("leaves")]
+        sizes = [int.from_bytes(part[:8], "little") for part in parts]
+        ends = np.cumsum([0, *(size // (4 * (longest + 1)) for size in sizes)])
         found = np.empty((longest + 1, ends[-1]), np.uint32)
         for part, start, end in zip(parts, ends[:-1], ends[1:], strict=True):
-            found[:, start:end] = _from_planes(part, longest + 1)
+            found[:, start:end] = _unpacked(part, longest + 1)
         leaves, counts = list(found[:longest]), found[longest]
         del found, parts
         out = [

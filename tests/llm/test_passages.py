@@ -257,6 +257,31 @@ def test_subtrees_sum_their_leaves(rows, least):
     assert got == {g: n for g, n in want.items() if n >= least}
 
 
+@pytest.mark.parametrize("longest, groups", [(5, 1), (5, 3), (4, 2)])
+def test_leaves_travel_in_order_and_packed(spark, longest, groups):
+    words = np.random.default_rng(5).zipf(1.3, 60_000) % 3_000
+    coded = spark.createDataFrame([("en", bytearray(words.astype(np.uint32).tobytes()))], "lang string, ids binary")
+    rows = phrases._dealt(coded, np.empty(0, np.uint64), groups, longest).collect()
+    assert len({r["part"] for r in rows}) == groups
+    found, want = {}, {}
+    for r in rows:
+        leaves = phrases._unpacked(bytes(r["leaves"]), longest + 1)
+        assert len(r["leaves"]) < leaves.nbytes / 2
+        alike = [tuple(x) for x in leaves[:longest].T.tolist()]
+        assert alike == sorted(set(alike))
+        found |= dict(zip(alike, leaves[longest].tolist(), strict=True))
+    for suffix in phrases._suffixes(words.astype(np.uint32).tobytes(), longest).T.tolist():
+        want[tuple(suffix)] = want.get(tuple(suffix), 0) + 1
+    assert found == want
+
+
+def test_packing_gives_back_any_leaves():
+    rng = np.random.default_rng(6)
+    for rows in (0, 1, 2, 1_000):
+        columns = rng.integers(0, 2**32, (6, rows), dtype=np.uint32)
+        assert (phrases._unpacked(phrases._packed(columns), 6) == columns).all()
+
+
 def test_numbers_are_looked_up(spark):
     """Every chunk is translated, also one without a frequent word: rows follow the dictionaries."""
     docs = spark.createDataFrame([("a b. c", "en"), ("a d", "de")], "text string, lang string")
