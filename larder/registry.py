@@ -449,15 +449,17 @@ def layout_bloom_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the English documents get ids, then those of all; the first keep theirs."""
-    docs = standins.word_lists(spark, sf_dir)
+    docs = standins.word_lists(spark, sf_dir).withColumnRenamed("doc_id", "recipe_id")
+    is_english = F.coalesce(F.col("lang") == "en", F.lit(False))
 
-    def items(lists: DataFrame) -> DataFrame:
-        named = lists.select(F.col("doc_id").alias("recipe_id"), "ingredients")
-        return stage(normalized_lists(named, "ingredients"), "items")
+    def names(lists: DataFrame) -> DataFrame:
+        return normalized_lists(lists, "ingredients").select("ingredient_name_norm").distinct()
 
     path = scratch_path(spark, "ids")
-    refresh.named_ids(items(docs.filter("lang = 'en'")), path)
-    return refresh.named_ids(items(docs), path)
+    # Those of all are the first load's and those of the rest, so that no list is parsed twice.
+    first = stage(names(docs.filter(is_english)), "first-load")
+    refresh.named_ids(first, path)
+    return refresh.named_ids(first.union(names(docs.filter(~is_english))), path)
 
 
 def incremental_landing(spark: SparkSession, sf_dir: str) -> DataFrame:

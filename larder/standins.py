@@ -72,21 +72,22 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def list_literal(words: Column) -> Column:
-    """``['a', 'b']`` with backslashes and apostrophes escaped, as the raw files write lists."""
-    escaped = F.transform(
-        words,
-        lambda w: F.replace(
-            F.replace(w, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")
-        ),
+def list_literal(text: Column, separator: str) -> Column:
+    """``['a', 'b']`` of the parts of ``text`` with backslashes and apostrophes escaped, as the raw
+    files write lists. ``separator`` is a regular expression that matches neither of the two.
+
+    Written in place: no part becomes a value of its own.
+    """
+    escaped = F.replace(
+        F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")
     )
-    return F.concat(F.lit("['"), F.array_join(escaped, "', '"), F.lit("']"))
+    return F.concat(F.lit("['"), F.regexp_replace(escaped, separator, "', '"), F.lit("']"))
 
 
 def word_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents with all words of the text as a list literal in ``ingredients``."""
     return table(spark, sf_dir, "documents").withColumn(
-        "ingredients", list_literal(F.split("text", r"\s+"))
+        "ingredients", list_literal(F.col("text"), r"\s+")
     )
 
 

@@ -7,7 +7,10 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 import pytest
 from pyspark.sql import functions as F
 
+from larder import registry
 from larder.functions.text import normalize, normalized_terms, parse_list
+from larder.operators.dimension import normalized_lists
+from larder.standins import SCHEMAS, list_literal
 
 
 def scan_items(s):
@@ -106,3 +109,33 @@ def test_no_python_in_plan(spark):
     df = spark.range(1).select(F.explode(parse_list(F.lit("['a']"))).alias("x"))
     plan = df.select(normalize("x"))._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
+
+
+def test_list_literals_are_written_in_place(spark):
+    texts = ["", " ", "a", " a  b\n", "it's 'so'", "a\\ \\'b' \"c\"", "x\u00a0y\tz\u0085", "$1 \\$2", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, text string").repartition(1)
+    found = rows.select("n", list_literal(F.col("text"), r"\s+").alias("found"), F.split("text", r"\s+").alias("parts"))
+    for row in found.collect():
+        if row["parts"] is None:
+            assert row["found"] is None
+            continue
+        escaped = [p.replace("\\", "\\\\").replace("'", "\\'") for p in row["parts"]]
+        assert row["found"] == "['" + "', '".join(escaped) + "']"
+
+
+def test_stable_ids_parses_no_list_twice(spark, tmp_path, monkeypatch):
+    texts = [("en", "b a"), ("en", "B c"), ("de", "d b"), (None, "e a"), ("en", None), ("de", "")]
+    docs = [(i % 5, text, lang, "s", 1) for i, (lang, text) in enumerate(texts)]
+    spark.createDataFrame(docs, SCHEMAS["documents"]).write.parquet(f"{tmp_path}/documents.parquet")
+    parsed = []
+
+    def counted(lists, text):
+        parsed.append(lists.count())
+        return normalized_lists(lists, text)
+
+    monkeypatch.setattr(registry, "normalized_lists", counted)
+    rows = registry.stable_ids(spark, str(tmp_path)).collect()
+    assert sorted((r["ingredient_id"], r["ingredient_name_norm"]) for r in rows) == [
+        (1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")
+    ]
+    assert sum(parsed) == len(docs)
