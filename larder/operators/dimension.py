@@ -66,16 +66,19 @@ def ingredient_dimension(items: DataFrame) -> DataFrame:
     )
 
 
-def _fits_every_executor(ingredients: DataFrame) -> bool:
-    """Whether the name-to-id map is small enough to copy everywhere, measured on the table.
+def measured(ingredients: DataFrame, *names: str) -> DataFrame:
+    """``ingredients`` to be joined with: to be broadcast if its ``names``, as measured on the table, are
+    few enough to copy everywhere.
 
     A session that has turned broadcasts off gets none.
     """
     if ingredients.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
-        return False
-    row = F.octet_length("ingredient_name_norm") + F.lit(ROW_OVERHEAD_BYTES)
-    size = ingredients.agg(F.sum(row.cast("long"))).collect()[0][0] or 0
-    return size <= BROADCAST_BYTES
+        return ingredients
+    row = F.lit(ROW_OVERHEAD_BYTES).cast("long")
+    for name in names:
+        row = row + F.coalesce(F.octet_length(name), F.lit(0))
+    size = ingredients.agg(F.sum(row)).collect()[0][0] or 0
+    return F.broadcast(ingredients) if size <= BROADCAST_BYTES else ingredients
 
 
 def recipe_ingredients(items: DataFrame, ingredients: DataFrame) -> DataFrame:
@@ -86,7 +89,5 @@ def recipe_ingredients(items: DataFrame, ingredients: DataFrame) -> DataFrame:
     the name with nothing downstream that needs its partitioning, which leaves AQE free to split
     the partitions of hot names.
     """
-    ids = ingredients.select("ingredient_name_norm", "ingredient_id")
-    if _fits_every_executor(ingredients):
-        ids = F.broadcast(ids)
+    ids = measured(ingredients.select("ingredient_name_norm", "ingredient_id"), "ingredient_name_norm")
     return items.join(ids, "ingredient_name_norm").select("recipe_id", "ingredient_id")

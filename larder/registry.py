@@ -15,6 +15,7 @@ from larder.operators.conform import FOODCOM_RECIPE, conform_recipes
 from larder.operators.dedup import dedup_by_key
 from larder.operators.dimension import (
     ingredient_dimension,
+    measured,
     normalized_lists,
     recipe_ingredients,
 )
@@ -543,7 +544,8 @@ def curated_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def curated_junction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain, every pair with its ingredient's name."""
     done = _curated(spark, sf_dir)
-    return done.recipe_ingredients.join(done.ingredients, "ingredient_id").select(
+    named = measured(done.ingredients, "ingredient_name_raw", "ingredient_name_norm")
+    return done.recipe_ingredients.join(named, "ingredient_id").select(
         "recipe_id", "ingredient_id", "ingredient_name_raw", "ingredient_name_norm"
     )
 

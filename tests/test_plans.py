@@ -13,6 +13,7 @@ from larder.operators.dimension import (
     ingredient_dimension,
     normalized_items,
     normalized_lists,
+    measured,
     recipe_ingredients,
 )
 from larder.operators.references import keep_referenced, orphans
@@ -225,6 +226,16 @@ def test_dimension_that_fits_is_broadcast(spark, conf):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_names_that_fit_are_broadcast_to_the_junction(spark, conf):
+    dimension = stage(ingredient_dimension(stage(skewed(spark, 1_000), "items")), "names")
+    junction = stage(spark.range(2_000).select(F.col("id").alias("ingredient_id")), "junction")
+    names = ("ingredient_name_raw", "ingredient_name_norm")
+    conf("spark.sql.autoBroadcastJoinThreshold", "1b")
+    assert "BroadcastHashJoin" in plan_of(junction.join(measured(dimension, *names), "ingredient_id"))
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert "Broadcast" not in plan_of(junction.join(measured(dimension, *names), "ingredient_id"))
+
+
 def test_no_broadcast_where_the_session_wants_none(spark, no_broadcast):
     items = stage(skewed(spark, 1_000), "items")
     dimension = stage(ingredient_dimension(items), "names")
