@@ -7,14 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed value: what a normalised name keeps. Punctuation to a space and then runs of blanks to one
-# space is the same as any run of other characters to one space, in half the passes.
-NOT_KEPT = "[^a-z0-9]+"
+# space is the same as any run of other characters to one space, in half the passes. Spelled out:
+# Java's matcher looks up listed characters in one bitmap, but asks a chain of tests for ranges.
+KEPT = "abcdefghijklmnopqrstuvwxyz0123456789"
+NOT_KEPT = f"[^{KEPT}]+"
 
 # One quoted item, single or double quotes, backslash escaping any character but a line feed.
 # Possessive and unrolled: a plain (?:[^'\\]|\\.)* recurses per character in Java's matcher and
 # overflows the stack on items of a few thousand characters. (?d) makes "." stop at \n only.
 QUOTED_ITEM = r"""(?d)'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
 
+# What ends an item while a whole list is cleaned at once. No normalised name has it.
+END = "\u0001"
+# Any text as a row of these: what precedes a quote, and the item, if the quote begins one, without
+# its quotes. Finds the items that QUOTED_ITEM does.
+UP_TO_ITEM = r"""(?d)[^'"]*+(?:'([^'\\]*+(?:\\.[^'\\]*+)*+)'|"([^"\\]*+(?:\\.[^"\\]*+)*+)"|['"]|\z)"""
+
 
 def normalize(text: Column | str) -> Column:
     """Lower-case, punctuation to spaces, blanks collapsed, ends trimmed."""
@@ -30,6 +38,21 @@ def unquote(item: Column | str) -> Column:
     return F.substring(item, F.lit(2), F.length(item) - 2)
 
 
+def normalized_names(text: Column | str) -> Column:
+    """The distinct normalised items of a list literal, in any order and perhaps with an empty one;
+    NULL for NULL.
+
+    As ``normalize`` of every item, but the list is cleaned as one text and cut last, so no
+    expression is evaluated per item.
+    """
+    bare = F.lower(F.replace(text, F.lit(END), F.lit(" ")))
+    items = F.regexp_replace(bare, UP_TO_ITEM, f"$1$2{END}")
+    cleaned = F.regexp_replace(items, f"[^{KEPT}{END}]+", " ")
+    for blank in (f" {END}", f"{END} "):
+        cleaned = F.replace(cleaned, F.lit(blank), F.lit(END))
+    return F.array_distinct(F.split(F.ltrim(cleaned), END))
+
+
 def parse_list(text: Column | str) -> Column:
     """Items of a list literal such as ``['a', "b"]`` as ``array<string>``.
 

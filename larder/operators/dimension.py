@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from larder.functions.text import normalize, quoted_items, unquote
+from larder.functions.text import normalize, normalized_names
 from larder.operators.ids import dense_ids
 from larder.workspace import stage
 
@@ -47,9 +47,8 @@ def normalized_lists(lists: DataFrame, text: str) -> DataFrame:
 
 
 def _names_of(lists: DataFrame, text: str) -> DataFrame:
-    names = F.transform(F.array_distinct(quoted_items(text)), lambda item: normalize(unquote(item)))
     return lists.select(
-        "recipe_id", F.explode(F.array_distinct(names)).alias("ingredient_name_norm")
+        "recipe_id", F.explode(normalized_names(text)).alias("ingredient_name_norm")
     ).filter(F.length("ingredient_name_norm") > 0)
 
 

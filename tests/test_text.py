@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder import registry
-from larder.functions.text import normalize, normalized_terms, parse_list
+from larder.functions.text import normalize, normalized_names, normalized_terms, parse_list
 from larder.operators.dimension import normalized_lists
 from larder.standins import SCHEMAS, list_literal
 
@@ -139,3 +139,27 @@ def test_stable_ids_parses_no_list_twice(spark, tmp_path, monkeypatch):
         (1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")
     ]
     assert sum(parsed) == len(docs)
+
+
+def test_names_of_random_lists(spark):
+    """Lists cleaned whole against items cut out and cleaned one by one."""
+    rng = random.Random(8)
+    alphabet = ["'", "'", '"', "\\", "a", "B", "7", "é", "İ", "Σ", "K", ",", " ", "\n", "\x01", "$1", "𝒳"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(0, 30))) for _ in range(20_000)]
+    texts += [None, "", "[]", "['']", "['olive  oil!', \"Sea-Salt \"]", "'" + "a\\'" * 20_000 + "'"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string")
+    rows = df.select("i", normalized_names("s").alias("names")).collect()
+    got = {r["i"]: r["names"] for r in rows}
+    assert len(rows) == len(texts) and got[20_000] is None
+    for i, text in enumerate(texts):
+        cleaned = {re.sub("[^a-z0-9]+", " ", item.lower()).strip(" ") for item in scan_items(text)}
+        names = [name for name in got[i] or [] if name]
+        assert sorted(names) == sorted(cleaned - {""}), text
+
+
+def test_no_expression_runs_per_item(spark, capsys):
+    lists = spark.createDataFrame([(1, "['Olive  Oil!', 'salt']")], "recipe_id long, items string")
+    names = normalized_lists(lists, "items")
+    assert sorted(names.collect()) == [(1, "olive oil"), (1, "salt")]
+    names.explain(True)
+    assert "lambda" not in capsys.readouterr().out
