@@ -52,6 +52,15 @@ def _names_of(lists: DataFrame, text: str) -> DataFrame:
     ).filter(F.length("ingredient_name_norm") > 0)
 
 
+def stage_items(items: DataFrame) -> DataFrame:
+    """Items, written for the passes that share them.
+
+    Without dictionaries: looking every name up in one costs the writer more than it saves, and the
+    passes read every name as text.
+    """
+    return stage(items, "items", **{"parquet.enable.dictionary": "false"})
+
+
 def ingredient_dimension(items: DataFrame) -> DataFrame:
     """One row per distinct name, with dense ids in name order.
 

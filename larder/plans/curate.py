@@ -12,6 +12,7 @@ from larder.operators.dimension import (
     ingredient_dimension,
     normalized_lists,
     recipe_ingredients,
+    stage_items,
 )
 from larder.operators.ids import row_ids
 from larder.operators.references import keep_referenced
@@ -27,7 +28,7 @@ from larder.schema import (
 from larder.sizing import sized_for
 from larder.sources.raw_csv import land_csv
 from larder.sources.tables import replace_table, write_csv
-from larder.workspace import scratch_scope, stage
+from larder.workspace import scratch_scope
 
 
 @dataclass(frozen=True)
@@ -78,7 +79,7 @@ def curate(spark: SparkSession, raw: RawPaths, out: str) -> CuratedTables:
         recipes = replace_table(
             conform_recipes(foodcom, recipenlg), f"{curated}/recipes", RECIPES
         )
-        items = stage(normalized_lists(conform_lists(foodcom, recipenlg), "items"), "items")
+        items = stage_items(normalized_lists(conform_lists(foodcom, recipenlg), "items"))
         ingredients = replace_table(
             ingredient_dimension(items), f"{curated}/ingredients", INGREDIENTS
         )

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from larder.operators.conform import RATING, RAW_INTERACTIONS, conform, conform_lists, conform_recipes
-from larder.operators.dimension import normalized_lists, recipe_ingredients
+from larder.operators.dimension import normalized_lists, recipe_ingredients, stage_items
 from larder.operators.references import keep_referenced
 from larder.operators.stable import extend_ids, last_id, number_on, open_or_empty
 from larder.operators.summaries import RatingSums
@@ -131,7 +131,7 @@ def refresh(spark: SparkSession, raw: RawPaths, out: str) -> Refreshed:
         ratings.add_up(sums)
         sources = foodcom.read(), recipenlg.read()
         recipes = replace_table(conform_recipes(*sources), f"{curated}/recipes", RECIPES)
-        items = stage(normalized_lists(conform_lists(*sources), "items"), "items")
+        items = stage_items(normalized_lists(conform_lists(*sources), "items"))
         ingredients = replace_table(
             named_ids(items, f"{out}/keys/ingredients"), f"{curated}/ingredients", INGREDIENTS
         )

@@ -18,6 +18,7 @@ from larder.operators.dimension import (
     measured,
     normalized_lists,
     recipe_ingredients,
+    stage_items,
 )
 from larder.operators.ids import row_ids
 from larder.operators.postings import write_postings
@@ -251,7 +252,7 @@ def ingredient_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def recipe_ingredients_junction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which recipe has which ingredient."""
-    items = stage(_items(spark, sf_dir), "items")
+    items = stage_items(_items(spark, sf_dir))
     dimension = stage(ingredient_dimension(items), "ingredients")
     return recipe_ingredients(items, dimension)
 

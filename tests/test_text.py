@@ -2,14 +2,16 @@
 
 import random
 import re
+from urllib.parse import unquote, urlparse
 
 from hypothesis import HealthCheck, given, settings, strategies as st
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from larder import registry
 from larder.functions.text import normalize, normalized_names, normalized_terms, parse_list
-from larder.operators.dimension import normalized_lists
+from larder.operators.dimension import normalized_lists, stage_items
 from larder.standins import SCHEMAS, list_literal
 
 
@@ -163,3 +165,14 @@ def test_no_expression_runs_per_item(spark, capsys):
     assert sorted(names.collect()) == [(1, "olive oil"), (1, "salt")]
     names.explain(True)
     assert "lambda" not in capsys.readouterr().out
+
+
+def test_items_are_written_without_dictionaries(spark):
+    items = spark.createDataFrame([(i, f"name {i % 3}") for i in range(3_000)], "recipe_id long, ingredient_name_norm string")
+    staged = stage_items(items)
+    assert sorted(staged.collect()) == sorted(items.collect())
+    files = [unquote(urlparse(path).path) for path in staged.inputFiles()]
+    assert files
+    for file in files:
+        group = pq.read_metadata(file).row_group(0)
+        assert not [e for c in range(2) for e in group.column(c).encodings if "DICTIONARY" in e]
